@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, ngram_join
+from . import chat, decontam, ngram_join, packing
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,19 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of every document lies, and the checksum of its ids."""
+    out = packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
+    return out.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     return ngram_join.near_duplicates(_read(spark, sf_dir, "documents"))
@@ -44,6 +57,7 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op7_ngram_join": op7_ngram_join,
     "op9_chat_formatting": op9_chat_formatting,
 }

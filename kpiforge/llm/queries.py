@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, ngram_join, packing
+from . import chat, decontam, langid, ngram_join, packing, quality
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,17 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def _remainder(of: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document: doc_id, held_out, score, predicted."""
+    labels = _read(spark, sf_dir, "labels").where(_remainder(3) != 1).select("doc_id", F.col("quality").alias("label"))
+    out = quality.classify(_read(spark, sf_dir, "documents"), labels)
+    return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of what is read back from each formatted conversation."""
     rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -55,11 +66,20 @@ def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document: doc_id, held_out, lang_pred, score, ambiguous."""
+    docs = _read(spark, sf_dir, "documents")
+    out = langid.identify(docs, langid.fit(docs.where(_remainder(4) != 2).select("text", "lang")))
+    return out.select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op7_ngram_join": op7_ngram_join,
+    "op8_quality": op8_quality,
     "op9_chat_formatting": op9_chat_formatting,
+    "op10_language_id": op10_language_id,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"

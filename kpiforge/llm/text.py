@@ -101,17 +101,24 @@ def _pieces(texts: list[bytes]) -> Iterator[tuple[bytes, list[int], list[int]]]:
         yield b"\n".join(held), index, at
 
 
-def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of the words of all texts in order, and the texts' offsets into them (one more than texts)."""
+def word_table(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprints and lengths in bytes of the words of all texts in order, and the texts' offsets (one more than texts)."""
     raws = [(t or "").encode() for t in texts]
     counts = np.zeros(len(raws), dtype=np.int64)
-    out = []
+    out, lengths = [np.empty(0, dtype=U64)], [np.empty(0, dtype=np.int64)]
     for joined, index, at in _pieces(raws):
         units = _LOWER[np.frombuffer(joined, dtype=np.uint8)]
         starts, ends = _word_spans(units)
         out.append(span_hashes(units, starts, ends))
+        lengths.append(ends - starts)
         np.add.at(counts, index, np.diff(np.r_[np.searchsorted(starts, at), len(starts)]))
-    return (np.concatenate(out) if out else np.empty(0, dtype=U64)), np.r_[0, np.cumsum(counts)]
+    return np.concatenate(out), np.concatenate(lengths), np.r_[0, np.cumsum(counts)]
+
+
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of the words of all texts in order, and the texts' offsets into them (one more than texts)."""
+    out, _, offsets = word_table(texts)
+    return out, offsets
 
 
 def shingle_hashes(words: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -7,13 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, ngram_join, packing, quality
+from . import chat, decontam, langid, lm, ngram_join, packing, pii, quality, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(of: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts by base kind, digest of the base spans, all spans."""
+    found = F.col("spans")
+    base = F.filter(found, lambda s: s["kind"].isin(*pii.BASE_KINDS))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return pii.spans(_read(spark, sf_dir, "documents")).select(
+        "doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(found).alias("spans")
+    )
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with benchmark passages: doc_id, item_id, start, n_words, distance, similarity."""
     return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
@@ -32,15 +49,23 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best vectors of every query vector: query_id, rank, vec_id, score."""
+    vectors = _read(spark, sf_dir, "embeddings").select("vec_id", topk.whole(F.col("embedding"), 1024).alias("terms"))
+    return topk.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and model score of every document, learnt from those whose checksum modulo 7 is not 2."""
+    out = lm.score(_read(spark, sf_dir, "documents"), _remainder(7) != 2)
+    return out.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
     return ngram_join.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
-def _remainder(of: int) -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of))
-
-
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document: doc_id, held_out, score, predicted."""
     labels = _read(spark, sf_dir, "labels").where(_remainder(3) != 1).select("doc_id", F.col("quality").alias("label"))
@@ -74,8 +99,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii": op2_pii,
     "op3_decontamination": op3_decontamination,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_topk_search": op5_topk_search,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_ngram_join": op7_ngram_join,
     "op8_quality": op8_quality,
     "op9_chat_formatting": op9_chat_formatting,
@@ -85,6 +113,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_topk_search": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS t FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.t AS DOUBLE[]), CAST(c.t AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10""",
     "op7_ngram_join": rf"""
 WITH RECURSIVE docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 sets AS (

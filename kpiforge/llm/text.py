@@ -147,3 +147,17 @@ def shingle_hashes(words: np.ndarray, offsets: np.ndarray, width: int) -> tuple[
             else:
                 found.append(none)
     return (np.concatenate(found) if found else none), np.r_[0, np.cumsum([len(f) for f in found])].astype(np.int64)
+
+
+def slices(batch, column: int, rows: int = 2048, size: int = 8 << 20):
+    """Consecutive parts of a record batch with at most so many rows and, unless a row has more, bytes in a column."""
+    import pyarrow.compute as pc
+
+    length = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    lo = 0
+    total = np.cumsum(length)
+    while lo < batch.num_rows:
+        done = total[lo - 1] if lo else 0
+        hi = max(lo + 1, min(lo + rows, int(np.searchsorted(total, done + size, side="right"))))
+        yield batch.slice(lo, hi - lo)
+        lo = hi

@@ -29,7 +29,7 @@ from .text import U64, shingle_hashes, word_hashes
 WIDTH, PERCENT = 5, 80
 #: Shingles in so many sets are frequent; at most FREQUENT_LIMIT of them (the most frequent) are told apart.
 FREQUENT_AT, FREQUENT_LIMIT = 32, 1 << 20
-BLOCK = 1024
+BLOCK = 512
 #: Ids are broadcast up to so many; beyond, the same join shuffles.
 BROADCAST_IDS = 2_000_000
 TEXTS = 256
@@ -99,44 +99,57 @@ def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     )
 
 
-def _frequent(sets: DataFrame, at: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles, ascending, and their ranks: rarer first. At most limit, so it has a fixed size.
+def _frequent(sets: DataFrame, percent: int, at: int, limit: int) -> np.ndarray:
+    """The first 48 bits of frequent shingles, ascending. At most limit, the most frequent, so it has a fixed size.
 
-    Counts are summed over what repeats in a batch of rows. They only shape the order of shingles, and any order
-    gives the same links.
+    Counted over all sets are the shingles that may come into a prefix: half as many again as it would have in the
+    order of fingerprints. They only shape the order of shingles, and any order gives the same links.
     """
+    parts = 1 << max(0, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    shift = U64(64 - (parts.bit_length() - 1))
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [x for x in _arrays(batch.column(0)) if len(x)]
-            if found:
-                value, n = np.unique(np.concatenate(found), return_counts=True)
-                value, n = value[n > 1], n[n > 1]
-                yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n.astype(np.int64))], names=["shingle", "c"])
+            low = [x[: 3 * _prefix_size(len(x), percent) // 2] for x in _arrays(batch.column(0))]
+            if sum(map(len, low)):
+                value = np.sort(np.concatenate(low))
+                cuts = np.searchsorted(value >> shift, np.arange(parts + 1).astype(U64)) if parts > 1 else np.array([0, len(value)])
+                value = value >> U64(16)
+                some = np.flatnonzero(np.diff(cuts))
+                blobs = [(value[cuts[i] : cuts[i + 1]] >> U64(16)).astype(np.uint32).tobytes() + value[cuts[i] : cuts[i + 1]].astype(np.uint16).tobytes() for i in some]
+                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(blobs, pa.binary())], names=["shard", "values"])
 
-    local = sets.select("shingles").mapInArrow(count, "shingle bigint, c bigint")
-    rows = local.groupBy("shingle").agg(F.sum("c").alias("c")).where(F.col("c") >= at).orderBy(F.desc("c"), "shingle").limit(limit)
-    found = rows.toArrow()
-    value = found.column("shingle").to_numpy().view(U64)
-    order = np.argsort(value)
-    return value[order], found.column("c").to_numpy()[order]
+    def count(held: pa.Table) -> pa.Table:
+        found = []
+        for raw in held.column("values").to_pylist():
+            n = len(raw) // 6
+            found.append((np.frombuffer(raw, np.uint32, n).astype(U64) << U64(16)) | np.frombuffer(raw, np.uint16, n, 4 * n).astype(U64))
+        value, n = np.unique(np.concatenate(found), return_counts=True)
+        return pa.table({"shingle": pa.array(value[n >= at].astype(np.int64)), "c": pa.array(n[n >= at].astype(np.int64))})
+
+    counted = sets.select("shingles").mapInArrow(deal, "shard int, values binary").groupBy("shard").applyInArrow(count, "shingle bigint, c bigint")
+    return np.sort(counted.orderBy(F.desc("c"), "shingle").limit(limit).toArrow().column("shingle").to_numpy()).astype(U64)
+
+
+def _prefix_size(n: int, percent: int) -> int:
+    return n - -(-percent * n // 100) + 1 if n else 0
 
 
 class _Order:
-    """Prefixes of sets in the order (frequent or not, count, fingerprint)."""
+    """Prefixes of sets in the order (frequent or not, fingerprint)."""
 
-    def __init__(self, frequent: np.ndarray, counts: np.ndarray, percent: int) -> None:
-        self.frequent, self.counts, self.percent = frequent, counts, percent
+    def __init__(self, frequent: np.ndarray, percent: int) -> None:
+        self.frequent, self.percent = frequent, percent
 
     def prefix(self, values: np.ndarray) -> tuple[np.ndarray, bool]:
         """The rare part of the prefix, and whether the prefix has frequent shingles too."""
-        n = len(values)
-        size = n - -(-self.percent * n // 100) + 1
+        size = _prefix_size(len(values), self.percent)
         if not len(self.frequent):
             return values[:size], False
-        at = np.searchsorted(self.frequent, values)
+        short = values >> U64(16)
+        at = np.searchsorted(self.frequent, short)
         at[at == len(self.frequent)] = 0
-        rare = values[self.frequent[at] != values]
+        rare = values[self.frequent[at] != short]
         return rare[:size], len(rare) < size
 
 
@@ -197,7 +210,7 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     spark = sets.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    order = _Order(*_frequent(sets, FREQUENT_AT, FREQUENT_LIMIT), percent)
+    order = _Order(_frequent(sets, percent, FREQUENT_AT, FREQUENT_LIMIT), percent)
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

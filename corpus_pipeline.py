@@ -1,15 +1,20 @@
-"""The corpus pipeline: documents of known language, one of each near-duplicate group, free of benchmark passages and
+"""The corpus pipeline: documents in a language, one of each group of near-duplicates, free of benchmark passages and of
 personal data, packed into sequences."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from kpiforge.llm import decontam, ngram_join
+from kpiforge.llm import decontam, langid, ngram_join, packing, pii
+from kpiforge.llm.queries import tokenizer_path
 from kpiforge.llm.store import table
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a language: null texts and those without a letter."""
+    return langid.known_language(docs, langid.fit(docs))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of each component of near-duplicates."""
     return ngram_join.first_of_each(docs)
@@ -20,9 +25,25 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("ngram_join", one_of_each_group), ("decontamination", without_benchmark)]
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Puts its kind in place of every piece of personal data."""
+    return pii.without_personal_data(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, packed: doc_id, piece, start, length, ids, sequence_id, offset."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [
+    ("language_id", language),
+    ("ngram_join", one_of_each_group),
+    ("decontamination", without_benchmark),
+    ("pii", without_personal_data),
+    ("best_fit_packing", packed),
+]
 
-#: Language models' classifiers and tokenizers are not SQL; tests hold the stages against brute force.
+#: Trained classifiers and tokenizers are not SQL; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 

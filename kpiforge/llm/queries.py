@@ -7,13 +7,31 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, lm, ngram_join, packing, pii, quality, topk
+from . import chat, decontam, langid, lm, ngram_join, packing, pii, quality, token_counts, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after three edits: a word put in the place of five characters at a
+    third, seven characters taken out at the middle, and a sentence put at the end."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    n = F.coalesce(F.length("text"), F.lit(0))
+    third, middle = (n / 3).cast("int"), (n / 2).cast("int")
+    made = [(third, third + 5, "Edit-aware"), (middle, middle + 7, ""), (n + 10, n + 10, " The end.")]
+    edits = F.array(*[F.struct(a.alias("start"), b.alias("end"), F.lit(t).alias("text")) for a, b, t in made])
+    return token_counts.recount(docs.withColumn("edits", edits), tokenizer_path())
+
+
 def _remainder(of: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(of))
 
@@ -36,13 +54,6 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
-def tokenizer_path() -> str:
-    """The public tokenizer that the queries use."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each piece of every document lies, and the checksum of its ids."""
     out = packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
@@ -99,6 +110,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
     "op3_decontamination": op3_decontamination,
     "op4_best_fit_packing": op4_best_fit_packing,

@@ -93,8 +93,11 @@ def pages_from_json(files: DataFrame) -> DataFrame:
 
 
 def table_lines(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """(*keys, row, line): a table's rows as CSV lines, cells by column, empty where there is none."""
+    """(*keys, row, line): a table's rows as CSV lines, cells by column, empty where there is none.
+
+    Of several texts in a cell the first in order of the alphabet stands.
+    """
     width = F.max("col").over(Window.partitionBy(*keys))
-    rows = cells.withColumn("_w", width).groupBy(*keys, "row").agg(F.first("_w").alias("_w"), F.map_from_entries(F.collect_list(F.struct("col", "txt"))).alias("m"))
+    rows = cells.groupBy(*keys, "row", "col").agg(F.min("txt").alias("txt")).withColumn("_w", width).groupBy(*keys, "row").agg(F.first("_w").alias("_w"), F.map_from_entries(F.collect_list(F.struct("col", "txt"))).alias("m"))
     quoted = F.transform(F.sequence(F.lit(0), F.col("_w")), lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(F.element_at("m", c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')))
     return rows.select(*keys, "row", F.array_join(quoted, ",").alias("line"))

@@ -525,7 +525,7 @@ def table_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.good_tables(_cells(spark, sf_dir), ["t"]).select("t", "n_rows", "n_cols", "n_numeric", "good")
 
 
-@query(f"""WITH {_CELL_SQL}, w AS (SELECT t, row, string_agg('"' || txt || '"', ',' ORDER BY col) AS line FROM cells GROUP BY t, row) SELECT t, row, line FROM w""")
+@query(f"""WITH {_CELL_SQL}, c AS (SELECT t, row, col, min(txt) AS txt FROM cells GROUP BY ALL), w AS (SELECT t, row, string_agg('"' || txt || '"', ',' ORDER BY col) AS line FROM c GROUP BY t, row) SELECT t, row, line FROM w""")
 def table_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables as CSV lines."""
     return reshape.table_lines(_cells(spark, sf_dir), ["t"]).select("t", "row", "line")

@@ -47,7 +47,7 @@ def codewords(k: int) -> np.ndarray:
 def _grams(texts: list[str | None]) -> Iterator[tuple[np.ndarray, list[int], list[int]]]:
     """Buckets of the byte trigrams of joined chunks; index and start of each text's part, as _pieces() has them."""
     for joined, index, at in _pieces([(t or "").encode() for t in texts]):
-        raw = _LOWER[np.frombuffer(b" " + joined + b" ", dtype=np.uint8)].astype(np.uint32)
+        raw = _LOWER[np.frombuffer(b" " + joined + b"  ", dtype=np.uint8)].astype(np.uint32)  # a trigram for the end, too
         raw[(raw >= 48) & (raw <= 57)] = 48
         h = raw[:-2] * np.uint32(0x9E3779B1) + raw[1:-1] * np.uint32(0x85EBCA77) + raw[2:] * np.uint32(0xC2B2AE3D)
         yield (h ^ (h >> np.uint32(15))) & np.uint32(BUCKETS - 1), index, at

@@ -1,0 +1,459 @@
+"""The training-data operators against brute force, and their defined results on odd input."""
+
+from __future__ import annotations
+
+import json
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from kpiforge.llm import chat, components, decontam, langid, lm, ngram_join, packing, pii, pretokens, quality, text, token_counts, topk
+from kpiforge.llm.queries import tokenizer_path
+
+ODD = [(1, None, 0), (2, "", 0), (3, "  \n\t ", 0), (4, "one", 0), (5, "same words here", 0), (5, "same words here", 0), (6, "x" * 200_000, 0), (None, "no id at all", 0)]
+ODD_SCHEMA = "doc_id long, text string, n long"
+
+
+def _documents(n: int, seed: int = 0) -> list[tuple[int, str]]:
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice("abcdeiou") for _ in range(rng.randint(1, 6))) for _ in range(300)]
+    base = [[rng.choice(vocabulary) for _ in range(rng.randint(3, 80))] for _ in range(n // 3)]
+    out = []
+    for k in range(n):
+        words = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 5])):
+            words[rng.randrange(len(words))] = rng.choice(vocabulary)
+        out.append((k, rng.choice([" ", "  ", "\n"]).join(words)))
+    return out
+
+
+def _shingles(t: str | None) -> set:
+    w = [x for x in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if x]
+    return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
+# ---- kernels --------------------------------------------------------------------------------------------------------
+
+
+def test_words_and_shingles_match_plain_python():
+    texts = ["Ab aB\x0bc d", None, "", "a b c d", "q w e r t y q w e r t", "é È é"] + [t for _, t in _documents(30)]
+    hashes, at = text.word_hashes(texts)
+    plain = [[x for x in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if x] for t in texts]
+    assert np.diff(at).tolist() == [len(p) for p in plain]
+    names: dict = {}
+    for h, w in zip(hashes.tolist(), [w for p in plain for w in p]):
+        assert names.setdefault(h, w) == w
+    assert len(names) == len({w for p in plain for w in p})
+    _, bounds = text.shingle_hashes(hashes, at, 5)
+    assert np.diff(bounds).tolist() == [len(_shingles(t)) for t in texts]
+
+
+def test_long_texts_are_cut_without_dividing_words(monkeypatch):
+    long = " ".join(f"w{i}" for i in range(3000))
+    whole, _ = text.word_hashes([long, "tail end"])
+    monkeypatch.setattr(text, "CHUNK_BYTES", 64)
+    cut, at = text.word_hashes([long, "tail end"])
+    assert cut.tolist() == whole.tolist() and at.tolist() == [0, 3000, 3002]
+    assert text.word_hashes(["y" * 1000 + " z"])[1].tolist() == [0, 2]
+
+
+def test_pretokens_and_ids_match_the_tokenizers_library():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(5)
+    signs = " \n\t'sStrevemlld  ab1²٤.!?<|>é漢字　 \x85́x"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 50))) for _ in range(400)]
+    texts += ["", "<|endoftext|>", "a<|endoftext|> b<|endoftext|>", "don't 's ''s 'street  'll x'y \n's", "ab " * 5000]
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    ids, at = pretokens.encode(texts, tokenizer_path(), 2)
+    for t, a, b in zip(texts, at[:-1], at[1:]):
+        assert ids[a:b].tolist() == tokenizer.encode(t, add_special_tokens=False).ids + [2], t
+
+
+# ---- 1 token counts -------------------------------------------------------------------------------------------------
+
+
+def test_edited_counts_equal_a_full_count():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    tokenizer.encode_special_tokens = True
+    own = pretokens.tokens(tokenizer_path())
+    rng = random.Random(3)
+    signs = " \n\t'sStreve  ab1²!?<|>é　"
+    for _ in range(300):
+        one = token_counts.CountedText("".join(rng.choice(signs) for _ in range(rng.randint(0, 60))), own)
+        for _ in range(rng.randint(1, 5)):
+            a = rng.randint(-1, len(one.text) + 2)
+            one.edit(a, a + rng.choice([-1, 0, 0, 1, 3, 10]), "".join(rng.choice(signs) for _ in range(rng.choice([0, 0, 1, 2, 6]))))
+            assert one.count == len(tokenizer.encode(one.text, add_special_tokens=False).ids)
+            assert one.tree.chars == len(one.text)
+    long = token_counts.CountedText("some words " * 5000, own)
+    long.edit(20_000, 20_004, "other")
+    assert long.reencoded < 10
+
+
+def test_token_counts_on_odd_rows(spark):
+    docs = spark.createDataFrame([(*r, [(0, 0, "new ")] if r[0] != 4 else None) for r in ODD], f"{ODD_SCHEMA}, edits array<struct<start:long,end:long,text:string>>")
+    rows = token_counts.recount(docs, tokenizer_path()).collect()
+    assert len(rows) == len(ODD)
+    by = {r["doc_id"]: r for r in rows}
+    assert by[1]["n_tokens"] == 0 and by[1]["n_tokens_edited"] > 0 and by[4]["n_tokens"] == by[4]["n_tokens_edited"]
+    assert token_counts.recount(docs.limit(0), tokenizer_path()).collect() == []
+
+
+# ---- 2 PII ----------------------------------------------------------------------------------------------------------
+
+_BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def _base_spans(t: str) -> list[tuple[str, int, int]]:
+    def good(kind: str, s: str) -> bool:
+        d = [int(c) for c in s if c in "0123456789"]
+        if kind == "ip":
+            return all(int(p) <= 255 for p in s.split("."))
+        if kind == "phone":
+            return 10 <= len(d) <= 15
+        if kind == "card":
+            return 14 <= len(d) <= 19 and sum(x if i % 2 == 0 else (2 * x if x < 5 else 2 * x - 9) for i, x in enumerate(d[::-1])) % 10 == 0
+        return True
+
+    return [(k, *m.span()) for k, p in _BASE.items() for m in re.finditer(p, t) if good(k, m[0])]
+
+
+def test_base_spans_match_the_plain_patterns():
+    rng = random.Random(9)
+    parts = ["a@b.co", "a@b@c.de", "x..y@z-1.q.r", "@", "1.2.3.4", "1.2.3.4.5.6.7.8", "256.1.1.1", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (487) 555-7209", "+49 30 1234567", "007", ".", "-", " ", "é", "+", "(", "word"]
+    for _ in range(500):
+        t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))
+        got = sorted((s.kind, s.start, s.end) for s in pii.find(t) if s.kind in pii.BASE_KINDS)
+        assert got == sorted(_base_spans(t)), t
+
+
+def test_checksums_and_context():
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
+    assert [s.kind for s in pii.find("IBAN DE89 3704 0044 0532 0130 00.")] [-1] == "iban"
+    assert not [s for s in pii.find("DE88 3704 0044 0532 0130 00") if s.kind == "iban"]
+    assert not pii.find("code 123-45-6789") and pii.find("her ssn is 123-45-6789")[0].kind == "national_id"
+    near, far = (pii.find(f"{w} 10.0.0.1")[0].score for w in ("server", "version"))
+    assert near > far
+    assert pii.redacted("mail a@b.co now") == "mail <EMAIL> now"
+    long = "1" * 200_000 + " " + "1." * 100_000
+    assert pii.find(long) == pii.find(long)
+
+
+def test_pii_on_odd_rows(spark):
+    docs = spark.createDataFrame(ODD, ODD_SCHEMA)
+    assert pii.spans(docs).count() == len(ODD)
+    assert pii.without_personal_data(docs).orderBy("doc_id").collect() == docs.orderBy("doc_id").collect()
+    assert pii.spans(docs.limit(0)).collect() == []
+
+
+# ---- 3 decontamination ----------------------------------------------------------------------------------------------
+
+
+def _norm(t: str | None) -> list[str]:
+    return [w for w in re.split(r"[^\w]+|_", (t or "").lower()) if w]
+
+
+def _brute_decontamination(docs, items) -> set:
+    found = set()
+    for i, t in docs:
+        w = _norm(t)
+        for j, b in items:
+            q = _norm(b)
+            n, width = len(q), min(5, len(q))
+            target = Counter(tuple(q[k : k + width]) for k in range(n - width + 1))
+            for s in range(len(w) - n + 1) if n else ():
+                own = Counter(tuple(w[k : k + width]) for k in range(s, s + n - width + 1))
+                both = sum((own & target).values())
+                if both / (sum(own.values()) + sum(target.values()) - both) >= 0.8:
+                    found.add((i, j))
+                    break
+    return found
+
+
+def test_decontamination_matches_brute_force(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 5)))
+    items = [(j, " ".join(word() for _ in range(rng.randint(14, 50)))) for j in range(12)] + [(90, "tiny item"), (91, None), (92, "  ")]
+    docs = []
+    for i in range(60):
+        body = [word() for _ in range(rng.randint(5, 120))]
+        if i % 2:
+            passage = rng.choice(items[:12])[1].split()
+            for _ in range(rng.choice([0, 0, 1, 2])):
+                passage[rng.randrange(len(passage))] = word()
+            at = rng.randrange(len(body))
+            body[at:at] = passage
+        docs.append((i, ", ".join(body).upper() if i % 3 else "\n".join(body)))
+    docs += [(100, None), (101, ""), (102, "a Tiny, ITEM here"), (102, "a Tiny, ITEM here")]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string").withColumn("n", F.lit(1)), spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.contaminated(d, b)
+    want = _brute_decontamination(docs, items)
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want and len(want) > 15
+    assert decontam.contaminated(d, b.limit(0)).count() == 0
+    assert decontam.clean(d, b).columns == d.columns
+
+
+# ---- 4 packing ------------------------------------------------------------------------------------------------------
+
+
+def test_packing_is_gapless_and_keeps_all_ids(spark):
+    docs = [(k, t * (1 + 40 * (k % 7 == 0))) for k, t in _documents(120, 2)] + [(1000, None), (1001, ""), (5, "twice")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    rows = packing.pack(df, tokenizer_path(), capacity=128).toPandas()
+    ids, at = pretokens.encode([t or "" for _, t in docs], tokenizer_path(), 2)
+    want = Counter((d, tuple(ids[a:b])) for (d, _), a, b in zip(docs, at[:-1], at[1:]))
+    # pieces of a document are its ids; repeated ids of documents are told apart by their starts
+    one = rows[rows.doc_id != 5]
+    got = Counter()
+    for d, g in one.groupby("doc_id"):
+        g = g.sort_values("piece")
+        assert (g.start.to_numpy() == np.r_[0, np.cumsum(g.length)[:-1]]).all() and (g.length.iloc[1:] == 128).all()
+        got[(d, tuple(np.concatenate([np.frombuffer(x, "<u4") for x in g.ids])))] += 1
+    assert got == Counter({k: v for k, v in want.items() if k[0] != 5})
+    for _, g in rows.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert (g.offset.to_numpy() == np.r_[0, np.cumsum(g.length)[:-1]]).all() and g.length.sum() <= 128
+    assert rows.sequence_id.nunique() <= 1.01 * rows.length.sum() / 128 + 1
+    assert packing.pack(df.limit(0), tokenizer_path()).collect() == []
+
+
+def test_local_search_empties_bins():
+    rng = random.Random(1)
+    lengths = Counter(rng.choice([rng.randint(1, 100), rng.randint(30, 60)]) for _ in range(3000))
+    bins = packing.local_search(packing.best_fit(lengths, 100), 100)
+    assert sum((Counter(p * m) for p, m in bins.items()), Counter()) == lengths and all(sum(p) <= 100 for p in bins)
+    worse = Counter({(60,): 5, (40,): 5, (50, 30): 4, (20,): 4, (30, 30): 1, (40, 20): 1})
+    better = packing.local_search(worse, 100)
+    assert sum(better.values()) == -(-sum(sum(p) * m for p, m in worse.items()) // 100)
+
+
+# ---- 5 top-k --------------------------------------------------------------------------------------------------------
+
+
+def test_topk_matches_brute_force(spark):
+    rng = np.random.default_rng(0)
+    vectors = [(i, rng.normal(size=12).astype(np.float32).tolist()) for i in range(400)]
+    vectors += [(400 + i, vectors[7][1]) for i in range(15)] + [(900, None), (901, [math.nan] * 12), (902, [1.0] * 11 + [None]), (903, [1.0] * 11 + [math.inf])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").select("vec_id", topk.whole(F.col("embedding"), 1024).alias("terms"))
+    got = topk.search(df, df.where("vec_id % 20 = 0"), 10)
+    good = {i: [math.floor(1024 * x) for x in v] for i, v in vectors[:415]}
+    want = []
+    for q in (i for i in good if i % 20 == 0):
+        ranked = sorted((-sum(a * b for a, b in zip(good[q], v)), i) for i, v in good.items() if i != q)
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(ranked[:10])]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    few = df.where("vec_id < 3")
+    assert topk.search(few, few.where("vec_id = 0")).count() == 2
+    assert topk.search(df.limit(0), df.limit(0)).count() == 0
+
+
+# ---- 6 language model -----------------------------------------------------------------------------------------------
+
+
+def test_elias_fano_round_trip():
+    rng = np.random.default_rng(1)
+    for n, universe in ((0, 10), (1, 1), (5000, 1 << 64), (3000, 400), (2500, 2500)):
+        values = np.sort(rng.integers(0, min(universe, 1 << 63), n).astype(np.uint64))
+        ef = lm.EliasFano.of(values, universe)
+        assert (ef.decode(0, n) == values).all()
+        if n:
+            assert (ef.decode(n // 3, n // 2) == values[n // 3 : n // 2]).all()
+            keys = np.sort(rng.integers(0, min(universe, 1 << 63), 500).astype(np.uint64))
+            assert (ef.successors(keys, 64) == np.searchsorted(values, keys)).all()
+
+
+def test_lm_scores_match_brute_force(spark):
+    docs = _documents(90, 6) + [(200, None), (201, ""), (202, "never seen before at all"), (203, "never seen before at all")]
+    df = spark.createDataFrame([(i, t, 0) for i, t in docs], ODD_SCHEMA)
+    trained = lambda i: i % 4 != 1 and i < 200
+    got = {r["doc_id"]: r for r in lm.score(df, (F.col("doc_id") % 4 != 1) & (F.col("doc_id") < 200), 5.0).collect()}
+    tokens = {i: [w for w in re.split("[\x20\x09-\x0d]+", t or "") if w] + ["</s>"] for i, t in docs}
+    uni, pairs = Counter(), Counter()
+    for i, w in tokens.items():
+        if trained(i):
+            uni.update(w)
+            pairs.update(zip(["<s>", *w], w))
+    n, v = sum(uni.values()), len(uni)
+    starts = sum(map(trained, tokens))
+    for i, w in tokens.items():
+        base = sum(math.log10((uni[x] + 1) / (n + v + 1)) for x in w)
+        model = sum(math.log10((pairs[a, b] + 5.0 * (uni[b] + 1) / (n + v + 1)) / ((starts if a == "<s>" else uni[a]) + 5.0)) for a, b in zip(["<s>", *w], w))
+        r = got[i]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["trained"]) == (len(w), sum(uni[x] > 0 for x in w), n, trained(i))
+        assert r["base_score"] == pytest.approx(base, abs=1e-6) and r["score"] == pytest.approx(model, abs=2e-4 * len(w))
+    assert lm.score(df.limit(0), F.lit(True)).collect() == []
+    assert all(r["n_known"] == 0 for r in lm.score(df, F.lit(False)).collect())
+
+
+def test_frequent_words_are_dealt_by_pairs(spark, monkeypatch):
+    df = spark.createDataFrame(_documents(60, 8), "doc_id long, text string")
+    plain = sorted(map(tuple, lm.score(df, F.col("doc_id") % 2 == 0).collect()))
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 40)
+    for a, b in zip(plain, sorted(map(tuple, lm.score(df, F.col("doc_id") % 2 == 0).collect()))):
+        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], abs=1e-2)
+
+
+# ---- 7 n-gram join --------------------------------------------------------------------------------------------------
+
+
+def _brute_components(docs) -> dict:
+    sets = {i: _shingles(t) for i, t in docs}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+@pytest.mark.parametrize("frequent_at", [2, 32])
+def test_components_match_brute_force(spark, monkeypatch, frequent_at):
+    monkeypatch.setattr(ngram_join, "FREQUENT_AT", frequent_at)
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    docs = _documents(150, 11) + [(500, None), (501, ""), (502, " \n"), (503, "a b"), (504, "A  B"), (505, "a b c")]
+    df = spark.createDataFrame([(i, t, 0, 0) for i, t in docs], "doc_id long, text string, n long, sid long")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(df).collect()}
+    assert got == _brute_components(docs)
+    kept = ngram_join.first_of_each(df)
+    assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} == {c for _, c in got.values()}
+
+
+def test_ngram_join_on_empty_and_repeated_rows(spark):
+    assert ngram_join.near_duplicates(spark.createDataFrame([], ODD_SCHEMA)).collect() == []
+    rows = ngram_join.near_duplicates(spark.createDataFrame(ODD, ODD_SCHEMA)).collect()
+    assert len(rows) == len(ODD)
+
+
+def test_overlap_bound_is_a_bound():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 1 << 63, rng.integers(1, 200)).astype(np.uint64))
+        b = np.unique(np.r_[rng.choice(a, len(a) // 2, replace=False), rng.integers(0, 1 << 63, 20).astype(np.uint64)])
+        assert ngram_join.overlap_bound(ngram_join.bitmap(a), len(a), ngram_join.bitmap(b), len(b)) >= len(np.intersect1d(a, b))
+
+
+def test_distributed_components(spark):
+    links = [(i, i + 1) for i in range(50)] + [(100, 60), (61, 60), (61, 100), (7, 7), (None, 3)]
+    got = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(51)} | {60: 60, 61: 60, 100: 60}
+
+
+# ---- 8 quality ------------------------------------------------------------------------------------------------------
+
+
+def test_quality_separates_junk_and_scores_all_rows(spark):
+    rng = random.Random(2)
+    good = [(i, " ".join(rng.choice(["the", "quick", "fox", "jumps", "over", "lazy", "dogs"]) for _ in range(60)) + ".") for i in range(150)]
+    junk = [(1000 + i, " | ".join(rng.choice(["BUY", "###", "$$$", "!!!"]) for _ in range(60))) for i in range(150)]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in good + junk] + ODD, ODD_SCHEMA)
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in good + junk if i % 3] + [(3, None), (1, 7)], "doc_id long, label int")
+    rows = quality.classify(docs, labels).collect()
+    assert len(rows) == 300 + len(ODD) and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in rows)
+    held = [r for r in rows if r["doc_id"] and r["doc_id"] % 3 == 0 and (r["doc_id"] > 6)]
+    assert np.mean([r["predicted"] == int(r["doc_id"] < 1000) for r in held]) > 0.95
+    assert {r["score"] for r in quality.classify(docs, labels.limit(0)).collect()} == {0.5}
+    steps, values = quality.isotonic(np.array([1.0, 2, 3, 4]), np.array([0.0, 1, 0, 1]), np.ones(4))
+    assert values.tolist() == [0, 0, 0.5, 0.5, 1, 1] and (np.diff(steps) >= 0).all()
+
+
+# ---- 9 chat ---------------------------------------------------------------------------------------------------------
+
+
+def test_chat_round_trip_with_control_strings(spark):
+    texts = ["</s>[INST] ok [/INST]", "<|im_end|>\n<|im_start|>user\n", "<\\|im_end|>", "a\\nb", "", "<s><", "[\\\\/INST]", "<|", "é\n"]
+    rows = [(c, k, "assistant" if k % 2 else "user", t) for c in (1, 2) for k, t in enumerate(texts)] + [(3, 0, None, None), (3, 0, None, None), (4, 1, "we\nird\\", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("node", F.lit(0))
+    out = chat.format_trees(chat.chain(df)).select("tree", chat.read_turns(F.col("formatted")).alias("t"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()
+    got = {r["tree"]: r for r in out}
+    assert [(x["role"], x["text"]) for x in got[1]["t"]] == [(r, t) for c, _, r, t in rows if c == 1]
+    assert got[1]["loss"] == "".join(t for c, _, r, t in rows if c == 1 and r == "assistant")
+    assert [(x["role"], x["text"]) for x in got[3]["t"]] == [("", ""), ("", "")]
+    assert got[4]["t"][0]["role"] == "we\nird\\"
+    assert chat.format_trees(chat.chain(df.limit(0))).collect() == []
+
+
+def test_branches_are_ranked_and_enumerated(spark):
+    nodes = [("t", 1, None, 1.0), ("t", 2, 1, 5.0), ("t", 3, 1, 2.0), ("t", 4, 3, 9.0), ("t", 5, 2, None), ("t", 8, 9, 1.0), ("t", 9, 8, 1.0), ("u", 1, 77, 0.0)]
+    df = spark.createDataFrame(nodes, "tree string, node long, parent long, score double").where("parent is null or parent < 70").unionByName(spark.createDataFrame([("u", 1, None, 0.0)], "tree string, node long, parent long, score double"))
+    rows = chat.branches(df).collect()
+    paths = {}
+    for r in rows:
+        paths.setdefault((r["tree"], r["branch"], r["branch_score"]), []).append((-r["up"], r["node"]))
+    assert {k: [n for _, n in sorted(v)] for k, v in paths.items()} == {("t", 1, 12.0): [1, 3, 4], ("t", 2, 6.0): [1, 2, 5], ("u", 1, 0.0): [1]}
+    assert {r["leaf"] for r in chat.branches(df, keep=1).where("tree = 't'").collect()} == {4}
+
+
+# ---- 10 language ----------------------------------------------------------------------------------------------------
+
+
+def test_languages_are_told_apart(spark):
+    rng = random.Random(3)
+    words = {"aa": ["kolo", "lako", "oko", "kal"], "bb": ["sthe", "ther", "heth", "est"], "cc": ["ungen", "gnu", "nung", "eng"], "dd": ["çaê", "éça", "êéa", "aç"]}
+    docs = [(i, " ".join(rng.choice(words[x]) for _ in range(20)), x) for i, x in enumerate(sorted(words) * 40)]
+    df = spark.createDataFrame([*docs, (900, None, "aa"), (901, "123 !?", "bb"), (902, "", None), (902, "", None)], "doc_id long, text string, lang string")
+    model = langid.fit(df.where("doc_id % 4 <> 2 or lang = 'cc'"))
+    rows = {r["doc_id"]: r for r in langid.identify(df, model).collect()}
+    assert all(rows[i]["lang_pred"] == x and not rows[i]["ambiguous"] for i, _, x in docs)
+    assert all(rows[i]["lang_pred"] == "und" and rows[i]["score"] == 0 for i in (900, 901, 902))
+    assert langid.known_language(df, model).count() == len(docs)
+    empty = langid.fit(df.limit(0))
+    assert {r["lang_pred"] for r in langid.identify(df, empty).collect()} == {"und"}
+    for k in (2, 4, 7, 40):
+        code = langid.codewords(k)
+        assert len({tuple(c) for c in code}) == k
+
+
+# ---- pipeline -------------------------------------------------------------------------------------------------------
+
+
+def test_pipeline_stages_do_their_work(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghilmno") for _ in range(rng.randint(2, 6)))
+    passage = " ".join(word() for _ in range(30))
+    body = [" ".join(word() for _ in range(60)) for _ in range(12)]
+    docs = [(i, t, "en", "s", len(t)) for i, t in enumerate(body)]
+    docs += [(20, body[0], "en", "s", 1), (21, body[3] + " " + passage, "en", "s", 1), (22, None, "en", "s", 0), (23, "123", None, "s", 3), (24, body[5][:40] + " mail me at a.b@c.de", "en", "s", 1)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stage = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    columns, seen = stage.columns, []
+    for _, f in corpus_pipeline.STAGES[:-1]:
+        stage = f(spark, stage, str(tmp_path))
+        assert stage.columns == columns
+        seen.append({r["doc_id"] for r in stage.collect()})
+    everyone = {r[0] for r in docs}
+    assert seen == [everyone - {22, 23}, everyone - {20, 22, 23}, everyone - {20, 21, 22, 23}, everyone - {20, 21, 22, 23}]
+    texts = {r["doc_id"]: r for r in stage.collect()}
+    assert texts[24]["text"].endswith("mail me at <EMAIL>") and texts[24]["n_chars"] == len(texts[24]["text"]) and texts[1]["text"] == body[1]
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    assert {r["doc_id"] for r in packed.collect()} == seen[-1]
+
+
+def test_checksum_is_of_little_endian_ids():
+    ids = np.array([1, 70_000], dtype="<u4")
+    assert zlib.crc32(ids.tobytes()) == zlib.crc32(json.loads("[1, 0]")[0].to_bytes(4, "little") + (70_000).to_bytes(4, "little"))

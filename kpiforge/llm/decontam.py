@@ -46,23 +46,22 @@ def _blocks(radius: int) -> list[tuple[int, int]]:
 
 
 def simhash(shingles: Column, lane: int) -> Column:
-    """The fingerprint of an array of shingle hashes, repeats counted; lane: bits of a counter, 16 or 32.
+    """Counters of the fingerprint's bits over an array of shingle hashes, repeats counted; lane: bits of a counter.
 
-    Counters for BITS // lane... bits share a long: sum k counts bits k, k + lane, ... in lanes of their own.
+    Counters share longs: sum k counts the bits k, k + lane, k + 2 * lane, ... of the hashes in lanes of their own.
     """
-    mask = sum(1 << i for i in range(0, BITS, lane))
+    mask = F.lit(sum(1 << i for i in range(0, BITS, lane)))
 
-    def tally(k: int) -> Column:
-        return F.aggregate(shingles, F.lit(0).cast("long"), lambda acc, x: acc + F.shiftrightunsigned(x, k).bitwiseAND(F.lit(mask)))
+    def tally(k: Column) -> Column:
+        return F.aggregate(shingles, F.lit(0).cast("long"), lambda acc, x: acc + F.call_function("shiftrightunsigned", x, k).bitwiseAND(mask))
 
-    sums = [tally(k) for k in range(lane)]
-    return F.struct(*[s.alias(f"s{k}") for k, s in enumerate(sums)])
+    return F.transform(F.sequence(F.lit(0), F.lit(lane - 1)), tally)
 
 
 def _signs(sums: str, size: Column, lane: int) -> Column:
     bits = []
     for bit in range(BITS):
-        count = F.shiftrightunsigned(F.col(f"{sums}.s{bit % lane}"), bit // lane * lane).bitwiseAND(F.lit((1 << lane) - 1))
+        count = F.shiftrightunsigned(F.get(F.col(sums), F.lit(bit % lane)), bit // lane * lane).bitwiseAND(F.lit((1 << lane) - 1))
         one = F.lit((1 << bit) - (1 << BITS if bit == BITS - 1 else 0))
         bits.append(F.when(2 * count > size, one).otherwise(F.lit(0).cast("long")))
     return reduce(lambda a, b: a.bitwiseOR(b), bits)

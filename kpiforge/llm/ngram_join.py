@@ -33,6 +33,8 @@ BLOCK = 512
 #: Ids are broadcast up to so many; beyond, the same join shuffles.
 BROADCAST_IDS = 2_000_000
 TEXTS = 256
+#: Proposed pairs that a task holds before it hands them on.
+PAIRS = 1 << 20
 
 
 def bitmap_bits(n: int) -> int:
@@ -99,18 +101,30 @@ def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     )
 
 
+def _region(values: np.ndarray, percent: int) -> int:
+    """How many of a set's first shingles are counted at once: half as many again as a prefix has."""
+    return 3 * _prefix_size(len(values), percent) // 2
+
+
 def _frequent(sets: DataFrame, percent: int, at: int, limit: int) -> np.ndarray:
     """The first 48 bits of frequent shingles, ascending. At most limit, the most frequent, so it has a fixed size.
 
-    Counted over all sets are the shingles that may come into a prefix: half as many again as it would have in the
-    order of fingerprints. They only shape the order of shingles, and any order gives the same links.
+    Counted over all sets are the shingles that may come into a prefix: those of its region first, and then, of the
+    sets whose region has too few that are not frequent, all the others. They only shape the order of shingles, and
+    any order gives the same links.
     """
+    first = _counted(sets, percent, at, limit, None)
+    return np.union1d(first, _counted(sets, percent, at, limit, _Order(first, percent)))
+
+
+def _counted(sets: DataFrame, percent: int, at: int, limit: int, order: _Order | None) -> np.ndarray:
+    """Shingles in at or more of the regions; with an order, in the rest of those sets whose region is short in it."""
     parts = 1 << max(0, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
     shift = U64(64 - (parts.bit_length() - 1))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low = [x[: 3 * _prefix_size(len(x), percent) // 2] for x in _arrays(batch.column(0))]
+            low = [x[: _region(x, percent)] for x in _arrays(batch.column(0))] if order is None else [x[_region(x, percent) :] for x in _arrays(batch.column(0)) if order.short(x)]
             if sum(map(len, low)):
                 value = np.sort(np.concatenate(low))
                 cuts = np.searchsorted(value >> shift, np.arange(parts + 1).astype(U64)) if parts > 1 else np.array([0, len(value)])
@@ -144,13 +158,20 @@ class _Order:
     def prefix(self, values: np.ndarray) -> tuple[np.ndarray, bool]:
         """The rare part of the prefix, and whether the prefix has frequent shingles too."""
         size = _prefix_size(len(values), self.percent)
+        rare = values[self.is_rare(values)]
+        return rare[:size], len(rare) < size
+
+    def is_rare(self, values: np.ndarray) -> np.ndarray:
         if not len(self.frequent):
-            return values[:size], False
+            return np.ones(len(values), dtype=bool)
         short = values >> U64(16)
         at = np.searchsorted(self.frequent, short)
         at[at == len(self.frequent)] = 0
-        rare = values[self.frequent[at] != short]
-        return rare[:size], len(rare) < size
+        return self.frequent[at] != short
+
+    def short(self, values: np.ndarray) -> bool:
+        """Whether the prefix reaches beyond the region."""
+        return int(self.is_rare(values[: _region(values, self.percent)]).sum()) < _prefix_size(len(values), self.percent)
 
 
 class _Sets:
@@ -230,20 +251,20 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         keep = np.ones(len(key), dtype=bool)
         keep[1:] = (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])
         key, sid, n = key[keep], sid[keep], n[keep]
-        found, gap = [], 1
+        found, size, gap = [], 0, 1
         live = np.arange(len(key))
-        while len(live):  # pairs a step apart in a tile's order of size, then two steps, ...: up to the largest rare tile
+        while len(live) or found:  # pairs a step apart in a tile's order of size, then two steps, ...: as far as its largest tile goes
             live = live[live + gap < len(key)]
             live = live[(key[live] == key[live + gap]) & (100 * n[live] >= percent * n[live + gap])]
-            a, b = sid[live], sid[live + gap]
             if len(live):
-                found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0))
-            if len(found) > 16:
-                found = [np.unique(np.concatenate(found), axis=0)]
+                a, b = sid[live], sid[live + gap]
+                found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
+                size += len(live)
+            if found and (size >= PAIRS or not len(live)):
+                out = np.unique(np.concatenate(found), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(out[:, 0])), pa.array(np.ascontiguousarray(out[:, 1]))], names=["a", "b"])
+                found, size = [], 0
             gap += 1
-        if found:
-            out = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(out[:, 0])), pa.array(np.ascontiguousarray(out[:, 1]))], names=["a", "b"])
 
     some = sets.where("n > 0")
     met = some.select("sid", "n", "shingles").mapInArrow(members, "shingle bigint, sid bigint, n bigint")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import geometry, positions, shape, text
 from .models import longest_words, overlap_relevance
-from .operators import filters, joins, metrics, paragraphs, ranking, reshape, sampling
-from .plans import curation, inference
+from .operators import filters, joins, layout, metrics, paragraphs, ranking, reshape, sampling
+from .operators.rules import DescriptionRule, KpiRule
+from .plans import curation, inference, rule_based
 from .tables import KPIS, LINES_A_PAGE, annotations, kpis, lines, read
 from .tables import paragraphs as paragraph_table
 
@@ -184,9 +185,6 @@ def no_answer_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.no_answers(rows, ["pdf_name", "kpi"]).select("pdf_name", "kpi", F.round("score", 6).alias("score"))
 
 
-_CONTAIN = "SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains(d.text, b.text)"
-
-
 @query(f"WITH {LINE_SQL} SELECT pdf_name, item_id, para_idx FROM (SELECT l.pdf_name, b.item_id, l.para_idx, row_number() OVER (PARTITION BY l.pdf_name, b.item_id ORDER BY l.para_idx) AS k FROM lines l JOIN benchmark b ON contains(l.text, string_split(b.text, chr(10))[1])) WHERE k = 1")
 def first_containing_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first line of each report that contains the first line of a passage."""
@@ -555,3 +553,47 @@ def squad_curation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kpi_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: paragraphs, questions, relevance, answers, ranks and the joined result of nineteen columns."""
     return reshape.joined_result(None, inference.extract_answers(paragraph_table(spark, sf_dir), kpis(spark)))
+
+
+# ---- rules and layout -----------------------------------------------------------------------------------------------
+
+_RULE = DescriptionRule(".*(^| )(the|der|les?|las?)( |$).*", 1000.0, decay=0.8, hit_decay=0.9, half_life=20.0, free_letters=40)
+
+
+@query(rf"""WITH {LINE_SQL}, n AS (SELECT pdf_name, para_idx, regexp_matches(lower(text), '^.*(^| )(the|der|les?|las?)( |$)') AS hit, len(regexp_replace(text, '[^a-z ]', '', 'g')) AS l FROM lines),
+  h AS (SELECT *, sum(CAST(hit AS INT)) OVER (PARTITION BY pdf_name ORDER BY para_idx) - 1 AS k FROM n)
+  SELECT pdf_name, round(coalesce(sum(1000 * power(0.8, para_idx) * power(0.9, k) * power(power(0.5, 0.05), greatest(l - 40, 0))) FILTER (hit), 0), 6) AS score FROM h GROUP BY pdf_name""")
+def rule_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A description rule over the lines of each report, nearest first."""
+    docs = read(spark, sf_dir, "documents").where("text is not null")
+    return docs.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("pdf_name"), F.round(_RULE.match(F.split("text", "\n", -1))["score"], 6).alias("score"))
+
+
+_KPI_RULE = KpiRule(1.0, "shipments", (DescriptionRule(".*[of].*", 900.0),), numeric=True, minimum_score=100.0)
+
+
+@query()
+def rule_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule path over tables of order lines: direct and indirect years, best of each year, near the best."""
+    cells = _cells(spark, sf_dir)
+    direct = rule_based.direct_year_measures(cells, [_KPI_RULE], ["t"])
+    indirect = rule_based.indirect_year_measures(cells, [_KPI_RULE], ["t"], 2019)
+    both = direct.unionByName(indirect).withColumn("pos", F.struct("row", "col", "match_type")).withColumn("kpi_name", F.concat("kpi_name", F.lit(" "), F.col("t").cast("string")))
+    return rule_based.directory_measures(both, 100.0).select("kpi_name", "kpi_id", "year", "value", "score", "match_type", "row", "col")
+
+
+@query()
+def layout_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of the tables on pages made of order lines: a label and four numbers in a row, years above."""
+    li = read(spark, sf_dir, "lineitem").select(F.floor(F.col("l_orderkey") / 32).alias("doc"), "l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_discount", "l_returnflag")
+    order = Window.partitionBy("doc").orderBy("l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_discount", "l_returnflag")
+    li = li.withColumn("r", F.row_number().over(order))
+    texts = [F.concat(F.lit("line "), F.col("l_returnflag")), F.col("l_quantity").cast("string"), F.col("l_tax").cast("string"), F.col("l_discount").cast("string")]
+    word = lambda k, t, y: F.struct(F.lit(k).alias("k"), t.alias("txt"), F.lit(50.0 + 100 * k).alias("x0"), y.alias("y0"), (F.lit(50.0 + 100 * k) + 6 * F.length(t)).alias("x1"), (y + 10).alias("y1"))
+    body = li.select("doc", "r", F.explode(F.array(*[word(k, t, 100.0 + 20.0 * F.col("r")) for k, t in enumerate(texts)])).alias("w"))
+    head = li.select("doc").distinct().select("doc", F.lit(0).alias("r"), F.explode(F.array(*[word(k, F.lit(str(2017 + k)), F.lit(100.0)) for k in (1, 2, 3)])).alias("w"))
+    words = body.unionByName(head).select(
+        F.col("doc").cast("string").alias("doc"), F.lit(0).alias("page"), (F.col("r") * 10 + F.col("w.k")).cast("int").alias("item_id"), F.lit(0).alias("word_idx"), "w.txt", "w.x0", "w.y0", "w.x1", "w.y1",
+        F.lit("f1").alias("font"), F.lit(10).alias("font_size"), F.lit(False).alias("is_bold"), F.lit(0.0).alias("brightness"), F.lit(609.0).alias("page_width"), F.lit(8410.0).alias("page_height"),
+    )
+    return layout.table_cells(words).select("doc", "table_id", "row", "col", "txt", "role")

@@ -53,18 +53,22 @@ class DescriptionRule:
             more = self.worth(text) * F.pow(F.lit(self.decay), acc["i"].cast("double")) * F.pow(F.lit(self.hit_decay), acc["hits"].cast("double"))
             return F.struct((acc["score"] + F.when(hit, more).otherwise(0.0)).alias("score"), (acc["i"] + 1).alias("i"), (acc["hits"] + hit.cast("int")).alias("hits"))
 
-        walked = F.aggregate(nodes, start, step)
         whole = F.array_join(nodes, " ")
         as_one = self.hits(whole) if self.joined else F.lit(False)
-        best = F.greatest(F.when(as_one, self.worth(whole)).otherwise(0.0), walked["score"])
-        missed = F.lit(False)
-        if self.mode == MUST_INCLUDE:
-            missed = (walked["hits"] == 0) & ~as_one
-        elif self.mode == MUST_INCLUDE_EACH:
-            missed = (walked["hits"] < walked["i"]) & ~as_one
-        if self.mode == MUST_EXCLUDE:
-            return F.when(walked["hits"] > 0, F.struct(F.lit(False).alias("ok"), F.lit(-1.0).alias("score"))).otherwise(F.struct(F.lit(True).alias("ok"), best.alias("score")))
-        return F.when(missed, F.struct(F.lit(False).alias("ok"), F.lit(0.0).alias("score"))).otherwise(F.struct(F.lit(True).alias("ok"), best.alias("score")))
+        one_worth = F.when(as_one, self.worth(whole)).otherwise(0.0) if self.joined else F.lit(0.0)
+
+        def verdict(acc: Column) -> Column:
+            if self.mode == MUST_EXCLUDE:
+                failed, lost = acc["hits"] > 0, -1.0
+            elif self.mode == MUST_INCLUDE:
+                failed, lost = (acc["hits"] == 0) & ~as_one, 0.0
+            elif self.mode == MUST_INCLUDE_EACH:
+                failed, lost = (acc["hits"] < acc["i"]) & ~as_one, 0.0
+            else:
+                failed, lost = F.lit(False), 0.0
+            return F.struct((~failed).alias("ok"), F.when(failed, lost).otherwise(F.greatest(one_worth, acc["score"])).alias("score"))
+
+        return F.aggregate(nodes, start, step, verdict)
 
 
 @dataclass(frozen=True)
@@ -100,17 +104,22 @@ class KpiRule:
 
     def describe(self, nodes: Column) -> Column:
         """struct(ok, score): the sum of the description rules; not ok if one fails, none counts, or the sum is too small."""
-        found = F.array(*[r.match(nodes) for r in self.descriptions])
-        bad = F.exists(found, lambda m: ~m["ok"])
-        least = F.aggregate(found, F.lit(0.0), lambda acc, m: F.least(acc, F.when(m["ok"], 0.0).otherwise(m["score"])))
-        total = F.aggregate(found, F.lit(0.0), lambda acc, m: acc + m["score"])
         counted = [r.mode in (MAY_INCLUDE, MUST_INCLUDE, MUST_INCLUDE_EACH) and r.counts for r in self.descriptions]
-        some = F.lit(False)
-        for k, c in enumerate(counted):
-            if c:
-                some = some | (F.get(found, F.lit(k))["ok"] & (F.get(found, F.lit(k))["score"] > 0))
-        ok = ~bad & some & (total >= self.minimum_description) & (total > 0)
-        return F.struct(ok.alias("ok"), F.when(bad, least).when(~some, 0.0).otherwise(total).alias("score"))
+        found = F.array(*[F.struct(r.match(nodes).alias("m"), F.lit(c).alias("counts")) for r, c in zip(self.descriptions, counted)])
+        start = F.struct(F.lit(False).alias("bad"), F.lit(0.0).alias("least"), F.lit(False).alias("some"), F.lit(0.0).alias("total"))
+
+        def add(acc: Column, f: Column) -> Column:
+            ok, score = f["m"]["ok"], f["m"]["score"]
+            return F.struct(
+                (acc["bad"] | ~ok).alias("bad"), F.when(ok, acc["least"]).otherwise(F.least(acc["least"], score)).alias("least"),
+                (acc["some"] | (f["counts"] & ok & (score > 0))).alias("some"), (acc["total"] + score).alias("total"),
+            )
+
+        def verdict(acc: Column) -> Column:
+            ok = ~acc["bad"] & acc["some"] & (acc["total"] >= self.minimum_description) & (acc["total"] > 0)
+            return F.struct(ok.alias("ok"), F.when(acc["bad"], acc["least"]).when(~acc["some"], 0.0).otherwise(acc["total"]).alias("score"))
+
+        return F.aggregate(found, start, add, verdict)
 
     def unit_ok(self, unit: Column) -> Column:
         ok = F.lit(True)

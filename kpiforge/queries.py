@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from .functions import geometry, positions, shape, text
 from .models import longest_words, overlap_relevance
 from .operators import filters, joins, layout, metrics, paragraphs, ranking, reshape, sampling
-from .operators.rules import DescriptionRule, KpiRule
+from .operators.rules import DescriptionRule, KpiRule, describe_nodes
 from .plans import curation, inference, rule_based
+from .rules.catalogue import ACTIVE
 from .tables import KPIS, LINES_A_PAGE, annotations, kpis, lines, read
 from .tables import paragraphs as paragraph_table
 
@@ -569,6 +570,13 @@ def rule_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("pdf_name"), F.round(_RULE.match(F.split("text", "\n", -1))["score"], 6).alias("score"))
 
 
+@query()
+def rule_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All active KPI rules over the lines of each report: which of them it satisfies, and the score."""
+    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.split("text", "\n", -1).alias("nodes"))
+    return describe_nodes(docs, list(ACTIVE)).select("doc_id", "kpi_id", "kpi_name", F.round("desc_score", 6).alias("desc_score"))
+
+
 _KPI_RULE = KpiRule(1.0, "shipments", (DescriptionRule(".*[of].*", 900.0),), numeric=True, minimum_score=100.0)
 
 

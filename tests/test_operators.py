@@ -16,7 +16,8 @@ from kpiforge.functions import geometry, positions, shape, text
 from kpiforge.operators import filters, joins, layout, metrics, paragraphs, ranking, reshape, sampling
 from kpiforge.operators.rules import AnywhereRule, DescriptionRule, KpiRule, anywhere_scores
 from kpiforge.plans import rule_based
-from kpiforge.schemas import MUST_EXCLUDE, MUST_INCLUDE, WEIGHTED
+from kpiforge.rules.catalogue import ACTIVE
+from kpiforge.schemas import CAN_INCLUDE, MUST_EXCLUDE, MUST_INCLUDE, MUST_INCLUDE_EACH, WEIGHTED
 from kpiforge.sources import readers
 
 
@@ -95,6 +96,37 @@ def test_description_rule_matches_plain_python(spark):
         assert (m["ok"], m["score"]) == expected
 
 
+def _plain_rule(d, nodes):
+    low = nodes if d.case else [t.lower() for t in nodes]
+    worth = lambda t: d.score * d.letter_decay ** max(len(re.sub("[^a-z ]", "", t)) - d.free_letters, 0)
+    joined = " ".join(nodes)
+    one = d.joined and re.match(d.pattern, joined if d.case else joined.lower())
+    score, hits = 0.0, 0
+    for i, t in enumerate(low):
+        if re.match(d.pattern, t):
+            score += worth(nodes[i]) * d.decay**i * d.hit_decay**hits
+            hits += 1
+    if d.mode == MUST_EXCLUDE and hits:
+        return False, -1.0
+    if d.mode == MUST_INCLUDE_EACH and hits < len(nodes) and not one or d.mode == MUST_INCLUDE and not hits and not one:
+        return False, 0.0
+    return True, max(score, worth(joined) if one else 0.0)
+
+
+def test_the_catalogue_matches_plain_python(spark):
+    lists = [["Total proved and probable reserves", "Hydrocarbons"], ["Scope 1 direct GHG emissions", "Total"], ["oil production"], ["scope 2 indirect emissions (market based)"], ["nothing"], []]
+    df = spark.createDataFrame([(k, n) for k, n in enumerate(lists)], "k int, nodes array<string>")
+    for rule in ACTIVE:
+        got = {r["k"]: tuple(r["m"]) for r in df.select("k", rule.describe(F.col("nodes")).alias("m")).collect()}
+        for k, nodes in enumerate(lists):
+            found = [_plain_rule(d, nodes) for d in rule.descriptions]
+            bad = [s for ok, s in found if not ok]
+            some = any(ok and s > 0 and d.counts and d.mode not in (CAN_INCLUDE, MUST_EXCLUDE) for (ok, s), d in zip(found, rule.descriptions))
+            total = sum(s for _, s in found)
+            want = (False, min([0.0, *bad])) if bad else (False, 0.0) if not some else (total >= 250, total)
+            assert got[k][0] == want[0] and got[k][1] == pytest.approx(want[1], rel=1e-9), (rule.kpi_id, nodes)
+
+
 def test_anywhere_rule(spark):
     values = spark.createDataFrame([(1, 1, 0.0, 0.0, 100.0), (1, 2, 50.0, 50.0, 100.0), (2, 1, 0.0, 0.0, 100.0)], "page int, item_id int, x double, y double, page_diag double")
     texts = spark.createDataFrame([(1, "Tonnes of CO2", 10.0, 0.0), (1, "tonnes", 50.0, 50.0)], "page int, txt string, x double, y double")
@@ -235,3 +267,21 @@ def test_stream_runs_only_what_is_new(spark, tmp_path):
         (tmp_path / "in" / f"{name}.json").write_text(json.dumps({"0": ["x"] * (k + 1)}))
         run_on_new(spark, str(tmp_path / "in"), plan, out, str(tmp_path / "check")).awaitTermination()
     assert seen == [1, 1] and {r["pdf_name"]: r["n"] for r in spark.read.parquet(out).collect()} == {"a": 1, "b": 2}
+
+
+def test_command_line(spark, tmp_path):
+    from kpiforge import cli
+
+    (tmp_path / "json").mkdir()
+    (tmp_path / "json" / "rep.json").write_text(json.dumps({"0": ["What are the emissions of extraordinarily large plants"], "1": ["nothing"]}))
+    (tmp_path / "k.csv").write_text('kpi_id,question,sectors,add_year,kpi_category\n2.0,What are the emissions?,"OG, CM",TRUE,"TEXT, TABLE"\n')
+    args = ["--extractions", str(tmp_path / "json"), "--kpis", str(tmp_path / "k.csv"), "--out", str(tmp_path / "out")]
+    cli.main(["infer", *args])
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {r["ANSWER"] for r in rows} == {"extraordinarily", "emissions"} and {r["PDF_NAME"] for r in rows} == {"rep.pdf"}
+    cli.main(["infer", *args])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == len(rows)
+    (tmp_path / "ann").mkdir()
+    (tmp_path / "ann" / "a.csv").write_text('company,source_file,source_page,kpi_id,year,answer,data_type,relevant_paragraphs\nX,rep,[1],2.0,2019,5,TEXT,"[""one paragraph""]"\n')
+    cli.main(["curate", "--annotations", str(tmp_path / "ann"), "--extractions", str(tmp_path / "json"), "--kpis", str(tmp_path / "k.csv"), "--out", str(tmp_path / "train")])
+    assert [(r["context"], r["label"]) for r in spark.read.parquet(str(tmp_path / "train")).collect()] == [("one paragraph", 1)]

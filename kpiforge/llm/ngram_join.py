@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import table
+from .store import release, table
 from .text import U64, shingle_hashes, word_hashes
 
 WIDTH, PERCENT = 5, 80
@@ -282,9 +282,12 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             keep = [_sorted_overlap(x, y) >= least_overlap(len(x), len(y), percent) for x, y in zip(_arrays(batch.column(2)), _arrays(batch.column(3)))]
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
+    spent = [proposed]
+
     def with_both(of: DataFrame, columns: list[str]) -> DataFrame:
         ids = of.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
         mine = table(_semi(some.select("sid", *columns), ids, "sid").dropDuplicates(["sid"]), "mine")
+        spent.append(mine)
         out = of
         for side in "ab":
             out = out.join(mine.select(F.col("sid").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
@@ -292,18 +295,26 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     likely = table(with_both(proposed, ["n", "bitmap"]).mapInArrow(bounded, "a bigint, b bigint"), "likely")
     rare = with_both(likely, ["shingles"]).mapInArrow(verified, "a bigint, b bigint")
-    return table(rare.unionByName(_frequent_links(some, order, percent)), "links")
+    them = _frequent_ones(some, order)
+    out = table(rare.unionByName(_frequent_links(them, percent)), "links")
+    for old in (*spent, likely, them):
+        release(old)
+    return out
 
 
-def _frequent_links(some: DataFrame, order: _Order, percent: int) -> DataFrame:
-    """Links among classes whose prefix has frequent shingles: tiles of blocks in order of size."""
-    spark = some.sparkSession
+def _frequent_ones(some: DataFrame, order: _Order) -> DataFrame:
+    """The classes (sid, n, shingles) whose prefix has frequent shingles."""
 
     def frequent_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array([order.prefix(v)[1] for v in _arrays(batch.column(2))], pa.bool_()))
 
-    them = table(some.select("sid", "n", "shingles").mapInArrow(frequent_ones, "sid bigint, n bigint, shingles binary").dropDuplicates(["sid"]), "frequent")
+    return table(some.select("sid", "n", "shingles").mapInArrow(frequent_ones, "sid bigint, n bigint, shingles binary").dropDuplicates(["sid"]), "frequent")
+
+
+def _frequent_links(them: DataFrame, percent: int) -> DataFrame:
+    """Links among classes whose prefix has frequent shingles: tiles of blocks in order of size."""
+    spark = them.sparkSession
     sizes = them.groupBy("n").count().orderBy("n").toArrow().to_pydict()  # a row for each size of set
     if not sizes["n"]:
         return spark.createDataFrame([], "a bigint, b bigint")
@@ -339,6 +350,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     """
     sets = table(shingle_sets(docs, width), "sets", codec="none")
     found = links(sets, percent)
+    slim = table(sets.select("doc_id", "n", "sid"), "slim")
+    release(sets)
+    sets = slim
     least = sets.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"))
     least = table(least, "classes")
     ids = found

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from .functions import geometry, positions, shape, text
 from .models import longest_words, overlap_relevance
 from .operators import filters, joins, layout, metrics, paragraphs, ranking, reshape, sampling
-from .operators.rules import DescriptionRule, KpiRule, describe_nodes
+from .operators.rules import DescriptionRule, KpiRule
 from .plans import curation, inference, rule_based
-from .rules.catalogue import ACTIVE
 from .tables import KPIS, LINES_A_PAGE, annotations, kpis, lines, read
 from .tables import paragraphs as paragraph_table
 
@@ -570,13 +569,6 @@ def rule_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("pdf_name"), F.round(_RULE.match(F.split("text", "\n", -1))["score"], 6).alias("score"))
 
 
-@query()
-def rule_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All active KPI rules over the lines of each report: which of them it satisfies, and the score."""
-    docs = read(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.split("text", "\n", -1).alias("nodes"))
-    return describe_nodes(docs, list(ACTIVE)).select("doc_id", "kpi_id", "kpi_name", F.round("desc_score", 6).alias("desc_score"))
-
-
 _KPI_RULE = KpiRule(1.0, "shipments", (DescriptionRule(".*[of].*", 900.0),), numeric=True, minimum_score=100.0)
 
 
@@ -593,15 +585,15 @@ def rule_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def layout_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of the tables on pages made of order lines: a label and four numbers in a row, years above."""
-    li = read(spark, sf_dir, "lineitem").select(F.floor(F.col("l_orderkey") / 32).alias("doc"), "l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_discount", "l_returnflag")
+    li = read(spark, sf_dir, "lineitem").select(F.floor(F.col("l_orderkey") / 16).alias("doc"), "l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_discount", "l_returnflag")
     order = Window.partitionBy("doc").orderBy("l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_discount", "l_returnflag")
     li = li.withColumn("r", F.row_number().over(order))
     texts = [F.concat(F.lit("line "), F.col("l_returnflag")), F.col("l_quantity").cast("string"), F.col("l_tax").cast("string"), F.col("l_discount").cast("string")]
-    word = lambda k, t, y: F.struct(F.lit(k).alias("k"), t.alias("txt"), F.lit(50.0 + 100 * k).alias("x0"), y.alias("y0"), (F.lit(50.0 + 100 * k) + 6 * F.length(t)).alias("x1"), (y + 10).alias("y1"))
+    word = lambda k, t, y: F.struct(F.lit(k).alias("k"), t.alias("txt"), F.lit(50.0 + 100 * k).alias("x0"), y.alias("y0"), (F.lit(50.0 + 100 * k) + 6 * F.length(t)).alias("x1"), (y + 12).alias("y1"))
     body = li.select("doc", "r", F.explode(F.array(*[word(k, t, 100.0 + 20.0 * F.col("r")) for k, t in enumerate(texts)])).alias("w"))
     head = li.select("doc").distinct().select("doc", F.lit(0).alias("r"), F.explode(F.array(*[word(k, F.lit(str(2017 + k)), F.lit(100.0)) for k in (1, 2, 3)])).alias("w"))
     words = body.unionByName(head).select(
         F.col("doc").cast("string").alias("doc"), F.lit(0).alias("page"), (F.col("r") * 10 + F.col("w.k")).cast("int").alias("item_id"), F.lit(0).alias("word_idx"), "w.txt", "w.x0", "w.y0", "w.x1", "w.y1",
-        F.lit("f1").alias("font"), F.lit(10).alias("font_size"), F.lit(False).alias("is_bold"), F.lit(0.0).alias("brightness"), F.lit(609.0).alias("page_width"), F.lit(8410.0).alias("page_height"),
+        F.lit("f1").alias("font"), F.lit(10).alias("font_size"), F.lit(False).alias("is_bold"), F.lit(0.0).alias("brightness"), F.lit(609.0).alias("page_width"), F.lit(2600.0).alias("page_height"),
     )
     return layout.table_cells(words).select("doc", "table_id", "row", "col", "txt", "role")

@@ -1,7 +1,7 @@
 """Benchmark decontamination with DataFrame functions only.
 
 Every benchmark item of L words is held against windows of L words of each
-document. A window and an item have 64-bit SimHashes over their five-word
+document; a document of fewer words is one window as a whole. A window and an item have 64-bit SimHashes over their five-word
 shingles. The fingerprints are cut into blocks, and two of them within the
 radius must agree in one block up to one bit, so a join on (L, block, value)
 finds every pair within the radius. The exact weighted Jaccard similarity of
@@ -10,7 +10,8 @@ the shingle multisets then decides.
 Words are lower-cased runs of letters and digits. Before any fingerprint is
 made, windows that cannot reach the threshold are left out: intersection >=
 t * union >= t * size(window) needs that many of the window's shingles to be
-shingles of some benchmark item.
+shingles of some benchmark item. The same holds with the item's size, which a
+shorter document's shingles have to reach.
 """
 
 from __future__ import annotations
@@ -82,7 +83,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     """(doc_id, item_id, start, n_words, distance, similarity): each document and item with a window as similar as threshold.
 
     docs: (doc_id, text), benchmark: (item_id, text); other columns are not looked at. start: the word where the
-    best window begins, from 0; ties go to the first. distance: of the fingerprints. Null or empty texts and items
+    best window begins, from 0; ties go to the first. n_words: of the window, fewer than the item's if the document is
+    shorter. distance: of the fingerprints. Null or empty texts and items
     match nothing. An item of fewer than five words has its whole sequence as one shingle. Repeated item ids count as
     one each; repeated rows of docs give one row. The verification is exact; pairs of fingerprints further apart
     than radius are not candidates (about one in 2000 at a similarity of just 0.8, none for equal passages).
@@ -126,16 +128,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     first = F.col("at")
     last = F.get(F.col("hits"), F.col("k") + F.col("need") - 1)
     before = F.when(F.col("k") > 0, F.get(F.col("hits"), F.col("k") - 1) + 1).otherwise(F.lit(0))
-    run = F.col("n") - F.col("width")
+    # a document shorter than the item is its one window, from 0
+    words_of = F.least("n", "size")
+    run = words_of - F.col("width")
     windows = (
         near.join(F.broadcast(lengths), "width")
-        .where((F.col("size") >= F.col("n")) & (F.size("hits") >= F.col("need")))
+        .where(F.size("hits") >= F.col("need"))
         .select("*", F.posexplode("hits").alias("k", "at"))
         .withColumn("low", F.greatest(before, last - run))
-        .withColumn("high", F.least(first, F.col("size") - F.col("n")))
+        .withColumn("high", F.least(first, F.col("size") - words_of))
         .where(last.isNotNull() & (F.col("low") <= F.col("high")))
         .select("doc_id", "n", "width", "shingles", F.explode(F.sequence("low", "high")).alias("start"))
-        .select("doc_id", "n", "width", "start", F.slice("shingles", F.col("start") + 1, run + 1).alias("shingles"))
+        .select("doc_id", "n", "width", "start", F.slice("shingles", F.col("start") + 1, F.col("n") - F.col("width") + 1).alias("shingles"))
     )
     marked = windows.withColumn("sums", simhash(F.col("shingles"), lane)).withColumn("print", _signs("sums", F.size("shingles"), lane)).drop("sums")
 
@@ -167,7 +171,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         .join(near.select("doc_id", "width", "shingles"), ["doc_id", "width"])
         .withColumn("similarity", _similarity(F.slice("shingles", F.col("start") + 1, F.col("n") - F.col("width") + 1), F.col("item_shingles")))
     )
-    best = F.max_by(F.struct("start", "n", "distance", "similarity"), F.struct(F.col("similarity").alias("s"), (-F.col("start")).alias("t"), F.col("n").alias("u")))
+    best = F.max_by(F.struct("start", F.least("n", F.size("shingles") + F.col("width") - 1).alias("n"), "distance", "similarity"), F.struct(F.col("similarity").alias("s"), (-F.col("start")).alias("t"), F.col("n").alias("u")))
     return (
         checked.where(F.col("similarity") >= threshold)
         .groupBy("doc_id", "item_id").agg(best.alias("b"))

@@ -207,6 +207,36 @@ def test_decontamination_matches_brute_force(spark):
     assert decontam.clean(d, b).columns == d.columns
 
 
+def test_documents_shorter_than_an_item_match_brute_force(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 6)))
+    items = [(j, " ".join(word() for _ in range(n))) for j, n in enumerate([4, 5, 6, 9, 14, 14, 30, 59, 80])]
+    docs = []
+    for _, t in items:
+        w = t.split()
+        for less in range(len(w) // 4 + 2):
+            for cut in {(0, less), (less, 0), (less // 2, less - less // 2)}:
+                docs.append((len(docs), " ".join(w[cut[0] : len(w) - cut[1]])))
+        docs.append((len(docs), " ".join(["changed", *w[1:-2]])))
+    want = set()
+    for i, t in docs:
+        w = _norm(t)
+        for j, b in items:
+            q = _norm(b)
+            n, width = min(len(q), len(w)), min(5, len(q))
+            target = Counter(tuple(q[k : k + width]) for k in range(len(q) - width + 1))
+            for s in range(len(w) - n + 1):
+                own = Counter(tuple(w[k : k + width]) for k in range(s, s + n - width + 1))
+                both = sum((own & target).values())
+                if both / (sum(own.values()) + sum(target.values()) - both) >= 0.8:
+                    want.add((i, j, s, n, round(both / (sum(own.values()) + sum(target.values()) - both), 9)))
+                    break
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["start"], r["n_words"], round(r["similarity"], 9)) for r in decontam.contaminated(d, b).collect()}
+    assert got == want and any(n == 58 and x == round(54 / 55, 9) for _, _, _, n, x in want)
+    assert {r["doc_id"] for r in decontam.clean(d, b).collect()} == {i for i, _ in docs} - {i for i, *_ in want}
+
+
 # ---- 4 packing ------------------------------------------------------------------------------------------------------
 
 

@@ -88,15 +88,29 @@ class Model:
         return lang, np.where(known, share[np.arange(len(texts)), best], 0.0), ~known | (lead < MARGIN)
 
 
+def quota(sizes: list[int], total: int) -> int:
+    """The most that each group may take so that all take total, or everything; at least 1."""
+    left, most = total, max(sizes, default=1)
+    for k, n in enumerate(sorted(sizes)):
+        if n * (len(sizes) - k) > left:
+            return max(left // (len(sizes) - k), 1)
+        left -= n
+    return max(most, 1)
+
+
 def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """A model of docs (text, lang); rows with a null in either are left out. Every language counts alike.
 
-    Of more than train_rows labelled rows, about so many are taken, by hash of the text.
+    Of more than train_rows labelled rows, about so many are taken, by hash of the text: all rows of languages below
+    a quota, a share of the others'. Each language keeps at least the texts of its smallest hash.
     """
     known = docs.where("text is not null and lang is not null").select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    share = -(-docs.where("lang is not null").count() // train_rows)
-    if share > 1:
-        known = known.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
+    rows = known.groupBy("lang").agg(F.count("*").alias("n"), F.min(F.xxhash64("text")).alias("least")).collect()
+    most = quota([r["n"] for r in rows], train_rows)
+    shares = [(r["lang"], share, r["least"] % share) for r in rows if (share := -(-r["n"] // most)) > 1]
+    if shares:
+        shared = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share bigint, rest bigint"))
+        known = known.join(shared, "lang", "left").where(F.col("share").isNull() | (F.pmod(F.xxhash64("text"), "share") == F.col("rest"))).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

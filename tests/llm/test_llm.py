@@ -459,6 +459,16 @@ def test_languages_are_told_apart(spark):
 # ---- pipeline -------------------------------------------------------------------------------------------------------
 
 
+def test_rare_languages_are_learnt_from_a_sample(spark):
+    assert langid.quota([5, 100, 1000], 305) == 200 and langid.quota([5, 7], 12) == 7 and langid.quota([], 9) == 1 and langid.quota([3] * 9, 4) == 1
+    rare = {"xx": "zyq wyx qyz", "yy": "ooo uuu aaa"}
+    rows = [(f"the cat and the dog number {k}", "en") for k in range(3000)] + [(t, x) for x, t in rare.items() for _ in range(3)]
+    rows += [("jedan dva tri", "copies")] * 900 + [(None, "none"), ("no label", None)]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"), train_rows=60)
+    assert model.languages == ["copies", "en", "xx", "yy"]
+    assert model.predict([*rare.values(), "the dog and the cat", "jedan dva tri"])[0] == ["xx", "yy", "en", "copies"]
+
+
 def test_pipeline_stages_do_their_work(spark, tmp_path):
     import corpus_pipeline
 

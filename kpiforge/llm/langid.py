@@ -164,7 +164,10 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def known_language(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs, with all their columns, whose text has a language."""
+    """The rows of docs, with all their columns, whose text has a language: only texts without a letter have none.
+
+    A model without languages leaves out the same rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("string")
@@ -172,6 +175,8 @@ def known_language(docs: DataFrame, model: Model) -> DataFrame:
         import pandas as pd
 
         parts = [text.iloc[lo : lo + TEXTS].tolist() for lo in range(0, len(text), TEXTS)]
+        if not shared.value.languages:
+            return pd.Series(["" if has_letter(t) else UNDETERMINED for p in parts for t in p], dtype=object)
         return pd.Series([x for p in parts for x in shared.value.predict(p)[0]], dtype=object)
 
     return docs.where(language(F.col("text")) != UNDETERMINED)

@@ -469,6 +469,14 @@ def test_rare_languages_are_learnt_from_a_sample(spark):
     assert model.predict([*rare.values(), "the dog and the cat", "jedan dva tri"])[0] == ["xx", "yy", "en", "copies"]
 
 
+def test_letters_decide_where_no_language_was_learnt(spark):
+    rows = [(1, "clean words", None), (2, "123 !", None), (3, None, None), (4, "", None), (5, "é", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs)
+    assert model.languages == []
+    assert sorted(r["doc_id"] for r in langid.known_language(docs, model).collect()) == [1, 5]
+
+
 def test_pipeline_stages_do_their_work(spark, tmp_path):
     import corpus_pipeline
 

@@ -79,6 +79,11 @@ def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def _row_key() -> Column:
+    """Tells rows apart by doc_id, null included, and text."""
+    return F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, start, n_words, distance, similarity): each document and item with a window as similar as threshold.
 
@@ -86,43 +91,53 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     best window begins, from 0; ties go to the first. n_words: of the window, fewer than the item's if the document is
     shorter. distance: of the fingerprints. Null or empty texts and items
     match nothing. An item of fewer than five words has its whole sequence as one shingle. Repeated item ids count as
-    one each; repeated rows of docs give one row. The verification is exact; pairs of fingerprints further apart
+    one each; repeated rows of docs give one row, and so do different texts under one doc_id, each of them compared.
+    A null doc_id or item_id counts as an id. The verification is exact; pairs of fingerprints further apart
     than radius are not candidates (about one in 2000 at a similarity of just 0.8, none for equal passages).
     """
+    best = F.max_by(F.struct("start", "n", "distance", "similarity"), F.struct(F.col("similarity").alias("s"), (-F.col("start")).alias("t"), F.col("n").alias("u")))
+    return (
+        _matches(docs, benchmark, threshold, radius)
+        .groupBy("doc_id", "item_id").agg(best.alias("b"))
+        .select("doc_id", "item_id", F.col("b.start").alias("start"), F.col("b.n").alias("n_words"), F.col("b.distance").cast("int").alias("distance"), F.col("b.similarity").alias("similarity"))
+    )
+
+
+def _matches(docs: DataFrame, benchmark: DataFrame, threshold: float, radius: int) -> DataFrame:
+    """(row, doc_id, item_id, start, n, distance, similarity) of all windows as similar as threshold; row: _row_key()."""
     spark = docs.sparkSession
     items = benchmark.select("item_id", words(F.col("text")).alias("w")).where(F.size("w") > 0).distinct().withColumn("n", F.size("w")).withColumn("width", F.least("n", F.lit(WIDTH)))
     shingled = None
     for width in range(1, WIDTH + 1):
         shingled = F.when(F.col("width") == width, _shingles(F.col("w"), width)) if shingled is None else shingled.when(F.col("width") == width, _shingles(F.col("w"), width))
-    items = table(items.select("item_id", "n", "width", shingled.alias("item_shingles")), "items")
+    items = table(items.select(F.monotonically_increasing_id().alias("item"), "item_id", "n", "width", shingled.alias("item_shingles")), "items")
     known = items.agg(F.max("n"), F.sum(F.size("item_shingles")), F.count("*"), F.sort_array(F.collect_set("width"))).first()
     lane = 16 if (known[0] or 0) < 1 << 16 else 32
     widths = list(known[3])
-    schema = "doc_id bigint, item_id bigint, start int, n_words int, distance int, similarity double"
+    schema = "row bigint, doc_id bigint, item_id bigint, start int, n int, distance int, similarity double"
     if not widths:
         return spark.createDataFrame([], schema)
     lengths = items.select(F.col("n"), "width").distinct().withColumn("need", F.greatest(F.ceil(threshold * (F.col("n") - F.col("width") + 1)), F.lit(1)).cast("int"))
     least = lengths.groupBy("width").agg(F.min("need").alias("least"))
 
     # 1. positions of documents whose shingle any item has
-    texts = docs.select("doc_id", "text")
-    split = texts.select("doc_id", words(F.col("text")).alias("w"))
+    split = docs.select(_row_key().alias("row"), "doc_id", words(F.col("text")).alias("w"))
     keys = items.select("width", F.explode("item_shingles").alias("shingle")).distinct()
     hits = None
     for width in widths:
-        own = split.select("doc_id", F.posexplode(_shingles(F.col("w"), width)).alias("pos", "shingle"))
-        found = own.join(_maybe_broadcast(keys.where(F.col("width") == width).select("shingle"), known[1]), "shingle", "left_semi").select("doc_id", F.lit(width).alias("width"), "pos")
+        own = split.select("row", F.posexplode(_shingles(F.col("w"), width)).alias("pos", "shingle"))
+        found = own.join(_maybe_broadcast(keys.where(F.col("width") == width).select("shingle"), known[1]), "shingle", "left_semi").select("row", F.lit(width).alias("width"), "pos")
         hits = found if hits is None else hits.unionByName(found)
-    grouped = hits.distinct().groupBy("doc_id", "width").agg(F.sort_array(F.collect_list("pos")).alias("hits"))
+    grouped = hits.distinct().groupBy("row", "width").agg(F.sort_array(F.collect_list("pos")).alias("hits"))
     grouped = table(grouped.join(F.broadcast(least), "width").where(F.size("hits") >= F.col("least")).drop("least"), "hits")
 
     # 2. their windows of each item's size that hold enough of such positions
     rows = grouped.count()
-    mine = split.join(_maybe_broadcast(grouped.select("doc_id").distinct(), 20 * rows), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    mine = split.join(_maybe_broadcast(grouped.select("row").distinct(), 20 * rows), "row", "left_semi").dropDuplicates(["row"])
     near = None
     for width in widths:
-        one = mine.select("doc_id", F.size("w").alias("size"), _shingles(F.col("w"), width).alias("shingles"))
-        one = one.join(grouped.where(F.col("width") == width), "doc_id")
+        one = mine.select("row", "doc_id", F.size("w").alias("size"), _shingles(F.col("w"), width).alias("shingles"))
+        one = one.join(grouped.where(F.col("width") == width), "row")
         near = one if near is None else near.unionByName(one)
     near = table(near, "near")
     first = F.col("at")
@@ -138,8 +153,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         .withColumn("low", F.greatest(before, last - run))
         .withColumn("high", F.least(first, F.col("size") - words_of))
         .where(last.isNotNull() & (F.col("low") <= F.col("high")))
-        .select("doc_id", "n", "width", "shingles", F.explode(F.sequence("low", "high")).alias("start"))
-        .select("doc_id", "n", "width", "start", F.slice("shingles", F.col("start") + 1, F.col("n") - F.col("width") + 1).alias("shingles"))
+        .select("row", "n", "width", "shingles", F.explode(F.sequence("low", "high")).alias("start"))
+        .select("row", "n", "width", "start", F.slice("shingles", F.col("start") + 1, F.col("n") - F.col("width") + 1).alias("shingles"))
     )
     marked = windows.withColumn("sums", simhash(F.col("shingles"), lane)).withColumn("print", _signs("sums", F.size("shingles"), lane)).drop("sums")
 
@@ -152,33 +167,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
         for b, (shift, bits) in enumerate(blocks)
         for flip in [0, *(1 << i for i in range(bits))]
     ]
-    index = printed.select("item_id", "n", "item_print", F.explode(F.array(*values)).alias("v")).select("item_id", "n", "item_print", "v.block", "v.value")
+    index = printed.select("item", "n", "item_print", F.explode(F.array(*values)).alias("v")).select("item", "n", "item_print", "v.block", "v.value")
     probes = F.array(*[F.struct(F.lit(b).alias("block"), part(F.col("print"), shift, bits).alias("value")) for b, (shift, bits) in enumerate(blocks)])
     distance = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
-    probed = marked.select("doc_id", "n", "start", "print", F.explode(probes).alias("v")).select("doc_id", "n", "start", "print", "v.block", "v.value")
+    probed = marked.select("row", "n", "start", "print", F.explode(probes).alias("v")).select("row", "n", "start", "print", "v.block", "v.value")
     pairs = (
         probed.join(_maybe_broadcast(index, known[2] * len(values)), ["n", "block", "value"])
         .withColumn("distance", distance)
         .where(F.col("distance") <= radius)
-        .select("doc_id", "n", "start", "item_id", "distance")
+        .select("row", "n", "start", "item", "distance")
         .distinct()
     )
 
     # 4. exact similarity of what the blocks proposed
     pairs = table(pairs, "pairs")
     checked = (
-        pairs.join(_maybe_broadcast(items.select("item_id", "n", "width", "item_shingles"), known[1]), ["item_id", "n"])
-        .join(near.select("doc_id", "width", "shingles"), ["doc_id", "width"])
+        pairs.join(_maybe_broadcast(items.select("item", "item_id", "n", "width", "item_shingles"), known[1]), ["item", "n"])
+        .join(near.select("row", "doc_id", "width", "shingles"), ["row", "width"])
         .withColumn("similarity", _similarity(F.slice("shingles", F.col("start") + 1, F.col("n") - F.col("width") + 1), F.col("item_shingles")))
     )
-    best = F.max_by(F.struct("start", F.least("n", F.size("shingles") + F.col("width") - 1).alias("n"), "distance", "similarity"), F.struct(F.col("similarity").alias("s"), (-F.col("start")).alias("t"), F.col("n").alias("u")))
-    return (
-        checked.where(F.col("similarity") >= threshold)
-        .groupBy("doc_id", "item_id").agg(best.alias("b"))
-        .select("doc_id", "item_id", F.col("b.start").alias("start"), F.col("b.n").alias("n_words"), F.col("b.distance").cast("int").alias("distance"), F.col("b.similarity").alias("similarity"))
-    )
+    used = F.least("n", F.size("shingles") + F.col("width") - 1).alias("n")
+    return checked.where(F.col("similarity") >= threshold).select("row", "doc_id", "item_id", "start", used, "distance", "similarity")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, without any benchmark passage."""
-    return docs.join(contaminated(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """The rows of docs, with all their columns and a null doc_id or not, whose text has no benchmark passage."""
+    found = _matches(docs, benchmark, THRESHOLD, RADIUS).select(F.col("row").alias("found_row")).distinct()
+    return docs.join(found, _row_key() == F.col("found_row"), "left_anti").select(docs.columns)

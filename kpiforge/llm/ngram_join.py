@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -76,10 +76,15 @@ def _arrays(column: pa.Array) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), dtype=U64) if x.is_valid and len(x.as_buffer()) else np.empty(0, dtype=U64) for x in column]
 
 
+def text_key(text: Column) -> Column:
+    """Tells texts under one doc_id apart."""
+    return F.xxhash64(text.cast("string"))
+
+
 def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, n, sid, shingles, bitmap) for each row of docs (doc_id, text): its set, sorted, and the set's id.
+    """(doc_id, n, sid, shingles, bitmap, key) for each row of docs (doc_id, text): its set, sorted, and the set's id.
 
-    sid is a 64-bit fingerprint of the set, 0 for the empty one (null, empty or blank text); shingles are
+    key is text_key() of the text; sid is a 64-bit fingerprint of the set, 0 for the empty one (null, empty or blank text); shingles are
     little-endian 64-bit fingerprints.
     """
 
@@ -92,12 +97,12 @@ def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 raw = [s.tobytes() for s in sets]
                 sid = [int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little", signed=True) if r else 0 for r in raw]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sid, pa.int64()), pa.array(raw, pa.binary()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary())],
-                    names=["doc_id", "n", "sid", "shingles", "bitmap"],
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sid, pa.int64()), pa.array(raw, pa.binary()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary()), part.column(2)],
+                    names=["doc_id", "n", "sid", "shingles", "bitmap", "key"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        make, "doc_id bigint, n bigint, sid bigint, shingles binary, bitmap binary"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key(F.col("text")).alias("key")).mapInArrow(
+        make, "doc_id bigint, n bigint, sid bigint, shingles binary, bitmap binary, key bigint"
     )
 
 
@@ -342,29 +347,53 @@ def _frequent_links(them: DataFrame, percent: int) -> DataFrame:
     return placed.groupBy("i", "j").applyInArrow(tile, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of docs (doc_id, text); other columns are not looked at.
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """(doc_id, key, n, top) for each row of docs: top (none, rep, sid) stands for its component and is null without words.
 
-    component_id is the smallest doc_id that links reach. Texts without words (null, empty, blank) have no
-    shingles and are components of their own. Repeated doc_ids give repeated rows. No rows give no rows.
+    rep is the component's smallest doc_id, none whether all are null.
     """
     sets = table(shingle_sets(docs, width), "sets", codec="none")
     found = links(sets, percent)
-    slim = table(sets.select("doc_id", "n", "sid"), "slim")
+    slim = table(sets.select("doc_id", "key", "n", "sid"), "slim")
     release(sets)
     sets = slim
+    # nodes are in order of their classes' smallest doc_id, null last, and differ where classes share it
     least = sets.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep"))
-    least = table(least, "classes")
+    node = F.struct(F.col("rep").isNull().alias("none"), F.coalesce("rep", F.lit(0).cast("long")).alias("rep"), F.col("sid").alias("sid"))
+    least = table(least.select("sid", node.alias("node")), "classes")
     ids = found
     for side in "ab":
-        ids = ids.join(least.select(F.col("sid").alias(side), F.col("rep").alias(f"r{side}")), side)
+        ids = ids.join(least.select(F.col("sid").alias(side), F.col("node").alias(f"r{side}")), side)
     groups = table(components(ids.select(F.col("ra").alias("a"), F.col("rb").alias("b"))), "groups")
-    named = least.join(groups, least.rep == groups.node, "left").select("sid", F.coalesce("component", "rep").alias("component_id"))
-    full = sets.where("n > 0").select("doc_id", "n", "sid").join(named, "sid").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return full.unionByName(sets.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    linked = groups.select(F.col("node.sid").alias("sid"), "component")
+    named = least.join(linked, "sid", "left").select("sid", F.coalesce("component", "node").alias("top"))
+    full = sets.where("n > 0").join(named, "sid").select("doc_id", "key", "n", "top")
+    return full.unionByName(sets.where("n = 0").select("doc_id", "key", "n"), allowMissingColumns=True)
+
+
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for each row of docs (doc_id, text); other columns are not looked at.
+
+    component_id is the smallest doc_id that links reach. Texts without words (null, empty, blank) have no
+    shingles and are components of their own. Repeated doc_ids give repeated rows; different texts under one are
+    joined by links only. Rows with a null doc_id take part; component_id is null where no doc_id is reached. No
+    rows give no rows.
+    """
+    smallest = F.when(F.col("n") == 0, F.col("doc_id")).when(~F.col("top.none"), F.col("top.rep"))
+    return _grouped(docs, width, percent).select("doc_id", F.col("n").alias("n_shingles"), smallest.alias("component_id"))
 
 
 def first_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs, with all their columns, that are the smallest doc_id of their component (repeats: one row)."""
-    kept = near_duplicates(docs, width, percent).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """The rows of docs, with all their columns, that have the smallest doc_id of their component, one of each.
+
+    A component with null doc_ids only keeps one of these. Different texts under one doc_id are documents of their
+    own; equal ones are one row. Rows without words stay, those with both doc_id and text equal as one row unless
+    doc_id is null.
+    """
+    rows = table(_grouped(docs, width, percent), "grouped")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("f")
+    with_words = rows.where("n > 0").groupBy("top").agg(first).select("f.doc_id", "f.key", F.lit(False).alias("own"))
+    kept = with_words.unionByName(rows.where("n = 0").select("doc_id", "key", F.col("doc_id").isNull().alias("own")).distinct())
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("key").alias("kept_key"), F.col("own").alias("kept_own"))
+    mine = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("kept_id")) & (text_key(docs["text"]) == F.col("kept_key")))
+    return mine.withColumn("kept_own", F.when(F.col("kept_own"), F.monotonically_increasing_id())).dropDuplicates(["kept_id", "kept_key", "kept_own"]).select(docs.columns)

@@ -237,6 +237,14 @@ def test_documents_shorter_than_an_item_match_brute_force(spark):
     assert {r["doc_id"] for r in decontam.clean(d, b).collect()} == {i for i, _ in docs} - {i for i, *_ in want}
 
 
+def test_decontamination_of_null_and_repeated_ids(spark):
+    passage, other = (" ".join(f"{a}{k}" for k in range(30)) for a in "pq")
+    docs = [(None, f"so {passage}"), (None, "clean"), (1, other), (1, "clean too"), (1, f"{passage} end"), (2, None), (0, "clean"), (None, None)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(None, passage), (7, other)], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(d, b).collect()} == {(None, None), (1, None), (1, 7)}
+    assert Counter(map(tuple, decontam.clean(d, b).collect())) == Counter([docs[1], docs[3], docs[5], docs[6], docs[7]])
+
+
 # ---- 4 packing ------------------------------------------------------------------------------------------------------
 
 
@@ -377,6 +385,18 @@ def test_ngram_join_on_empty_and_repeated_rows(spark):
     assert len(rows) == len(ODD)
 
 
+def test_ngram_join_on_null_ids_and_different_texts_under_one(spark):
+    one, two, three = (" ".join(f"{a}{k}" for k in range(40)) for a in "xyz")
+    start, end = "c0 c1 c2".split(), "e0 e1 e2".split()
+    bridge = [" ".join([*start, *one.split()[3:]]), " ".join([*start, *one.split()[3:-3], *end])]  # the first links to one and the second, which do not link
+    rows = [(4, one), (None, bridge[0]), (3, bridge[1]), (5, two), (5, three), (5, three), (9, two), (None, "n n n n n n"), (None, "n n n n n n"), (None, ""), (None, ""), (8, " "), (8, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicates(docs).collect())
+    assert got == Counter([(4, 36, 3), (None, 36, 3), (3, 36, 3), (5, 36, 5), (5, 36, 5), (5, 36, 5), (9, 36, 5), (None, 1, None), (None, 1, None), (None, 0, None), (None, 0, None), (8, 0, 8), (8, 0, 8)])
+    kept = Counter(map(tuple, ngram_join.first_of_each(docs).collect()))
+    assert kept == Counter([(3, bridge[1]), (5, two), (5, three), (None, "n n n n n n"), (None, ""), (None, ""), (8, " ")])
+
+
 def test_overlap_bound_is_a_bound():
     rng = np.random.default_rng(2)
     for _ in range(200):

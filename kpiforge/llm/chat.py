@@ -42,7 +42,8 @@ def _unescape_role(role: Column) -> Column:
 def chain(conversations: DataFrame) -> DataFrame:
     """The reply tree of plain conversations (conv_id, turn, role, text): each row answers the row before it.
 
-    Rows go by turn, then role and text, nulls first; repeated rows stay and follow each other.
+    Rows go by turn, then role and text, nulls first; repeated rows stay and follow each other. The rows of a null
+    conv_id are one conversation.
     """
     order = Window.partitionBy("tree").orderBy("turn", "role", "text")
     rows = conversations.select(F.col("conv_id").alias("tree"), "turn", "role", "text")
@@ -77,8 +78,22 @@ def branches(messages: DataFrame, keep: int | None = None) -> DataFrame:
     messages: (tree, node, parent, score); node is unique in its tree. A branch's score is the sum of its messages'
     scores (null: 0); branch numbers rank a tree's leaves by score, ties to the smaller leaf. keep: how many
     branches of a tree to return, None for all. A parent that is null or missing makes a root. Messages that only
-    reach a cycle belong to no root and are left out.
+    reach a cycle belong to no root and are left out. A null tree counts as one tree.
     """
+    return _unkeyed(_branches(_keyed(messages), keep))
+
+
+def _keyed(messages: DataFrame) -> DataFrame:
+    """messages with a struct in place of tree, which is not null where tree is and then equals itself in joins."""
+    return messages.withColumn("tree", F.struct(F.col("tree").isNull().alias("none"), F.col("tree").alias("id")))
+
+
+def _unkeyed(df: DataFrame) -> DataFrame:
+    return df.withColumn("tree", F.col("tree.id"))
+
+
+def _branches(messages: DataFrame, keep: int | None) -> DataFrame:
+    """branches() of trees that are not null."""
     nodes = messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     ups = _ancestors(nodes)
     inner = ups[0].select("tree", F.col("above").alias("node")).distinct()
@@ -105,9 +120,10 @@ def format_trees(messages: DataFrame, keep: int | None = None, loss_role: str =
 
     messages: (tree, node, parent, role, text, score); other columns are not looked at. Null role or text: empty.
     loss_spans: code points [start, end) of formatted that hold the text of loss_role's messages, in order.
-    No messages give no rows.
+    No messages give no rows. A null tree counts as one tree.
     """
-    paths = branches(messages, keep)
+    messages = _keyed(messages)
+    paths = _branches(messages, keep)
     said = messages.select("tree", "node", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     head = F.concat(F.lit(START), _escape_role(F.col("role")), F.lit("\n"))
     whole = Window.partitionBy("tree", "leaf").orderBy(F.desc("up"))
@@ -119,7 +135,7 @@ def format_trees(messages: DataFrame, keep: int | None = None, loss_role: str =
     )
     span = F.struct(F.col("start").alias("start"), (F.col("start") + F.length("body")).alias("end"))
     piece = F.struct((-F.col("up")).alias("pos"), F.concat("head", "body", F.lit(END)).alias("piece"), F.when(F.col("role") == loss_role, span).alias("span"))
-    return (
+    return _unkeyed(
         turns.groupBy("tree", "leaf")
         .agg(F.first("branch").alias("branch"), F.first("branch_score").alias("branch_score"), F.sort_array(F.collect_list(piece)).alias("pieces"))
         .select(

@@ -445,6 +445,15 @@ def test_chat_round_trip_with_control_strings(spark):
     assert chat.format_trees(chat.chain(df.limit(0))).collect() == []
 
 
+def test_rows_of_a_null_conversation_are_one_conversation(spark):
+    rows = [(None, 1, "assistant", "b"), (None, 0, "user", "a"), (0, 0, "user", "zero"), (0, 1, "assistant", "one"), (None, 2, "user", "c")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = chat.format_trees(chat.chain(df)).select("tree", "n_turns", chat.read_turns(F.col("formatted")).alias("t")).collect()
+    assert {r["tree"]: (r["n_turns"], [x["text"] for x in r["t"]]) for r in out} == {None: (3, ["a", "b", "c"]), 0: (2, ["zero", "one"])} and len(out) == 2
+    paths = chat.branches(chat.chain(df)).collect()
+    assert sorted((r["tree"] is None, r["leaf"], r["node"]) for r in paths) == [(False, 2, 1), (False, 2, 2), (True, 3, 1), (True, 3, 2), (True, 3, 3)]
+
+
 def test_branches_are_ranked_and_enumerated(spark):
     nodes = [("t", 1, None, 1.0), ("t", 2, 1, 5.0), ("t", 3, 1, 2.0), ("t", 4, 3, 9.0), ("t", 5, 2, None), ("t", 8, 9, 1.0), ("t", 9, 8, 1.0), ("u", 1, 77, 0.0)]
     df = spark.createDataFrame(nodes, "tree string, node long, parent long, score double").where("parent is null or parent < 70").unionByName(spark.createDataFrame([("u", 1, None, 0.0)], "tree string, node long, parent long, score double"))

@@ -97,8 +97,30 @@ _SOME_DIGIT = re.compile("[0-9]")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 
 
+def _iban_end(text: str, start: int, end: int) -> int | None:
+    """The last end at which the match holds as an IBAN: its own or, as a word or number may follow, that before a space."""
+    while end > start:
+        if _iban(text[start:end]):
+            return end
+        end = text.rfind(" ", start, end)
+    return None
+
+
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans that hold. The next is looked for behind one, and behind the first group of a match that has none."""
+    at = 0
+    while m := _COMPILED["iban"].search(text, at):
+        end = _iban_end(text, *m.span())
+        if end is not None:
+            yield m.start(), end
+        at = end or max(text.find(" ", m.start(), m.end()), 0) or m.end()
+
+
 def _proposed(kind: str, text: str) -> Iterator[tuple[int, int]]:
-    """Leftmost matches that do not overlap. An email is looked for from each @, which no other part of it holds."""
+    """Leftmost matches that do not overlap; of iban, those that hold. An email is looked for from each @, which no other part of it holds."""
+    if kind == "iban":
+        yield from _ibans(text)
+        return
     if kind != "email":
         yield from (m.span() for m in _COMPILED[kind].finditer(text))
         return

@@ -153,6 +153,21 @@ def test_checksums_and_context():
     assert pii.find(long) == pii.find(long)
 
 
+@pytest.mark.parametrize("tail", ["", " BIC", " EUR 500", " 2024", " 2024 BIC", " ABCD EFGH 12", " NL91 ABNA", " is"])
+@pytest.mark.parametrize("iban", ["AT611904300234573201", "AT61 1904 3002 3457 3201", "NO93 8601 1117 947", "NL91ABNA0417164300"])
+def test_an_iban_ends_before_what_follows(iban, tail):
+    t = f"to {iban}{tail} and {iban}{tail}"
+    found = [(s.start, s.end) for s in pii.find(t) if s.kind == "iban"]
+    assert found == [(3, 3 + len(iban)), (3 + len(iban + tail) + 5, 3 + 2 * len(iban) + len(tail) + 5)]
+    assert pii.redacted(t) == f"to <IBAN>{tail} and <IBAN>{tail}"
+
+
+def test_ibans_in_a_row_and_behind_what_looks_like_one():
+    one, two = "AT611904300234573201", "NL91ABNA0417164300"
+    assert pii.redacted(f"{one} {two}") == "<IBAN> <IBAN>" == pii.redacted("AT61 1904 3002 3457 3201 NL91 ABNA 0417 1643 00")
+    assert pii.redacted(f"XX12 {one}") == "XX12 <IBAN>" and pii.redacted(f"XX12ABCD {two} EUR") == "XX12ABCD <IBAN> EUR"
+
+
 def test_pii_on_odd_rows(spark):
     docs = spark.createDataFrame(ODD, ODD_SCHEMA)
     assert pii.spans(docs).count() == len(ODD)

@@ -43,7 +43,7 @@ STAGES = [
     ("best_fit_packing", packed),
 ]
 
-#: Trained classifiers and tokenizers are not SQL; tests hold the stages against brute force.
+#: Trained classifiers and tokenizers are not SQL; a test holds the whole against brute force on a small fixture with near copies.
 ORACLE_SQL: str | None = None
 
 

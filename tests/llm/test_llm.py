@@ -546,6 +546,34 @@ def test_pipeline_stages_do_their_work(spark, tmp_path):
     assert {r["doc_id"] for r in packed.collect()} == seen[-1]
 
 
+def test_pipeline_matches_brute_force(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("pqrstuvwxyz") for _ in range(rng.randint(3, 6)))
+    items = [(j, " ".join(word() for _ in range(40))) for j in range(3)]
+    docs = _documents(90, 21) + [(200 + k, f"{word()} {word()} {t} {word()}") for k, (_, t) in enumerate(items)] + [(300, " ".join(items[0][1].split()[:-2]))]
+    docs += [(400 + k, " ".join(word() for _ in range(30)) + f" mail me{k}@b.de or NL91ABNA0417164300 EUR") for k in range(4)] + [(500, None), (501, "12 !"), (502, "")]
+    spark.createDataFrame([(i, t, "en" if i % 3 else "fr") for i, t in docs], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
+
+    lettered = [(i, t) for i, t in docs if t and re.search("[^\\W\\d_]", t)]
+    first = {c for _, c in _brute_components(lettered).values()}
+    left = [(i, t) for i, t in lettered if i in first]
+    bad = {i for i, _ in _brute_decontamination(left, items)} | {300}  # 34 of the item's 36 shingles
+    plain = lambda t: re.sub(r"NL91ABNA0417164300", "<IBAN>", re.sub(r"me[0-9]@b\.de", "<EMAIL>", t))
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    want = {i: tokenizer.encode(plain(t), add_special_tokens=False).ids for i, t in left if i not in bad}
+    assert len(left) < len(lettered) - 20 and len(bad) == 4 and len(want) > 10
+    got = {i: np.concatenate([np.frombuffer(x, "<u4") for x in g.sort_values("piece").ids]).tolist() for i, g in rows.groupby("doc_id")}
+    assert set(got) == set(want)
+    ends = {tuple(got[i][len(want[i]) :]) for i in want}
+    assert all(got[i][: len(want[i])] == want[i] for i in want) and len(ends) == 1 and len(ends.pop()) <= 1  # and at most one end mark
+
+
 def test_checksum_is_of_little_endian_ids():
     ids = np.array([1, 70_000], dtype="<u4")
     assert zlib.crc32(ids.tobytes()) == zlib.crc32(json.loads("[1, 0]")[0].to_bytes(4, "little") + (70_000).to_bytes(4, "little"))

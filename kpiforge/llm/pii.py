@@ -1,13 +1,19 @@
-"""Personal data: patterns propose spans, checksums confirm them, and words nearby move a score.
-
-Base kinds are email, ip, card and phone; iban (mod 97) and national_id, which
-counts only if words nearby speak for it, come on top. Every span has a score
-from its kind, its validator and its context.
+"""Personal data and secrets: patterns propose spans, checksums confirm them, and words nearby move a score.
+
+Base kinds are email, ip, card and phone. On top come iban (mod 97), wallet
+(base58 with its four check bytes), national_id and secret: keys of known
+forms, and values that are assigned to a name. Every span has a score from its
+kind, its validator and the whole words near it; of the kinds beyond the base
+those below THRESHOLD are left out, so a number in the form of a national_id or
+a random value counts only if its neighbours speak for it.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -17,7 +23,7 @@ from pyspark.sql import functions as F
 
 TEXTS, NEAR = 512, 48
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban", "national_id")
+KINDS = (*BASE_KINDS, "iban", "national_id", "wallet", "secret")
 
 
 class Span(NamedTuple):
@@ -62,6 +68,33 @@ def _iban(text: str) -> bool:
     return 15 <= len(plain) <= 34 and mod97(plain)
 
 
+#: The digits of base 58.
+_BASE58 = {c: i for i, c in enumerate("123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz")}
+
+
+def base58check(text: str) -> bool:
+    """Whether the last four of 25 bytes in base 58 are the check bytes of the others."""
+    if any(c not in _BASE58 for c in text):
+        return False
+    value = 0
+    for c in text:
+        value = 58 * value + _BASE58[c]
+    if value.bit_length() > 200:
+        return False
+    raw = value.to_bytes(25, "big")
+    return hashlib.sha256(hashlib.sha256(raw[:21]).digest()).digest()[:4] == raw[21:]
+
+
+def entropy(text: str) -> float:
+    """Bits a character, by the text's own characters."""
+    return -sum(c / len(text) * math.log2(c / len(text)) for c in Counter(text).values())
+
+
+def _secret(text: str) -> bool:
+    """Random enough for a key: a digit, a letter and three bits a character or more."""
+    return any(c.isdigit() for c in text) and any(c.isalpha() for c in text) and entropy(text) >= 3
+
+
 #: The kinds' patterns. That of ip begins at a run's first digit and never gives digits back, which
 #: matches the same as [0-9]+(\.[0-9]+)(\.[0-9]+)(\\.[0-9]+), in a time that is linear in the text.
 _PATTERNS = {
@@ -71,6 +104,9 @@ _PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "wallet": r"(?<![A-Za-z0-9])[13][1-9A-HJ-NP-Za-km-z]{25,33}(?![A-Za-z0-9])",
+    "secret": r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)(?![A-Za-z0-9])"
+    r"""|(?<=[=:\x20"'])(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_-])""",
 }
 _VALID: dict[str, Callable[[str], bool]] = {
     "email": lambda t: True,
@@ -79,9 +115,11 @@ _VALID: dict[str, Callable[[str], bool]] = {
     "phone": lambda t: 10 <= len(_digits(t)) <= 15,
     "iban": _iban,
     "national_id": lambda t: t[:3] not in ("000", "666") and t[0] != "9" and t[4:6] != "00" and t[7:] != "0000",
+    "wallet": base58check,
+    "secret": _secret,
 }
 #: Score before context; below THRESHOLD a span of a kind beyond the base is not kept.
-_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "national_id": 0.4}
+_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "national_id": 0.4, "wallet": 0.8, "secret": 0.4}
 _CONTEXT = {
     "email": ("mail", "contact", "write"),
     "ip": ("ip", "address", "server", "host"),
@@ -89,9 +127,22 @@ _CONTEXT = {
     "phone": ("phone", "call", "tel", "mobile"),
     "iban": ("iban", "bank", "account"),
     "national_id": ("ssn", "social", "security", "tax"),
+    "wallet": ("bitcoin", "btc", "wallet", "address"),
+    "secret": ("token", "secret", "password", "passwd", "pwd", "credential", "credentials", "bearer", "authorization", "key", "apikey", "api_key", "access_key", "private_key", "secret_key", "client_secret", "access_token", "auth_token"),
 }
-_AGAINST = ("version", "isbn", "example", "sample")
+_AGAINST = ("version", "isbn", "example", "sample", "commit", "checksum", "sha1", "sha256", "md5")
 THRESHOLD, STEP = 0.5, 0.2
+#: What the form of a key of a known kind adds to a secret's score.
+_KNOWN_FORM = re.compile(r"(?:AKIA|ASIA|gh[pousr]_|xox[abprs]-|eyJ)")
+
+
+def _any_word(words: tuple[str, ...]) -> re.Pattern[str]:
+    """Any of some words as a whole, in lower-cased text; parts of an address or a name with dots are none."""
+    return re.compile(r"(?<![a-z0-9_.@-])(?:" + "|".join(words) + r")(?![a-z0-9_@-]|\.[a-z0-9])")
+
+
+_FOR = {kind: _any_word(words) for kind, words in _CONTEXT.items()}
+_NOT_FOR = _any_word(_AGAINST)
 _COMPILED = {k: re.compile(p) for k, p in _PATTERNS.items()}
 _SOME_DIGIT = re.compile("[0-9]")
 _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
@@ -148,13 +199,27 @@ def find(text: str | None) -> list[Span]:
         for start, end in _proposed(kind, text):
             if not _VALID[kind](text[start:end]):
                 continue
-            near = (text[max(0, start - NEAR) : start] + " " + text[end : end + NEAR]).lower()
-            score = _SCORE[kind] + STEP * any(w in near for w in _CONTEXT[kind]) - STEP * any(w in near for w in _AGAINST)
+            score = _score(kind, text, start, end)
             if kind in BASE_KINDS or score >= THRESHOLD:
-                out.append(Span(start, order, end, min(1.0, max(0.0, score))))
+                out.append(Span(start, order, end, score))
     return sorted(out)
 
 
+def _score(kind: str, text: str, start: int, end: int) -> float:
+    """A confirmed span's score: its kind's, moved by whole words within NEAR characters before and behind it."""
+    before = text[max(0, start - NEAR - 1) : start]
+    behind = text[end : end + NEAR + 1]
+    if len(before) > NEAR:  # a word that the window cuts is none
+        before = before[before.find(" ") + 1 :] if " " in before else ""
+    if len(behind) > NEAR:
+        behind = behind[: max(behind.rfind(" "), 0)]
+    near = f"{before}\n{behind}".lower()
+    score = _SCORE[kind] + STEP * (_FOR[kind].search(near) is not None) - STEP * (_NOT_FOR.search(near) is not None)
+    if kind == "secret" and _KNOWN_FORM.match(text, start):
+        score += 2 * STEP
+    return round(min(1.0, max(0.0, score)), 6)
+
+
 def redacted(text: str | None, spans: list[Span] | None = None) -> str | None:
     """The text with <KIND> in place of every span; spans that overlap are one, named by the first."""
     if not text:

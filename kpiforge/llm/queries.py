@@ -37,7 +37,8 @@ def _remainder(of: int) -> Column:
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data in every document: counts by base kind, digest of the base spans, all spans."""
+    """Personal data and secrets in every document: counts by base kind, digest of the base spans, all spans, how many they are, how
+    many are secrets, and the highest score of any."""
     found = F.col("spans")
     base = F.filter(found, lambda s: s["kind"].isin(*pii.BASE_KINDS))
 
@@ -45,8 +46,9 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return pii.spans(_read(spark, sf_dir, "documents")).select(
-        "doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(found).alias("spans")
-    )
+        "doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(pii.listed(base), 256).alias("base_sha256"), pii.listed(found).alias("spans"),
+        F.size(found).cast("long").alias("n_spans"), count("secret"), F.coalesce(F.array_max(F.transform(found, lambda s: s["score"])), F.lit(0.0)).alias("score"),
+    )
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import release, table
-from .text import U64, shingle_hashes, word_hashes
+from .text import U64, shingle_hashes, slices, word_hashes
 
 WIDTH, PERCENT = 5, 80
 #: Shingles in so many sets are frequent; at most FREQUENT_LIMIT of them (the most frequent) are told apart.
@@ -33,8 +33,8 @@ BLOCK = 512
 #: Ids are broadcast up to so many; beyond, the same join shuffles.
 BROADCAST_IDS = 2_000_000
 TEXTS = 256
-#: Proposed pairs that a task holds before it hands them on.
-PAIRS = 1 << 20
+#: Proposed pairs that a task holds before it hands them on; shingles that a task counts at once, about.
+PAIRS, COUNTED = 1 << 20, 1 << 23
 
 
 def bitmap_bits(n: int) -> int:
@@ -85,19 +85,26 @@ def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(doc_id, n, sid, shingles, bitmap, key) for each row of docs (doc_id, text): its set, sorted, and the set's id.
 
     key is text_key() of the text; sid is a 64-bit fingerprint of the set, 0 for the empty one (null, empty or blank text); shingles are
-    little-endian 64-bit fingerprints.
+    little-endian 64-bit fingerprints. Of equal sets in a task the first only carries shingles and bitmap, so that a large group of
+    copies is a few rows to whatever comes next.
     """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            for lo in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(lo, TEXTS)
+            for part in slices(batch, 1, rows=TEXTS, size=4 << 20):
                 values, at = shingle_hashes(*word_hashes(part.column(1).to_pylist()), width)
                 sets = [values[a:b] for a, b in zip(at[:-1], at[1:])]
-                raw = [s.tobytes() for s in sets]
+                raw: list[bytes | None] = [s.tobytes() for s in sets]
                 sid = [int.from_bytes(hashlib.blake2b(r, digest_size=8).digest(), "little", signed=True) if r else 0 for r in raw]
+                bits: list[bytes | None] = []
+                for k, one in enumerate(sid):
+                    again = one in seen
+                    seen.add(one)
+                    raw[k] = None if again else raw[k]
+                    bits.append(None if again else bitmap(sets[k]).tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sid, pa.int64()), pa.array(raw, pa.binary()), pa.array([bitmap(s).tobytes() for s in sets], pa.binary()), part.column(2)],
+                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sid, pa.int64()), pa.array(raw, pa.binary()), pa.array(bits, pa.binary()), part.column(2)],
                     names=["doc_id", "n", "sid", "shingles", "bitmap", "key"],
                 )
 
@@ -124,7 +131,8 @@ def _frequent(sets: DataFrame, percent: int, at: int, limit: int) -> np.ndarray:
 
 def _counted(sets: DataFrame, percent: int, at: int, limit: int, order: _Order | None) -> np.ndarray:
     """Shingles in at or more of the regions; with an order, in the rest of those sets whose region is short in it."""
-    parts = 1 << max(0, int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+    many = sets.agg(F.sum("n")).first()[0] or 0
+    parts = 1 << (max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), many // COUNTED, 1) - 1).bit_length()
     shift = U64(64 - (parts.bit_length() - 1))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,31 +257,43 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
                 )
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(list(batches), schema=pa.schema([("shingle", pa.int64()), ("sid", pa.int64()), ("n", pa.int64())]))
-        key, sid, n = (held.column(c).to_numpy() for c in ("shingle", "sid", "n"))
-        at = np.lexsort((sid, n, key))
-        key, sid, n = key[at], sid[at], n[at]
-        keep = np.ones(len(key), dtype=bool)
-        keep[1:] = (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])
-        key, sid, n = key[keep], sid[keep], n[keep]
-        found, size, gap = [], 0, 1
-        live = np.arange(len(key))
-        while len(live) or found:  # pairs a step apart in a tile's order of size, then two steps, ...: as far as its largest tile goes
-            live = live[live + gap < len(key)]
-            live = live[(key[live] == key[live + gap]) & (100 * n[live] >= percent * n[live + gap])]
-            if len(live):
-                a, b = sid[live], sid[live + gap]
-                found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
-                size += len(live)
-            if found and (size >= PAIRS or not len(live)):
-                out = np.unique(np.concatenate(found), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(out[:, 0])), pa.array(np.ascontiguousarray(out[:, 1]))], names=["a", "b"])
-                found, size = [], 0
-            gap += 1
-
-    some = sets.where("n > 0")
+        """Rows come by shingle, n and sid; what later rows can still pair with is all that is held."""
+        key, sid, n = (np.empty(0, dtype=np.int64) for _ in range(3))
+        found, size = [], 0
+        for batch in batches:
+            old = len(key)
+            key, sid, n = (np.concatenate([a, batch.column(k).to_numpy()]) for k, a in enumerate((key, sid, n)))
+            keep = np.ones(len(key), dtype=bool)
+            keep[1:] = (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])
+            key, sid, n = key[keep], sid[keep], n[keep]
+            old, gap = int(keep[:old].sum()), 1
+            live = np.arange(len(key))
+            while len(live):  # pairs a step apart in a tile's order of size, then two steps, ...: as far as its largest tile goes
+                live = live[live + gap < len(key)]
+                live = live[(key[live] == key[live + gap]) & (100 * n[live] >= percent * n[live + gap])]
+                new = live[live + gap >= old]
+                if len(new):
+                    a, b = sid[new], sid[new + gap]
+                    found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
+                    size += len(new)
+                if size >= PAIRS:
+                    yield unique(found)
+                    found, size = [], 0
+                gap += 1
+            if len(key):
+                rest = (key == key[-1]) & (100 * n >= percent * n[-1])
+                key, sid, n = key[rest], sid[rest], n[rest]
+        if found:
+            yield unique(found)
+
+    def unique(found: list[np.ndarray]) -> pa.RecordBatch:
+        out = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(out[:, 0])), pa.array(np.ascontiguousarray(out[:, 1]))], names=["a", "b"])
+
+    some = sets.where("n > 0 and shingles is not null")
     met = some.select("sid", "n", "shingles").mapInArrow(members, "shingle bigint, sid bigint, n bigint")
-    proposed = table(met.repartition(parts, "shingle").mapInArrow(pairs, "a bigint, b bigint").distinct(), "proposed")
+    in_order = met.select("shingle", "sid", "n").repartition(parts, "shingle").sortWithinPartitions("shingle", "n", "sid")
+    proposed = table(in_order.mapInArrow(pairs, "a bigint, b bigint").distinct(), "proposed")
 
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,19 +344,24 @@ def _frequent_links(them: DataFrame, percent: int) -> DataFrame:
     if not sizes["n"]:
         return spark.createDataFrame([], "a bigint, b bigint")
     # size n holds the ranks [first, first + count); a class goes into a block of its size's range by its hash
-    ranges, seen = [], 0
-    for n, c in zip(sizes["n"], sizes["count"]):
-        ranges.append((n, seen // BLOCK, max((seen + c - 1) // BLOCK - seen // BLOCK + 1, 1)))
-        seen += c
-    bounds: dict[int, list[int]] = {}
-    for n, first, many in ranges:
-        for b in range(first, first + many):
-            bounds.setdefault(b, [n, n])[1] = n
-    tiles = [(i, j) for i in bounds for j in bounds if i <= j and 100 * bounds[i][1] >= percent * bounds[j][0]]
-    where = spark.createDataFrame(ranges, "n bigint, first int, many int")
-    pairs = spark.createDataFrame([(b, i, j, int(b == i and i != j)) for i, j in tiles for b in {i, j}], "block int, i int, j int, is_left int")
-    dealt = them.join(F.broadcast(where), "n").withColumn("block", (F.col("first") + F.pmod(F.xxhash64("sid"), F.col("many"))).cast("int"))
-    placed = dealt.join(F.broadcast(pairs), "block").select("i", "j", "is_left", "sid", "shingles")
+    n, count = (np.array(sizes[c], dtype=np.int64) for c in ("n", "count"))
+    seen = np.cumsum(count) - count
+    first, last = seen // BLOCK, (seen + count - 1) // BLOCK
+    # a class of size n meets the blocks from its own to the last whose smallest size is within n's band
+    least_in = n[np.searchsorted(last, np.arange(last[-1] + 1))]  # smallest size of each block
+    most_in = n[np.searchsorted(first, np.arange(last[-1] + 1), side="right") - 1]
+    reach = np.searchsorted(least_in, 100 * most_in // percent, side="right") - 1  # the last block that block i meets
+    back = np.searchsorted(reach, np.arange(last[-1] + 1))  # the first block that meets block j
+    columns = [x.tolist() for x in (n, first, last - first + 1)]
+    where = spark.createDataFrame(list(zip(*columns)), "n bigint, first bigint, many bigint")  # a row for each size
+    meets = spark.createDataFrame(list(zip(range(len(reach)), reach.tolist(), back.tolist())), "block bigint, reach bigint, back bigint")  # and for each block
+    small = lambda df, rows: F.broadcast(df) if rows <= BROADCAST_IDS else df
+    dealt = them.join(small(where, len(n)), "n").withColumn("block", F.col("first") + F.pmod(F.xxhash64("sid"), F.col("many")))
+    dealt = dealt.join(small(meets, len(reach)), "block")
+    left = F.transform(F.sequence("block", "reach"), lambda j: F.struct(F.col("block").alias("i"), j.alias("j"), (j != F.col("block")).cast("int").alias("is_left")))
+    right = F.transform(F.sequence("back", F.col("block")), lambda i: F.struct(i.alias("i"), F.col("block").alias("j"), F.lit(0).alias("is_left")))
+    tiles = F.concat(left, F.filter(right, lambda t: t["i"] != t["j"]))
+    placed = dealt.select(F.explode(tiles).alias("t"), "sid", "shingles").select("t.i", "t.j", "t.is_left", "sid", "shingles")
 
     def tile(held: pa.Table) -> pa.Table:
         held = held.sort_by([("is_left", "descending"), ("sid", "ascending")])

@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kpiforge.llm import chat, components, decontam, langid, lm, ngram_join, packing, pii, pretokens, quality, text, token_counts, topk
+from kpiforge.llm import chat, components, decontam, elias_fano, langid, lm, ngram_join, packing, pii, pretokens, quality, text, token_counts, topk
 from kpiforge.llm.queries import tokenizer_path
 
 ODD = [(1, None, 0), (2, "", 0), (3, "  \n\t ", 0), (4, "one", 0), (5, "same words here", 0), (5, "same words here", 0), (6, "x" * 200_000, 0), (None, "no id at all", 0)]
@@ -335,47 +335,103 @@ def test_topk_matches_brute_force(spark):
 # ---- 6 language model -----------------------------------------------------------------------------------------------
 
 
-def test_elias_fano_round_trip():
+def test_elias_fano_access_and_search_within_ranges():
     rng = np.random.default_rng(1)
-    for n, universe in ((0, 10), (1, 1), (5000, 1 << 64), (3000, 400), (2500, 2500)):
+    for n, universe in ((0, 10), (1, 1), (5000, 1 << 64), (3000, 400), (2500, 2500), (70_000, 1 << 40)):
         values = np.sort(rng.integers(0, min(universe, 1 << 63), n).astype(np.uint64))
-        ef = lm.EliasFano.of(values, universe)
-        assert (ef.decode(0, n) == values).all()
+        ef = elias_fano.EliasFano.read(elias_fano.EliasFano.of(values, universe).parts())
+        assert (ef.access(np.arange(n)) == values).all()
+        keys = rng.integers(0, min(universe, 1 << 63), 500).astype(np.uint64)
+        assert (ef.successors(keys) == np.searchsorted(values, keys)).all()
         if n:
-            assert (ef.decode(n // 3, n // 2) == values[n // 3 : n // 2]).all()
-            keys = np.sort(rng.integers(0, min(universe, 1 << 63), 500).astype(np.uint64))
-            assert (ef.successors(keys, 64) == np.searchsorted(values, keys)).all()
+            assert (values[ef.find(values)] == values).all()
+            lo = rng.integers(0, n, 500)
+            hi = np.minimum(n, lo + rng.integers(0, 50, 500))
+            keys = rng.choice(values, 500)
+            assert ef.successors(keys, lo, hi).tolist() == [a + int(np.searchsorted(values[a:b], x)) for a, b, x in zip(lo, hi, keys)]
+            assert (ef.find(keys, lo, hi) >= 0).tolist() == [bool((values[a:b] == x).any()) for a, b, x in zip(lo, hi, keys)]
 
 
-def test_lm_scores_match_brute_force(spark):
-    docs = _documents(90, 6) + [(200, None), (201, ""), (202, "never seen before at all"), (203, "never seen before at all")]
-    df = spark.createDataFrame([(i, t, 0) for i, t in docs], ODD_SCHEMA)
-    trained = lambda i: i % 4 != 1 and i < 200
-    got = {r["doc_id"]: r for r in lm.score(df, (F.col("doc_id") % 4 != 1) & (F.col("doc_id") < 200), 5.0).collect()}
+def _plain_scores(docs, trained, least=math.inf, pair_least=0):
+    """n_tokens, n_known, base and score of each text by the definition; contexts of least tokens or more keep frequent followers only."""
     tokens = {i: [w for w in re.split("[\x20\x09-\x0d]+", t or "") if w] + ["</s>"] for i, t in docs}
-    uni, pairs = Counter(), Counter()
+    uni, after, size = Counter(), [Counter() for _ in range(3)], [Counter() for _ in range(3)]
+    context = lambda w, j, k: tuple((["<s>"] * 3 + w)[j + 3 - k : j + 3])
     for i, w in tokens.items():
-        if trained(i):
-            uni.update(w)
-            pairs.update(zip(["<s>", *w], w))
+        for j, x in enumerate(w if trained(i) else []):
+            uni[x] += 1
+            for k in range(3):
+                after[k][context(w, j, k + 1), x] += 1
+                size[k][context(w, j, k + 1)] += 1
     n, v = sum(uni.values()), len(uni)
-    starts = sum(map(trained, tokens))
+    kept = [{(h, x): c for (h, x), c in a.items() if size[k][h] < least or c >= pair_least} for k, a in enumerate(after)]
+    left = [Counter() for _ in range(3)]
+    for k in range(3):
+        taken = Counter()
+        for (h, x), c in kept[k].items():
+            taken[h] += c - lm.DISCOUNTS[k]
+        left[k] = {h: 1 - taken[h] / m for h, m in size[k].items()}
+
+    def p(x, h):
+        if not h:
+            return (uni[x] + 1) / (n + v + 1)
+        k = len(h) - 1
+        if h not in size[k]:
+            return p(x, h[1:])
+        return max(kept[k].get((h, x), 0) - lm.DISCOUNTS[k], 0) / size[k][h] + left[k][h] * p(x, h[1:])
+
+    out = {}
     for i, w in tokens.items():
         base = sum(math.log10((uni[x] + 1) / (n + v + 1)) for x in w)
-        model = sum(math.log10((pairs[a, b] + 5.0 * (uni[b] + 1) / (n + v + 1)) / ((starts if a == "<s>" else uni[a]) + 5.0)) for a, b in zip(["<s>", *w], w))
+        out[i] = len(w), sum(uni[x] > 0 for x in w), base, sum(math.log10(p(x, context(w, j, 3))) for j, x in enumerate(w))
+    return out, n
+
+
+def test_lm_scores_match_brute_force(spark):
+    docs = _documents(90, 6) + [(200, None), (201, ""), (202, "never seen before at all"), (203, "never seen before at all"), (204, _documents(90, 6)[3][1] + " some more")]
+    df = spark.createDataFrame([(i, t, 0) for i, t in docs] + [(None, "no id", 1)], ODD_SCHEMA)
+    trained = lambda i: i % 4 != 1 and i < 200
+    rows = lm.score(df, (F.col("doc_id") % 4 != 1) & (F.col("doc_id") < 200)).collect()
+    got = {r["doc_id"]: r for r in rows}
+    plain, n = _plain_scores(docs, trained)
+    assert len(rows) == len(docs) + 1 and got[None]["n_tokens"] == 3 and not got[None]["trained"]
+    for i, (n_tokens, n_known, base, model) in plain.items():
         r = got[i]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["trained"]) == (len(w), sum(uni[x] > 0 for x in w), n, trained(i))
-        assert r["base_score"] == pytest.approx(base, abs=1e-6) and r["score"] == pytest.approx(model, abs=2e-4 * len(w))
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["trained"]) == (n_tokens, n_known, n, trained(i))
+        assert r["base_score"] == pytest.approx(base, abs=1e-9) and r["score"] == pytest.approx(model, abs=2e-4 * n_tokens)
     assert lm.score(df.limit(0), F.lit(True)).collect() == []
     assert all(r["n_known"] == 0 for r in lm.score(df, F.lit(False)).collect())
 
 
-def test_frequent_words_are_dealt_by_pairs(spark, monkeypatch):
-    df = spark.createDataFrame(_documents(60, 8), "doc_id long, text string")
-    plain = sorted(map(tuple, lm.score(df, F.col("doc_id") % 2 == 0).collect()))
+def test_frequent_contexts_are_dealt_out(spark, monkeypatch):
+    """All words are known everywhere here; contexts of ten tokens or more are dealt, START START START by document."""
+    docs = _documents(80, 8)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
     monkeypatch.setattr(lm, "SHARD_TOKENS", 40)
-    for a, b in zip(plain, sorted(map(tuple, lm.score(df, F.col("doc_id") % 2 == 0).collect()))):
-        assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], abs=1e-2)
+    plain, _ = _plain_scores(docs, lambda i: i % 3 > 0, 10, 2)
+    rows = lm.score(df, F.col("doc_id") % 3 > 0).collect()
+    assert len(rows) == 80
+    for r in rows:
+        n_tokens, n_known, base, model = plain[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"]) == (n_tokens, n_known) and r["base_score"] == pytest.approx(base, abs=1e-9)
+        assert r["score"] == pytest.approx(model, abs=3e-4 * n_tokens)
+
+
+def test_words_that_are_not_known_everywhere(spark, monkeypatch):
+    """With few words known, scores stay what they are up to the share that rare words lose."""
+    docs = _documents(120, 9) + [(500, "quite new words here and there")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    train = F.col("doc_id") % 5 != 1
+    all_known = {r["doc_id"]: r for r in lm.score(df, train).collect()}
+    monkeypatch.setattr(lm, "KNOWN", 256)
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 400)
+    few = lm.score(df, train).collect()
+    assert len(few) == len(docs)
+    for r in few:
+        want = all_known[r["doc_id"]]
+        assert r[:6] == want[:6] or r["base_score"] == pytest.approx(want["base_score"], abs=1e-9)
+        assert (r["n_tokens"], r["n_known"]) == (want["n_tokens"], want["n_known"])
+        assert r["score"] == pytest.approx(want["score"], abs=0.12 * r["n_tokens"])
 
 
 # ---- 7 n-gram join --------------------------------------------------------------------------------------------------

@@ -129,11 +129,11 @@ _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCD
 ORACLE_SQL: dict[str, str] = {
     "op5_topk_search": """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS t FROM embeddings
+  SELECT vec_id, row_number() OVER () AS own, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS t FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.t AS DOUBLE[]), CAST(c.t AS DOUBLE[])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+  FROM v q JOIN v c ON q.own <> c.own WHERE q.vec_id % 100 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10""",
     "op7_ngram_join": rf"""

@@ -327,11 +327,38 @@ def test_topk_matches_brute_force(spark):
         ranked = sorted((-sum(a * b for a, b in zip(good[q], v)), i) for i, v in good.items() if i != q)
         want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(ranked[:10])]
     assert sorted(map(tuple, got.collect())) == sorted(want)
+    small, large = topk.SHARD, len(good)
+    topk.SHARD = 40  # many shards, whose thresholds come from the first
+    try:
+        assert sorted(map(tuple, topk.search(df, df.where("vec_id % 20 = 0"), 10).collect())) == sorted(want) and large > 3 * 40
+    finally:
+        topk.SHARD = small
     few = df.where("vec_id < 3")
     assert topk.search(few, few.where("vec_id = 0")).count() == 2
     assert topk.search(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_topk_of_repeated_rows(spark):
+    rows = [(0, [3, 1]), (0, [3, 1]), (0, [1, 9]), (1, [2, 2]), (1, [2, 2]), (2, [0, 0]), (3, [1, 2, 3]), (None, [9, 9])]
+    df = spark.createDataFrame(rows, "vec_id long, terms array<bigint>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.search(df, df.where("vec_id = 0"), 3).collect())
+    # [3, 1] finds its copy, [1, 9] and [2, 2] twice; [1, 9] finds [2, 2] twice and [3, 1] twice
+    assert got == sorted([(0, 1, 0, 12), (0, 2, 0, 10), (0, 3, 1, 8), (0, 1, 1, 20), (0, 2, 1, 20), (0, 3, 0, 12)])
+    extra = df.withColumn("rank", F.lit(1)).withColumn("score", F.lit("x"))
+    assert topk.search(extra, extra, 3).count() > 0
+
+
+def test_topk_threshold_rises_within_a_shard():
+    rng = np.random.default_rng(4)
+    vectors = np.floor(rng.normal(size=(3000, 9)) * 1024)
+    ids, copies = np.arange(3000) // 2, rng.integers(1, 3, 3000)
+    for floor in (-np.inf, 0.0):
+        at, found, score = topk.search_shard(vectors[:5], ids[:5], np.full(5, floor), vectors, ids, copies, 7)
+        for q in range(5):
+            all_of = [(-int(vectors[q] @ v), int(i)) for r, (v, i, c) in enumerate(zip(vectors, ids, copies)) for _ in range(c - (r == q))]
+            assert sorted(zip((-score[at == q]).tolist(), found[at == q].tolist()))[:7] == sorted(all_of)[:7]
+
+
 # ---- 6 language model -----------------------------------------------------------------------------------------------
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import _LOWER, _pieces
+from .text import _LOWER, _pieces, slices
 
 #: Labelled rows that a fit takes, about: beyond, a share of them chosen by hash of the text.
 TRAIN_ROWS = 20_000
@@ -126,7 +126,7 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([s.tobytes() for s in sums.values()], pa.binary())], names=["lang", "counts"])
 
     counts: dict[str, np.ndarray] = {}
-    for row in known.coalesce(PARTS).mapInArrow(count, "lang string, counts binary").toLocalIterator():
+    for row in known.repartition(PARTS).mapInArrow(count, "lang string, counts binary").toLocalIterator():
         counts[row["lang"]] = counts.get(row["lang"], 0) + np.frombuffer(row["counts"], dtype=np.int64)
     languages = sorted(counts)
     if not languages:
@@ -153,8 +153,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(lo, TEXTS)
+            for part in slices(batch, 1, rows=TEXTS):
                 lang, score, doubt = shared.value.predict(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lang, pa.string()), pa.array(score), pa.array(doubt)], names=["doc_id", "lang_pred", "score", "ambiguous"])
 

@@ -3,8 +3,9 @@
 The statistics are standardised; random Fourier features approximate a
 Gaussian kernel over them. Each part of the training rows sums its share of
 the normal equations, and the driver solves the total, whose size is fixed.
-Isotonic regression of the labels on the ridge scores maps a score to a
-probability.
+Isotonic regression of the labels on ridge scores maps a score to a
+probability; the scores are those of ridges that have not seen the row, each
+fitted on all folds but the row's.
 """
 
 from __future__ import annotations
@@ -18,12 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import table
-from .text import word_table
+from .store import release, table
+from .text import U64, mix, slices, word_table
 
 #: Labelled rows that a fit takes, about: beyond, a share of them chosen by hash of doc_id.
 TRAIN_ROWS = 40_000
 FEATURES, RIDGE, SEED, PARTS, TEXTS = 256, 1e-3, 7, 16, 256
+#: Folds of the labelled rows for the calibration, by hash of doc_id; so many rows of label 1 stand at the least
+#: score and of label 0 at the greatest, as no score is certain.
+FOLDS, PRIOR = 4, 0.5
 
 #: The statistics, in order.
 STATISTICS = (
@@ -74,8 +78,7 @@ def statistics_table(docs: DataFrame) -> DataFrame:
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(lo, TEXTS)
+            for part in slices(batch, 1, rows=TEXTS):
                 found = statistics(part.column(1).to_pylist()).astype(np.float32)
                 flat = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * len(STATISTICS)), pa.array(found.ravel()))
                 yield pa.RecordBatch.from_arrays([part.column(0), flat], names=["doc_id", "stats"])
@@ -124,13 +127,14 @@ def isotonic(score: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[
 
 
 def _sums(rows: DataFrame, make, size: int) -> np.ndarray:
-    """The sum over parts of make(stats, label), an array of a fixed size, from a bounded number of parts."""
+    """The sum over parts of make(stats, label, fold), an array of a fixed size, from a bounded number of parts."""
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(size)
         for batch in batches:
             if len(batch):
-                total += make(np.stack(batch["stats"].to_numpy()).astype(float), batch["label"].to_numpy(dtype=float))
+                fold = (mix(batch["doc_id"].to_numpy(dtype=np.int64).view(U64)) % U64(FOLDS)).astype(np.int64)
+                total += make(np.stack(batch["stats"].to_numpy()).astype(float), batch["label"].to_numpy(dtype=float), fold)
         yield pd.DataFrame({"total": [total.tobytes()]})
 
     return sum((np.frombuffer(r["total"]) for r in rows.mapInPandas(part, "total binary").collect()), np.zeros(size))
@@ -146,9 +150,9 @@ def fit(stats: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mo
     share = -(-known.count() // train_rows)
     if share > 1:
         known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
-    rows = table(stats.join(known, "doc_id").select("doc_id", "stats", "label").coalesce(PARTS), "labelled")
+    rows = table(stats.join(known, "doc_id").select("doc_id", "stats", "label").repartition(PARTS, "doc_id"), "labelled")
     d = len(STATISTICS)
-    moments = _sums(rows, lambda x, y: np.r_[len(x), x.sum(0), (x * x).sum(0), y.sum()], 2 * d + 2)
+    moments = _sums(rows, lambda x, y, fold: np.r_[len(x), x.sum(0), (x * x).sum(0), y.sum()], 2 * d + 2)
     n = moments[0]
     if not n:
         return None
@@ -158,22 +162,32 @@ def fit(stats: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mo
     ones = min(max(moments[-1] / n, 1e-6), 1 - 1e-6)
     m = FEATURES + 1
 
-    def equations(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        z = model.features(x)
-        w = np.where(y >= 0.5, 0.5 / ones, 0.5 / (1 - ones))
-        return np.r_[((z * w[:, None]).T @ z).ravel(), z.T @ (w * y)]
+    def equations(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
+        z, w, out = model.features(x), np.where(y >= 0.5, 0.5 / ones, 0.5 / (1 - ones)), []
+        for k in range(FOLDS):
+            a, v = z[fold == k], w[fold == k]
+            out += [((a * v[:, None]).T @ a).ravel(), a.T @ (v * y[fold == k]), [len(a)]]
+        return np.concatenate(out)
 
-    total = _sums(rows, equations, m * m + m)
-    model.weights = np.linalg.solve(total[: m * m].reshape(m, m) + RIDGE * n * np.eye(m) / m, total[m * m :])
+    def solved(total: np.ndarray) -> np.ndarray:
+        return np.linalg.solve(total[: m * m].reshape(m, m) + RIDGE * max(total[-1], 1) * np.eye(m) / m, total[m * m : -1])
+
+    total = _sums(rows, equations, FOLDS * (m * m + m + 1)).reshape(FOLDS, -1)
+    model.weights = solved(total.sum(0))
+    others = np.stack([solved(total.sum(0) - one) for one in total], 1)
     bins = 2000
 
-    def histogram(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        at = np.clip(((model.ridge(x) + 1) / 3 * bins).astype(int), 0, bins - 1)
+    def histogram(x: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
+        unseen = (model.features(x) @ others)[np.arange(len(x)), fold]
+        at = np.clip(((unseen + 1) / 3 * bins).astype(int), 0, bins - 1)
         return np.r_[np.bincount(at, minlength=bins), np.bincount(at, weights=y, minlength=bins)]
 
     hist = _sums(rows, histogram, 2 * bins)
     some = np.flatnonzero(hist[:bins])
+    hist[some[[0, -1]]] += PRIOR
+    hist[bins + some[0]] += PRIOR
     model.steps, model.values = isotonic((some + 0.5) / bins * 3 - 1, hist[bins:][some] / hist[:bins][some], hist[:bins][some])
+    release(rows)
     return model
 
 

@@ -6,12 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def literal_pattern(part: Column) -> Column:
+    """A regular expression that matches a text as it is; the text may hold the end of a quotation."""
+    return F.concat(F.lit("\\Q"), F.replace(part, F.lit("\\E"), F.lit("\\E\\\\E\\Q")), F.lit("\\E"))
+
+
 def find_all(text: Column, part: Column) -> Column:
     """Offsets of all occurrences of part in text that do not overlap, from 0; none for an empty part."""
-    pieces = F.slice(F.split(text, F.concat(F.lit("\\Q"), part, F.lit("\\E")), -1), 1, F.greatest(F.size(F.split(text, F.concat(F.lit("\\Q"), part, F.lit("\\E")), -1)) - 1, F.lit(0)))
     start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("found"))
-    walked = F.aggregate(pieces, start, lambda acc, p: F.struct((acc["pos"] + F.length(p) + F.length(part)).alias("pos"), F.concat(acc["found"], F.array(acc["pos"] + F.length(p))).alias("found")))
-    return F.when(F.length(part) > 0, walked["found"]).otherwise(F.array().cast("array<int>"))
+    step = lambda acc, p: F.struct((acc["pos"] + F.length(p) + F.length(part)).alias("pos"), F.concat(acc["found"], F.array(acc["pos"] + F.length(p))).alias("found"))
+    walked = F.aggregate(F.split(text, literal_pattern(part), -1), start, step, lambda acc: F.slice(acc["found"], F.lit(1), F.size(acc["found"]) - 1))  # nothing stands behind the last piece
+    return F.when(F.length(part) > 0, walked).otherwise(F.array().cast("array<int>"))
 
 
 def answer_offsets(answer: Column, paragraph: Column) -> Column:

@@ -2,12 +2,14 @@
 
 A model is a Python object that is loaded once in a worker and called with
 Arrow batches of pairs; the doubles are plain expressions, so a plan with them
-stays in the JVM.
+stays in the JVM. Either kind may prepare paragraphs and questions before they
+are paired, so that what depends on one side is computed once for it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
@@ -61,23 +63,91 @@ def tokens(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
 
 
-def overlap_relevance(question: Column, paragraph: Column) -> Column:
-    """The double of a relevance model: the share of the question's words that the paragraph has."""
-    q = tokens(question)
-    return F.size(F.array_intersect(q, tokens(paragraph))) / F.greatest(F.size(q), F.lit(1))
+class Relevance:
+    """A relevance scorer of pairs; this one is a column function of question and paragraph, such as relevance_udf() gives."""
 
+    def __init__(self, score: Callable[[Column, Column], Column]) -> None:
+        self._score = score
 
-def longest_words(paragraph: Column, n_best: int = 2, threshold: int = 8) -> Column:
+    def prepared(self, paragraphs: DataFrame, questions: DataFrame, paragraph: str, question: str) -> tuple[DataFrame, DataFrame]:
+        """Both sides with whatever score() needs; columns that begin with an underscore are its own."""
+        return paragraphs, questions
+
+    def score(self, paragraph: str, question: str) -> Column:
+        """The score of a pair, over the columns of both prepared sides."""
+        return self._score(F.col(question), F.col(paragraph))
+
+
+class OverlapRelevance(Relevance):
+    """The double of a relevance model: the share of the question's words that the paragraph has.
+
+    A paragraph is taken to words once, and only those that any question has meet the questions.
+    """
+
+    def __init__(self) -> None:
+        super().__init__(lambda q, p: F.lit(None))
+
+    def prepared(self, paragraphs: DataFrame, questions: DataFrame, paragraph: str, question: str) -> tuple[DataFrame, DataFrame]:
+        asked = questions.withColumn("_words", tokens(F.col(question)))
+        every = asked.agg(F.array_distinct(F.flatten(F.collect_list("_words"))).alias("_every"))  # one row
+        told = paragraphs.crossJoin(F.broadcast(every)).withColumn("_told", F.array_intersect(tokens(F.col(paragraph)), F.col("_every"))).drop("_every")
+        return told, asked
+
+    def score(self, paragraph: str, question: str) -> Column:
+        return F.size(F.array_intersect("_words", "_told")) / F.greatest(F.size("_words"), F.lit(1))
+
+
+@dataclass(frozen=True)
+class Answers:
+    """An answer scorer of pairs: struct(answers, no_ans_gap) of question and paragraph, such as answer_udf() gives."""
+
+    answer: Callable[[Column, Column], Column]
+
+    def prepared(self, paragraphs: DataFrame, paragraph: str) -> DataFrame:
+        """Paragraphs with whatever found() needs; columns that begin with an underscore are its own."""
+        return paragraphs
+
+    def found(self, paragraph: str, question: str) -> Column:
+        return self.answer(F.col(question), F.col(paragraph))
+
+
+@dataclass(frozen=True)
+class LongestWords(Answers):
     """The double of an answer model: 'no answer' first unless the longest word has threshold letters; then the longest words.
 
-    array<struct<answer, score>> of n_best elements at most; the score of a word is a hundredth of its length.
+    n_best answers at most; the score of a word is a hundredth of its length. Answers don't depend on the question, so
+    they are found once for a paragraph.
     """
+
+    answer: Callable[[Column, Column], Column] = lambda q, p: F.lit(None)
+    n_best: int = 2
+    threshold: int = 8
+
+    def prepared(self, paragraphs: DataFrame, paragraph: str) -> DataFrame:
+        return paragraphs.withColumn("_answers", longest_words(F.col(paragraph), self.n_best, self.threshold))
+
+    def found(self, paragraph: str, question: str) -> Column:
+        return F.struct(F.col("_answers").alias("answers"), F.lit(0.0).alias("no_ans_gap"))
+
+
+def longest_words(paragraph: Column, n_best: int = 2, threshold: int = 8) -> Column:
+    """array<struct<answer, score>> of LongestWords."""
     ranked = F.transform(F.sort_array(F.transform(tokens(paragraph), lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), lambda s: F.struct(s["w"].alias("answer"), (F.length(s["w"]) / 100.0).alias("score")))
+    best = F.slice(ranked, 1, n_best)
     none = F.array(F.struct(F.lit(NO_ANSWER).alias("answer"), F.lit(threshold / 100.0).alias("score")))
-    longest = F.coalesce(F.length(F.get(ranked, F.lit(0))["answer"]), F.lit(0))
-    return F.slice(F.when(longest >= threshold, F.concat(ranked, none)).otherwise(F.concat(none, ranked)), 1, n_best)
 
+    def merged(found: Column) -> Column:
+        longest = F.coalesce(F.length(F.get(found, F.lit(0))["answer"]), F.lit(0))
+        return F.slice(F.when(longest >= threshold, F.concat(found, none)).otherwise(F.concat(none, found)), 1, n_best)
+
+    # the list of the best is made once: an element of a list of one is taken through the rest
+    return F.transform(F.array(best), merged)[0]
+
+
+def question_pairs(paragraphs: DataFrame, questions: DataFrame, relevance: Relevance, paragraph: str, question: str) -> DataFrame:
+    """Every question with every paragraph and their paragraph_relevance_score; both sides' columns, but for the scorer's own."""
+    from .operators.joins import question_pairs as paired
 
-def score_pairs(pairs: DataFrame, relevance: Column, threshold: float = 0.5) -> DataFrame:
-    """Pairs with paragraph_relevance_score, of the positive class only."""
-    return pairs.withColumn("paragraph_relevance_score", relevance).where(F.col("paragraph_relevance_score") >= threshold)
+    own = [c for c in (*paragraphs.columns, *questions.columns)]
+    told, asked = relevance.prepared(paragraphs, questions, paragraph, question)
+    return paired(told, asked).select(*own, relevance.score(paragraph, question).alias("paragraph_relevance_score"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +11,8 @@ from ..functions.text import with_year
 
 #: A question list is broadcast up to so many rows.
 SMALL = 100_000
+#: Answers that one automaton looks for, about, and parts that the candidates of a question are dealt into.
+ANSWERS, SALTS = 200_000, 16
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -69,13 +72,40 @@ def elsewhere_answered(annotations: DataFrame, paragraphs: DataFrame, excluded_k
 
 def unanswerable(candidates: DataFrame, annotations: DataFrame) -> DataFrame:
     """Candidate (pdf_name, page0, question, text) of annotated reports that answer nothing: not on a page annotated for
-    the report, and not containing any answer to the same question."""
+    the report, and not containing any answer to the same question.
+
+    A question's answers are dealt into lists of at most about ANSWERS, its candidates into SALTS parts; each list and
+    part meet in one group, where an automaton finds all answers in one pass over a text.
+    """
     pages = annotations.select("pdf_name", "page0").distinct()
     reports = annotations.select("pdf_name").distinct()
-    answers = annotations.select("question", F.col("answer").alias("_answer")).where("answer is not null").distinct()
+    answers = annotations.select("question", F.col("answer").alias("_answer")).where("answer is not null and question is not null").distinct()
     kept = candidates.join(reports, "pdf_name", "left_semi").join(pages, ["pdf_name", "page0"], "left_anti")
-    told = (kept.question == answers.question) & F.contains(kept.text, answers._answer)
-    return kept.join(answers, told, "left_anti")
+    lists = answers.count() // ANSWERS + 1
+    keyed = kept.withColumn("_row", F.xxhash64(*kept.columns)).withColumn("_salt", F.pmod("_row", F.lit(SALTS)).cast("int"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = keyed.select("question", "_salt", every(lists).alias("_list"), "_row", "text")
+    known = answers.select("question", every(SALTS).alias("_salt"), F.pmod(F.xxhash64("_answer"), F.lit(lists)).cast("int").alias("_list"), "_answer")
+    by = ["question", "_salt", "_list"]
+    told = asked.groupBy(*by).cogroup(known.groupBy(*by)).applyInArrow(_told, "_row bigint").distinct()
+    return keyed.join(told, "_row", "left_anti").select(candidates.columns)
+
+
+def _told(texts: pa.Table, answers: pa.Table) -> pa.Table:
+    """The rows whose text contains any of the answers; every text contains an empty one."""
+    import ahocorasick
+
+    words = answers.column("_answer").to_pylist()
+    if not words or not texts.num_rows:
+        return pa.table({"_row": pa.array([], pa.int64())})
+    found = ahocorasick.Automaton()
+    for w in words:
+        if w:
+            found.add_word(w, 1)
+    if len(found):
+        found.make_automaton()
+    hit = ["" in words or (bool(len(found)) and next(found.iter(t), None) is not None) if t is not None else False for t in texts.column("text").to_pylist()]
+    return pa.table({"_row": texts.column("_row").filter(pa.array(hit, pa.bool_()))})
 
 
 def overlapping(a: DataFrame, b: DataFrame, key: str, a_prefix: str = "a_", b_prefix: str = "b_") -> DataFrame:

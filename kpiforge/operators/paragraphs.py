@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_for_curation, letters
+from ..schemas import NO_ANSWER
 
 
 def split_pages(pages: DataFrame, separator: str = "\n\n", min_letters: int = 30, keys: tuple[str, ...] = ("pdf_name", "page0")) -> DataFrame:
@@ -39,7 +40,9 @@ def melt_answers(predictions: DataFrame, answers: str = "answers") -> DataFrame:
     return rows.select(*rest, (F.col("rank") + 1).alias("rank"), "answer.*")
 
 
-def with_no_answer(best: Column, no_ans_gap: Column, boost: float) -> Column:
-    """The no-answer score of a passage: the best span's score less the gap, and that plus the boost."""
-    plain = best - no_ans_gap
-    return F.struct(plain.alias("no_ans_score"), (plain + boost).alias("no_answer_score_plus_boost"))
+def with_no_answer(answers: Column, no_ans_gap: Column, boost: float) -> Column:
+    """The scores of 'no answer' in a passage: with the boost, that among the best answers or else the first one's less the
+    gap; and without the boost."""
+    listed = F.get(F.filter(answers, lambda a: a["answer"] == NO_ANSWER), F.lit(0))["score"]
+    boosted = F.coalesce(listed, F.get(answers, F.lit(0))["score"] - no_ans_gap)
+    return F.struct((boosted - boost).alias("no_ans_score"), boosted.alias("no_answer_score_plus_boost"))

@@ -10,10 +10,9 @@ from ..schemas import NO_ANSWER
 
 def group_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row for each key: the first non-null value of every other column, in order."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    place = F.struct(*order)
     rest = [c for c in df.columns if c not in keys]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.select(*keys, *[F.first(c, ignorenulls=True).over(w).alias(c) for c in rest], rank.alias("_k")).where("_k = 1").drop("_k")
+    return df.groupBy(*keys).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in rest])
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -43,12 +42,6 @@ def no_answers(answers: DataFrame, keys: list[str]) -> DataFrame:
     return agg.where("_none").select(*keys, F.lit(NO_ANSWER).alias("answer"), "score", F.lit("Text").alias("source"))
 
 
-def ranked_answers(answers: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """The k best answers of each key: spans of any rank, and one 'no answer' where nothing else was first."""
-    spans = answers.where(F.col("answer") != NO_ANSWER).withColumn("source", F.lit("Text"))
-    return top_k(spans.unionByName(no_answers(answers, keys), allowMissingColumns=True), keys, k, tie=("answer",))
-
-
 def nearest(df: DataFrame, keys: list[str], distance: Column, tie: str) -> DataFrame:
     """The row of each key with the smallest distance; ties go to the smaller tie column."""
     return keep_first(df.withColumn("_d", distance), keys, ["_d", tie]).drop("_d")

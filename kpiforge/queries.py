@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import geometry, positions, shape, text
-from .models import longest_words, overlap_relevance
+from .models import LongestWords, OverlapRelevance, question_pairs
 from .operators import filters, joins, layout, metrics, paragraphs, ranking, reshape, sampling
 from .operators.rules import DescriptionRule, KpiRule
 from .plans import curation, inference, rule_based
@@ -149,7 +149,7 @@ _SCORE = f"len(list_intersect({TOKENS('question')}, {TOKENS('text')})) / greates
 @query(f"WITH {KPI_SQL}, {PARA_SQL} SELECT pdf_name, kpi_id, count(*) AS pairs, round(sum({_SCORE}), 6) AS total, round(max({_SCORE}), 6) AS best FROM paras, kpis GROUP BY ALL")
 def question_paragraph_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every question with every paragraph of a report, and how they score."""
-    pairs = joins.question_pairs(paragraph_table(spark, sf_dir), kpis(spark)).withColumn("s", overlap_relevance(F.col("question"), F.col("text")))
+    pairs = question_pairs(paragraph_table(spark, sf_dir), kpis(spark), OverlapRelevance(), "text", "question").withColumnRenamed("paragraph_relevance_score", "s")
     return pairs.groupBy("pdf_name", "kpi_id").agg(F.count("*").alias("pairs"), F.round(F.sum("s"), 6).alias("total"), F.round(F.max("s"), 6).alias("best"))
 
 
@@ -180,8 +180,8 @@ def answer_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_ANSWERS_SQL + " SELECT pdf_name, kpi, round(score, 6) AS score FROM none")
 def no_answer_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions that no paragraph of a report answers."""
-    rel = inference.relevant_paragraphs(paragraph_table(spark, sf_dir), kpis(spark))
-    rows = paragraphs.melt_answers(rel.withColumn("answers", longest_words(F.col("paragraph"))))
+    ready = LongestWords().prepared(paragraph_table(spark, sf_dir), "text").withColumnRenamed("_answers", "answers")
+    rows = paragraphs.melt_answers(inference.relevant_paragraphs(ready, kpis(spark), more=("answers",)))
     return ranking.no_answers(rows, ["pdf_name", "kpi"]).select("pdf_name", "kpi", F.round("score", 6).alias("score"))
 
 

@@ -26,6 +26,8 @@ from .store import table
 WIDTH, THRESHOLD, RADIUS, BITS = 5, 0.8, 19, 64
 #: A side is broadcast below so many rows (two longs each); above, the join shuffles.
 BROADCAST_ROWS = 1_000_000
+#: Windows begin in segments of so many words, or of the longest item's, and carry no more of a long document.
+SEGMENT = 512
 
 
 def words(text: Column) -> Column:
@@ -46,12 +48,17 @@ def _blocks(radius: int) -> list[tuple[int, int]]:
     return [(sum(sizes[:i]), sizes[i]) for i in range(n)]
 
 
+def _lane_mask(lane: int) -> int:
+    """The lowest bit of each counter in a long."""
+    return sum(1 << i for i in range(0, BITS, lane))
+
+
 def simhash(shingles: Column, lane: int) -> Column:
     """Counters of the fingerprint's bits over an array of shingle hashes, repeats counted; lane: bits of a counter.
 
     Counters share longs: sum k counts the bits k, k + lane, k + 2 * lane, ... of the hashes in lanes of their own.
     """
-    mask = F.lit(sum(1 << i for i in range(0, BITS, lane)))
+    mask = F.lit(_lane_mask(lane))
 
     def tally(k: Column) -> Column:
         return F.aggregate(shingles, F.lit(0).cast("long"), lambda acc, x: acc + F.call_function("shiftrightunsigned", x, k).bitwiseAND(mask))
@@ -71,7 +78,9 @@ def _signs(sums: str, size: Column, lane: int) -> Column:
 def _similarity(a: Column, b: Column) -> Column:
     """Sum of smaller counts over sum of larger counts of the shingles of two arrays."""
     count = lambda arr, x: F.size(F.filter(arr, lambda y: y == x))
-    both = F.aggregate(F.array_intersect(a, b), F.lit(0), lambda acc, x: acc + F.least(count(a, x), count(b, x)))
+    common = F.array_intersect(a, b)
+    once = (F.size(F.array_distinct(a)) == F.size(a)) | (F.size(F.array_distinct(b)) == F.size(b))
+    both = F.when(once, F.size(common)).otherwise(F.aggregate(common, F.lit(0), lambda acc, x: acc + F.least(count(a, x), count(b, x))))
     return both / (F.size(a) + F.size(b) - both)
 
 
@@ -111,33 +120,39 @@ def _matches(docs: DataFrame, benchmark: DataFrame, threshold: float, radius: in
     for width in range(1, WIDTH + 1):
         shingled = F.when(F.col("width") == width, _shingles(F.col("w"), width)) if shingled is None else shingled.when(F.col("width") == width, _shingles(F.col("w"), width))
     items = table(items.select(F.monotonically_increasing_id().alias("item"), "item_id", "n", "width", shingled.alias("item_shingles")), "items")
-    known = items.agg(F.max("n"), F.sum(F.size("item_shingles")), F.count("*"), F.sort_array(F.collect_set("width"))).first()
-    lane = 16 if (known[0] or 0) < 1 << 16 else 32
-    widths = list(known[3])
+    known = items.agg(F.max("n"), F.sum(F.size("item_shingles")), F.count("*"), F.sort_array(F.collect_set("width")), F.countDistinct("n")).first()
+    longest, of_items, many, widths, sizes = known[0] or 0, known[1], known[2], list(known[3]), known[4]
+    lane = 16 if longest < 1 << 16 else 32
     schema = "row bigint, doc_id bigint, item_id bigint, start int, n int, distance int, similarity double"
     if not widths:
         return spark.createDataFrame([], schema)
     lengths = items.select(F.col("n"), "width").distinct().withColumn("need", F.greatest(F.ceil(threshold * (F.col("n") - F.col("width") + 1)), F.lit(1)).cast("int"))
-    least = lengths.groupBy("width").agg(F.min("need").alias("least"))
+    least = lengths.groupBy("width").agg(F.min("need").alias("least"))  # a row for each width, WIDTH at most
+    # a segment has the windows that begin in its step; its shingles reach as far as the longest of them
+    step = max(SEGMENT, longest)
 
-    # 1. positions of documents whose shingle any item has
+    # 1. positions whose shingle any item has, for each segment that reaches there
     split = docs.select(_row_key().alias("row"), "doc_id", words(F.col("text")).alias("w"))
     keys = items.select("width", F.explode("item_shingles").alias("shingle")).distinct()
     hits = None
     for width in widths:
         own = split.select("row", F.posexplode(_shingles(F.col("w"), width)).alias("pos", "shingle"))
-        found = own.join(_maybe_broadcast(keys.where(F.col("width") == width).select("shingle"), known[1]), "shingle", "left_semi").select("row", F.lit(width).alias("width"), "pos")
+        found = own.join(_maybe_broadcast(keys.where(F.col("width") == width).select("shingle"), of_items), "shingle", "left_semi").select("row", F.lit(width).alias("width"), "pos")
         hits = found if hits is None else hits.unionByName(found)
-    grouped = hits.distinct().groupBy("row", "width").agg(F.sort_array(F.collect_list("pos")).alias("hits"))
+    segment = lambda pos: F.greatest(F.floor(pos / step), F.lit(0)).cast("int")
+    hits = hits.distinct().withColumn("segment", F.explode(F.sequence(segment(F.col("pos") - longest), segment(F.col("pos")))))
+    grouped = hits.groupBy("row", "width", "segment").agg(F.sort_array(F.collect_list("pos")).alias("hits"))
     grouped = table(grouped.join(F.broadcast(least), "width").where(F.size("hits") >= F.col("least")).drop("least"), "hits")
 
-    # 2. their windows of each item's size that hold enough of such positions
-    rows = grouped.count()
-    mine = split.join(_maybe_broadcast(grouped.select("row").distinct(), 20 * rows), "row", "left_semi").dropDuplicates(["row"])
+    # 2. their shingles, and windows of each item's size that hold enough of such positions
+    rows = grouped.groupBy("row").agg(F.collect_set("segment").alias("segments"))
+    mine = split.join(_maybe_broadcast(rows, 20 * grouped.count()), "row").dropDuplicates(["row"])
     near = None
     for width in widths:
-        one = mine.select("row", "doc_id", F.size("w").alias("size"), _shingles(F.col("w"), width).alias("shingles"))
-        one = one.join(grouped.where(F.col("width") == width), "row")
+        shingles = mine.select("row", "doc_id", F.size("w").alias("size"), "segments", _shingles(F.col("w"), width).alias("shingles"))
+        cut = F.transform("segments", lambda g: F.struct(g.alias("segment"), F.slice("shingles", g * step + 1, step + longest).alias("shingles")))
+        one = shingles.select("row", "doc_id", "size", F.explode(cut).alias("g")).select("row", "doc_id", "size", "g.segment", "g.shingles")
+        one = one.join(grouped.where(F.col("width") == width), ["row", "segment"])
         near = one if near is None else near.unionByName(one)
     near = table(near, "near")
     first = F.col("at")
@@ -146,17 +161,25 @@ def _matches(docs: DataFrame, benchmark: DataFrame, threshold: float, radius: in
     # a document shorter than the item is its one window, from 0
     words_of = F.least("n", "size")
     run = words_of - F.col("width")
+    begin = F.col("segment") * step
+    inside = lambda start, n: F.slice("shingles", start - begin + 1, n - F.col("width") + 1)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     windows = (
-        near.join(F.broadcast(lengths), "width")
+        near.repartition(parts, "row", "segment", "width")
+        .join(_maybe_broadcast(lengths, sizes), "width")
         .where(F.size("hits") >= F.col("need"))
         .select("*", F.posexplode("hits").alias("k", "at"))
-        .withColumn("low", F.greatest(before, last - run))
-        .withColumn("high", F.least(first, F.col("size") - words_of))
+        .withColumn("low", F.greatest(before, last - run, begin))
+        .withColumn("high", F.least(first, F.col("size") - words_of, begin + step - 1))
         .where(last.isNotNull() & (F.col("low") <= F.col("high")))
-        .select("row", "n", "width", "shingles", F.explode(F.sequence("low", "high")).alias("start"))
-        .select("row", "n", "width", "start", F.slice("shingles", F.col("start") + 1, F.col("n") - F.col("width") + 1).alias("shingles"))
+        .select("row", "segment", "n", "width", "shingles", F.explode(F.sequence("low", "high")).alias("start"))
+        .select("row", "segment", "n", "start", F.explode(inside(F.col("start"), F.col("n"))).alias("shingle"))
     )
-    marked = windows.withColumn("sums", simhash(F.col("shingles"), lane)).withColumn("print", _signs("sums", F.size("shingles"), lane)).drop("sums")
+    # counters are summed as rows of the window's shingles, in compiled code; they are few numbers when they are shuffled
+    sums = [F.sum(F.call_function("shiftrightunsigned", F.col("shingle"), F.lit(k)).bitwiseAND(F.lit(_lane_mask(lane)))).alias(f"s{k}") for k in range(lane)]
+    counted = windows.groupBy("row", "segment", "n", "start").agg(*sums, F.count("*").alias("many"))
+    marked = counted.select("row", "segment", "n", "start", F.array(*[f"s{k}" for k in range(lane)]).alias("sums"), "many")
+    marked = marked.withColumn("print", _signs("sums", F.col("many"), lane)).drop("sums", "many")
 
     # 3. blocks: the item's side has each block's value and those one bit away
     blocks = _blocks(radius)
@@ -170,24 +193,23 @@ def _matches(docs: DataFrame, benchmark: DataFrame, threshold: float, radius: in
     index = printed.select("item", "n", "item_print", F.explode(F.array(*values)).alias("v")).select("item", "n", "item_print", "v.block", "v.value")
     probes = F.array(*[F.struct(F.lit(b).alias("block"), part(F.col("print"), shift, bits).alias("value")) for b, (shift, bits) in enumerate(blocks)])
     distance = F.bit_count(F.col("print").bitwiseXOR(F.col("item_print")))
-    probed = marked.select("row", "n", "start", "print", F.explode(probes).alias("v")).select("row", "n", "start", "print", "v.block", "v.value")
+    probed = marked.select("row", "segment", "n", "start", "print", F.explode(probes).alias("v")).select("row", "segment", "n", "start", "print", "v.block", "v.value")
     pairs = (
-        probed.join(_maybe_broadcast(index, known[2] * len(values)), ["n", "block", "value"])
+        probed.join(_maybe_broadcast(index, many * len(values)), ["n", "block", "value"])
         .withColumn("distance", distance)
         .where(F.col("distance") <= radius)
-        .select("row", "n", "start", "item", "distance")
+        .select("row", "segment", "n", "start", "item", "distance")
         .distinct()
     )
 
     # 4. exact similarity of what the blocks proposed
     pairs = table(pairs, "pairs")
     checked = (
-        pairs.join(_maybe_broadcast(items.select("item", "item_id", "n", "width", "item_shingles"), known[1]), ["item", "n"])
-        .join(near.select("row", "doc_id", "width", "shingles"), ["row", "width"])
-        .withColumn("similarity", _similarity(F.slice("shingles", F.col("start") + 1, F.col("n") - F.col("width") + 1), F.col("item_shingles")))
+        pairs.join(_maybe_broadcast(items.select("item", "item_id", "n", "width", "item_shingles"), of_items), ["item", "n"])
+        .join(near.select("row", "segment", "doc_id", "width", "size", "shingles"), ["row", "segment", "width"])
+        .withColumn("similarity", _similarity(inside(F.col("start"), F.col("n")), F.col("item_shingles")))
     )
-    used = F.least("n", F.size("shingles") + F.col("width") - 1).alias("n")
-    return checked.where(F.col("similarity") >= threshold).select("row", "doc_id", "item_id", "start", used, "distance", "similarity")
+    return checked.where(F.col("similarity") >= threshold).select("row", "doc_id", "item_id", "start", F.least("n", "size").alias("n"), "distance", "similarity")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

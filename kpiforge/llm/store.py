@@ -49,11 +49,16 @@ def _small_batches(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(k, v)
 
 
+#: On a local file system, where Hadoop has no native library, every file and every checksum file beside it costs a process that sets its
+#: permissions; intermediate tables go without checksum files. Other file systems don't look at this.
+_PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Writes df to the shared folder and returns the DataFrame that reads it."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     with _small_batches(df.sparkSession):
-        df.write.option("compression", codec).option("parquet.block.size", GROUP_BYTES).parquet(path)
+        df.write.options(**_PLAIN_FILES).option("compression", codec).option("parquet.block.size", GROUP_BYTES).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

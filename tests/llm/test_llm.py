@@ -270,6 +270,25 @@ def test_documents_shorter_than_an_item_match_brute_force(spark):
     assert {r["doc_id"] for r in decontam.clean(d, b).collect()} == {i for i, _ in docs} - {i for i, *_ in want}
 
 
+def test_decontamination_across_segments(spark, monkeypatch):
+    """Long documents are cut into segments; passages lie anywhere in them, repeat, and have shingles that repeat."""
+    monkeypatch.setattr(decontam, "SEGMENT", 16)
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 5)))
+    items = [(j, " ".join(word() for _ in range(rng.randint(12, 30)))) for j in range(5)] + [(9, "la la la la la la la la la la la la la la")]
+    docs = []
+    for k in range(40):
+        words = [word() for _ in range(rng.randint(30, 200))]
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(words))
+            passage = rng.choice(items)[1].split()
+            words[at:at] = passage[: rng.choice([len(passage), len(passage), int(0.9 * len(passage)), len(passage) // 2])]
+        docs.append((k, " ".join(words)))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = _brute_decontamination(docs, items)
+    assert {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(d, b).collect()} == want and len(want) > 25
+
+
 def test_decontamination_of_null_and_repeated_ids(spark):
     passage, other = (" ".join(f"{a}{k}" for k in range(30)) for a in "pq")
     docs = [(None, f"so {passage}"), (None, "clean"), (1, other), (1, "clean too"), (1, f"{passage} end"), (2, None), (0, "clean"), (None, None)]

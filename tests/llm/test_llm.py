@@ -459,7 +459,7 @@ def test_frequent_contexts_are_dealt_out(spark, monkeypatch):
     """All words are known everywhere here; contexts of ten tokens or more are dealt, START START START by document."""
     docs = _documents(80, 8)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    monkeypatch.setattr(lm, "SHARD_TOKENS", 20)
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 10)
     plain, _ = _plain_scores(docs, lambda i: i % 3 > 0, 10, 2)
     rows = lm.score(df, F.col("doc_id") % 3 > 0).collect()
     assert len(rows) == 80

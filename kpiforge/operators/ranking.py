@@ -27,9 +27,9 @@ def top_k(df: DataFrame, keys: list[str], k: int, score: str = "score", tie: tup
     return df.where(F.col(score).isNotNull()).withColumn("_k", rank).where(F.col("_k") <= k).drop("_k")
 
 
-def best_of_year(measures: DataFrame, pos: str = "pos") -> DataFrame:
-    """The best measure of each (kpi_name, year); of equal scores the later one."""
-    return keep_first(measures, ["kpi_name", "year"], [F.desc("score"), F.desc(pos)])
+def best_of_year(measures: DataFrame, pos: str = "pos", within: tuple[str, ...] = ()) -> DataFrame:
+    """The best measure of each (kpi_name, year), within further keys; of equal scores the later one."""
+    return keep_first(measures, [*within, "kpi_name", "year"], [F.desc("score"), F.desc(pos)])
 
 
 def no_answers(answers: DataFrame, keys: list[str]) -> DataFrame:
@@ -100,15 +100,25 @@ def paragraph_columns(items: DataFrame, keys: list[str], more_than: int = 5) ->
 
 
 def good_tables(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows, columns, density and numeric cells of tables, and whether they look like tables at all."""
-    from ..functions.shape import looks_numeric
+    """Rows, columns, density and numeric cells of tables, and whether they look like tables at all.
 
+    Fixed values: so many cells, so dense, and so many numbers make a table; more special texts (role 'special', where
+    cells have roles) than a third of a large table unmake it.
+    """
+    from ..functions.shape import looks_numeric, looks_weak_numeric, looks_year
+
+    text = F.col("txt")
+    is_cell = F.col("role") == "cell" if "role" in cells.columns else F.lit(True)
+    number = is_cell & looks_numeric(text) & ~looks_year(text)
+    count = lambda c: F.sum(c.cast("int"))
     agg = cells.groupBy(*keys).agg(
-        F.countDistinct("row").alias("n_rows"), F.countDistinct("col").alias("n_cols"), F.count("*").alias("n_cells"), F.sum(looks_numeric(F.col("txt")).cast("int")).alias("n_numeric")
+        F.countDistinct(F.when(is_cell, F.col("row"))).alias("n_rows"), F.countDistinct(F.when(is_cell, F.col("col"))).alias("n_cols"), count(is_cell).alias("n_cells"),
+        count(number).alias("n_numeric"), count(number | (is_cell & looks_weak_numeric(text))).alias("n_weak"), count(~is_cell).alias("_special"),
     )
-    density = F.col("n_cells") / (F.col("n_rows") * F.col("n_cols"))
-    good = (F.col("n_rows") > 1) & (F.col("n_cols") > 1) & (density >= 0.3) & (F.col("n_numeric") >= 2)
-    return agg.withColumn("density", density).withColumn("good", good)
+    n, numbers, weak, density = (F.col(c) for c in ("n_cells", "n_numeric", "n_weak", "density"))
+    dense = ((numbers > 3) & (density > 0.6)) | ((numbers > 7) & (density > 0.4)) | (numbers > 10) | ((weak > 3) & (n > 5) & (density > 0.4))
+    fit = (F.col("n_rows") >= 2) & (F.col("n_cols") >= 2) & (n >= 4) & (density >= 0.2) & ~((F.col("_special") > 0.33 * n) & (n > 50))
+    return agg.withColumn("density", n / (F.col("n_rows") * F.col("n_cols"))).withColumn("good", fit & dense).drop("_special")
 
 
 def year_cells(cells: DataFrame, keys: list[str]) -> DataFrame:

@@ -138,47 +138,59 @@ def describe_nodes(nodes: DataFrame, rules: list[KpiRule], column: str = "nodes"
     return rows.select(*nodes.columns, "r.kpi_id", "r.kpi_name", F.col("r.m.score").alias("desc_score"))
 
 
-def anywhere_scores(values: DataFrame, texts: DataFrame, rule: KpiRule, keys: list[str]) -> DataFrame:
-    """values (*keys, item_id, x, y, page_diag) with anywhere_ok and anywhere_score from all texts (*keys, txt, x, y) of the page.
+def anywhere_matches(values: DataFrame, texts: DataFrame, rules: list[KpiRule], keys: list[str]) -> DataFrame:
+    """values (*keys, kpi_id, item_id, x, y, page_diag) with anywhere_ok and anywhere_score from all texts (*keys, txt, x, y) of the page.
 
-    The best matches come first, and each further hit counts less. Without rules all values are ok with score 0.
+    A KPI's rules are data: texts meet all patterns in one pass over them, values meet what their KPI's patterns found in
+    one join. The best matches of a rule come first, and each further hit counts less. Values of a KPI without such rules
+    are ok with score 0.
     """
-    own = [*keys, "item_id"]
-    out = values.withColumn("anywhere_ok", F.lit(True)).withColumn("anywhere_score", F.lit(0.0))
-    if not rule.anywhere:
-        return out
-    found = None
-    for n, r in enumerate(rule.anywhere):
-        hit = texts.where(F.rlike("txt", F.lit(f"(?id)^(?:{r.pattern})"))).select(*keys, "txt", F.col("x").alias("tx"), F.col("y").alias("ty"))
-        pairs = values.select(*own, "x", "y", "page_diag").join(hit, keys)
-        plain = r.distance == EUCLID
-        dist = F.sqrt((F.col("tx") - F.col("x")) ** 2 + (F.col("ty") - F.col("y")) ** 2) if plain else weighted_distance(
-            F.col("x"), F.col("y"), F.col("tx"), F.col("ty"), F.col("page_diag") * 0.0007, r.distance == WEIGHTED_UP_ONLY
-        )
-        letter = 0.5 ** (1.0 / r.half_life) if r.half_life > 0 else 1.0
-        scored = pairs.withColumn("d", dist).where("d <> -1").withColumn(
-            "s",
-            r.score * F.pow(F.lit(r.decay), F.col("d") / (0.1 * F.col("page_diag"))) * F.pow(F.lit(letter), F.greatest(F.length(lower_letters(F.col("txt"))) - r.free_letters, F.lit(0)).cast("double")),
+    own = [*keys, "kpi_id", "item_id"]
+    listed = [(k.kpi_id, n, r) for k in rules for n, r in enumerate(k.anywhere)]
+    plain = values.withColumn("anywhere_ok", F.lit(True)).withColumn("anywhere_score", F.lit(0.0))
+    if not listed:
+        return plain
+    met = [
+        F.when(
+            F.rlike("txt", F.lit(f"(?id)^(?:{r.pattern})")),
+            F.struct(
+                F.lit(float(kpi)).alias("kpi_id"), F.lit(n).alias("rule"), F.lit(r.mode).alias("mode"), F.lit(r.distance).alias("kind"), F.lit(float(r.score)).alias("base"), F.lit(float(r.decay)).alias("decay"),
+                F.lit(float(r.hit_decay)).alias("hit_decay"), F.lit(0.5 ** (1.0 / r.half_life) if r.half_life > 0 else 1.0).alias("letter"), F.lit(r.free_letters).alias("free"),
+            ),
         )
-        rank = F.row_number().over(Window.partitionBy(*own).orderBy(F.desc("s"), "txt")) - 1
-        one = scored.withColumn("k", rank).groupBy(*own).agg(F.sum(F.col("s") * F.pow(F.lit(r.hit_decay), F.col("k").cast("double"))).alias("score"), F.count("*").alias("hits"))
-        one = one.withColumn("rule", F.lit(n))
-        found = one if found is None else found.unionByName(one)
-    bad, some = F.lit(False), F.lit(False)
-    needed = any(r.mode in (MAY_INCLUDE, MUST_INCLUDE) for r in rule.anywhere)
-    by = found.groupBy(*own).agg(F.map_from_entries(F.collect_list(F.struct("rule", F.struct("score", "hits")))).alias("m"))
-    total = F.lit(0.0)
-    least = F.lit(0.0)
-    for n, r in enumerate(rule.anywhere):
-        hits = F.coalesce(F.element_at("m", F.lit(n))["hits"], F.lit(0))
-        if r.mode == MUST_EXCLUDE:
-            bad, least = bad | (hits > 0), F.when(hits > 0, -1.0).otherwise(least)
-            continue
-        if r.mode in (MUST_INCLUDE, MUST_INCLUDE_EACH):
-            bad = bad | (hits == 0)
-        if r.mode in (MAY_INCLUDE, MUST_INCLUDE):
-            some = some | (hits > 0)
-        total = total + F.coalesce(F.element_at("m", F.lit(n))["score"], F.lit(0.0))
-    ok = ~bad & (some | F.lit(not needed)) & (total > 0)
-    scored = values.join(by, own, "left")
-    return scored.withColumn("anywhere_ok", ok).withColumn("anywhere_score", F.when(bad, least).when(ok, total).otherwise(0.0)).drop("m")
+        for kpi, n, r in listed
+    ]
+    hits = texts.select(*keys, "txt", F.col("x").alias("tx"), F.col("y").alias("ty"), F.explode(F.array_compact(F.array(*met))).alias("r")).select(*keys, "txt", "tx", "ty", "r.*")
+    pairs = values.select(*own, "x", "y", "page_diag").join(hits, [*keys, "kpi_id"])
+    straight = F.sqrt((F.col("tx") - F.col("x")) ** 2 + (F.col("ty") - F.col("y")) ** 2)
+    weighted = lambda up: weighted_distance(F.col("x"), F.col("y"), F.col("tx"), F.col("ty"), F.col("page_diag") * 0.0007, up)
+    dist = F.when(F.col("kind") == EUCLID, straight).when(F.col("kind") == WEIGHTED_UP_ONLY, weighted(True)).otherwise(weighted(False))
+    spare = F.greatest(F.length(lower_letters(F.col("txt"))) - F.col("free"), F.lit(0)).cast("double")
+    scored = pairs.withColumn("d", dist).where("d <> -1").withColumn("s", F.col("base") * F.pow("decay", F.col("d") / (0.1 * F.col("page_diag"))) * F.pow("letter", spare))
+    rank = F.row_number().over(Window.partitionBy(*own, "rule").orderBy(F.desc("s"), "txt")) - 1
+    one = scored.withColumn("k", rank).groupBy(*own, "rule", "mode").agg(F.sum(F.col("s") * F.pow("hit_decay", F.col("k").cast("double"))).alias("score"))
+    is_must, is_counted = F.col("mode").isin(MUST_INCLUDE, MUST_INCLUDE_EACH), F.col("mode").isin(MAY_INCLUDE, MUST_INCLUDE)
+    by = one.groupBy(*own).agg(
+        F.max((F.col("mode") == MUST_EXCLUDE).cast("int")).alias("_excluded"), F.sum(is_must.cast("int")).alias("_musts"), F.max(is_counted.cast("int")).alias("_some"),
+        F.sum(F.when(F.col("mode") != MUST_EXCLUDE, F.col("score"))).alias("_total"),
+    )
+    # what a KPI's rules ask for, known without looking at any text
+    musts, counted, none = F.lit(0), F.lit(False), F.lit(False)
+    for k in rules:
+        this = F.col("kpi_id") == F.lit(float(k.kpi_id))
+        musts = F.when(this, sum(r.mode in (MUST_INCLUDE, MUST_INCLUDE_EACH) for r in k.anywhere)).otherwise(musts)
+        counted = F.when(this, any(r.mode in (MAY_INCLUDE, MUST_INCLUDE) for r in k.anywhere)).otherwise(counted)
+        none = F.when(this, not k.anywhere).otherwise(none)
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    excluded = zero("_excluded") > 0
+    bad = excluded | (zero("_musts") < musts)
+    total = F.coalesce("_total", F.lit(0.0))
+    ok = ~bad & ((zero("_some") > 0) | ~counted) & (total > 0)
+    score = F.when(none, 0.0).when(bad, F.when(excluded, -1.0).otherwise(0.0)).when(ok, total).otherwise(0.0)
+    out = values.join(by, own, "left").withColumn("anywhere_ok", none | ok).withColumn("anywhere_score", score)
+    return out.drop("_excluded", "_musts", "_some", "_total")
+
+
+def anywhere_scores(values: DataFrame, texts: DataFrame, rule: KpiRule, keys: list[str]) -> DataFrame:
+    """As anywhere_matches(), for the rules of one KPI: values have no kpi_id."""
+    return anywhere_matches(values.withColumn("kpi_id", F.lit(float(rule.kpi_id))), texts, [rule], keys).drop("kpi_id")

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.geometry import page_relative
 from ..functions.shape import looks_numeric, looks_year, to_year
-from ..operators.filters import prefer_dated, score_thresholds
+from ..operators import layout
+from ..operators.filters import ignore_years, prefer_dated, score_thresholds, with_group
 from ..operators.ranking import best_of_year, year_multiplier
-from ..operators.rules import KpiRule, describe_nodes
+from ..operators.rules import KpiRule, anywhere_matches, describe_nodes
 
 BONUS = 100.0
 
@@ -63,8 +65,61 @@ def indirect_year_measures(cells: DataFrame, rules: list[KpiRule], keys: list[st
     )
 
 
-def directory_measures(measures: DataFrame, minimum: float = 500.0) -> DataFrame:
-    """The measures of one report's pages made one list: the best of each KPI and year, near its KPI's best, dated ones
-    before undated. measures must have pos, by which the later of equals stays."""
-    best = best_of_year(measures)
-    return best_of_year(prefer_dated(score_thresholds(best, F.lit(minimum))))
+def directory_measures(measures: DataFrame, minimum: float | None = 500.0, within: tuple[str, ...] = ()) -> DataFrame:
+    """The measures of a report's pages made one list: the best of each KPI and year, near its KPI's best, dated ones
+    before undated. within: the report's keys, if there are several. measures must have pos, by which the later of equals
+    stays; minimum None: scores were looked at before."""
+    best = best_of_year(measures, within=within)
+    keys = (*within, "kpi_name")
+    near = score_thresholds(best, F.lit(float("-inf") if minimum is None else minimum), keys=keys)
+    return best_of_year(prefer_dated(near, keys), within=within)
+
+
+#: What a table's headline counts for, by kind of candidate.
+HEADLINE_SHARE = {"direct": 0.5, "indirect": 0.1, "cluster": 0.0}
+
+
+def page_measures(candidates: DataFrame, texts: DataFrame, rules: list[KpiRule]) -> DataFrame:
+    """The measures that rules find among the candidates of layout.candidates(), with all of kpi_measure's columns and pos.
+
+    texts: layout.page_texts() of the same pages. A candidate's row and column texts are described, its values must have
+    the rule's shape, the first fitting text is its unit, its table's headline and all texts of its page add to its score;
+    a table whose headline or page excludes a rule has no measure of it. The best of a table's year stays.
+    """
+    by = lambda f: F.coalesce(*[F.when(F.col("kpi_id") == F.lit(float(r.kpi_id)), f(r)) for r in rules])
+    named = describe_nodes(candidates.withColumn("_all", F.concat("nodes", "above")), rules, "_all")
+    share = F.coalesce(*[F.when(F.col("kind") == k, F.lit(x)) for k, x in HEADLINE_SHARE.items()])
+    judged = named.withColumns({
+        "_head": by(lambda r: r.describe(F.col("headline"))["score"]), "_fits": by(lambda r: F.forall("values", r.value_ok)), "unit": by(lambda r: F.get(F.filter("units", r.unit_ok), F.lit(0))),
+        "_least": by(lambda r: F.lit(float(r.minimum_score))), "page_diag": F.sqrt(F.col("page_width") ** 2 + F.col("page_height") ** 2),
+    }).where("_head >= 0 and _fits and unit is not null")
+    page = ["doc", "page"]
+    asked = judged.select(*page, "kpi_id", "item_id", "x", "y", "page_diag").distinct()
+    told = texts.where("left_id is null").select(*page, F.col("row_txt").alias("txt"), F.col("x0").alias("x"), F.col("y0").alias("y"))
+    found = anywhere_matches(asked, told, rules, page).select(*page, "kpi_id", "item_id", "anywhere_ok", "anywhere_score")
+    table = [*page, "table_id", "kind", "kpi_id"]
+    met = with_group(judged.join(found, [*page, "kpi_id", "item_id"]), table, _page_ok=F.min("anywhere_ok")).where("_page_ok")
+    total = F.col("desc_score") + share * F.col("_head") + F.col("anywhere_score") + F.when(F.col("kind") == "direct", BONUS).otherwise(0.0)
+    scored = met.withColumn("score", total).where(F.col("score") >= F.col("_least"))
+    ranked = scored.withColumn("pos", F.struct("page", "table_id", "kind", "row", "col"))
+    best = best_of_year(ranked, within=(*page, "table_id", "kind"))
+    # several years in a row speak for it: a direct row counts its values, an indirect one the years that stayed
+    rows = with_group(best, [*table, "row"], _years=F.countDistinct("year"))
+    more = F.when(F.col("kind") == "direct", F.size("values")).otherwise(F.col("_years")) - 1
+    pos_x, pos_y = page_relative(F.col("x"), F.col("y"), F.col("page_width"), F.col("page_height"))
+    match = F.concat(F.when(F.col("kind") == "cluster", "AC.default").otherwise(F.concat(F.lit("AT."), F.col("kind"))))
+    return rows.select(
+        "kpi_id", "kpi_name", F.col("doc").alias("src_file"), F.col("page").alias("page_num"), F.array("item_id").alias("item_ids"), pos_x.alias("pos_x"), pos_y.alias("pos_y"), F.col("txt").alias("raw_txt"),
+        "year", F.trim("txt").alias("value"), (F.col("score") * F.pow(F.lit(1.2), F.greatest(more, F.lit(0)))).alias("score"), "unit", match.alias("match_type"), "pos",
+    )
+
+
+def report_measures(words: DataFrame, rules: list[KpiRule], default_year: int = layout.DEFAULT_YEAR, clusters: bool = False, without_years: bool = False, two_pages: bool = False) -> DataFrame:
+    """kpi_measure of all reports: from positioned words (see readers.WORDS) to each report's best measures.
+
+    clusters: also numbers outside tables; without_years: all years unknown; two_pages: tables may go on on the next page.
+    """
+    pages = layout.stacked(words) if two_pages else words
+    found = page_measures(layout.candidates(pages, default_year, clusters), layout.page_texts(pages), rules)
+    found = ignore_years(found) if without_years else found
+    return directory_measures(found, None, ("src_file",)).drop("pos")

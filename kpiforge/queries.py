@@ -516,8 +516,13 @@ def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("t"), F.col("l_linenumber").alias("row"), F.posexplode(F.array("l_linestatus", F.col("l_quantity").cast("string"), last)).alias("col", "txt"))
 
 
-@query(rf"""WITH {_CELL_SQL}, g AS (SELECT t, count(DISTINCT row) AS n_rows, count(DISTINCT col) AS n_cols, count(*) AS n_cells, count(*) FILTER (regexp_full_match(translate(txt, ' ()$%', ''), '{shape.NUMBER}\**')) AS n_numeric FROM cells GROUP BY t)
-  SELECT t, n_rows, n_cols, n_numeric, n_rows > 1 AND n_cols > 1 AND n_cells / (n_rows * n_cols) >= 0.3 AND n_numeric >= 2 AS good FROM g""")
+_SQL_CELL_NUMBER = rf"regexp_full_match(translate(txt, ' ()$%', ''), '{shape.NUMBER}\**') AND len(translate(txt, ' ()$%', '')) > 0 AND NOT regexp_full_match(replace(txt, ' ', ''), '{shape.YEAR[1:-1]}')"
+
+
+@query(rf"""WITH {_CELL_SQL}, g AS (SELECT t, count(DISTINCT row) AS n_rows, count(DISTINCT col) AS n_cols, count(*) AS n_cells, count(*) FILTER ({_SQL_CELL_NUMBER}) AS n_numeric,
+    count(*) FILTER (({_SQL_CELL_NUMBER}) OR regexp_matches(txt, '\p{{N}}')) AS n_weak FROM cells GROUP BY t), d AS (SELECT *, n_cells / (n_rows * n_cols) AS density FROM g)
+  SELECT t, n_rows, n_cols, n_numeric, n_rows >= 2 AND n_cols >= 2 AND n_cells >= 4 AND density >= 0.2 AND
+    ((n_numeric > 3 AND density > 0.6) OR (n_numeric > 7 AND density > 0.4) OR n_numeric > 10 OR (n_weak > 3 AND n_cells > 5 AND density > 0.4)) AS good FROM d""")
 def table_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which reconstructed tables look like tables."""
     return ranking.good_tables(_cells(spark, sf_dir), ["t"]).select("t", "n_rows", "n_cols", "n_numeric", "good")

@@ -12,7 +12,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from kpiforge.functions import geometry, positions, shape, text
+from kpiforge.functions import fuzzy, geometry, positions, shape, text
 from kpiforge.operators import filters, joins, layout, metrics, paragraphs, ranking, reshape, sampling
 from kpiforge.operators.rules import AnywhereRule, DescriptionRule, KpiRule, anywhere_scores
 from kpiforge.plans import rule_based
@@ -214,7 +214,7 @@ def test_layout_finds_the_table(spark):
 def test_clusters_and_ratio(spark):
     steps = layout.linkage(np.array([[0.0, 0.0], [0.0, 1.0], [10.0, 0.0]]))
     assert steps[0] == (0, 1, 1.0) and steps[1][:2] == (3, 2) or steps[1][:2] == (2, 3)
-    assert layout.partial_ratio("emission", "the emission of it") == 1.0 and layout.partial_ratio("", "x") == 0.0
+    assert fuzzy.partial_ratio("emission", "the emission of it") == 1.0 and fuzzy.partial_ratio("", "x") == 0.0
     upper = pd.DataFrame({"y0": [1.0], "y1": [2.0], "item_id": [0], "page": [0], "page_height": [100.0]})
     assert layout.stack_pages(upper, upper.assign(page=1))["y0"].tolist() == [1.0, 101.0]
 

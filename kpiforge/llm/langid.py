@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import _LOWER, _pieces, slices
+from .text import _LOWER, _pieces, lean, slices
 
 #: Labelled rows that a fit takes, about: beyond, a share of them chosen by hash of the text.
 TRAIN_ROWS = 20_000
@@ -112,6 +112,7 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
         shared = F.broadcast(docs.sparkSession.createDataFrame(shares, "lang string, share bigint, rest bigint"))
         known = known.join(shared, "lang", "left").where(F.col("share").isNull() | (F.pmod(F.xxhash64("text"), "share") == F.col("rest"))).select("text", "lang")
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -151,6 +152,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @lean
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1, rows=TEXTS):

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import release, table
-from .text import U64, shingle_hashes, slices, word_hashes
+from .text import U64, lean, shingle_hashes, slices, word_hashes
 
 WIDTH, PERCENT = 5, 80
 #: Shingles in so many sets are frequent; at most FREQUENT_LIMIT of them (the most frequent) are told apart.
@@ -89,6 +89,7 @@ def shingle_sets(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     copies is a few rows to whatever comes next.
     """
 
+    @lean
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -135,6 +136,7 @@ def _counted(sets: DataFrame, percent: int, at: int, limit: int, order: _Order |
     parts = 1 << (max(int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions")), many // COUNTED, 1) - 1).bit_length()
     shift = U64(64 - (parts.bit_length() - 1))
 
+    @lean
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             low = [x[: _region(x, percent)] for x in _arrays(batch.column(0))] if order is None else [x[_region(x, percent) :] for x in _arrays(batch.column(0)) if order.short(x)]
@@ -246,6 +248,7 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     order = _Order(_frequent(sets, percent, FREQUENT_AT, FREQUENT_LIMIT), percent)
 
+    @lean
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sid, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
@@ -256,6 +259,7 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
                     [pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(sid, size)), pa.array(np.repeat(n, size))], names=["shingle", "sid", "n"]
                 )
 
+    @lean
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come by shingle, n and sid; what later rows can still pair with is all that is held."""
         key, sid, n = (np.empty(0, dtype=np.int64) for _ in range(3))
@@ -295,6 +299,7 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     in_order = met.select("shingle", "sid", "n").repartition(parts, "shingle").sortWithinPartitions("shingle", "n", "sid")
     proposed = table(in_order.mapInArrow(pairs, "a bigint, b bigint").distinct(), "proposed")
 
+    @lean
     def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             na, nb = batch.column(2).to_numpy(), batch.column(4).to_numpy()
@@ -302,6 +307,7 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
             keep = [overlap_bound(x, p, y, q) >= least_overlap(p, q, percent) for x, p, y, q in zip(maps[0], na, maps[1], nb)]
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
+    @lean
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [_sorted_overlap(x, y) >= least_overlap(len(x), len(y), percent) for x, y in zip(_arrays(batch.column(2)), _arrays(batch.column(3)))]
@@ -330,6 +336,7 @@ def links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 def _frequent_ones(some: DataFrame, order: _Order) -> DataFrame:
     """The classes (sid, n, shingles) whose prefix has frequent shingles."""
 
+    @lean
     def frequent_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array([order.prefix(v)[1] for v in _arrays(batch.column(2))], pa.bool_()))

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .pretokens import encode
 from .store import release, table
+from .text import lean
 
 CAPACITY, END_ID, TEXTS = 1024, 2, 256
 #: Offsets of the ranks are broadcast up to so many rows; beyond, the join shuffles.
@@ -164,6 +165,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     task's part. A null text is an empty one and has the end id alone. tokenizer: path of a tokenizers file.
     """
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import lean
+
 TEXTS, NEAR = 512, 48
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "national_id", "wallet", "secret")
@@ -239,6 +241,7 @@ _SPANS_SQL = "array<struct<start:int,end:int,kind:string,score:double>>"
 def spans(docs: DataFrame) -> DataFrame:
     """(doc_id, spans) of each row of docs (doc_id, text); other columns are not looked at; repeated rows stay."""
 
+    @lean
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, TEXTS):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import release, table
-from .text import U64, mix, slices, word_table
+from .text import U64, lean, mix, slices, word_table
 
 #: Labelled rows that a fit takes, about: beyond, a share of them chosen by hash of doc_id.
 TRAIN_ROWS = 40_000
@@ -76,6 +76,7 @@ def statistics(texts: list[str | None]) -> np.ndarray:
 def statistics_table(docs: DataFrame) -> DataFrame:
     """(doc_id, stats array<float>) of each row of docs (doc_id, text)."""
 
+    @lean
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 1, rows=TEXTS):
@@ -194,6 +195,7 @@ def fit(stats: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mo
 def score(stats: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, score, predicted) of each row of a statistics_table(); score 0.5 without a model."""
 
+    @lean
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, len(STATISTICS)).astype(float)

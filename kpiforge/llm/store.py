@@ -35,6 +35,14 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+def modest(spark: SparkSession) -> None:
+    """Passes rows to Python in small batches for the rest of the session, unless its settings already ask for fewer."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key).rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 @contextmanager
 def _small_batches(spark: SparkSession) -> Iterator[None]:
     """Plans made inside pass rows to Python in small batches; the session's own settings come back."""

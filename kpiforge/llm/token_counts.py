@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .pretokens import CHUNK, CONTRACTIONS, Tokens, boundaries, safe_cuts, tokens
-from .text import slices
+from .text import lean, slices
 
 _NEXT = regex.compile("|".join(CONTRACTIONS) + r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: A leaf that edits have grown beyond so many characters makes its tree be built anew.
@@ -172,6 +172,7 @@ def recount(docs: DataFrame, tokenizer: str) -> DataFrame:
     Repeated rows stay; no rows give none. tokenizer: path of a tokenizers file.
     """
 
+    @lean
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokens(tokenizer)
         for batch in batches:

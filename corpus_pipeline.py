@@ -1,5 +1,8 @@
 """The corpus pipeline: documents in a language, one of each group of near-duplicates, free of benchmark passages and of
-personal data, packed into sequences."""
+personal data, packed into sequences.
+
+Null doc_ids take part in every stage, repeated rows as their stage says. A null or empty text ends at the first stage; a
+table without rows gives one without rows. Stages pass texts to Python in small batches, a setting of the session."""
 
 from __future__ import annotations
 
@@ -7,31 +10,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kpiforge.llm import decontam, langid, ngram_join, packing, pii
 from kpiforge.llm.queries import tokenizer_path
-from kpiforge.llm.store import table
+from kpiforge.llm.store import modest, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: null texts and those without a letter."""
+    """Drops documents without a language: null texts and those without a letter. Repeated rows stay."""
+    modest(spark)
     return langid.known_language(docs, langid.fit(docs))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each component of near-duplicates."""
+    """Keeps the smallest doc_id of each component of near-duplicates; equal rows are one, and of null doc_ids alone one stays."""
+    modest(spark)
     return ngram_join.first_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark passage."""
+    """Drops documents that hold a benchmark passage, whatever their doc_id."""
+    modest(spark)
     return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Puts its kind in place of every piece of personal data."""
+    """Puts its kind in place of every piece of personal data and every secret; all rows stay."""
+    modest(spark)
     return pii.without_personal_data(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents, packed: doc_id, piece, start, length, ids, sequence_id, offset."""
+    modest(spark)
     return packing.pack(docs, tokenizer_path())
 
 

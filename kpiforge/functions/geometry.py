@@ -87,3 +87,8 @@ def page_relative(x: Column, y: Column, page_width: Column, page_height: Column)
 def depth(size: Column, bold: Column, brightness: Column) -> Column:
     """Rank in the visual hierarchy, smaller is higher: larger, then bold, then darker type stands above."""
     return -(size * 10) - F.when(bold, 5).otherwise(0) + brightness
+
+
+def font_id(font: Column, size: Column, bold: Column, brightness: Column) -> Column:
+    """The identity of a type: face, size, weight and shade."""
+    return F.concat_ws("|", font, size.cast("string"), bold.cast("int").cast("string"), F.format_number(brightness, 2))

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from .schemas import NO_ANSWER
 
 ANSWERS = "array<struct<answer:string,score:double>>"
+#: Pairs that a model gets at once.
+CHUNK = 1000
 
 
 class RelevanceModel(Protocol):
@@ -33,6 +35,12 @@ class AnswerModel(Protocol):
     def __call__(self, questions: list[str], paragraphs: list[str]) -> list[tuple[list[tuple[str, float]], float]]: ...
 
 
+def chunks(question: pd.Series, paragraph: pd.Series, size: int = CHUNK) -> Iterator[tuple[list[str], list[str]]]:
+    """A batch in pieces of at most so many pairs."""
+    for at in range(0, len(question), size):
+        yield question.iloc[at : at + size].tolist(), paragraph.iloc[at : at + size].tolist()
+
+
 def relevance_udf(load: Callable[[], RelevanceModel]):
     """A column function (question, paragraph) -> probability; load runs once for each worker's partition."""
 
@@ -40,7 +48,7 @@ def relevance_udf(load: Callable[[], RelevanceModel]):
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         model = load()
         for question, paragraph in batches:
-            yield pd.Series(model(question.tolist(), paragraph.tolist()), dtype=float)
+            yield pd.Series([x for q, p in chunks(question, paragraph) for x in model(q, p)], dtype=float)
 
     return score
 
@@ -52,7 +60,7 @@ def answer_udf(load: Callable[[], AnswerModel]):
     def answer(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         model = load()
         for question, paragraph in batches:
-            out = model(question.tolist(), paragraph.tolist())
+            out = [x for q, p in chunks(question, paragraph) for x in model(q, p)]
             yield pd.DataFrame({"answers": [[{"answer": a, "score": s} for a, s in spans] for spans, _ in out], "no_ans_gap": [g for _, g in out]})
 
     return answer

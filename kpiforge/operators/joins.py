@@ -6,8 +6,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.fuzzy import partial_ratio_of
 from ..functions.geometry import Rect, area, intersection_area
-from ..functions.text import with_year
+from ..functions.text import file_stem, with_year
 
 #: A question list is broadcast up to so many rows.
 SMALL = 100_000
@@ -63,6 +64,34 @@ def first_containing(sentences: DataFrame, paragraphs: DataFrame, keys: list[str
     return sentences.join(first, [*keys, sentence], "left")
 
 
+def closest_paragraph(rows: DataFrame, paragraphs: DataFrame, keys: list[str], sentence: str = "paragraph", answer: str = "answer", order: tuple[str, ...] = ("para_idx",)) -> DataFrame:
+    """rows with context: the first paragraph of equal keys that contains the annotated text, else the one most like it if it
+    has the answer, else the annotated text itself.
+
+    Only texts that no paragraph contains are compared, with the paragraphs of their keys.
+    """
+    found = first_containing(rows, paragraphs, keys, sentence, list(order)).withColumnRenamed("text", "_whole").drop(*order)
+    lost = found.where("_whole is null").select(*keys, sentence, answer).distinct()
+    pairs = lost.join(paragraphs.select(*keys, *order, "text"), keys).withColumn("_like", partial_ratio_of(F.col(sentence), F.col("text")))
+    best = pairs.groupBy(*keys, sentence, answer).agg(F.max_by("text", F.struct("_like", *[(-F.col(c)).alias(c) for c in order])).alias("_best"))
+    told = found.join(best.where(F.contains("_best", F.col(answer))), [*keys, sentence, answer], "left")
+    return told.withColumn("context", F.coalesce("_whole", "_best", F.col(sentence))).drop("_whole", "_best").select(*rows.columns, "context")
+
+
+def with_extraction(annotations: DataFrame, extractions: DataFrame) -> DataFrame:
+    """Annotations (source_file, company, ...) with the extraction (file) of their report: of the same stem, else the first
+    whose name contains '<stem>-<company>'; null if there is none."""
+    files = extractions.select("file", file_stem(F.col("file")).alias("_stem")).distinct()
+    exact = files.groupBy("_stem").agg(F.min("file").alias("_exact"))
+    own = annotations.withColumn("_stem", file_stem(F.col("source_file"))).join(exact, "_stem", "left")
+    lost = own.where("_exact is null").select("_stem", "company").distinct()
+    part = F.concat_ws("-", lost["_stem"], lost["company"])
+    loose = lost.join(small(files.select(F.col("file").alias("_file"))), F.contains("_file", part)).groupBy("_stem", "company").agg(F.min("_file").alias("_loose"))
+    same = (F.col("_stem") == F.col("_s")) & F.col("company").eqNullSafe(F.col("_c"))
+    out = own.join(loose.select(F.col("_stem").alias("_s"), F.col("company").alias("_c"), "_loose"), same, "left")
+    return out.withColumn("file", F.coalesce("_exact", "_loose")).drop("_stem", "_exact", "_s", "_c", "_loose")
+
+
 def elsewhere_answered(annotations: DataFrame, paragraphs: DataFrame, excluded_kpis: tuple[float, ...] = (0.0, 1.0, 9.0, 11.0)) -> DataFrame:
     """Paragraphs on other pages of the same report that contain the answer, for KPIs that are not excluded."""
     asked = annotations.where(~F.col("kpi_id").cast("double").isin(*excluded_kpis)).select("pdf_name", "kpi_id", "question", "answer", F.col("page0").alias("source_page0"))
@@ -136,9 +165,9 @@ def with_coordinates(results: DataFrame, items: DataFrame, words: DataFrame) ->
 
     keys = ["pdf_name", "page0"]
     asked = results.select(*keys, "answer").where("answer is not null and answer <> ''").distinct()
-    hits = asked.join(items, keys).withColumn("_at", F.instr("txt", F.col("answer"))).where("_at > 0")
+    hits = asked.join(items.select(*keys, "item_id", "txt", "page_width", "page_height"), keys).withColumn("_at", F.instr("txt", F.col("answer"))).where("_at > 0")
     first = hits.withColumn("_k", F.row_number().over(Window.partitionBy(*keys, "answer").orderBy("item_id"))).where("_k = 1")
-    placed = first.withColumn("word_idx", word_index(F.col("txt"), F.col("_at") - 1)).join(words, [*keys, "item_id", "word_idx"])
+    placed = first.withColumn("word_idx", word_index(F.col("txt"), F.col("_at") - 1)).join(words.select(*keys, "item_id", "word_idx", "x0", "y0"), [*keys, "item_id", "word_idx"])
     place = placed.select(*keys, "answer", (F.col("x0") / F.col("page_width")).alias("pos_x"), (F.col("y0") / F.col("page_height")).alias("pos_y"))
     return results.join(place, [*keys, "answer"], "left")
 

@@ -72,6 +72,14 @@ def flatten_squad(nested: DataFrame) -> DataFrame:
     return answers.select("title", "context", "id", "question", "is_impossible", F.col("a.text").alias("answer"), F.col("a.answer_start").alias("answer_start"))
 
 
+def slice_squad(nested: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Only the paragraphs at chosen (title, index) pairs, index from 0; titles without any go."""
+    keep = chosen.groupBy("title").agg(F.collect_set("index").alias("_keep"))
+    some = F.filter(F.transform("paragraphs", lambda p, i: F.struct(p.alias("p"), i.alias("i"))), lambda x: F.array_contains(F.col("_keep"), x["i"]))
+    out = nested.join(keep, "title").withColumn("paragraphs", F.transform(some, lambda x: x["p"]))
+    return out.where(F.size("paragraphs") > 0).select(nested.columns)
+
+
 def answerable(nested: DataFrame, wanted: bool = True) -> DataFrame:
     """Only the questions that can, or cannot, be answered; paragraphs and titles without any go."""
     some = F.transform("paragraphs", lambda p: F.struct(p["context"].alias("context"), F.filter(p["qas"], lambda q: q["is_impossible"] != wanted).alias("qas")))

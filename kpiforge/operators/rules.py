@@ -138,6 +138,47 @@ def describe_nodes(nodes: DataFrame, rules: list[KpiRule], column: str = "nodes"
     return rows.select(*nodes.columns, "r.kpi_id", "r.kpi_name", F.col("r.m.score").alias("desc_score"))
 
 
+def describe_lists(lists: DataFrame, rules: list[KpiRule], key: str = "list_id", column: str = "nodes") -> DataFrame:
+    """(key, kpi_id, kpi_name, ok, score): what KpiRule.describe() says of each list of texts, for the KPIs that hit any of them.
+
+    lists: (key, column array<string>), unique by key. The rules are data: a text meets all patterns in one pass, and hits are
+    counted and summed by list and rule, so the plan stays small however many rules there are. A KPI that hits nothing
+    has no row; its score would be 0 and not ok.
+    """
+    many = F.size(column)
+    each = lists.select(key, many.alias("_n"), F.posexplode(F.concat(F.col(column), F.array(F.array_join(column, " ")))).alias("_pos", "_txt"))  # the texts, and all as one
+    listed = [(k, n, r) for k in rules for n, r in enumerate(k.descriptions)]
+    met = []
+    for k, n, r in listed:
+        facts = {"kpi_id": float(k.kpi_id), "kpi_name": k.name, "rule": n, "mode": r.mode, "base": float(r.score), "decay": float(r.decay), "hit_decay": float(r.hit_decay), "letter": r.letter_decay, "free": r.free_letters, "counts": r.counts, "joined": r.joined}
+        met.append(F.when(r.hits(F.col("_txt")), F.struct(*[F.lit(v).alias(c) for c, v in facts.items()])))
+    hits = each.select(key, "_n", "_pos", "_txt", F.explode(F.array_compact(F.array(*met))).alias("r")).select(key, "_n", "_pos", "_txt", "r.*")
+    hits = hits.withColumn("_whole", F.col("_pos") == F.col("_n")).where("joined or not _whole")
+    spare = F.greatest(F.length(lower_letters(F.col("_txt"))) - F.col("free"), F.lit(0)).cast("double")
+    before = F.row_number().over(Window.partitionBy(key, "kpi_id", "rule").orderBy("_pos")) - 1
+    worth = hits.withColumns({"_worth": F.col("base") * F.pow("letter", spare), "_h": before})
+    part = F.col("_worth") * F.pow("decay", F.col("_pos").cast("double")) * F.pow("hit_decay", F.col("_h").cast("double"))
+    one = worth.groupBy(key, "_n", "kpi_id", "kpi_name", "rule", "mode", "counts").agg(
+        F.coalesce(F.sum(F.when(~F.col("_whole"), part)), F.lit(0.0)).alias("_sum"), F.coalesce(F.max(F.when(F.col("_whole"), F.col("_worth"))), F.lit(0.0)).alias("_one"),
+        F.sum((~F.col("_whole")).cast("int")).alias("_hits"), F.max(F.col("_whole")).alias("_as_one"),
+    )
+    mode, score = F.col("mode"), F.greatest("_one", "_sum")
+    held = F.when(mode == MUST_EXCLUDE, F.col("_hits") == 0).when(mode == MUST_INCLUDE_EACH, (F.col("_hits") == F.col("_n")) | F.col("_as_one")).otherwise(F.lit(True))
+    by = one.groupBy(key, "_n", "kpi_id", "kpi_name").agg(
+        F.max((mode == MUST_EXCLUDE) & (F.col("_hits") > 0)).alias("_excluded"), F.sum(((mode == MUST_INCLUDE) & held).cast("int")).alias("_musts"), F.sum(((mode == MUST_INCLUDE_EACH) & held).cast("int")).alias("_each"),
+        F.max(held & F.col("counts") & mode.isin(MAY_INCLUDE, MUST_INCLUDE, MUST_INCLUDE_EACH) & (score > 0)).alias("_some"), F.sum(F.when(held, score).otherwise(0.0)).alias("_total"),
+    )
+    need = F.coalesce(*[
+        F.when(F.col("kpi_id") == float(k.kpi_id), F.struct(*[F.lit(sum(r.mode == m for r in k.descriptions)).alias(c) for m, c in ((MUST_INCLUDE, "m"), (MUST_INCLUDE_EACH, "e"))], F.lit(float(k.minimum_description)).alias("least")))
+        for k in rules
+    ])
+    judged = by.withColumn("_need", need).withColumn("_bad", F.col("_excluded") | (F.col("_musts") < F.col("_need.m")) | ((F.col("_n") > 0) & (F.col("_each") < F.col("_need.e"))))
+    total = F.col("_total")
+    ok = ~F.col("_bad") & F.col("_some") & (total >= F.col("_need.least")) & (total > 0)
+    points = F.when(F.col("_bad"), F.when(F.col("_excluded"), -1.0).otherwise(0.0)).when(F.col("_some"), total).otherwise(0.0)
+    return judged.select(key, "kpi_id", "kpi_name", ok.alias("ok"), points.alias("score"))
+
+
 def anywhere_matches(values: DataFrame, texts: DataFrame, rules: list[KpiRule], keys: list[str]) -> DataFrame:
     """values (*keys, kpi_id, item_id, x, y, page_diag) with anywhere_ok and anywhere_score from all texts (*keys, txt, x, y) of the page.
 

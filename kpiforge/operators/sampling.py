@@ -36,6 +36,18 @@ def split(df: DataFrame, dev_share: float, seed: int, *keys: str) -> DataFrame:
     return df.withColumn("split", F.when(part < round(dev_share * 1_000_000), "dev").otherwise("train"))
 
 
+def split_exactly(df: DataFrame, dev_share: float, seed: int, *keys: str) -> DataFrame:
+    """df with split: of its distinct keys, in random order, the first whole number below the train share's are 'train'.
+
+    A share of 0 makes all of them 'train'. The order is a distributed sort; its head is cut at the count.
+    """
+    each = df.select(*keys).distinct().withColumn("_draw", draw(seed, *map(F.col, keys)))
+    n = int((1 - dev_share) * each.count())
+    train = each.orderBy("_draw", *keys).limit(n).select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.lit("train").alias("_split"))
+    same = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]
+    return df.join(train, same, "left").withColumn("split", F.coalesce("_split", F.lit("dev"))).drop("_split", *[f"_t_{k}" for k in keys])
+
+
 def fold(df: DataFrame, k: int, seed: int, *keys: str) -> DataFrame:
     """df with fold 0 to k - 1."""
     return df.withColumn("fold", bucket(k, seed, *map(F.col, keys)).cast("int"))

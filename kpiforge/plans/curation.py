@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.positions import answer_offsets, shifted_from_start
 from ..functions.text import answer_line, clean_for_answers, clean_for_curation, page_list, paragraph_list, pdf_name, sentence_list
 from ..operators.filters import category_valid, text_annotations
-from ..operators.joins import elsewhere_answered, first_containing, unanswerable, with_dated_question, with_question
+from ..operators.joins import closest_paragraph, elsewhere_answered, unanswerable, with_dated_question, with_question
 from ..operators.paragraphs import positive_examples, zip_pages
 from ..operators.ranking import group_first, keep_first
 from ..operators.reshape import nest_squad, union_all
@@ -50,14 +50,15 @@ def answer_rows(annotations: DataFrame, kpis: DataFrame) -> DataFrame:
 
 
 def answerable_rows(rows: DataFrame, paragraphs: DataFrame, more: bool = True) -> DataFrame:
-    """Located answers: the full paragraph that holds the annotated one, or that itself, and all offsets of the answer there.
+    """Located answers: the full paragraph that holds the annotated one, or is most like it, or that itself, and all offsets
+    of the answer there.
 
     more: also paragraphs on other pages that contain the answer.
     """
     clean = rows.withColumns({"paragraph": clean_for_answers(F.col("paragraph")), "answer": clean_for_answers(F.col("answer"))})
     whole = paragraphs.withColumn("text", clean_for_answers(F.col("text")))
-    full = first_containing(clean, whole, ["pdf_name", "page0"], "paragraph", ["para_idx"])
-    base = full.select("pdf_name", "kpi_id", "question", "answer", F.coalesce("text", "paragraph").alias("context"), F.lit(0).alias("extra"))
+    full = closest_paragraph(clean, whole, ["pdf_name", "page0"])
+    base = full.select("pdf_name", "kpi_id", "question", "answer", "context", F.lit(0).alias("extra"))
     if more:
         extra = elsewhere_answered(clean, whole).select("pdf_name", "kpi_id", "question", "answer", F.col("text").alias("context"), F.lit(1).alias("extra"))
         base = base.unionByName(extra)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import page_relative
 from ..functions.shape import looks_numeric, looks_year, to_year
 from ..operators import layout
-from ..operators.filters import ignore_years, prefer_dated, score_thresholds, with_group
+from ..operators.filters import ignore_years, prefer_dated, score_thresholds
 from ..operators.ranking import best_of_year, year_multiplier
-from ..operators.rules import KpiRule, anywhere_matches, describe_nodes
+from ..operators.rules import KpiRule, anywhere_matches, describe_lists, describe_nodes
 
 BONUS = 100.0
 
@@ -84,27 +85,35 @@ def page_measures(candidates: DataFrame, texts: DataFrame, rules: list[KpiRule])
 
     texts: layout.page_texts() of the same pages. A candidate's row and column texts are described, its values must have
     the rule's shape, the first fitting text is its unit, its table's headline and all texts of its page add to its score;
-    a table whose headline or page excludes a rule has no measure of it. The best of a table's year stays.
+    a table whose headline or page excludes a rule has no measure of it. The best of a table's year stays. Candidates that
+    fit are kept by the executors (and computed again where one is lost) until the session's cache is cleared.
     """
     by = lambda f: F.coalesce(*[F.when(F.col("kpi_id") == F.lit(float(r.kpi_id)), f(r)) for r in rules])
-    named = describe_nodes(candidates.withColumn("_all", F.concat("nodes", "above")), rules, "_all")
+    keyed = candidates.withColumn("_all", F.concat("nodes", "above")).withColumns({"_list": F.xxhash64("_all"), "_over": F.xxhash64("headline")})
+    lists = keyed.select(F.explode(F.array(F.struct(F.col("_list").alias("list_id"), F.col("_all").alias("nodes")), F.struct(F.col("_over").alias("list_id"), F.col("headline").alias("nodes")))).alias("x")).select("x.*")
+    told = describe_lists(lists.dropDuplicates(["list_id"]), rules)
+    named = keyed.join(told.where("ok").select(F.col("list_id").alias("_list"), "kpi_id", "kpi_name", F.col("score").alias("desc_score")), "_list")
+    heads = told.select(F.col("list_id").alias("_over"), "kpi_id", F.col("score").alias("_head"))
+    named = named.join(heads, ["_over", "kpi_id"], "left").withColumn("_head", F.coalesce("_head", F.lit(0.0)))
     share = F.coalesce(*[F.when(F.col("kind") == k, F.lit(x)) for k, x in HEADLINE_SHARE.items()])
-    judged = named.withColumns({
-        "_head": by(lambda r: r.describe(F.col("headline"))["score"]), "_fits": by(lambda r: F.forall("values", r.value_ok)), "unit": by(lambda r: F.get(F.filter("units", r.unit_ok), F.lit(0))),
+    known = named.withColumns({
+        "_fits": by(lambda r: F.forall("values", r.value_ok)), "unit": by(lambda r: F.get(F.filter("units", r.unit_ok), F.lit(0))),
         "_least": by(lambda r: F.lit(float(r.minimum_score))), "page_diag": F.sqrt(F.col("page_width") ** 2 + F.col("page_height") ** 2),
-    }).where("_head >= 0 and _fits and unit is not null")
+    })
+    # few candidates fit any rule; they are read several times from here on
+    judged = known.where("_head >= 0 and _fits and unit is not null").persist(StorageLevel.MEMORY_AND_DISK)
     page = ["doc", "page"]
     asked = judged.select(*page, "kpi_id", "item_id", "x", "y", "page_diag").distinct()
     told = texts.where("left_id is null").select(*page, F.col("row_txt").alias("txt"), F.col("x0").alias("x"), F.col("y0").alias("y"))
     found = anywhere_matches(asked, told, rules, page).select(*page, "kpi_id", "item_id", "anywhere_ok", "anywhere_score")
     table = [*page, "table_id", "kind", "kpi_id"]
-    met = with_group(judged.join(found, [*page, "kpi_id", "item_id"]), table, _page_ok=F.min("anywhere_ok")).where("_page_ok")
+    met = judged.join(found, [*page, "kpi_id", "item_id"]).withColumn("_page_ok", F.min("anywhere_ok").over(Window.partitionBy(*table))).where("_page_ok")
     total = F.col("desc_score") + share * F.col("_head") + F.col("anywhere_score") + F.when(F.col("kind") == "direct", BONUS).otherwise(0.0)
     scored = met.withColumn("score", total).where(F.col("score") >= F.col("_least"))
     ranked = scored.withColumn("pos", F.struct("page", "table_id", "kind", "row", "col"))
     best = best_of_year(ranked, within=(*page, "table_id", "kind"))
     # several years in a row speak for it: a direct row counts its values, an indirect one the years that stayed
-    rows = with_group(best, [*table, "row"], _years=F.countDistinct("year"))
+    rows = best.withColumn("_years", F.size(F.collect_set("year").over(Window.partitionBy(*table, "row"))))
     more = F.when(F.col("kind") == "direct", F.size("values")).otherwise(F.col("_years")) - 1
     pos_x, pos_y = page_relative(F.col("x"), F.col("y"), F.col("page_width"), F.col("page_height"))
     match = F.concat(F.when(F.col("kind") == "cluster", "AC.default").otherwise(F.concat(F.lit("AT."), F.col("kind"))))

@@ -12,6 +12,7 @@ from .models import LongestWords, OverlapRelevance, question_pairs
 from .operators import filters, joins, layout, metrics, paragraphs, ranking, reshape, sampling
 from .operators.rules import DescriptionRule, KpiRule
 from .plans import curation, inference, rule_based
+from .rules.catalogue import ACTIVE
 from .tables import KPIS, LINES_A_PAGE, annotations, kpis, lines, read
 from .tables import paragraphs as paragraph_table
 
@@ -244,13 +245,14 @@ def unanswerable_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- positions ------------------------------------------------------------------------------------------------------
 
 
-@query(f"""WITH {ANN_SQL}, x AS (SELECT ann_id, answer, first_text AS t, unnest(range(len(first_text))) AS i FROM anns WHERE answer <> ''),
-  h AS (SELECT ann_id, i FROM x WHERE substr(t, i + 1, len(answer)) = answer) SELECT ann_id, min(i) AS first_offset FROM h GROUP BY ann_id""")
+@query(rf"""WITH {ANN_SQL}, x AS (SELECT ann_id, answer, first_text AS t, unnest(range(len(first_text))) AS i FROM anns WHERE answer <> ''),
+  h AS (SELECT ann_id, i FROM x WHERE substr(t, i + 1, len(answer)) = answer AND (NOT regexp_full_match(answer, '\p{{N}}+')
+    OR (i > 0 AND regexp_full_match(substr(t, i, 1), '[^0-9]')) OR regexp_full_match(substr(t, i + 1 + len(answer), 1), '[^0-9]'))) SELECT ann_id, min(i) AS first_offset FROM h GROUP BY ann_id""")
 def answer_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Where each answer first stands in its paragraph."""
+    """Where each answer first stands in its paragraph; a number not within a longer one."""
     a = annotations(spark, sf_dir).where("answer <> ''").withColumn("p", text.paragraph_list(F.col("relevant_paragraphs")))
-    whole = F.array_join("p", '", "')
-    return a.select("ann_id", F.get(positions.find_all(whole, F.col("answer")), F.lit(0)).cast("long").alias("first_offset"))
+    found = positions.answer_offsets(F.col("answer"), F.array_join("p", '", "'))
+    return a.select("ann_id", found.alias("found")).where(F.size("found") > 0).select("ann_id", F.get("found", F.lit(0)).cast("long").alias("first_offset"))
 
 
 @query("SELECT doc_id, len(list_filter(string_split(text, ' '), lambda w: true)) - 1 AS n_spaces, CAST(len(text) - len(replace(text, 'the', '')) AS BIGINT) // 3 AS n_the FROM documents")
@@ -537,7 +539,13 @@ def table_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- composites -----------------------------------------------------------------------------------------------------
 
 
-@query()
+_EXAMPLES_SQL = f"""c AS (SELECT a.ann_id, a.kpi_id, p.text, row_number() OVER (PARTITION BY a.ann_id ORDER BY md5('42|' || a.ann_id || '|' || p.page0 || '|' || p.para_idx), p.page0, p.para_idx) AS k
+    FROM anns a JOIN paras p ON p.pdf_name = a.pdf_name AND p.page0 >= 1 AND p.page0 + 1 <> a.source_page[1] WHERE a.data_type = 'TEXT' AND coalesce(a.company <> 'CEZ', true)),
+  united AS (SELECT ann_id, kpi_id, first_text AS text, 1 AS label FROM anns WHERE data_type = 'TEXT' AND coalesce(company <> 'CEZ', true) UNION ALL SELECT ann_id, kpi_id, text, 0 FROM c WHERE k <= 2),
+  named AS (SELECT q.question, {CURATED} AS context, b.label, b.ann_id FROM united b JOIN kpis q ON CAST(b.kpi_id AS DOUBLE) = q.kpi_id)"""
+
+
+@query(f"WITH {KPI_SQL}, {ANN_SQL}, {_EXAMPLES_SQL} SELECT question, context, label, ann_id FROM (SELECT *, row_number() OVER (PARTITION BY question, context ORDER BY ann_id, label) AS n FROM named) WHERE n = 1")
 def relevance_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training set of the relevance model: positives, sampled negatives, once for each question and context."""
     out = curation.relevance_examples(annotations(spark, sf_dir), paragraph_table(spark, sf_dir), kpis(spark), ratio=2, skip_pages=1)
@@ -554,7 +562,14 @@ def squad_curation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.flatten_squad(curation.squad(rows, rel, known, 0.2, 7))
 
 
-@query()
+_NONE = "CAST(NULL AS VARCHAR)"
+
+
+@query(_ANSWERS_SQL.replace("rank() OVER (PARTITION BY pdf_name, kpi ORDER BY score DESC) AS k, ", "").replace("ORDER BY score DESC, answer) AS n", "ORDER BY score DESC, answer, page0, para_idx) AS n") + f""",
+boosted AS (SELECT pdf_name, kpi, page0, para_idx, coalesce(list_filter(a, lambda x: x.answer = 'no_answer')[1].score, a[1].score) AS b FROM pair)
+SELECT 'KPI_EXTRACTION_ML' AS "METHOD", t.pdf_name || '.pdf' AS "PDF_NAME", t.kpi_id AS "KPI_ID", t.kpi AS "KPI_NAME", t.kpi AS "KPI_DESC", t.answer AS "ANSWER_RAW", t.answer AS "ANSWER", CAST(coalesce(t.page0 + 1, -1) AS INTEGER) AS "PAGE",
+  t.paragraph AS "PARAGRAPH", t.rel AS "PARAGRAPH_RELEVANCE_SCORE", CAST(NULL AS DOUBLE) AS "POS_X", CAST(NULL AS DOUBLE) AS "POS_Y", 'Text' AS "KPI_SOURCE", t.score AS "SCORE", CAST(b.b AS DOUBLE) + 15 AS "NO_ANS_SCORE", CAST(b.b AS DOUBLE) AS "SCORE_PLUS_BOOST",
+  CAST(NULL AS INTEGER) AS "KPI_YEAR", {_NONE} AS "UNIT_RAW", {_NONE} AS "UNIT" FROM top t LEFT JOIN boosted b ON b.pdf_name = t.pdf_name AND b.kpi = t.kpi AND b.page0 = t.page0 AND b.para_idx = t.para_idx WHERE t.n <= 4""")
 def kpi_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: paragraphs, questions, relevance, answers, ranks and the joined result of nineteen columns."""
     return reshape.joined_result(None, inference.extract_answers(paragraph_table(spark, sf_dir), kpis(spark)))
@@ -577,28 +592,139 @@ def rule_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 _KPI_RULE = KpiRule(1.0, "shipments", (DescriptionRule(".*[of].*", 900.0),), numeric=True, minimum_score=100.0)
 
 
-@query()
-def rule_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rule path over tables of order lines: direct and indirect years, best of each year, near the best."""
-    cells = _cells(spark, sf_dir)
+@query(f"""WITH {_CELL_SQL}, c AS (SELECT t, row, col, min(txt) AS txt FROM cells GROUP BY ALL), v AS (SELECT c.t, c.row, c.col, c.txt, CAST(coalesce(y.txt, '2019') AS INTEGER) AS year
+    FROM c LEFT JOIN c y ON y.t = c.t AND y.row = c.row AND y.row = 1 AND y.col = 2 WHERE c.col = 1 OR (c.col = 2 AND c.row > 1))
+  SELECT 'shipments ' || t AS kpi_name, CAST(1 AS DOUBLE) AS kpi_id, year, txt AS value, CAST(900 AS DOUBLE) AS score, 'AT.indirect' AS match_type, row, col
+  FROM (SELECT *, row_number() OVER (PARTITION BY t, year ORDER BY row DESC, col DESC) AS k FROM v) WHERE k = 1""")
+def cell_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule path over bare cells, tables of order lines: direct and indirect years, best of each year, near the best."""
+    cells = _cells(spark, sf_dir).groupBy("t", "row", "col").agg(F.min("txt").alias("txt"))
     direct = rule_based.direct_year_measures(cells, [_KPI_RULE], ["t"])
     indirect = rule_based.indirect_year_measures(cells, [_KPI_RULE], ["t"], 2019)
     both = direct.unionByName(indirect).withColumn("pos", F.struct("row", "col", "match_type")).withColumn("kpi_name", F.concat("kpi_name", F.lit(" "), F.col("t").cast("string")))
     return rule_based.directory_measures(both, 100.0).select("kpi_name", "kpi_id", "year", "value", "score", "match_type", "row", "col")
 
 
-@query()
+def _placed(k: int | str, txt, x0, y, letter: float = 6.0):
+    """A word of a page laid out by formula: its item, text, and box."""
+    item = F.lit(k) if isinstance(k, int) else F.expr(k)
+    return F.struct(item.cast("int").alias("item_id"), txt.alias("txt"), x0.cast("double").alias("x0"), y.cast("double").alias("y0"), (x0 + letter * F.length(txt)).cast("double").alias("x1"), (y + 12).cast("double").alias("y1"))
+
+
+def _as_words(pages: DataFrame, height: float) -> DataFrame:
+    """(doc, page, words) as positioned words; words of an item follow each other."""
+    w = pages.select("doc", "page", F.explode("words").alias("w")).select("doc", "page", "w.*")
+    place = F.row_number().over(Window.partitionBy("doc", "page", "item_id").orderBy("x0")) - 1
+    return w.select(
+        "doc", "page", "item_id", place.cast("int").alias("word_idx"), "txt", "x0", "y0", "x1", "y1", F.lit("f1").alias("font"), F.lit(10).alias("font_size"), F.lit(False).alias("is_bold"), F.lit(0.0).alias("brightness"),
+        F.lit(609.0).alias("page_width"), F.lit(height).alias("page_height"),
+    )
+
+
+_YEARS = (2017, 2018, 2019)
+_LABELS = ("Scope 1 direct GHG emissions", "Scope 2 indirect GHG emissions", "Water use")
+
+
+def _emission_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page for each customer, ten pages a report: a headline, years, and three rows of numbers."""
+    key = F.col("c_custkey")
+    words = []
+    line = lambda item, t, x, y: [_placed(item, F.lit(w), F.lit(x + 6.0 * len(" ".join(t.split(" ")[:j] + [""]))), F.lit(y)) for j, w in enumerate(t.split(" "))]
+    words += line(0, "Greenhouse gas emissions in tonnes CO2e", 50.0, 60.0)
+    for j, year in enumerate(_YEARS):
+        words.append(_placed(1 + j, F.lit(str(year)), F.lit(320.0 + 100 * j), F.lit(100.0)))
+    for k, label in enumerate(_LABELS):
+        words += line(10 + 10 * k, label, 50.0, 120.0 + 20 * k)
+        for j in range(3):
+            words.append(_placed(11 + 10 * k + j, (3000 + key * (k + 2) % 1500 * 4 + j).cast("string"), F.lit(320.0 + 100 * j), F.lit(120.0 + 20 * k)))
+    customers = read(spark, sf_dir, "customer").select("c_custkey").distinct()
+    pages = customers.select(F.concat(F.lit("report"), F.floor(key / 10).cast("string")).alias("doc"), (key % 10).cast("int").alias("page"), F.array(*words).alias("words"))
+    return _as_words(pages, 841.0)
+
+
+@query("""WITH p AS (SELECT c_custkey // 10 AS d, max(c_custkey) AS k FROM customer GROUP BY 1), y AS (SELECT unnest([0, 1, 2]) AS j), r AS (SELECT unnest([0, 1]) AS k)
+  SELECT 'report' || p.d AS src_file, CAST(6 + r.k AS DOUBLE) AS kpi_id, CAST(p.k % 10 AS INTEGER) AS page_num, CAST(2017 + y.j AS INTEGER) AS year, CAST(3000 + (p.k * (r.k + 2)) % 1500 * 4 + y.j AS VARCHAR) AS value, 'AT.direct' AS match_type
+  FROM p, y, r""")
+def rule_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule path end to end: all active rules over the tables of laid out pages, with hierarchy, headline, unit, years,
+    texts anywhere on the page, and each report's best; of equal pages the last."""
+    found = rule_based.report_measures(_emission_pages(spark, sf_dir), list(ACTIVE), 2019)
+    return found.select("src_file", "kpi_id", "page_num", "year", "value", "match_type")
+
+
+_COORDINATE_SQL = "SELECT 'report' || (c_custkey // 10) AS pdf_name, CAST(c_custkey % 10 AS INTEGER) AS page0, CAST(3000 + c_custkey * 2 % 1500 * 4 AS VARCHAR) AS answer, round(320.0 / 609, 6) AS pos_x, round((SELECT min(120 + 20 * k) FROM (SELECT unnest([0, 1, 2]) AS k) z WHERE c_custkey * (k + 2) % 1500 = c_custkey * 2 % 1500) / 841.0, 6) AS pos_y FROM (SELECT DISTINCT c_custkey FROM customer)"
+
+
+@query(_COORDINATE_SQL)
+def answer_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where answers stand on their pages, as shares of the page."""
+    words = _emission_pages(spark, sf_dir).withColumnsRenamed({"doc": "pdf_name", "page": "page0"})
+    order = F.sort_array(F.collect_list(F.struct("word_idx", "txt")))
+    items = words.groupBy("pdf_name", "page0", "item_id").agg(F.array_join(F.transform(order, lambda w: w["txt"]), " ").alias("txt"), F.first("page_width").alias("page_width"), F.first("page_height").alias("page_height"))
+    key = F.col("c_custkey")
+    results = read(spark, sf_dir, "customer").select("c_custkey").distinct().select(
+        F.concat(F.lit("report"), F.floor(key / 10).cast("string")).alias("pdf_name"), (key % 10).cast("int").alias("page0"), (3000 + key * 2 % 1500 * 4).cast("string").alias("answer")
+    )
+    return joins.with_coordinates(results, items, words).select("pdf_name", "page0", "answer", F.round("pos_x", 6).alias("pos_x"), F.round("pos_y", 6).alias("pos_y"))
+
+
+_LAYOUT_SQL = """WITH l AS (SELECT CAST(l_orderkey // 16 AS VARCHAR) AS doc, row_number() OVER (PARTITION BY l_orderkey // 16 ORDER BY l_orderkey, l_linenumber, l_quantity, l_tax, l_discount, l_returnflag) AS r,
+    'line ' || l_returnflag AS a, CAST(l_quantity AS VARCHAR) AS b, CAST(l_tax AS VARCHAR) AS c, CAST(l_discount AS VARCHAR) AS d FROM lineitem)
+  SELECT doc, 0 AS table_id, CAST(r AS INTEGER) AS row, unnest([0, 1, 2, 3]) AS col, unnest([a, b, c, d]) AS txt, 'cell' AS role FROM l
+  UNION ALL SELECT DISTINCT doc, 0, 0, unnest([1, 2, 3]), unnest(['2018', '2019', '2020']), 'cell' FROM l"""
+
+
+@query(_LAYOUT_SQL)
 def layout_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells of the tables on pages made of order lines: a label and four numbers in a row, years above."""
+    """Cells of the tables on pages made of order lines: a label and three numbers in a row, years above."""
     li = read(spark, sf_dir, "lineitem").select(F.floor(F.col("l_orderkey") / 16).alias("doc"), "l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_discount", "l_returnflag")
     order = Window.partitionBy("doc").orderBy("l_orderkey", "l_linenumber", "l_quantity", "l_tax", "l_discount", "l_returnflag")
     li = li.withColumn("r", F.row_number().over(order))
-    texts = [F.concat(F.lit("line "), F.col("l_returnflag")), F.col("l_quantity").cast("string"), F.col("l_tax").cast("string"), F.col("l_discount").cast("string")]
-    word = lambda k, t, y: F.struct(F.lit(k).alias("k"), t.alias("txt"), F.lit(50.0 + 100 * k).alias("x0"), y.alias("y0"), (F.lit(50.0 + 100 * k) + 6 * F.length(t)).alias("x1"), (y + 12).alias("y1"))
-    body = li.select("doc", "r", F.explode(F.array(*[word(k, t, 100.0 + 20.0 * F.col("r")) for k, t in enumerate(texts)])).alias("w"))
-    head = li.select("doc").distinct().select("doc", F.lit(0).alias("r"), F.explode(F.array(*[word(k, F.lit(str(2017 + k)), F.lit(100.0)) for k in (1, 2, 3)])).alias("w"))
-    words = body.unionByName(head).select(
-        F.col("doc").cast("string").alias("doc"), F.lit(0).alias("page"), (F.col("r") * 10 + F.col("w.k")).cast("int").alias("item_id"), F.lit(0).alias("word_idx"), "w.txt", "w.x0", "w.y0", "w.x1", "w.y1",
-        F.lit("f1").alias("font"), F.lit(10).alias("font_size"), F.lit(False).alias("is_bold"), F.lit(0.0).alias("brightness"), F.lit(609.0).alias("page_width"), F.lit(2600.0).alias("page_height"),
-    )
+    y = 100.0 + 20.0 * F.col("r")
+    numbers = [F.col(c).cast("string") for c in ("l_quantity", "l_tax", "l_discount")]
+    body = [_placed("r * 10", F.lit("line"), F.lit(50.0), y), _placed("r * 10", F.col("l_returnflag"), F.lit(80.0), y)]
+    body += [_placed(f"r * 10 + {k + 1}", t, F.lit(150.0 + 100 * k), y) for k, t in enumerate(numbers)]
+    head = [_placed(k + 1, F.lit(str(2018 + k)), F.lit(150.0 + 100 * k), F.lit(100.0)) for k in range(3)]
+    pages = li.select("doc", F.array(*body).alias("words")).unionByName(li.select("doc").distinct().select("doc", F.array(*head).alias("words")))
+    words = _as_words(pages.select(F.col("doc").cast("string").alias("doc"), F.lit(0).alias("page"), "words"), 2600.0)
     return layout.table_cells(words).select("doc", "table_id", "row", "col", "txt", "role")
+
+
+@query("""WITH d AS (SELECT 'doc' || doc_id AS pdf_name, doc_id, doc_id % 4 AS n FROM documents), w AS (SELECT pdf_name, unnest([1, 2, 3]) AS kpi_id, n FROM d)
+  SELECT pdf_name, CAST(count(*) FILTER (kpi_id <= n) AS INTEGER) AS done, CAST(count(*) FILTER (kpi_id > n) AS INTEGER) AS todo, CASE WHEN count(*) FILTER (kpi_id > n) = 0 THEN 'DONE' ELSE 'TODO' END AS state FROM w GROUP BY pdf_name""")
+def annotation_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many of three requested KPIs each report has annotations of."""
+    docs = read(spark, sf_dir, "documents").select(F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("pdf_name"), (F.col("doc_id") % 4).alias("n"))
+    each = docs.withColumn("kpi_id", F.explode(F.array(*[F.lit(float(k)) for k in (1, 2, 3)])))
+    return metrics.progress(each.where("kpi_id <= n"), each)
+
+
+@query("""WITH d AS (SELECT doc_id, md5('5|' || doc_id) AS m FROM documents), n AS (SELECT *, row_number() OVER (ORDER BY m, doc_id) AS k, count(*) OVER () AS c FROM d)
+  SELECT doc_id, CASE WHEN k <= CAST(floor(0.7 * c) AS BIGINT) THEN 'train' ELSE 'dev' END AS split FROM n""")
+def exact_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A split by an exact count of shuffled documents."""
+    return sampling.split_exactly(read(spark, sf_dir, "documents").select("doc_id"), 0.3, 5, "doc_id")
+
+
+@query("""WITH t AS (SELECT 'conv' || conv_id AS title, md5(text) AS context, turn, role FROM conversations), i AS (SELECT title, context, min(turn) AS first FROM t GROUP BY ALL),
+  n AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY first, context) - 1 AS index FROM i) SELECT title, count(*) AS n FROM n WHERE index % 2 = 0 GROUP BY title""")
+def squad_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every second paragraph of each title."""
+    nested = reshape.nest_squad(_squad_rows(spark, sf_dir))
+    chosen = nested.select("title", F.explode(F.sequence(F.lit(0), F.size("paragraphs") - 1, F.lit(2))).alias("index"))
+    return reshape.slice_squad(nested, chosen).select("title", F.size("paragraphs").cast("long").alias("n"))
+
+
+@query(f"""WITH {_SPAN_SQL}, e AS (SELECT *, CASE WHEN a0 < 0 THEN -1 ELSE a0 + n END AS a1, CASE WHEN p0 < 0 THEN -1 ELSE p0 + n END AS p1 FROM s),
+  v AS (SELECT *, CASE WHEN a0 < 0 OR p0 < 0 THEN 0 ELSE greatest(least(a1, p1) - greatest(a0, p0) + 1, 0) END AS ov, a0 = p0 AND a1 = p1 AS same FROM e)
+  SELECT CAST(l AS DOUBLE) AS kpi_id, count(*) AS support, round(avg(CAST(same AS INT)), 6) AS em, round(avg(CASE WHEN same THEN 1.0 WHEN a0 < 0 OR p0 < 0 THEN 0.0 ELSE 2.0 * ov / (a1 - a0 + 1 + p1 - p0 + 1) END), 6) AS f1,
+    round(avg(CAST((a0 < 0) = (p0 < 0) AS INT)), 6) AS accuracy FROM v GROUP BY l""")
+def kpi_span_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Support, exact match, F1 and accuracy of each KPI's answers."""
+    li = read(spark, sf_dir, "lineitem")
+    a0 = F.when(F.col("l_suppkey") % 7 == 0, -1).otherwise(F.col("l_suppkey") % 10)
+    p0 = F.when(F.col("l_partkey") % 5 == 0, -1).otherwise(F.col("l_partkey") % 10)
+    s = li.select(F.col("l_linenumber").cast("double").alias("kpi_id"), a0.alias("a0"), p0.alias("p0"), (F.col("l_quantity").cast("long") % 4).alias("n"))
+    end = lambda c: F.when(F.col(c) < 0, -1).otherwise(F.col(c) + F.col("n"))
+    out = metrics.by_kpi(s.withColumns({"a1": end("a0"), "p1": end("p0")}))
+    return out.select("kpi_id", "support", *[F.round(c, 6).alias(c) for c in ("em", "f1", "accuracy")])

@@ -9,13 +9,16 @@ from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.text import file_stem
+from ..operators.filters import require
 from ..operators.paragraphs import split_pages
 from ..operators.reshape import pages_from_json
+from ..schemas import KPI_MEASURE
+from .objects import exists
 
 Decoder = Callable[[bytes], list[str]]
 
@@ -81,6 +84,39 @@ def annotation_csvs(spark: SparkSession, folder: str, required: tuple[str, ...]
     return out
 
 
+def aggregated_annotations(spark: SparkSession, path: str, folder: str) -> DataFrame:
+    """The aggregated annotations of a file if it is there, else those of a folder's CSV files, which are written to it."""
+    if not exists(spark, path):
+        annotation_csvs(spark, folder).write.option("header", "true").option("quoteAll", "true").option("escape", '"').csv(path)
+    return spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path)
+
+
+#: The columns of a relevance result.
+RELEVANCE = ("page", "pdf_name", "text", "text_b", "paragraph_relevance_score", "source")
+
+
+def relevance_csvs(spark: SparkSession, folder: str) -> DataFrame:
+    """(pdf_name, page0, para_idx, kpi, paragraph, paragraph_relevance_score) of a folder's relevance results; a file that
+    lacks a column is an error. para_idx counts a report's rows in order of page and paragraph."""
+    rows = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(folder)
+    rows = require(rows, list(RELEVANCE))
+    order = Window.partitionBy("pdf_name").orderBy(F.col("page").try_cast("int"), "text_b", "text")
+    return rows.select(
+        "pdf_name", F.col("page").try_cast("int").alias("page0"), (F.row_number().over(order) - 1).alias("para_idx"), F.col("text").alias("kpi"), F.col("text_b").alias("paragraph"),
+        F.col("paragraph_relevance_score").try_cast("double").alias("paragraph_relevance_score"),
+    )
+
+
+def page_cache(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Words, texts and cells of pages that writers.page_cache() has kept."""
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in ("words", "texts", "cells")}
+
+
+def rule_json(spark: SparkSession, path: str) -> DataFrame:
+    """kpi_measure rows of a rule result's JSON lines."""
+    return spark.read.schema(f"class string, {KPI_MEASURE}").json(path).where(F.col("class") == "KPIMeasure").drop("class")
+
+
 def legacy_annotations(spark: SparkSession, path: str) -> DataFrame:
     """The older annotation CSVs, of fourteen columns with commas or twelve with semicolons, by their header."""
     head = spark.read.text(path).first()

@@ -1,10 +1,17 @@
-"""Writers: CSV as the rule path has it, JSON by report, and replacing a report's rows."""
+"""Writers: CSV and JSON by report, training sets, tables and notes, workbooks, and replacing a report's rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import io
+import json
+import zipfile
+from xml.sax.saxutils import escape
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .objects import write_bytes
+
 
 def rule_csv(measures: DataFrame, path: str) -> None:
     """All cells quoted, quotes taken out, line breaks as spaces."""
@@ -18,11 +25,167 @@ def by_report(df: DataFrame, path: str, key: str = "pdf_name") -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
 
-def replace_in_database(df: DataFrame, url: str, name: str, properties: dict[str, str], key: str = "PDF_NAME") -> None:
-    """The table <name>_next: name's rows but for the reports in df, and df's rows. Renaming it is the database's own step."""
-    old = df.sparkSession.read.jdbc(url, name, properties=properties)
-    kept = old.join(df.select(key).distinct(), key, "left_anti").select(old.columns)
-    kept.unionByName(df, allowMissingColumns=True).write.mode("overwrite").jdbc(url, f"{name}_next", properties=properties)
+def replace_in_database(df: DataFrame, url: str, name: str, properties: dict[str, str], key: str = "PDF_NAME", numbers: tuple[str, ...] = (), post: str | None = None, run_id: str = "") -> None:
+    """Deletes all rows of the reports in df from a table, then inserts df; empty texts of number columns become null.
+
+    post: a command for afterwards, in which :RUN_ID stands for run_id. Names go to the database in batches; the rows
+    themselves are written by the executors. Deletion and insertion are two transactions: a run that was cut off between
+    them is repaired by running it again.
+    """
+    spark = df.sparkSession
+    clean = df.withColumns({c: F.nullif(F.col(c).cast("string"), F.lit("")).try_cast("double") for c in numbers})
+    names = (r[0] for r in df.select(key).where(F.col(key).isNotNull()).distinct().toLocalIterator())
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, properties.get("user", ""), properties.get("password", ""))
+    try:
+        delete = connection.prepareStatement(f"DELETE FROM {name} WHERE {key} = ?")
+        waiting = 0
+        for one in names:
+            delete.setString(1, one)
+            delete.addBatch()
+            waiting += 1
+            if waiting == 1000:
+                delete.executeBatch()
+                waiting = 0
+        if waiting:
+            delete.executeBatch()
+        delete.close()
+    finally:
+        connection.close()
+    clean.write.mode("append").jdbc(url, name, properties=properties)
+    if post:
+        connection = spark._jvm.java.sql.DriverManager.getConnection(url, properties.get("user", ""), properties.get("password", ""))
+        try:
+            command = connection.createStatement()
+            command.execute(post.replace(":RUN_ID", "'" + run_id.replace("'", "''") + "'"))
+            command.close()
+        finally:
+            connection.close()
+
+
+def by_report_csv(df: DataFrame, path: str, key: str = "pdf_name") -> None:
+    """A CSV folder for each report, with header; line breaks inside cells are kept in quotes."""
+    df.write.mode("overwrite").partitionBy(key).option("header", "true").option("quoteAll", "true").option("escape", '"').csv(path)
+
+
+def training_csv(df: DataFrame, path: str, order: list[str]) -> None:
+    """A training set with a column of row numbers in front, which count within its files' order."""
+    numbered = df.orderBy(*order).select(F.monotonically_increasing_id().alias("index"), *df.columns)
+    numbered.write.mode("overwrite").option("header", "true").option("quoteAll", "true").option("escape", '"').csv(path)
+
+
+def train_dev_csv(df: DataFrame, folder: str) -> None:
+    """kpi_train_split.csv and kpi_val_split.csv of rows with split 'train' or 'dev'."""
+    for part, name in (("train", "kpi_train_split.csv"), ("dev", "kpi_val_split.csv")):
+        rows = df.where(F.col("split") == part).drop("split")
+        rows.write.mode("overwrite").option("header", "true").option("quoteAll", "true").option("escape", '"').csv(f"{folder}/{name}")
+
+
+def squad_files(nested: DataFrame, folder: str, day: str) -> list[str]:
+    """kpi_<split>_<day> as one JSON text for each split of (split, pos, title, paragraphs), and reference_kpi_<split>_<day>.csv
+    with a row an answer; a split without rows is not written. The names written."""
+    from ..operators.reshape import flatten_squad, squad_document
+
+    done = []
+    for part in [r[0] for r in nested.select("split").distinct().orderBy("split").collect()]:
+        own = nested.where(F.col("split") == part).drop("split")
+        squad_document(own).write.mode("overwrite").text(f"{folder}/kpi_{part}_{day}.json")
+        flatten_squad(own).write.mode("overwrite").option("header", "true").option("quoteAll", "true").option("escape", '"').csv(f"{folder}/reference_kpi_{part}_{day}.csv")
+        done.append(part)
+    return done
+
+
+def page_cache(words: DataFrame, folder: str) -> None:
+    """Keeps pages' words with their texts and cells, by document, so that later runs need not lay them out again."""
+    from ..operators import layout
+
+    for name, rows in (("words", words), ("texts", layout.page_texts(words)), ("cells", layout.table_cells(words))):
+        rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
+def rule_json(measures: DataFrame, path: str) -> None:
+    """kpi_measure rows as JSON lines that name their class."""
+    measures.select(F.lit("KPIMeasure").alias("class"), *measures.columns).write.mode("overwrite").json(path)
+
+
+def table_files(cells: DataFrame, folder: str) -> None:
+    """tab_<page>_<n>: the lines of each table of layout.table_cells(), by document and table."""
+    from ..operators.reshape import table_lines
+
+    lines = table_lines(cells.where("role = 'cell'"), ["doc", "page", "table_id"])
+    named = lines.select("doc", F.format_string("tab_%d_%d", "page", "table_id").alias("table"), "row", "line")
+    named.repartition("doc", "table").sortWithinPartitions("doc", "table", "row").select("doc", "table", "line").write.mode("overwrite").partitionBy("doc", "table").text(folder)
+
+
+def footnote_files(notes: DataFrame, folder: str) -> None:
+    """footnotes_<page>: the notes of layout.footnotes(), by document and page."""
+    named = notes.select("doc", F.format_string("footnotes_%d", "page").alias("page"), "n", "txt").repartition("doc", "page")
+    named.sortWithinPartitions("doc", "page", "n").select("doc", "page", F.col("txt").alias("value")).write.mode("overwrite").partitionBy("doc", "page").text(folder)
+
+
+def append_annotations(df: DataFrame, path: str) -> None:
+    """Adds rows to those that are there."""
+    df.write.mode("append").option("header", "true").option("quoteAll", "true").option("escape", '"').csv(path)
+
+
+def resolved_files(resolved: DataFrame, path: str) -> None:
+    """info.json: which file each wanted name stands for, from readers.resolve_names()."""
+    resolved.select("source_file", "fixed_file").write.mode("overwrite").json(path)
+
+
+def box_table(df: DataFrame, rows: int = 20, width: int = 100) -> str:
+    """The first rows as a table in a box whose columns share the width; longer texts go on on further lines."""
+    head = [list(df.columns)] + [["" if v is None else str(v).replace("\n", " ") for v in r] for r in df.limit(rows).collect()]
+    longest = [max(len(r[c]) for r in head) for c in range(len(df.columns))]
+    room = max(width - 3 * len(longest) - 1, 3 * len(longest))
+    share = [min(n, max(3, room * n // max(sum(longest), 1))) if sum(longest) > room else n for n in longest]
+    rule = "+" + "+".join("-" * (n + 2) for n in share) + "+"
+    out = [rule]
+    for row in head:
+        cut = [[v[i : i + n] for i in range(0, len(v), n)] or [""] if n else [""] for v, n in zip(row, share)]
+        for k in range(max(map(len, cut))):
+            out.append("| " + " | ".join((c[k] if k < len(c) else "").ljust(n) for c, n in zip(cut, share)) + " |")
+        out.append(rule)
+    return "\n".join(out)
+
+
+def workbook(rows: list[list[object]]) -> bytes:
+    """An xlsx file with one sheet of texts and numbers; at most 1,048,576 rows, as the format has it."""
+    if len(rows) > 1_048_576:
+        raise ValueError("more rows than a sheet holds")
+
+    def cell(value: object) -> str:
+        if isinstance(value, (int, float)) and not isinstance(value, bool):
+            return f"<c><v>{value}</v></c>"
+        return f'<c t="inlineStr"><is><t xml:space="preserve">{escape("" if value is None else str(value))}</t></is></c>'
+
+    sheet = "".join(f"<row>{''.join(map(cell, row))}</row>" for row in rows)
+    main, office = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    package = "http://schemas.openxmlformats.org/package/2006"
+    kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
+    parts = {
+        "[Content_Types].xml": f'<Types xmlns="{package}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
+        f'<Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="{kind}.worksheet+xml"/></Types>',
+        "_rels/.rels": f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{office}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{office}"><sheets><sheet name="Sheet1" sheetId="1" r:id="r1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="{package}/relationships"><Relationship Id="r1" Type="{office}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{main}"><sheetData>{sheet}</sheetData></worksheet>',
+    }
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, text in parts.items():
+            z.writestr(name, '<?xml version="1.0" encoding="UTF-8"?>' + text)
+    return out.getvalue()
+
+
+def xlsx(df: DataFrame, path: str) -> None:
+    """One workbook with a header row. A sheet is bounded, and so is what the driver gathers for it."""
+    rows = [list(r) for r in df.limit(1_048_576).toLocalIterator()]
+    write_bytes(df.sparkSession, path, workbook([list(df.columns), *rows]))
+
+
+def manifest(spark: SparkSession, path: str, **facts: object) -> None:
+    """What a model is and how it did, as one JSON text."""
+    write_bytes(spark, path, json.dumps(facts, indent=1, sort_keys=True, default=str).encode())
 
 
 def page_json(values: DataFrame, path: str) -> None:

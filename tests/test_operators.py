@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kpiforge.functions import fuzzy, geometry, positions, shape, text
 from kpiforge.operators import filters, joins, layout, metrics, paragraphs, ranking, reshape, sampling
-from kpiforge.operators.rules import AnywhereRule, DescriptionRule, KpiRule, anywhere_scores
+from kpiforge.operators.rules import AnywhereRule, DescriptionRule, KpiRule, anywhere_scores, describe_lists
 from kpiforge.plans import rule_based
 from kpiforge.rules.catalogue import ACTIVE
 from kpiforge.schemas import CAN_INCLUDE, MUST_EXCLUDE, MUST_INCLUDE, MUST_INCLUDE_EACH, WEIGHTED
@@ -127,6 +127,17 @@ def test_the_catalogue_matches_plain_python(spark):
             assert got[k][0] == want[0] and got[k][1] == pytest.approx(want[1], rel=1e-9), (rule.kpi_id, nodes)
 
 
+def test_lists_are_described_as_rules_describe_them(spark):
+    lists = [["Total proved and probable reserves", "Hydrocarbons"], ["Scope 1 direct GHG emissions", "Total"], ["oil production"], ["scope 2 indirect emissions (market based)"], ["nothing"], [], ["PRMS proved reserves", "total"]]
+    df = spark.createDataFrame([(k, n) for k, n in enumerate(lists)], "list_id int, nodes array<string>")
+    got = {(r["list_id"], r["kpi_id"]): (r["ok"], r["score"]) for r in describe_lists(df, list(ACTIVE)).collect()}
+    for rule in ACTIVE:
+        for r in df.select("list_id", rule.describe(F.col("nodes")).alias("m")).collect():
+            ok, score = got.get((r["list_id"], rule.kpi_id), (False, 0.0))
+            assert (ok, score) == (r["m"]["ok"], pytest.approx(r["m"]["score"], rel=1e-9)), (rule.kpi_id, r)
+    assert any(ok for ok, _ in got.values())
+
+
 def test_anywhere_rule(spark):
     values = spark.createDataFrame([(1, 1, 0.0, 0.0, 100.0), (1, 2, 50.0, 50.0, 100.0), (2, 1, 0.0, 0.0, 100.0)], "page int, item_id int, x double, y double, page_diag double")
     texts = spark.createDataFrame([(1, "Tonnes of CO2", 10.0, 0.0), (1, "tonnes", 50.0, 50.0)], "page int, txt string, x double, y double")

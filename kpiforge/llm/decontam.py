@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import table
+from .store import release, table
 
 WIDTH, THRESHOLD, RADIUS, BITS = 5, 0.8, 19, 64
 #: A side is broadcast below so many rows (two longs each); above, the join shuffles.
@@ -209,7 +209,11 @@ def _matches(docs: DataFrame, benchmark: DataFrame, threshold: float, radius: in
         .join(near.select("row", "segment", "doc_id", "width", "size", "shingles"), ["row", "segment", "width"])
         .withColumn("similarity", _similarity(inside(F.col("start"), F.col("n")), F.col("item_shingles")))
     )
-    return checked.where(F.col("similarity") >= threshold).select("row", "doc_id", "item_id", "start", F.least("n", "size").alias("n"), "distance", "similarity")
+    found = checked.where(F.col("similarity") >= threshold).select("row", "doc_id", "item_id", "start", F.least("n", "size").alias("n"), "distance", "similarity")
+    out = table(found, "matches")
+    for old in (items, grouped, near, pairs):
+        release(old)
+    return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -81,11 +81,11 @@ class SegmentTree:
 class CountedText:
     """A text whose token count follows its edits."""
 
-    def __init__(self, text: str, own: Tokens, chars: np.ndarray | None = None, counts: np.ndarray | None = None) -> None:
-        self.text, self.own, self.reencoded = text, own, 0
+    def __init__(self, text: str | None, own: Tokens, chars: np.ndarray | None = None, counts: np.ndarray | None = None) -> None:
+        self.text, self.own, self.reencoded = text or "", own, 0
         self.known: dict[str, int] = {}
         if chars is None:
-            (chars, counts), = leaves([text], own)
+            (chars, counts), = leaves([self.text], own)
         self.pretokens = len(chars)
         self.tree = SegmentTree(chars, counts)
 
@@ -163,14 +163,29 @@ def leaves(texts: list[str], own: Tokens) -> list[tuple[np.ndarray, np.ndarray]]
     return [f[0] if len(f) == 1 else (np.concatenate([c for c, _ in f]), np.concatenate([n for _, n in f])) for f in found]
 
 
-def recount(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, n_tokens, n_tokens_edited, n_pretokens, n_reencoded, edited_chars) of each row of docs.
+def _packed(tree: SegmentTree) -> bytes:
+    """A tree's leaves that are not empty: their number, characters, and tokens."""
+    leaf = tree.levels[0]
+    some = leaf[leaf[:, 0] > 0]
+    return np.int64(len(some)).tobytes() + some[:, 0].astype("<u4").tobytes() + some[:, 1].astype("<u4").tobytes()
+
+
+def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    return np.frombuffer(raw, "<u4", n, 8).astype(np.int64), np.frombuffer(raw, "<u4", n, 8 + 4 * n).astype(np.int64)
+
+
+_SLIM = {"doc_id": pa.int64(), "text": pa.string(), "tree": pa.binary(), "n_tokens": pa.int64(), "n_pretokens": pa.int64()}
+
 
-    docs: (doc_id, text, edits array<struct<start, end, text>>); other columns are not looked at. Edits are made in
-    order, each on what the ones before it left; positions are code points, taken to the nearest that exist; null
-    positions are 0, a null text is empty, null edits are none. n_reencoded: pre-tokens that the edits re-encoded.
-    Repeated rows stay; no rows give none. tokenizer: path of a tokenizers file.
+def trees(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, text, tree, n_tokens, n_pretokens, ...) of each row of docs (doc_id, text, ...), further columns as they are.
+
+    tree: the leaves of the text's segment tree, to be kept with the text; edited() takes both up where edits left them. A
+    null text is an empty one. Repeated rows stay; no rows give none. tokenizer: path of a tokenizers file.
     """
+    rest = [c for c in docs.columns if c not in _SLIM]
+    types = dict(docs.dtypes)
 
     @lean
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,24 +193,56 @@ def recount(docs: DataFrame, tokenizer: str) -> DataFrame:
         for batch in batches:
             for part in slices(batch, 1, rows=256):
                 texts = [t or "" for t in part.column(1).to_pylist()]
+                made = [SegmentTree(*x) for x in leaves(texts, own)]
+                columns = [part.column(0), pa.array(texts, pa.string()), pa.array([_packed(t) for t in made], pa.binary()), pa.array([t.count for t in made], pa.int64()), pa.array([int((t.levels[0][:, 0] > 0).sum()) for t in made], pa.int64())]
+                yield pa.RecordBatch.from_arrays([*columns, *(part.column(2 + k) for k in range(len(rest)))], names=[*_SLIM, *rest])
+
+    schema = ", ".join(["doc_id bigint, text string, tree binary, n_tokens bigint, n_pretokens bigint", *(f"`{c}` {types[c]}" for c in rest)])
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`") for c in rest]).mapInArrow(make, schema)
+
+
+def edited(kept: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, text, tree, n_tokens, n_pretokens, n_tokens_before, n_pretokens_before, n_reencoded): kept rows after their edits.
+
+    kept: (doc_id, text, tree, edits array<struct<start, end, text>>) with trees of trees() or of an earlier edited(); other
+    columns are not looked at. Edits are made in order, each on what the ones before it left; positions are code points,
+    taken to the nearest that exist; null positions are 0, null edits are none. Only pre-tokens that edits touch, and those
+    beside them, are encoded: n_reencoded of them.
+    """
+
+    @lean
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = tokens(tokenizer)
+        for batch in batches:
+            for part in slices(batch, 1, rows=256):
                 rows = []
-                for text, edits, (chars, counts) in zip(texts, part.column(2).to_pylist(), leaves(texts, own)):
-                    one = CountedText(text, own, chars, counts)
+                for text, tree, edits in zip(*(part.column(k).to_pylist() for k in (1, 2, 3))):
+                    one = CountedText(text, own, *_unpacked(tree))
                     before = one.count
                     for e in edits or []:
                         if e:
                             one.edit(e["start"] or 0, e["end"] or 0, e["text"] or "")
-                    rows.append((before, one.count, one.pretokens, one.reencoded, len(one.text)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *(pa.array([r[k] for r in rows], pa.int64()) for k in range(5))], names=["doc_id", "n_tokens", "n_tokens_edited", "n_pretokens", "n_reencoded", "edited_chars"]
-                )
+                    rows.append((one.text, _packed(one.tree), one.count, int((one.tree.levels[0][:, 0] > 0).sum()), before, one.pretokens, one.reencoded))
+                kinds = (pa.string(), pa.binary(), *[pa.int64()] * 5)
+                names = ["doc_id", "text", "tree", "n_tokens", "n_pretokens", "n_tokens_before", "n_pretokens_before", "n_reencoded"]
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))], names=names)
 
     edits = F.transform("edits", lambda e: F.struct(e["start"].cast("long").alias("start"), e["end"].cast("long").alias("end"), e["text"].cast("string").alias("text")))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), edits.alias("edits")).mapInArrow(
-        make, "doc_id bigint, n_tokens bigint, n_tokens_edited bigint, n_pretokens bigint, n_reencoded bigint, edited_chars bigint"
+    return kept.select("doc_id", "text", "tree", edits.alias("edits")).mapInArrow(
+        make, "doc_id bigint, text string, tree binary, n_tokens bigint, n_pretokens bigint, n_tokens_before bigint, n_pretokens_before bigint, n_reencoded bigint"
     )
 
 
+def recount(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, n_tokens, n_tokens_edited, n_pretokens, n_reencoded, edited_chars) of each row of docs.
+
+    docs: (doc_id, text, edits); other columns are not looked at: the trees of all texts, and what edited() makes of them.
+    n_pretokens: before the edits. Repeated rows stay; no rows give none. tokenizer: path of a tokenizers file.
+    """
+    out = edited(trees(docs.select("doc_id", "text", "edits"), tokenizer), tokenizer)
+    return out.select("doc_id", F.col("n_tokens_before").alias("n_tokens"), F.col("n_tokens").alias("n_tokens_edited"), F.col("n_pretokens_before").alias("n_pretokens"), "n_reencoded", F.length("text").cast("long").alias("edited_chars"))
+
+
 def with_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
     """docs (doc_id, text) with the edits of a table (doc_id, seq, start, end, text), in order of seq, as recount() takes them."""
     gathered = edits.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("seq", "start", "end", "text"))).alias("edits"))

@@ -99,6 +99,26 @@ def test_edited_counts_equal_a_full_count():
     assert long.reencoded < 10
 
 
+def test_kept_trees_take_up_later_edits(spark):
+    """Two rounds of edits on kept trees count as one full count does, and encode next to nothing."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    tokenizer.encode_special_tokens = True
+    texts = [t for _, t in _documents(30)] + ["", None, "long words " * 3000]
+    kind = "array<struct<start:long,end:long,text:string>>"
+    docs = spark.createDataFrame([(k, t, k * 2) for k, t in enumerate(texts)], "doc_id long, text string, more long")
+    kept = token_counts.trees(docs, tokenizer_path())
+    assert kept.columns == ["doc_id", "text", "tree", "n_tokens", "n_pretokens", "more"]
+    for start, end, put in ((3, 9, " new words"), (0, 2, "x")):
+        kept = token_counts.edited(kept.withColumn("edits", F.array(F.struct(F.lit(start).alias("start"), F.lit(end).alias("end"), F.lit(put).alias("text"))).cast(kind)), tokenizer_path())
+        texts = [put.join(((t or "")[: min(start, len(t or ""))], (t or "")[min(end, len(t or "")) :])) for t in texts]
+    rows = sorted(kept.collect())
+    assert [r["text"] for r in rows] == texts
+    assert [r["n_tokens"] for r in rows] == [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert rows[-1]["n_reencoded"] < 10 < rows[-1]["n_pretokens"]
+
+
 def test_token_counts_on_odd_rows(spark):
     docs = spark.createDataFrame([(*r, [(0, 0, "new ")] if r[0] != 4 else None) for r in ODD], f"{ODD_SCHEMA}, edits array<struct<start:long,end:long,text:string>>")
     rows = token_counts.recount(docs, tokenizer_path()).collect()

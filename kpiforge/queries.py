@@ -552,7 +552,32 @@ def relevance_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("question", "context", "label", "ann_id")
 
 
-@query()
+def _answered(column: str) -> str:
+    return rf"regexp_replace(lower(translate({_cleaned(column, chr(92) + 'n')}, '()^+*$|\?[]{{}}', '')), '\.{{2,}}', '', 'g')"
+
+
+_LINE = rf"regexp_replace(replace(answer, chr(10), ' '), '^[\s\x{{0b}}\x{{1c}}-\x{{1f}}\x{{85}}\p{{Z}}]+|[\s\x{{0b}}\x{{1c}}-\x{{1f}}\x{{85}}\p{{Z}}]+$', '', 'g')"
+_SQUAD_CURATION_SQL = f"""WITH {KPI_SQL}, {ANN_SQL}, asked AS (SELECT a.*, k.question AS plain, CASE WHEN k.add_year THEN string_split(k.question, '?')[1] || ' in year ' || a.year || '?' ELSE k.question END AS question
+    FROM anns a JOIN kpis k ON CAST(a.kpi_id AS DOUBLE) = k.kpi_id),
+  lined AS (SELECT *, {_LINE} AS line FROM asked), clean AS (SELECT pdf_name, kpi_id, question, page0, {_answered('line')} AS answer, {_answered('first_text')} AS part FROM lined WHERE line IS NOT NULL AND line <> ''),
+  whole AS (SELECT pdf_name, page0, para_idx, {_answered('text')} AS text FROM paras),
+  near AS (SELECT c.pdf_name, c.kpi_id, c.question, c.answer, (SELECT w.text FROM whole w WHERE w.pdf_name = c.pdf_name AND w.page0 = c.page0 AND contains(w.text, c.part) ORDER BY w.para_idx LIMIT 1) AS context, 0 AS extra FROM clean c),
+  more AS (SELECT c.pdf_name, c.kpi_id, c.question, c.answer, w.text AS context, 1 AS extra FROM clean c JOIN whole w ON w.pdf_name = c.pdf_name AND w.page0 <> c.page0 AND contains(w.text, c.answer) WHERE CAST(c.kpi_id AS DOUBLE) NOT IN (0, 1, 9, 11)),
+  once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pdf_name, question, answer, context ORDER BY extra, kpi_id) AS k FROM (SELECT * FROM near UNION ALL SELECT * FROM more)) WHERE k = 1),
+  cut AS (SELECT *, string_split(context, answer) AS pieces FROM once WHERE answer <> ''),
+  spots AS (SELECT pdf_name, question, answer, context, unnest(list_transform(range(1, len(pieces)), lambda k: CAST(list_sum(list_transform(pieces[1:k], lambda x: len(x))) + (k - 1) * len(answer) AS INTEGER))) AS i FROM cut),
+  free AS (SELECT * FROM spots WHERE NOT regexp_full_match(answer, '\p{{N}}+') OR (i > 0 AND regexp_full_match(substr(context, i, 1), '[^0-9]')) OR regexp_full_match(substr(context, i + 1 + len(answer), 1), '[^0-9]')),
+  found AS (SELECT pdf_name, question, answer, context, list(i ORDER BY i) AS starts FROM free GROUP BY ALL),
+  placed AS (SELECT pdf_name, question, answer, CASE WHEN starts[1] = 0 THEN ' ' || context ELSE context END AS context, CASE WHEN starts[1] = 0 THEN list_transform(starts, lambda x: x + 1) ELSE starts END AS starts FROM found),
+  rel AS (SELECT pdf_name, page0, para_idx, question, text FROM paras, kpis WHERE {_SCORE} >= 0.5),
+  unanswered AS (SELECT r.pdf_name, r.question, '' AS answer, r.text AS context, [] AS starts FROM rel r WHERE r.pdf_name IN (SELECT pdf_name FROM asked) AND NOT EXISTS (SELECT 1 FROM asked a WHERE a.pdf_name = r.pdf_name AND a.page0 = r.page0)
+    AND NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT plain, answer FROM asked WHERE answer IS NOT NULL) b WHERE b.plain = r.question AND contains(r.text, b.answer))),
+  united AS (SELECT * FROM placed UNION ALL SELECT * FROM unanswered),
+  numbered AS (SELECT *, row_number() OVER (PARTITION BY pdf_name ORDER BY context, question, answer) AS id FROM united)
+  SELECT pdf_name AS title, context, CAST(id AS BIGINT) AS id, question, len(starts) = 0 AS is_impossible, CASE WHEN len(starts) > 0 THEN answer END AS answer, unnest(CASE WHEN len(starts) > 0 THEN starts ELSE [NULL] END) AS answer_start FROM numbered"""
+
+
+@query(_SQUAD_CURATION_SQL)
 def squad_curation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The training set of the answer model: located answers, further ones, unanswerable questions, split by paragraph."""
     asked, paras = annotations(spark, sf_dir), paragraph_table(spark, sf_dir)

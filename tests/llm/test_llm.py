@@ -475,6 +475,20 @@ def test_lm_scores_match_brute_force(spark):
     assert all(r["n_known"] == 0 for r in lm.score(df, F.lit(False)).collect())
 
 
+def test_lm_tries_remain(spark, monkeypatch):
+    """A fitted model scores what score() does, in many shards with dealt contexts, and other texts as well."""
+    docs = spark.createDataFrame(_documents(60, 12) + [(900, "quite other words"), (901, None)], "doc_id long, text string")
+    train = F.col("doc_id") % 4 > 0
+    for tokens in (10**6, 30):
+        monkeypatch.setattr(lm, "SHARD_TOKENS", tokens)
+        model = lm.fit(docs, train)
+        kept = {r["doc_id"]: tuple(r)[2:] for r in lm.score_with(model, docs).collect()}
+        assert {r["doc_id"]: tuple(r)[2:] for r in lm.score(docs, train).collect()} == kept and len(kept) == 62
+        assert model.tries.count() > 0 and lm.score_with(model, docs.limit(0)).count() == 0
+        other = spark.createDataFrame([(1, _documents(60, 12)[1][1] + " and more")], "doc_id long, text string")
+        assert lm.score_with(model, other).first()["score"] > -99
+
+
 def test_frequent_contexts_are_dealt_out(spark, monkeypatch):
     """All words are known everywhere here; contexts of ten tokens or more are dealt, START START START by document."""
     docs = _documents(80, 8)

@@ -15,8 +15,9 @@ from .plans.curation import clean_annotations, relevance_examples
 from .plans.inference import extract_answers
 from .plans.rule_based import report_measures
 from .rules.catalogue import ACTIVE
+from .schemas import RESULT
 from .sources import objects, writers
-from .sources.readers import annotation_csvs, extracted_json, kpi_mapping, page_words
+from .sources.readers import annotation_csvs, extracted_json, kpi_mapping, page_items, page_words
 from .sources.writers import by_report
 
 #: Folders of a project.
@@ -79,14 +80,14 @@ def curate(spark: SparkSession, annotations: str, extractions: str, kpis: str, o
 
 
 def locate(spark: SparkSession, results: str, pages: str, out: str) -> DataFrame:
-    """Results with the places of their answers, from positioned pages."""
-    words = positioned(spark, pages).withColumnsRenamed({"doc": "pdf_name", "page": "page0"})
-    from .sources.readers import page_items
-
-    items = page_items(words.withColumnsRenamed({"pdf_name": "doc", "page0": "page"})).withColumnsRenamed({"doc": "pdf_name", "page": "page0"})
-    rows = spark.read.parquet(results).withColumns({"pdf_name": F.regexp_replace("PDF_NAME", r"\.pdf$", ""), "page0": F.col("PAGE") - 1, "answer": F.col("ANSWER")})
-    placed = with_coordinates(rows, items, words)
-    result = placed.withColumns({"POS_X": F.coalesce("POS_X", "_x"), "POS_Y": F.coalesce("POS_Y", "_y")}) if "_x" in placed.columns else placed
+    """Results with the places of their answers where they have none, from positioned pages."""
+    words = positioned(spark, pages)
+    named = {"doc": "pdf_name", "page": "page0"}
+    rows = spark.read.parquet(results).withColumnsRenamed({"POS_X": "_x", "POS_Y": "_y", "PDF_NAME": "_file"})
+    rows = rows.withColumns({"pdf_name": F.regexp_replace("_file", r"\.pdf$", ""), "page0": (F.col("PAGE") - 1).cast("int")}).withColumnRenamed("ANSWER", "answer")
+    placed = with_coordinates(rows, page_items(words).withColumnsRenamed(named), words.withColumnsRenamed(named))
+    own = {"PDF_NAME": F.col("_file"), "ANSWER": F.col("answer"), "POS_X": F.coalesce("_x", "pos_x"), "POS_Y": F.coalesce("_y", "pos_y")}
+    result = placed.select(*[own.get(c, F.col(c)).alias(c) for c in RESULT])
     result.write.mode("overwrite").parquet(out)
     return result
 

@@ -106,12 +106,16 @@ def _branches(messages: DataFrame, keep: int | None) -> DataFrame:
     chosen = ends.join(roots, ["tree", "at"], "left_semi").select("tree", "leaf", F.col("total").alias("branch_score"), F.row_number().over(rank).alias("branch"))
     if keep is not None:
         chosen = chosen.where(F.col("branch") <= keep)
-    paths = chosen.select("*", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("up"))
-    for k, up in reversed(list(enumerate(ups))):
+    paths, before = chosen.select("*", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("up")), None
+    for k, up in reversed(list(enumerate(ups))):  # the first table written has read all ups
         higher = paths.join(up.select("tree", "node", "above"), ["tree", "node"]).select(
             "tree", "leaf", "branch_score", "branch", F.col("above").alias("node"), (F.col("up") + 2**k).alias("up")
         )
         paths = table(paths.select("tree", "leaf", "branch_score", "branch", "node", "up").unionByName(higher), f"paths{k}")
+        for old in (up, before):
+            if old is not None:
+                release(old)
+        before = paths
     return paths
 
 

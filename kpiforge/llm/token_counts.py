@@ -11,7 +11,7 @@ what is before it. Then the sums above the changed leaves are updated.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -176,18 +176,12 @@ def _unpacked(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 _SLIM = {"doc_id": pa.int64(), "text": pa.string(), "tree": pa.binary(), "n_tokens": pa.int64(), "n_pretokens": pa.int64()}
+_EDITED = ("doc_id", "text", "tree", "n_tokens", "n_pretokens", "n_tokens_before", "n_pretokens_before", "n_reencoded", "chars")
 
 
-def trees(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, text, tree, n_tokens, n_pretokens, ...) of each row of docs (doc_id, text, ...), further columns as they are.
-
-    tree: the leaves of the text's segment tree, to be kept with the text; edited() takes both up where edits left them. A
-    null text is an empty one. Repeated rows stay; no rows give none. tokenizer: path of a tokenizers file.
-    """
-    rest = [c for c in docs.columns if c not in _SLIM]
-    types = dict(docs.dtypes)
+def _planted(tokenizer: str, rest: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What trees() does to batches (doc_id, text, *rest)."""
 
-    @lean
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokens(tokenizer)
         for batch in batches:
@@ -197,24 +191,16 @@ def trees(docs: DataFrame, tokenizer: str) -> DataFrame:
                 columns = [part.column(0), pa.array(texts, pa.string()), pa.array([_packed(t) for t in made], pa.binary()), pa.array([t.count for t in made], pa.int64()), pa.array([int((t.levels[0][:, 0] > 0).sum()) for t in made], pa.int64())]
                 yield pa.RecordBatch.from_arrays([*columns, *(part.column(2 + k) for k in range(len(rest)))], names=[*_SLIM, *rest])
 
-    schema = ", ".join(["doc_id bigint, text string, tree binary, n_tokens bigint, n_pretokens bigint", *(f"`{c}` {types[c]}" for c in rest)])
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`") for c in rest]).mapInArrow(make, schema)
+    return make
 
 
-def edited(kept: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, text, tree, n_tokens, n_pretokens, n_tokens_before, n_pretokens_before, n_reencoded): kept rows after their edits.
+def _followed(tokenizer: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What edited() does to batches with (doc_id, text, tree, edits)."""
 
-    kept: (doc_id, text, tree, edits array<struct<start, end, text>>) with trees of trees() or of an earlier edited(); other
-    columns are not looked at. Edits are made in order, each on what the ones before it left; positions are code points,
-    taken to the nearest that exist; null positions are 0, null edits are none. Only pre-tokens that edits touch, and those
-    beside them, are encoded: n_reencoded of them.
-    """
-
-    @lean
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokens(tokenizer)
         for batch in batches:
-            for part in slices(batch, 1, rows=256):
+            for part in slices(batch.select(["doc_id", "text", "tree", "edits"]), 1, rows=256):
                 rows = []
                 for text, tree, edits in zip(*(part.column(k).to_pylist() for k in (1, 2, 3))):
                     one = CountedText(text, own, *_unpacked(tree))
@@ -222,25 +208,57 @@ def edited(kept: DataFrame, tokenizer: str) -> DataFrame:
                     for e in edits or []:
                         if e:
                             one.edit(e["start"] or 0, e["end"] or 0, e["text"] or "")
-                    rows.append((one.text, _packed(one.tree), one.count, int((one.tree.levels[0][:, 0] > 0).sum()), before, one.pretokens, one.reencoded))
-                kinds = (pa.string(), pa.binary(), *[pa.int64()] * 5)
-                names = ["doc_id", "text", "tree", "n_tokens", "n_pretokens", "n_tokens_before", "n_pretokens_before", "n_reencoded"]
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))], names=names)
-
-    edits = F.transform("edits", lambda e: F.struct(e["start"].cast("long").alias("start"), e["end"].cast("long").alias("end"), e["text"].cast("string").alias("text")))
-    return kept.select("doc_id", "text", "tree", edits.alias("edits")).mapInArrow(
-        make, "doc_id bigint, text string, tree binary, n_tokens bigint, n_pretokens bigint, n_tokens_before bigint, n_pretokens_before bigint, n_reencoded bigint"
+                    rows.append((one.text, _packed(one.tree), one.count, int((one.tree.levels[0][:, 0] > 0).sum()), before, one.pretokens, one.reencoded, len(one.text)))
+                kinds = (pa.string(), pa.binary(), *[pa.int64()] * 6)
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds))], names=list(_EDITED))
+
+    return make
+
+
+_EDIT = "array<struct<start:bigint,end:bigint,text:string>>"
+
+
+def trees(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, text, tree, n_tokens, n_pretokens, ...) of each row of docs (doc_id, text, ...), further columns as they are.
+
+    tree: the leaves of the text's segment tree, to be kept with the text; edited() takes both up where edits left them. A
+    null text is an empty one. Repeated rows stay; no rows give none. tokenizer: path of a tokenizers file.
+    """
+    rest = [c for c in docs.columns if c not in _SLIM]
+    types = dict(docs.dtypes)
+    schema = ", ".join(["doc_id bigint, text string, tree binary, n_tokens bigint, n_pretokens bigint", *(f"`{c}` {types[c]}" for c in rest)])
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`") for c in rest])
+    return source.mapInArrow(lean(_planted(tokenizer, rest)), schema)
+
+
+def edited(kept: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, text, tree, n_tokens, n_pretokens, n_tokens_before, n_pretokens_before, n_reencoded, chars): kept rows after their edits.
+
+    kept: (doc_id, text, tree, edits array<struct<start, end, text>>) with trees of trees() or of an earlier edited(); other
+    columns are not looked at. Edits are made in order, each on what the ones before it left; positions are code points,
+    taken to the nearest that exist; null positions are 0, null edits are none. Only pre-tokens that edits touch, and those
+    beside them, are encoded: n_reencoded of them.
+    """
+    return kept.select("doc_id", "text", "tree", F.col("edits").cast(_EDIT).alias("edits")).mapInArrow(
+        lean(_followed(tokenizer)), "doc_id bigint, text string, tree binary, n_tokens bigint, n_pretokens bigint, n_tokens_before bigint, n_pretokens_before bigint, n_reencoded bigint, chars bigint"
     )
 
 
 def recount(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(doc_id, n_tokens, n_tokens_edited, n_pretokens, n_reencoded, edited_chars) of each row of docs.
 
-    docs: (doc_id, text, edits); other columns are not looked at: the trees of all texts, and what edited() makes of them.
-    n_pretokens: before the edits. Repeated rows stay; no rows give none. tokenizer: path of a tokenizers file.
+    docs: (doc_id, text, edits); other columns are not looked at: what edited() says of trees(), in one pass that keeps no
+    tree. n_pretokens: before the edits. Repeated rows stay; no rows give none. tokenizer: path of a tokenizers file.
     """
-    out = edited(trees(docs.select("doc_id", "text", "edits"), tokenizer), tokenizer)
-    return out.select("doc_id", F.col("n_tokens_before").alias("n_tokens"), F.col("n_tokens").alias("n_tokens_edited"), F.col("n_pretokens_before").alias("n_pretokens"), "n_reencoded", F.length("text").cast("long").alias("edited_chars"))
+
+    @lean
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _followed(tokenizer)(_planted(tokenizer, ["edits"])(batches)):
+            out = part.select(["doc_id", "n_tokens_before", "n_tokens", "n_pretokens_before", "n_reencoded", "chars"])
+            yield pa.RecordBatch.from_arrays(out.columns, names=["doc_id", "n_tokens", "n_tokens_edited", "n_pretokens", "n_reencoded", "edited_chars"])
+
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("edits").cast(_EDIT).alias("edits"))
+    return source.mapInArrow(make, "doc_id bigint, n_tokens bigint, n_tokens_edited bigint, n_pretokens bigint, n_reencoded bigint, edited_chars bigint")
 
 
 def with_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:

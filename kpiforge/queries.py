@@ -557,7 +557,7 @@ def _answered(column: str) -> str:
 
 
 _LINE = rf"regexp_replace(replace(answer, chr(10), ' '), '^[\s\x{{0b}}\x{{1c}}-\x{{1f}}\x{{85}}\p{{Z}}]+|[\s\x{{0b}}\x{{1c}}-\x{{1f}}\x{{85}}\p{{Z}}]+$', '', 'g')"
-_SQUAD_CURATION_SQL = f"""WITH {KPI_SQL}, {ANN_SQL}, asked AS (SELECT a.*, k.question AS plain, CASE WHEN k.add_year THEN string_split(k.question, '?')[1] || ' in year ' || a.year || '?' ELSE k.question END AS question
+_SQUAD_CURATION_SQL = rf"""WITH {KPI_SQL}, {ANN_SQL}, asked AS (SELECT a.*, k.question AS plain, CASE WHEN k.add_year THEN string_split(k.question, '?')[1] || ' in year ' || a.year || '?' ELSE k.question END AS question
     FROM anns a JOIN kpis k ON CAST(a.kpi_id AS DOUBLE) = k.kpi_id),
   lined AS (SELECT *, {_LINE} AS line FROM asked), clean AS (SELECT pdf_name, kpi_id, question, page0, {_answered('line')} AS answer, {_answered('first_text')} AS part FROM lined WHERE line IS NOT NULL AND line <> ''),
   whole AS (SELECT pdf_name, page0, para_idx, {_answered('text')} AS text FROM paras),

@@ -83,7 +83,7 @@ HEADLINE_SHARE = {"direct": 0.5, "indirect": 0.1, "cluster": 0.0}
 def page_measures(candidates: DataFrame, texts: DataFrame, rules: list[KpiRule]) -> DataFrame:
     """The measures that rules find among the candidates of layout.candidates(), with all of kpi_measure's columns and pos.
 
-    texts: layout.page_texts() of the same pages. A candidate's row and column texts are described, its values must have
+    texts: (doc, page, txt, x, y) of the same pages. A candidate's row and column texts are described, its values must have
     the rule's shape, the first fitting text is its unit, its table's headline and all texts of its page add to its score;
     a table whose headline or page excludes a rule has no measure of it. The best of a table's year stays. Candidates that
     fit are kept by the executors (and computed again where one is lost) until the session's cache is cleared.
@@ -104,8 +104,7 @@ def page_measures(candidates: DataFrame, texts: DataFrame, rules: list[KpiRule])
     judged = known.where("_head >= 0 and _fits and unit is not null").persist(StorageLevel.MEMORY_AND_DISK)
     page = ["doc", "page"]
     asked = judged.select(*page, "kpi_id", "item_id", "x", "y", "page_diag").distinct()
-    told = texts.where("left_id is null").select(*page, F.col("row_txt").alias("txt"), F.col("x0").alias("x"), F.col("y0").alias("y"))
-    found = anywhere_matches(asked, told, rules, page).select(*page, "kpi_id", "item_id", "anywhere_ok", "anywhere_score")
+    found = anywhere_matches(asked, texts.select(*page, "txt", "x", "y"), rules, page).select(*page, "kpi_id", "item_id", "anywhere_ok", "anywhere_score")
     table = [*page, "table_id", "kind", "kpi_id"]
     met = judged.join(found, [*page, "kpi_id", "item_id"]).withColumn("_page_ok", F.min("anywhere_ok").over(Window.partitionBy(*table))).where("_page_ok")
     total = F.col("desc_score") + share * F.col("_head") + F.col("anywhere_score") + F.when(F.col("kind") == "direct", BONUS).otherwise(0.0)
@@ -127,8 +126,10 @@ def report_measures(words: DataFrame, rules: list[KpiRule], default_year: int =
     """kpi_measure of all reports: from positioned words (see readers.WORDS) to each report's best measures.
 
     clusters: also numbers outside tables; without_years: all years unknown; two_pages: tables may go on on the next page.
+    What pages give is kept by the executors as well, since candidates and texts are read apart.
     """
     pages = layout.stacked(words) if two_pages else words
-    found = page_measures(layout.candidates(pages, default_year, clusters), layout.page_texts(pages), rules)
+    laid_out = layout.candidates(pages, default_year, clusters, texts=True).persist(StorageLevel.MEMORY_AND_DISK)
+    found = page_measures(laid_out.where("kind <> 'text'"), laid_out.where("kind = 'text'"), rules)
     found = ignore_years(found) if without_years else found
     return directory_measures(found, None, ("src_file",)).drop("pos")

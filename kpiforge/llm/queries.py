@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, langid, lm, ngram_join, packing, pii, quality, token_counts, topk
+from . import chat, clustering, decontam, langid, lm, ngram_join, packing, pii, quality, ranked, simhash, token_counts, topk
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,6 +111,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector, squared distances and their sums, digest of the final centroid."""
+    out = clustering.cluster(_read(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+
+
+def op12_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, fingerprint, component_id of every document."""
+    out = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item: item_id, rank, doc_id, score."""
+    return ranked.search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_pii": op2_pii,
@@ -122,6 +139,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_language_id": op10_language_id,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_simhash_dedup": op12_simhash_dedup,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
@@ -164,3 +184,44 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length(head) + length(body) + 24) AS BIGINT) AS formatted_chars
 FROM parts GROUP BY conv_id""",
 }
+
+
+def _clustering_sql(k: int, rounds: int) -> str:
+    """Every distance of every round, long form; a round is three steps."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS MATERIALIZED (
+  SELECT own, j, d FROM (
+    SELECT v.own, c.j, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d,
+      row_number() OVER (PARTITION BY v.own ORDER BY d, c.j) AS nth
+    FROM v CROSS JOIN c{r} c) WHERE nth = 1)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS (SELECT j, dim, sum(e) AS s, count(*) AS n FROM (SELECT n.j, unnest(v.x) AS e, generate_subscripts(v.x, 1) AS dim FROM near{r} n JOIN v USING (own)) GROUP BY j, dim),
+m{r} AS (SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY dim) AS x FROM s{r} GROUP BY j),
+c{r + 1} AS MATERIALIZED (SELECT c.j, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m USING (j))""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS own, list_transform(embedding, lambda x: CAST(floor({clustering.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = {clustering.DIMS} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{clustering.SEED}:' || vec_id), x) - 1 AS j, x FROM v ORDER BY sha256('{clustering.SEED}:' || vec_id), x LIMIT {k}),{",".join(steps)}
+SELECT v.vec_id, CAST(n.j AS INTEGER) AS cluster, CAST(n.d AS BIGINT) AS distance, CAST(sum(n.d) OVER (PARTITION BY n.j) AS BIGINT) AS cluster_inertia,
+  CAST(sum(n.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM near{rounds} n JOIN v USING (own) JOIN c{rounds} c USING (j)"""
+
+
+ORACLE_SQL["op11_centroid_clustering"] = _clustering_sql(clustering.K, clustering.ROUNDS)
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLE_SQL["op13_ranked_search"] = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, row_number() OVER () AS own, {_TERMS} AS t FROM documents),
+sizes AS (SELECT own, doc_id, CAST(len(t) AS BIGINT) AS n FROM d WHERE len(t) > 0),
+facts AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+q AS (SELECT own, item_id, term, count(*) AS many FROM (SELECT row_number() OVER () AS own, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY own, item_id, term),
+tf AS (SELECT own, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT own, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY own, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), facts),
+part AS MATERIALIZED (
+  SELECT own, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // total))) AS part FROM tf JOIN sizes USING (own) JOIN w USING (term), facts),
+scored AS (SELECT q.own AS query, q.item_id, p.own, CAST(sum(q.many * p.part) AS BIGINT) AS score FROM q JOIN part p USING (term) GROUP BY q.own, q.item_id, p.own HAVING score > 0),
+ranked AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) AS rank FROM scored JOIN sizes USING (own) WHERE doc_id IS NOT NULL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= {ranked.K}"""

@@ -24,6 +24,8 @@ from .text import _LOWER, _pieces, lean, slices
 TRAIN_ROWS = 20_000
 BUCKETS, SMOOTH, PARTS, TEXTS, MARGIN = 1 << 15, 0.5, 16, 256, 0.2
 UNDETERMINED = "und"
+#: Log-odds below this are rounding.
+ALIKE = 1e-12
 
 
 def codewords(k: int) -> np.ndarray:
@@ -101,6 +103,9 @@ def quota(sizes: list[int], total: int) -> int:
 def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """A model of docs (text, lang); rows with a null in either are left out. Every language counts alike.
 
+    A bit whose two sides have the same trigrams tells nothing and has no weight; where that is so of all bits, as with
+    one text under two labels, every language scores the same, the first one is predicted and all texts are ambiguous.
+
     Of more than train_rows labelled rows, about so many are taken, by hash of the text: all rows of languages below
     a quota, a share of the others'. Each language keeps at least the texts of its smallest hash.
     """
@@ -140,9 +145,12 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
         for b in range(code.shape[1]):
             odds[:, b] = np.log(p[code[:, b] > 0].mean(0)) - np.log(p[code[:, b] < 0].mean(0))
         expected = p @ odds
-        odds /= np.abs(expected).mean(0)
-        weight = np.maximum((expected * code).min(0) / np.abs(expected).mean(0), 0.05)
-    return Model(languages, code, odds.astype(np.float32), weight / weight.mean() / len(weight))
+        scale = np.abs(expected).mean(0)
+        tells = scale > ALIKE
+        scale = np.where(tells, scale, 1.0)
+        odds = np.where(tells, odds / scale, 0.0)
+        weight = np.where(tells, np.maximum((expected * code).min(0) / scale, 0.05), 0.0)
+    return Model(languages, code, odds.astype(np.float32), weight / max(weight.sum(), ALIKE))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

@@ -26,9 +26,41 @@ SHARD, QUERIES = 2048, 4096
 STEP, BLOCK = 16, 512
 
 
+#: Whole numbers up to here are exact as doubles; scores beyond 64 bits are returned as the nearest number of 64 bits.
+EXACT, LOW, HIGH = 2.0**53, -(1 << 63), (1 << 63) - 1
+
+
 def _matrix(column: pa.ChunkedArray, n: int) -> np.ndarray:
     flat = column.combine_chunks()
-    return flat.flatten().to_numpy().reshape(n, -1).astype(np.float64) if n else np.zeros((0, 0))
+    return flat.flatten().to_numpy().reshape(n, -1) if n else np.zeros((0, 0), dtype=np.int64)
+
+
+def _most(values: np.ndarray) -> float:
+    return float(np.abs(values.astype(np.float64)).max(initial=0.0))
+
+
+def search_wide(
+    queries: np.ndarray, query_ids: np.ndarray, floors: np.ndarray, vectors: np.ndarray, ids: np.ndarray, copies: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What search_shard() returns, for whole numbers of any 64 bits: doubles with a bound of their error tell which candidates may be
+    among the k best, and these are scored in whole numbers of any size."""
+    out = []
+    near = vectors.astype(np.float64)
+    slack = (vectors.shape[1] + 8) * 2.0**-51
+    for place, (query, query_id, floor) in enumerate(zip(queries, query_ids.tolist(), floors.tolist())):
+        many = copies - ((ids == query_id) & (vectors == query).all(axis=1))
+        with np.errstate(over="ignore"):
+            score, error = near @ query.astype(np.float64), slack * (np.abs(near) @ np.abs(query.astype(np.float64))) + 1
+        live = np.flatnonzero(many > 0)
+        if len(live) > k:
+            least = np.partition(score[live] - error[live], len(live) - k)[len(live) - k]
+            live = live[score[live] + error[live] >= min(least, float(HIGH))]
+        live = live[score[live] + error[live] >= np.nextafter(floor, -np.inf)]
+        exact = [max(LOW, min(HIGH, sum(a * b for a, b in zip(query.tolist(), vectors[i].tolist())))) for i in live.tolist()]
+        best = sorted(range(len(live)), key=lambda r: (-exact[r], ids[live[r]]))[:k]
+        times = np.minimum(many[live[best]], k).astype(np.int64)
+        out.append((np.full(times.sum(), place), np.repeat(ids[live[best]], times), np.repeat(np.array([exact[r] for r in best], dtype=np.int64), times)))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, dtype=np.int64),) * 3
 
 
 def search_shard(
@@ -38,8 +70,11 @@ def search_shard(
 
     copies: how many rows a vector stands for; a query's own row is not among its candidates. floors: scores that k
     candidates of the query are known to reach, -inf if none are. The shard is gone through block by block, and the
-    k-th best score so far is the threshold of the next.
+    k-th best score so far is the threshold of the next. Sums that doubles can't hold exactly go another way.
     """
+    if _most(queries) * _most(vectors) * max(vectors.shape[1], 1) >= EXACT:
+        return search_wide(queries, query_ids, floors, vectors, ids, copies, k)
+    queries, vectors = queries.astype(np.float64), vectors.astype(np.float64)
     out = []
     n = len(vectors)
     high, low = vectors.max(0), vectors.min(0)
@@ -87,7 +122,8 @@ def search_shard(
 
 
 def whole(vector: Column, scale: int) -> Column:
-    """floor(scale * x) of each component x as a double; null if the vector or a component is null or not finite."""
+    """floor(scale * x) of each component x as a double; null if the vector or a component is null or not finite. What is beyond 64 bits
+    becomes the nearest number of 64 bits."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return F.when(vector.isNotNull() & ~bad, F.transform(vector, lambda x: F.floor(F.lit(scale) * x.cast("double"))))
 
@@ -95,7 +131,8 @@ def whole(vector: Column, scale: int) -> Column:
 def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the k highest inner products of each query with the vectors, its own row aside.
 
-    vectors and queries: (vec_id, terms array<bigint>) of whole numbers below 2**20, say, as whole() makes them; rows
+    vectors and queries: (vec_id, terms array<bigint>) of whole numbers, as whole() makes them; scores are exact whatever
+    the terms, and one beyond 64 bits counts as the nearest number of 64 bits. Rows
     with null terms or a null id take no part, nor do vectors of another length than the query's. Ties go to the
     smaller vec_id. Every row is a candidate, so a repeated one is found as often as it occurs; a query's own is one
     row of its id and terms. Repeated rows of queries ask once, different terms under one id each for themselves.

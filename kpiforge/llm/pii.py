@@ -107,7 +107,7 @@ _PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "wallet": r"(?<![A-Za-z0-9])[13][1-9A-HJ-NP-Za-km-z]{25,33}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)(?![A-Za-z0-9])"
+    "secret": r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|(?<![_-])eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)(?![A-Za-z0-9])"
     r"""|(?<=[=:\x20"'])(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_-])""",
 }
 _VALID: dict[str, Callable[[str], bool]] = {
@@ -253,7 +253,10 @@ def spans(docs: DataFrame) -> DataFrame:
 
 
 def without_personal_data(docs: DataFrame) -> DataFrame:
-    """docs, with all its columns and rows, every span in text replaced by its kind, and n_chars, if any, counted anew."""
+    """docs, with all its columns and rows, every span in text replaced by its kind, and n_chars, if any, counted anew.
+
+    Null and empty texts stay as they are, repeated rows too; no rows give none.
+    """
 
     @F.pandas_udf("string")
     def clean(text):

@@ -196,7 +196,7 @@ def cluster(vectors: DataFrame, k: int = K, rounds: int = ROUNDS, scale: int = S
     """(vec_id, cluster, distance, cluster_inertia, inertia, centroid) for each usable row of vectors (vec_id, embedding).
 
     Usable are vectors of dims components, none null or not finite; others have no row. Components count as floor(scale * x). Centroids
-    start as the k vectors with the smallest sha256 of "seed:vec_id", in that order (equal hashes by components; a null vec_id comes last, as
+    start as the k vectors with the smallest sha256 of "seed:vec_id", in that order (equal hashes by the vectors; a null vec_id comes last, as
     it has none); fewer vectors give fewer centroids, none give no rows. Each round every vector goes to the nearest centroid (squared Euclidean
     distance, ties to the smaller number) and every centroid that has any becomes floor(mean) of its own; at last vectors are assigned once more.
     Repeated rows are vectors each, rows of a null vec_id too. Other columns are not looked at. Any finite component is exact; a distance or sum

@@ -200,6 +200,18 @@ def test_secrets_and_wallets():
     assert pii.redacted(f"the token = {key}.") == "the token = <SECRET>."
 
 
+def test_hostile_texts_take_linear_time():
+    import time
+
+    def seconds(unit: str, size: int) -> float:
+        began = time.process_time()
+        pii.find("(" + unit * (size // len(unit)))
+        return time.process_time() - began
+
+    for unit in ("-eyJaaaaaaaaaa", "_eyJa-aaaaaaaaaa.", "xoxb-", "a@", "1 ", "+1(", "1.1.", "AB12 ", "ghp_", "='", "a.b@c.", "=+/-_"):
+        assert seconds(unit, 240_000) < 10 * seconds(unit, 40_000) + 0.3, unit
+
+
 def test_context_words_are_whole_words():
     score = lambda t: next(s.score for s in pii.find(t) if s.kind == "ip")
     assert score("a ship in a hotel 10.0.0.1") == score("at 10.0.0.1") < score("server 10.0.0.1")
@@ -377,6 +389,23 @@ def test_topk_matches_brute_force(spark):
     assert topk.search(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [2**24, 2**30, 2**40, 2**61])
+def test_topk_is_exact_for_large_components(spark, size):
+    rng = random.Random(size)
+    vectors = [(i, [rng.randint(-size, size) for _ in range(6)]) for i in range(120)]
+    vectors += [(200 + i, [x + (d == 0) * i for d, x in enumerate(vectors[3][1])]) for i in range(-8, 9)]  # scores that differ by little
+    df = spark.createDataFrame(vectors, "vec_id long, terms array<bigint>")
+    bound = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+    want = []
+    for q, v in vectors[:4]:
+        ranked = sorted((-bound(sum(a * b for a, b in zip(v, w))), i) for i, w in vectors if i != q)
+        want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(ranked[:10])]
+    small = topk.SHARD
+    for topk.SHARD in (small, 30):
+        assert sorted(map(tuple, topk.search(df, df.where("vec_id < 4"), 10).collect())) == sorted(want)
+    topk.SHARD = small
+
+
 def test_topk_of_repeated_rows(spark):
     rows = [(0, [3, 1]), (0, [3, 1]), (0, [1, 9]), (1, [2, 2]), (1, [2, 2]), (2, [0, 0]), (3, [1, 2, 3]), (None, [9, 9])]
     df = spark.createDataFrame(rows, "vec_id long, terms array<bigint>")
@@ -503,6 +532,21 @@ def test_frequent_contexts_are_dealt_out(spark, monkeypatch):
         assert r["score"] == pytest.approx(model, abs=3e-4 * n_tokens)
 
 
+def test_a_frequent_word_among_few_documents_is_dealt_out(spark, monkeypatch):
+    """A word has more training tokens than a dealt context needs, and there are fewer documents than that."""
+    docs = [(i, " ".join(w for x in t.split() for w in ("the", x))) for i, t in _documents(60, 14)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    plain, _ = _plain_scores(docs, lambda i: i % 3 > 0, 100, 2)
+    undealt = {r["doc_id"]: r["score"] for r in lm.score(df, F.col("doc_id") % 3 > 0).collect()}
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 100)
+    rows = lm.score(df, F.col("doc_id") % 3 > 0).collect()
+    assert len(rows) == 60
+    for r in rows:
+        assert r["score"] == pytest.approx(plain[r["doc_id"]][3], abs=3e-4 * r["n_tokens"])
+    moved = [abs(r["score"] - undealt[r["doc_id"]]) / r["n_tokens"] for r in rows if r["doc_id"] % 3 == 0]
+    assert max(moved) < 0.01 * 3 and sum(moved) / len(moved) < 0.01
+
+
 def test_words_that_are_not_known_everywhere(spark, monkeypatch):
     """With few words known, scores stay what they are up to the share that rare words lose."""
     docs = _documents(120, 9) + [(500, "quite new words here and there")]
@@ -663,6 +707,18 @@ def test_languages_are_told_apart(spark):
 # ---- pipeline -------------------------------------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("langs", [("x", "y"), ("x", "y", "z")])
+def test_languages_with_the_same_texts_are_ambiguous(spark, langs):
+    df = spark.createDataFrame([("one and the same text", x) for x in langs], "text string, lang string")
+    model = langid.fit(df)
+    rows = langid.identify(spark.createDataFrame([(1, "one and the same text"), (2, "another"), (3, "12")], "doc_id long, text string"), model).orderBy("doc_id").collect()
+    assert [r["lang_pred"] for r in rows] == ["x", "x", "und"] and all(r["ambiguous"] for r in rows)
+    assert [r["score"] for r in rows] == pytest.approx([1 / len(langs), 1 / len(langs), 0])
+    mixed = langid.fit(df.unionByName(spark.createDataFrame([("gar nichts davon hier drin", "w")], "text string, lang string")))
+    found = {r["doc_id"]: r for r in langid.identify(spark.createDataFrame([(1, "one and the same text"), (2, "gar nichts davon")], "doc_id long, text string"), mixed).collect()}
+    assert found[1]["lang_pred"] in langs and found[1]["ambiguous"] and found[2]["lang_pred"] == "w" and all(0 <= r["score"] <= 1 for r in found.values())
+
+
 def test_rare_languages_are_learnt_from_a_sample(spark):
     assert langid.quota([5, 100, 1000], 305) == 200 and langid.quota([5, 7], 12) == 7 and langid.quota([], 9) == 1 and langid.quota([3] * 9, 4) == 1
     rare = {"xx": "zyq wyx qyz", "yy": "ooo uuu aaa"}

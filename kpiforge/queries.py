@@ -161,10 +161,11 @@ def relevant_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("pdf_name", "page0", "para_idx", "kpi", F.round("paragraph_relevance_score", 6).alias("score"))
 
 
-_ANSWERS_SQL = f"""WITH {KPI_SQL}, {PARA_SQL}, rel AS (SELECT pdf_name, page0, para_idx, question AS kpi, kpi_id, text AS paragraph, {_SCORE} AS rel FROM paras, kpis WHERE {_SCORE} >= 0.5),
-ranked AS (SELECT *, list_transform(list_sort(list_transform({TOKENS('paragraph')}, lambda w: {{'n': -len(w), 'w': w}})), lambda s: {{'answer': s.w, 'score': len(s.w) / 100}}) AS r FROM rel),
-pair AS (SELECT *, CASE WHEN coalesce(len(r[1].answer), 0) >= 8 THEN list_concat(r, [{{'answer': 'no_answer', 'score': 0.08}}]) ELSE list_concat([{{'answer': 'no_answer', 'score': 0.08}}], r) END[1:2] AS a FROM ranked),
-melted AS (SELECT pdf_name, kpi, kpi_id, page0, para_idx, paragraph, rel, unnest(a).answer AS answer, CAST(unnest(a).score AS DOUBLE) AS score, unnest(range(1, len(a) + 1)) AS rank FROM pair),
+_ANSWERS_SQL = f"""WITH {KPI_SQL}, {PARA_SQL}, asked AS MATERIALIZED (SELECT question, kpi_id, {TOKENS('question')} AS q FROM kpis), told AS MATERIALIZED (SELECT *, {TOKENS('text')} AS t FROM paras),
+rel AS MATERIALIZED (SELECT * FROM (SELECT pdf_name, page0, para_idx, question AS kpi, kpi_id, text AS paragraph, t, len(list_intersect(q, t)) / greatest(len(q), 1) AS rel FROM told, asked) WHERE rel >= 0.5),
+ranked AS (SELECT *, list_transform(list_sort(list_transform(t, lambda w: {{'n': -len(w), 'w': w}})), lambda s: {{'answer': s.w, 'score': len(s.w) / 100}}) AS r FROM rel),
+pair AS MATERIALIZED (SELECT *, CASE WHEN coalesce(len(r[1].answer), 0) >= 8 THEN list_concat(r, [{{'answer': 'no_answer', 'score': 0.08}}]) ELSE list_concat([{{'answer': 'no_answer', 'score': 0.08}}], r) END[1:2] AS a FROM ranked),
+melted AS MATERIALIZED (SELECT pdf_name, kpi, kpi_id, page0, para_idx, paragraph, rel, unnest(a).answer AS answer, CAST(unnest(a).score AS DOUBLE) AS score, unnest(range(1, len(a) + 1)) AS rank FROM pair),
 none AS (SELECT pdf_name, kpi, kpi_id, max(score) AS score FROM melted WHERE rank = 1 GROUP BY ALL HAVING bool_and(answer = 'no_answer')),
 rows AS (SELECT pdf_name, kpi, kpi_id, page0, para_idx, paragraph, rel, answer, score FROM melted WHERE answer <> 'no_answer'
   UNION ALL SELECT pdf_name, kpi, kpi_id, NULL, NULL, NULL, NULL, 'no_answer', score FROM none),

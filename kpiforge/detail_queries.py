@@ -161,3 +161,27 @@ def contained_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     d = read(spark, sf_dir, "documents").where("text is not null and length(text) > 40")
     return d.select("doc_id", F.md5("text").alias("own"), partial_ratio_of(F.substring("text", 10, 20), F.col("text")).alias("ratio"))
+
+
+_OVERLAP_CELL_SQL = """c AS (SELECT t, unnest([0, 1, 2]) AS col, unnest([CAST(s % 30 AS DOUBLE), 150.0 + p % 40, 300.0 + s % 50]) AS x0, unnest([s % 30 + 60 + q * 3, 190.0 + p % 40 + l * 30, 420.0]) AS x1, unnest([false, r = 'R', f = 'F']) AS fixed
+    FROM (SELECT l_orderkey AS t, l_linenumber AS l, l_suppkey AS s, l_partkey AS p, CAST(l_quantity AS BIGINT) AS q, l_returnflag AS r, l_linestatus AS f FROM lineitem))"""
+
+
+@query(f"""WITH {_OVERLAP_CELL_SQL}, e AS (SELECT *, x0 + 0.99 * (x1 - x0) AS e FROM c), cut AS (SELECT DISTINCT t, e AS x FROM e UNION SELECT DISTINCT t, -1 FROM e),
+  pair AS (SELECT a.t, a.x AS p, b.x AS q FROM cut a JOIN cut b ON a.t = b.t AND a.x <= b.x),
+  gone AS (SELECT p.t, p.p, p.q, x1 - x0 AS w, fixed, CASE col WHEN 0 THEN e > p WHEN 1 THEN x0 < p OR e > q ELSE x0 < q END AS g FROM pair p JOIN e USING (t)),
+  tried AS (SELECT t, p, q, count(*) FILTER (g) AS n, coalesce(sum(w) FILTER (g), 0) AS w FROM gone GROUP BY ALL HAVING NOT bool_or(g AND fixed)),
+  best AS (SELECT t, n, w FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY n, w DESC) AS k FROM tried) WHERE k = 1)
+  SELECT a.t, best.n AS n_removed, CAST(best.w AS DOUBLE) AS width FROM (SELECT DISTINCT t FROM c) a LEFT JOIN best USING (t)""")
+def overlapping_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many cells must leave each table, and how wide they are in sum, so that its three columns stand clear of each other."""
+    from .operators.layout import overlapping_cells as removed
+
+    s, p, q, line = F.col("l_suppkey"), F.col("l_partkey"), F.col("l_quantity").cast("long"), F.col("l_linenumber")
+    cell = lambda col, x0, x1, fixed: F.struct(F.lit(col).alias("col"), x0.cast("double").alias("x0"), x1.cast("double").alias("x1"), fixed.alias("fixed"))
+    made = F.array(cell(0, s % 30, s % 30 + 60 + q * 3, F.lit(False)), cell(1, 150 + p % 40, 190 + p % 40 + line * 30, F.col("l_returnflag") == "R"), cell(2, 300 + s % 50, F.lit(420), F.col("l_linestatus") == "F"))
+    cells = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("t"), line.alias("row"), F.explode(made).alias("c")).select("t", "row", "c.*", F.lit("").alias("txt"))
+    gone = F.col("removed")
+    width = F.coalesce(F.sum(F.when(gone, F.col("x1") - F.col("x0"))), F.lit(0.0))
+    out = removed(cells, ["t"]).groupBy("t").agg(F.count(F.when(gone, 1)).alias("n"), width.alias("w"), F.count("removed").alias("known"))
+    return out.select("t", F.when(F.col("known") > 0, F.col("n")).alias("n_removed"), F.when(F.col("known") > 0, F.col("w")).alias("width"))

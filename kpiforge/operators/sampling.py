@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Digits that one pass of cut_after() looks at.
+DIGITS = 3
+
+
 def draw(seed: int, *keys: Column) -> Column:
     """A text in random order for each seed."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(k.cast("string"), F.lit("")) for k in keys]))
@@ -39,13 +43,33 @@ def split(df: DataFrame, dev_share: float, seed: int, *keys: str) -> DataFrame:
 def split_exactly(df: DataFrame, dev_share: float, seed: int, *keys: str) -> DataFrame:
     """df with split: of its distinct keys, in random order, the first whole number below the train share's are 'train'.
 
-    A share of 0 makes all of them 'train'. The order is a distributed sort; its head is cut at the count.
+    A share of 0 makes all of them 'train'. A key's draw alone decides, so the rows are neither sorted nor joined: see cut_after().
+    """
+    own = draw(seed, *map(F.col, keys))
+    draws = df.select(own.alias("_draw")).distinct()
+    cut = cut_after(draws, int((1 - dev_share) * draws.count()))
+    return df.withColumn("split", F.when(F.lit(True) if cut is None else own < cut, "train").otherwise("dev"))
+
+
+def cut_after(draws: DataFrame, n: int) -> str | None:
+    """A text that exactly the n smallest of distinct draws (_draw, hexadecimal digits) are below; None if there are no more than n.
+
+    Draws are counted by their first DIGITS digits, then those of the one prefix that holds the cut by the next ones, until the
+    cut falls between prefixes. Each pass brings 16**DIGITS counts to the driver at most, whatever the number of draws.
     """
-    each = df.select(*keys).distinct().withColumn("_draw", draw(seed, *map(F.col, keys)))
-    n = int((1 - dev_share) * each.count())
-    train = each.orderBy("_draw", *keys).limit(n).select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.lit("train").alias("_split"))
-    same = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]
-    return df.join(train, same, "left").withColumn("split", F.coalesce("_split", F.lit("dev"))).drop("_split", *[f"_t_{k}" for k in keys])
+    prefix, left = "", n
+    while True:
+        size = len(prefix) + DIGITS
+        counts = draws.where(F.col("_draw").startswith(prefix)).groupBy(F.substring("_draw", 1, size).alias("p")).count().collect()
+        for p, c in sorted(counts):
+            if left == 0:
+                return p
+            if c > left:
+                prefix = p
+                break
+            left -= c
+        else:  # all of the prefix's draws are below the cut, so it is the whole table
+            return None
 
 
 def fold(df: DataFrame, k: int, seed: int, *keys: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -227,3 +229,36 @@ def test_cells_texts_and_trees_as_relations(spark):
     tree = layout.cluster_tree(texts.where("doc = 'a'"))
     assert tree.count() == 2 * 16 - 1 and tree.agg({"n": "max"}).first()[0] == 16
     assert layout.footnotes(frame).count() == 0
+
+
+def test_the_fewest_cells_leave_overlapping_columns():
+    import random
+    from itertools import combinations
+
+    from kpiforge.layout.overlaps import Span, clear, fewest_removed
+
+    rng = random.Random(11)
+    met = Counter()
+    for _ in range(500):
+        columns = [[] for _ in range(rng.randint(2, 4))]
+        for _ in range(rng.randint(2, 12)):
+            c = rng.randrange(len(columns))
+            x = 100 * c + rng.randint(0, 60)
+            columns[c].append(Span(float(x), float(x + rng.choice([20, 40, 100, 250])), rng.random() < 0.3))
+        cells = [(c, k) for c, column in enumerate(columns) for k in range(len(column))]
+        without = lambda gone: [[s for k, s in enumerate(column) if (c, k) not in gone] for c, column in enumerate(columns)]  # noqa: B023, E731
+        free = [x for x in cells if not columns[x[0]][x[1]].fixed]
+        want = None
+        for n in range(len(free) + 1):
+            fit = [set(g) for g in combinations(free, n) if clear(without(set(g)))]
+            if fit:
+                want = n, max(sum(columns[c][k].x1 - columns[c][k].x0 for c, k in g) for g in fit)
+                break
+        got = fewest_removed(columns)
+        if want is None:
+            assert got is None
+        else:
+            assert clear(without(set(got))) and not any(columns[c][k].fixed for c, k in got)
+            assert (len(got), sum(columns[c][k].x1 - columns[c][k].x0 for c, k in got)) == pytest.approx(want)
+        met[None if want is None else want[0]] += 1
+    assert all(met[n] > 10 for n in (None, 0, 1, 2, 3))

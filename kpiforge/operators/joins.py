@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fuzzy import partial_ratio_of
 from ..functions.geometry import Rect, area, intersection_area
 from ..functions.text import file_stem, with_year
+from ..staging import staged
+from .anchors import any_contained, containing
 
 #: A question list is broadcast up to so many rows.
 SMALL = 100_000
-#: Answers that one automaton looks for, about, and parts that the candidates of a question are dealt into.
-ANSWERS, SALTS = 200_000, 16
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -81,12 +80,13 @@ def closest_paragraph(rows: DataFrame, paragraphs: DataFrame, keys: list[str], s
 def with_extraction(annotations: DataFrame, extractions: DataFrame) -> DataFrame:
     """Annotations (source_file, company, ...) with the extraction (file) of their report: of the same stem, else the first
     whose name contains '<stem>-<company>'; null if there is none."""
-    files = extractions.select("file", file_stem(F.col("file")).alias("_stem")).distinct()
+    files = staged(extractions.select("file", file_stem(F.col("file")).alias("_stem")).distinct(), "files")
     exact = files.groupBy("_stem").agg(F.min("file").alias("_exact"))
     own = annotations.withColumn("_stem", file_stem(F.col("source_file"))).join(exact, "_stem", "left")
-    lost = own.where("_exact is null").select("_stem", "company").distinct()
-    part = F.concat_ws("-", lost["_stem"], lost["company"])
-    loose = lost.join(small(files.select(F.col("file").alias("_file"))), F.contains("_file", part)).groupBy("_stem", "company").agg(F.min("_file").alias("_loose"))
+    lost = staged(own.where("_exact is null").select("_stem", "company", F.concat_ws("-", "_stem", "company").alias("answer")).distinct(), "lost")
+    every = F.lit("")  # one question: which names hold which parts
+    met = containing(files.select(F.col("file").alias("row"), every.alias("by"), F.col("file").alias("text")).where("file is not null"), lost.select(every.alias("by"), "answer"))
+    loose = lost.join(met, "answer").groupBy("_stem", "company").agg(F.min("row").alias("_loose"))
     same = (F.col("_stem") == F.col("_s")) & F.col("company").eqNullSafe(F.col("_c"))
     out = own.join(loose.select(F.col("_stem").alias("_s"), F.col("company").alias("_c"), "_loose"), same, "left")
     return out.withColumn("file", F.coalesce("_exact", "_loose")).drop("_stem", "_exact", "_s", "_c", "_loose")
@@ -103,40 +103,17 @@ def unanswerable(candidates: DataFrame, annotations: DataFrame) -> DataFrame:
     """Candidate (pdf_name, page0, question, text) of annotated reports that answer nothing: not on a page annotated for
     the report, and not containing any answer to the same question.
 
-    A question's answers are dealt into lists of at most about ANSWERS, its candidates into SALTS parts; each list and
-    part meet in one group, where an automaton finds all answers in one pass over a text.
+    Texts meet answers through an index of the answers' rarest parts, see anchors.containing().
     """
     pages = annotations.select("pdf_name", "page0").distinct()
     reports = annotations.select("pdf_name").distinct()
-    answers = annotations.select("question", F.col("answer").alias("_answer")).where("answer is not null and question is not null").distinct()
+    answers = staged(annotations.select(F.col("question").alias("by"), "answer").distinct(), "answers")
     kept = candidates.join(reports, "pdf_name", "left_semi").join(pages, ["pdf_name", "page0"], "left_anti")
-    lists = answers.count() // ANSWERS + 1
-    keyed = kept.withColumn("_row", F.xxhash64(*kept.columns)).withColumn("_salt", F.pmod("_row", F.lit(SALTS)).cast("int"))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    asked = keyed.select("question", "_salt", every(lists).alias("_list"), "_row", "text")
-    known = answers.select("question", every(SALTS).alias("_salt"), F.pmod(F.xxhash64("_answer"), F.lit(lists)).cast("int").alias("_list"), "_answer")
-    by = ["question", "_salt", "_list"]
-    told = asked.groupBy(*by).cogroup(known.groupBy(*by)).applyInArrow(_told, "_row bigint").distinct()
+    keyed = staged(kept.withColumn("_row", F.xxhash64("question", "text")), "candidates")  # what a text contains does not depend on where it stands
+    told = any_contained(keyed.select(F.col("_row").alias("row"), F.col("question").alias("by"), "text").distinct(), answers).withColumnRenamed("row", "_row")
     return keyed.join(told, "_row", "left_anti").select(candidates.columns)
 
 
-def _told(texts: pa.Table, answers: pa.Table) -> pa.Table:
-    """The rows whose text contains any of the answers; every text contains an empty one."""
-    import ahocorasick
-
-    words = answers.column("_answer").to_pylist()
-    if not words or not texts.num_rows:
-        return pa.table({"_row": pa.array([], pa.int64())})
-    found = ahocorasick.Automaton()
-    for w in words:
-        if w:
-            found.add_word(w, 1)
-    if len(found):
-        found.make_automaton()
-    hit = ["" in words or (bool(len(found)) and next(found.iter(t), None) is not None) if t is not None else False for t in texts.column("text").to_pylist()]
-    return pa.table({"_row": texts.column("_row").filter(pa.array(hit, pa.bool_()))})
-
-
 def overlapping(a: DataFrame, b: DataFrame, key: str, a_prefix: str = "a_", b_prefix: str = "b_") -> DataFrame:
     """Interval pairs of equal key that overlap: [begin, end) columns with a prefix each."""
     hit = (F.col(f"{a_prefix}begin") < F.col(f"{b_prefix}end")) & (F.col(f"{b_prefix}begin") < F.col(f"{a_prefix}end"))

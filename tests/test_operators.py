@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import json
+import random
 import re
 import zipfile
 
@@ -296,3 +298,34 @@ def test_command_line(spark, tmp_path):
     (tmp_path / "ann" / "a.csv").write_text('company,source_file,source_page,kpi_id,year,answer,data_type,relevant_paragraphs\nX,rep,[1],2.0,2019,5,TEXT,"[""one paragraph""]"\n')
     cli.main(["curate", "--annotations", str(tmp_path / "ann"), "--extractions", str(tmp_path / "json"), "--kpis", str(tmp_path / "k.csv"), "--out", str(tmp_path / "train")])
     assert [(r["context"], r["label"]) for r in spark.read.parquet(str(tmp_path / "train")).collect()] == [("one paragraph", 1)]
+
+
+def test_texts_that_contain_answers_match_brute_force(spark):
+    from kpiforge.operators.anchors import containing
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcé") for _ in range(rng.randint(1, 5)))
+    texts = [(k, rng.choice(["p", "q"]), " ".join(word() for _ in range(rng.randint(0, 9)))) for k in range(300)] + [(900, "p", None), (901, None, "ab"), (902, "q", ""), (903, "r", "abc" * 40_000)]
+    answers = [(rng.choice("pq"), " ".join(word() for _ in range(rng.randint(1, 3)))) for _ in range(200)] + [("p", "a"), ("q", ""), ("q", None), (None, "a"), ("p", "zzzz"), ("r", "bcab"), ("r", "x"), ("p", "a")]
+    got = containing(spark.createDataFrame(texts, "row long, by string, text string"), spark.createDataFrame(answers, "by string, answer string")).collect()
+    want = {(k, b, a) for k, b, t in texts for c, a in answers if t is not None and a is not None and b == c and b is not None and a in t}
+    assert len(got) == len(want) and {tuple(r) for r in got} == want and len(want) > 500
+    none = spark.createDataFrame([], "by string, answer string")
+    assert containing(spark.createDataFrame(texts, "row long, by string, text string"), none).collect() == []
+    assert containing(spark.createDataFrame([], "row long, by string, text string"), spark.createDataFrame(answers, "by string, answer string")).collect() == []
+
+
+def test_exact_splits_cut_at_the_count(spark):
+    from kpiforge.operators import sampling
+
+    for n, share in ((1, 0.5), (17, 0.3), (5000, 0.3), (5000, 0.9999), (100, 0.0), (100, 1.0)):
+        df = spark.range(n).withColumnRenamed("id", "k")
+        df = df.unionByName(df.where("k < 5"))
+        out = sampling.split_exactly(df, share, 9, "k").distinct()
+        rows = {r["k"]: r["split"] for r in out.collect()}
+        train = int((1 - share) * n)
+        order = sorted(range(n), key=lambda k: hashlib.md5(f"9|{k}".encode()).hexdigest())
+        assert out.count() == n and {k for k, s in rows.items() if s == "train"} == set(order[:train])
+    assert sampling.split_exactly(spark.range(0).withColumnRenamed("id", "k"), 0.5, 1, "k").collect() == []
+    plan = sampling.split_exactly(spark.range(50).withColumnRenamed("id", "k"), 0.3, 1, "k")._jdf.queryExecution().toString()
+    assert "TakeOrdered" not in plan and "Join" not in plan

@@ -185,3 +185,22 @@ def overlapping_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     width = F.coalesce(F.sum(F.when(gone, F.col("x1") - F.col("x0"))), F.lit(0.0))
     out = removed(cells, ["t"]).groupBy("t").agg(F.count(F.when(gone, 1)).alias("n"), width.alias("w"), F.count("removed").alias("known"))
     return out.select("t", F.when(F.col("known") > 0, F.col("n")).alias("n_removed"), F.when(F.col("known") > 0, F.col("w")).alias("width"))
+
+
+_RANK_SQL = """c AS (SELECT t, row, col, min(up) AS up, min(l) AS l FROM (SELECT l_orderkey AS t, l_linenumber AS row, unnest([0, 1, 2, 3]) AS col,
+    unnest([l_suppkey % 5, l_partkey % 4, CAST(l_quantity AS BIGINT) % 6, l_linenumber]) AS up, unnest([l_partkey % 3, l_suppkey % 4, l_partkey % 5, CAST(l_quantity AS BIGINT) % 7]) AS l FROM lineitem) GROUP BY ALL)"""
+
+
+@query(f"""WITH RECURSIVE {_RANK_SQL}, parent AS (
+    SELECT a.t, a.row, a.col, 'up' AS side, max(b.row) AS r, a.col AS c FROM c a JOIN c b ON a.t = b.t AND a.col = b.col AND b.row < a.row AND b.up < a.up GROUP BY ALL
+    UNION ALL SELECT a.t, a.row, a.col, 'left', a.row, max(b.col) FROM c a JOIN c b ON a.t = b.t AND a.row = b.row AND b.col < a.col AND b.l < a.l GROUP BY ALL),
+  found AS (SELECT t, row, col, side, 1 AS step, r, c FROM parent UNION ALL SELECT f.t, f.row, f.col, f.side, f.step + 1, p.r, p.c FROM found f JOIN parent p ON p.t = f.t AND p.side = f.side AND p.row = f.r AND p.col = f.c)
+  SELECT t, CAST(row AS INTEGER) AS row, CAST(col AS INTEGER) AS col, side, CAST(step AS INTEGER) AS step, CAST(r AS INTEGER) AS ancestor_row, CAST(c AS INTEGER) AS ancestor_col FROM found""")
+def cell_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ancestor of every cell of tables of order lines, upwards and to the left."""
+    from .operators.hierarchy import cell_ancestors as ancestors
+
+    s, p, q, line = F.col("l_suppkey"), F.col("l_partkey"), F.col("l_quantity").cast("long"), F.col("l_linenumber")
+    ranks = F.array(*[F.struct(F.lit(k).alias("col"), up.cast("double").alias("up_rank"), left.cast("double").alias("left_rank")) for k, (up, left) in enumerate(((s % 5, p % 3), (p % 4, s % 4), (q % 6, p % 5), (line, q % 7)))])
+    cells = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("t"), line.alias("row"), F.explode(ranks).alias("c")).select("t", "row", "c.*")
+    return ancestors(cells, ["t"])

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 
 from . import shapes
 from .grid import Grid
+from .hierarchy import chains
 from .items import FOOTER, HEADLINE, LEFT, MISC, OTHER, SPECIAL, TABLE, TABLE_HEADLINE, Item, Rect, around
 from .page import Page
 
@@ -42,26 +43,41 @@ class Reader:
 
     def __init__(self, grid: Grid, page: Page, default_year: int) -> None:
         self.grid, self.page, self.default_year = grid, page, default_year
-        self.parents = {(r, c): self._parent(r, c) for r, c, _ in grid.items()}
+        self.parents, self.left_parents = self._parents(), self._left_parents()
         self.year_rows = [(r, years) for r in range(grid.n_rows) if (years := self.years_of(r))]
 
     # ---- hierarchy
 
-    def depth(self, r: int, c: int) -> float:
-        """A cell's rank: type first, then how far it is indented if it is aligned left."""
+    def depth(self, r: int, c: int, left: bool = False) -> float:
+        """A cell's rank: type first, then how far it is indented if it is aligned left; to the left, how far down it stands."""
         item = self.grid.at(r, c)
-        indent = int(item.rect.x0 / (INDENT * self.page.width)) if item.alignment == LEFT else 0
+        indent = int((item.rect.y0 if left else item.rect.x0) / (INDENT * self.page.width)) if item.alignment == LEFT else 0
         return item.depth + 10_000 * indent
 
-    def _parent(self, r: int, c: int) -> tuple[int, int] | None:
-        """The nearest cell above in the column that ranks higher."""
-        own = self.depth(r, c)
-        return next(((k, c) for k in range(r - 1, -1, -1) if self.grid.at(k, c) and self.depth(k, c) < own), None)
+    def _parents(self) -> dict[tuple[int, int], tuple[int, int] | None]:
+        """The nearest cell above in the column that ranks higher, of each cell."""
+        out = {}
+        for c in range(self.grid.n_cols):
+            line = [(r, self.depth(r, c)) for r in range(self.grid.n_rows) if self.grid.at(r, c)]
+            out |= {(r, c): (above[0], c) if above else None for (r, _), above in zip(line, chains(line))}
+        return out
 
-    def left_parent(self, r: int, c: int) -> tuple[int, int] | None:
-        """The nearest cell to the left in the row that ranks higher."""
-        own = self.depth(r, c)
-        return next(((r, k) for k in range(c - 1, -1, -1) if self.grid.at(r, k) and self.depth(r, k) < own), None)
+    def _left_parents(self) -> dict[tuple[int, int], tuple[int, int] | None]:
+        """The nearest cell to the left in the row that ranks higher, of each cell."""
+        out = {}
+        for r in range(self.grid.n_rows):
+            line = [(c, self.depth(r, c, left=True)) for c in range(self.grid.n_cols) if self.grid.at(r, c)]
+            out |= {(r, c): (r, beside[0]) if beside else None for (c, _), beside in zip(line, chains(line))}
+        return out
+
+    def ancestors(self) -> Iterator[tuple[int, int, str, int, int, int]]:
+        """(row, column, side, step, row, column) of each cell and each of its ancestors, upwards and to the left."""
+        for side, parents in (("up", self.parents), ("left", self.left_parents)):
+            for cell in parents:
+                step, at = 1, parents[cell]
+                while at:
+                    yield (*cell, side, step, *at)
+                    step, at = step + 1, parents[at]
 
     def cell_lines(self, r: int, c: int) -> list[Item]:
         """A cell and the cells over and under it that may be lines of it: of the same rank, in rows without numbers."""

@@ -262,3 +262,30 @@ def test_the_fewest_cells_leave_overlapping_columns():
             assert (len(got), sum(columns[c][k].x1 - columns[c][k].x0 for c, k in got)) == pytest.approx(want)
         met[None if want is None else want[0]] += 1
     assert all(met[n] > 10 for n in (None, 0, 1, 2, 3))
+
+
+def test_chains_of_ancestors_match_brute_force():
+    import random
+
+    from kpiforge.layout.hierarchy import chains
+
+    rng = random.Random(2)
+    for _ in range(200):
+        line = [(3 * k, float(rng.randint(0, 5))) for k in range(rng.randint(0, 15))]
+        want = []
+        for k in range(len(line)):
+            chain, at = [], k
+            while (above := next((j for j in range(at - 1, -1, -1) if line[j][1] < line[at][1]), None)) is not None:
+                chain.append(line[above][0])
+                at = above
+            want.append(tuple(chain))
+        assert chains(line) == want
+
+
+def test_ancestors_of_odd_cells(spark):
+    from kpiforge.operators.hierarchy import cell_ancestors
+
+    cells = spark.createDataFrame([("a", 0, 0, 1.0, 1.0), ("a", 1, 0, 2.0, 1.0), ("a", 1, 0, 3.0, 9.0), ("a", 2, 0, None, 0.0), ("a", 3, 0, 3.0, 1.0), ("a", 3, 2, 5.0, 2.0), (None, 0, 0, 1.0, 1.0), (None, 4, 0, 2.0, 1.0), ("a", None, 0, 0.0, 0.0)], "doc string, row int, col int, up_rank double, left_rank double")
+    got = sorted(((r["doc"] or "", *tuple(r)[1:]) for r in cell_ancestors(cells, ["doc"]).collect()))
+    assert got == [("", 4, 0, "up", 1, 0, 0), ("a", 1, 0, "up", 1, 0, 0), ("a", 3, 0, "up", 1, 1, 0), ("a", 3, 0, "up", 2, 0, 0), ("a", 3, 2, "left", 1, 3, 0)]
+    assert cell_ancestors(cells.limit(0), ["doc"]).collect() == []

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .functions import geometry, positions, shape, text
 from .operators import filters, joins, metrics, ranking
-from .queries import _CELL_SQL, _RECT_SQL, _SQL_LETTERS, _SQL_NUMERALS, _WORD_SQL, _items, _words, query
-from .tables import read
+from .queries import ANN_SQL, _CELL_SQL, _RECT_SQL, _SQL_LETTERS, _SQL_NUMERALS, _WORD_SQL, _items, _words, query
+from .tables import annotations, paragraphs, read
 
 _DAY, _YEAR_FIRST = (p.replace(r"\\/", r"\/") for p in (shape.DAY_FIRST, shape.YEAR_FIRST))
 _L, _N = _SQL_LETTERS.format("w"), _SQL_NUMERALS.format("w")
@@ -204,3 +204,12 @@ def cell_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = F.array(*[F.struct(F.lit(k).alias("col"), up.cast("double").alias("up_rank"), left.cast("double").alias("left_rank")) for k, (up, left) in enumerate(((s % 5, p % 3), (p % 4, s % 4), (q % 6, p % 5), (line, q % 7)))])
     cells = read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("t"), line.alias("row"), F.explode(ranks).alias("c")).select("t", "row", "c.*")
     return ancestors(cells, ["t"])
+
+
+@query(f"WITH {ANN_SQL} SELECT ann_id, md5(first_text) AS context FROM anns WHERE answer IS NOT NULL AND answer <> ''")
+def misspelt_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The paragraph that is meant where the annotated text lacks every tenth character, so that no paragraph contains it."""
+    asked = annotations(spark, sf_dir).where("answer <> ''")
+    whole = F.expr("substring(relevant_paragraphs, 3, length(relevant_paragraphs) - 4)")
+    rows = asked.select("ann_id", "pdf_name", "page0", "answer", F.regexp_replace(whole, r"([^\n]{9})[^\n]", "$1").alias("paragraph"))
+    return joins.closest_paragraph(rows, paragraphs(spark, sf_dir), ["pdf_name", "page0"]).select("ann_id", F.md5("context").alias("context"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import partial_ratio_of
+from ..functions.fuzzy import most_alike
 from ..functions.geometry import Rect, area, intersection_area
 from ..functions.text import file_stem, with_year
 from ..staging import staged
 from .anchors import any_contained, containing
+from .groups import each_group
 
 #: A question list is broadcast up to so many rows.
 SMALL = 100_000
@@ -70,10 +71,15 @@ def closest_paragraph(rows: DataFrame, paragraphs: DataFrame, keys: list[str], s
     Only texts that no paragraph contains are compared, with the paragraphs of their keys.
     """
     found = first_containing(rows, paragraphs, keys, sentence, list(order)).withColumnRenamed("text", "_whole").drop(*order)
-    lost = found.where("_whole is null").select(*keys, sentence, answer).distinct()
-    pairs = lost.join(paragraphs.select(*keys, *order, "text"), keys).withColumn("_like", partial_ratio_of(F.col(sentence), F.col("text")))
-    best = pairs.groupBy(*keys, sentence, answer).agg(F.max_by("text", F.struct("_like", *[(-F.col(c)).alias(c) for c in order])).alias("_best"))
-    told = found.join(best.where(F.contains("_best", F.col(answer))), [*keys, sentence, answer], "left")
+    lost = found.where("_whole is null").select(*keys, sentence).distinct().where(F.col(sentence).isNotNull())
+    pairs = lost.join(paragraphs.select(*keys, *order, "text"), keys)
+    types = ", ".join(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in (*keys, sentence))
+    # of one annotated text and the paragraphs of its page, those that can't be the most alike are told by a bound
+    best = each_group(
+        pairs.select(*keys, sentence, *order, F.coalesce("text", F.lit("")).alias("text")), [*keys, sentence],
+        lambda key, held: [(*key, held[most_alike(key[-1], [r[-1] for r in held])][-1])], f"{types}, _best string", order,
+    )
+    told = found.join(best, [*keys, sentence], "left").withColumn("_best", F.when(F.contains("_best", F.col(answer)), F.col("_best")))
     return told.withColumn("context", F.coalesce("_whole", "_best", F.col(sentence))).drop("_whole", "_best").select(*rows.columns, "context")
 
 

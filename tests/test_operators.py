@@ -329,3 +329,32 @@ def test_exact_splits_cut_at_the_count(spark):
     assert sampling.split_exactly(spark.range(0).withColumnRenamed("id", "k"), 0.5, 1, "k").collect() == []
     plan = sampling.split_exactly(spark.range(50).withColumnRenamed("id", "k"), 0.3, 1, "k")._jdf.queryExecution().toString()
     assert "TakeOrdered" not in plan and "Join" not in plan
+
+
+def test_partial_ratios_match_brute_force():
+    def changes(a: str, b: str) -> int:
+        row = [0] * (len(b) + 1)  # a part may begin and end anywhere
+        for i, x in enumerate(a):
+            last, row = row, [i + 1]
+            for j, y in enumerate(b):
+                row.append(min(last[j] + (x != y), last[j + 1] + 1, row[j] + 1))
+        return min(row)
+
+    def ratio(a: str, b: str) -> float:
+        a, b = sorted((a, b), key=len)
+        return 1 - changes(a, b) / len(a) if a else 0.0
+
+    rng = random.Random(4)
+    skipped = 0
+    for k in range(400):
+        letters = "abcdefghé"[: rng.randint(1, 9)]
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 90 if k % 5 else 9))) for _ in range(4)]
+        if k % 2 and len(texts[1]) > 3:  # a part of another text with some characters lost or changed
+            texts[0] = "".join(c if rng.random() < 0.85 else rng.choice(["", "x"]) for c in texts[1][2:])
+        assert fuzzy.partial_ratio(texts[0], texts[1]) == ratio(texts[0], texts[1])
+        ratios = [ratio(texts[0], t) for t in texts[1:]]
+        assert fuzzy.most_alike(texts[0], texts[1:]) == ratios.index(max(ratios))
+        short, long = sorted(texts[:2], key=len)
+        assert (least := fuzzy.Pattern(short).least_changes(long)) <= changes(short, long)
+        skipped += least > 0
+    assert skipped > 100

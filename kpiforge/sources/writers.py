@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import json
+import uuid
 import zipfile
 from xml.sax.saxutils import escape
 
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 
 from .objects import write_bytes
 
+#: Characters that a report's name has in a database at most, and rows that a sheet holds, the header's included.
+KEY_LENGTH, SHEET_ROWS = 1024, 1_048_576
+
 
 def rule_csv(measures: DataFrame, path: str) -> None:
     """All cells quoted, quotes taken out, line breaks as spaces."""
@@ -26,38 +30,37 @@ def by_report(df: DataFrame, path: str, key: str = "pdf_name") -> None:
 
 
 def replace_in_database(df: DataFrame, url: str, name: str, properties: dict[str, str], key: str = "PDF_NAME", numbers: tuple[str, ...] = (), post: str | None = None, run_id: str = "") -> None:
-    """Deletes all rows of the reports in df from a table, then inserts df; empty texts of number columns become null.
+    """Puts the rows of df in the place of all rows of its reports in a table; empty texts of number columns become null.
 
-    post: a command for afterwards, in which :RUN_ID stands for run_id. Names go to the database in batches; the rows
-    themselves are written by the executors. Deletion and insertion are two transactions: a run that was cut off between
-    them is repaired by running it again.
+    The executors write df to a table of its own first. Then one transaction in the database deletes the reports' old rows and
+    takes over the new ones, so a run that fails at any point leaves the old rows as they were; the table of its own goes in
+    either case. Rows of a null key are added. post: a command for afterwards, in which :RUN_ID stands for run_id.
     """
-    spark = df.sparkSession
     clean = df.withColumns({c: F.nullif(F.col(c).cast("string"), F.lit("")).try_cast("double") for c in numbers})
-    names = (r[0] for r in df.select(key).where(F.col(key).isNotNull()).distinct().toLocalIterator())
-    connection = spark._jvm.java.sql.DriverManager.getConnection(url, properties.get("user", ""), properties.get("password", ""))
+    waiting = f"{name}_{uuid.uuid4().hex[:16]}"
+    connect = df.sparkSession._jvm.java.sql.DriverManager.getConnection
+    connection = connect(url, properties.get("user", ""), properties.get("password", ""))
     try:
-        delete = connection.prepareStatement(f"DELETE FROM {name} WHERE {key} = ?")
-        waiting = 0
-        for one in names:
-            delete.setString(1, one)
-            delete.addBatch()
-            waiting += 1
-            if waiting == 1000:
-                delete.executeBatch()
-                waiting = 0
-        if waiting:
-            delete.executeBatch()
-        delete.close()
-    finally:
-        connection.close()
-    clean.write.mode("append").jdbc(url, name, properties=properties)
-    if post:
-        connection = spark._jvm.java.sql.DriverManager.getConnection(url, properties.get("user", ""), properties.get("password", ""))
+        clean.write.option("createTableColumnTypes", f"{key} VARCHAR({KEY_LENGTH})").jdbc(url, waiting, properties=properties)
+        quote = connection.getMetaData().getIdentifierQuoteString().strip()
+        own = [f"{quote}{c}{quote}" for c in clean.columns]
+        connection.setAutoCommit(False)
+        command = connection.createStatement()
         try:
-            command = connection.createStatement()
+            command.executeUpdate(f"DELETE FROM {name} WHERE {key} IN (SELECT {quote}{key}{quote} FROM {waiting})")
+            command.executeUpdate(f"INSERT INTO {name} ({', '.join(clean.columns)}) SELECT {', '.join(own)} FROM {waiting}")
+            connection.commit()
+        except Exception:
+            connection.rollback()
+            raise
+        if post:
             command.execute(post.replace(":RUN_ID", "'" + run_id.replace("'", "''") + "'"))
-            command.close()
+            connection.commit()
+    finally:
+        try:
+            connection.setAutoCommit(True)
+            if connection.getMetaData().getTables(None, None, waiting.upper(), None).next() or connection.getMetaData().getTables(None, None, waiting, None).next():
+                connection.createStatement().execute(f"DROP TABLE {waiting}")
         finally:
             connection.close()
 
@@ -149,8 +152,8 @@ def box_table(df: DataFrame, rows: int = 20, width: int = 100) -> str:
 
 
 def workbook(rows: list[list[object]]) -> bytes:
-    """An xlsx file with one sheet of texts and numbers; at most 1,048,576 rows, as the format has it."""
-    if len(rows) > 1_048_576:
+    """An xlsx file with one sheet of texts and numbers; at most SHEET_ROWS rows, as the format has it."""
+    if len(rows) > SHEET_ROWS:
         raise ValueError("more rows than a sheet holds")
 
     def cell(value: object) -> str:
@@ -178,8 +181,8 @@ def workbook(rows: list[list[object]]) -> bytes:
 
 
 def xlsx(df: DataFrame, path: str) -> None:
-    """One workbook with a header row. A sheet is bounded, and so is what the driver gathers for it."""
-    rows = [list(r) for r in df.limit(1_048_576).toLocalIterator()]
+    """One workbook with a header row. A sheet is bounded, and so is what the driver gathers for it: more rows are an error."""
+    rows = [list(r) for r in df.limit(SHEET_ROWS).toLocalIterator()]  # one more than fit below a header
     write_bytes(df.sparkSession, path, workbook([list(df.columns), *rows]))
 
 

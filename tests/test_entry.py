@@ -22,7 +22,9 @@ def test_every_query_with_sql_has_the_same_columns(spark):
         con.execute(f"create view {p.stem} as select * from '{p}'")
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries)
-    for name in ("paragraph_extract", "word_numbers", "top_k_answers", "items_in_rect", "split_and_folds"):
+    for name in (
+        "paragraph_extract", "word_numbers", "top_k_answers", "items_in_rect", "split_and_folds", "exact_split", "extraction_lookup", "unanswerable_pairs", "overlapping_cells", "cell_ancestors", "misspelt_paragraphs", "contained_parts",
+    ):
         df = queries[name](spark, SF)
         cur = con.execute(sql[name])
         columns = [d[0] for d in cur.description]

@@ -53,6 +53,31 @@ def test_database_rows_of_reports_are_replaced(spark):
     assert got == sorted([("a.pdf", None, "new"), ("a.pdf", 3.5, "newer"), ("b.pdf", 2.0, "stays"), ("c.pdf", 4.0, None), ("run'1", None, "post")], key=repr)
 
 
+def test_a_failed_replacement_leaves_the_old_rows(spark):
+    url, properties = "jdbc:derby:memory:failing;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url)
+    connection.createStatement().execute("CREATE TABLE results (PDF_NAME VARCHAR(99), KPI_ID DOUBLE CHECK (KPI_ID < 100), ANSWER CLOB)")
+    connection.createStatement().execute("INSERT INTO results VALUES ('a.pdf', 1.0, 'old'), ('b.pdf', 2.0, 'stays')")
+    bad = spark.createDataFrame([("a.pdf", 3.0, "new"), ("a.pdf", 500.0, "too large")], "PDF_NAME string, KPI_ID double, ANSWER string")
+    with pytest.raises(Exception, match="constraint"):
+        writers.replace_in_database(bad, url, "results", properties)
+    rows = lambda: sorted((r[0], r[1], r[2]) for r in spark.read.jdbc(url, "results", properties=properties).collect())
+    assert rows() == [("a.pdf", 1.0, "old"), ("b.pdf", 2.0, "stays")]
+    writers.replace_in_database(bad.where("KPI_ID < 100"), url, "results", properties)
+    assert rows() == [("a.pdf", 3.0, "new"), ("b.pdf", 2.0, "stays")]
+    tables = connection.getMetaData().getTables(None, None, "RESULTS%", None)
+    assert tables.next() and not tables.next()  # nothing is left beside the table itself
+
+
+def test_more_rows_than_a_sheet_holds_are_an_error(spark, folder, monkeypatch):
+    monkeypatch.setattr(writers, "SHEET_ROWS", 4)
+    writers.xlsx(spark.range(3), f"{folder}/fits.xlsx")
+    assert len(readers.sheet_rows(objects.read_bytes(spark, f"{folder}/fits.xlsx"))) == 4
+    with pytest.raises(ValueError, match="more rows"):
+        writers.xlsx(spark.range(4), f"{folder}/more.xlsx")
+    assert not objects.exists(spark, f"{folder}/more.xlsx")
+
+
 def test_training_files(spark, folder):
     rows = spark.createDataFrame([(f"q{k % 3}", f'context "{k}"', k % 2, ["train", "dev"][k % 2]) for k in range(8)], "question string, context string, label int, split string")
     writers.training_csv(rows.drop("split"), f"{folder}/t", ["question", "context"])

@@ -213,3 +213,68 @@ def misspelt_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.expr("substring(relevant_paragraphs, 3, length(relevant_paragraphs) - 4)")
     rows = asked.select("ann_id", "pdf_name", "page0", "answer", F.regexp_replace(whole, r"([^\n]{9})[^\n]", "$1").alias("paragraph"))
     return joins.closest_paragraph(rows, paragraphs(spark, sf_dir), ["pdf_name", "page0"]).select("ann_id", F.md5("context").alias("context"))
+
+
+#: What a KPI of conversations asks for: patterns with scores, half-lives of letters, letters that are free.
+_TOLD = ((".*tion.*", 1000, 300.0, 20), (".*(?:le|the) .*", 700, 400.0, 30), (".*ung.*", 900, 200.0, 10))
+_TOLD_SQL = " + ".join(f"CASE WHEN regexp_matches(lower({{0}}), '^(?:{p})') THEN {s} * pow(pow(0.5, 1.0 / {h}), greatest(len(regexp_replace({{0}}, '[^a-z ]', '', 'g')) - {n}, 0)) ELSE 0 END" for p, s, h, n in _TOLD)
+_TOLD_OK = f"regexp_matches(lower({{0}}), '^(?:{_TOLD[0][0]})')"
+_REST = "array_to_string(list_transform({0}, lambda x: x.t), ' ')"
+
+
+@query(f"""WITH RECURSIVE c AS (SELECT conv_id, list({{'k': turn, 't': replace(text, chr(10), ' ')}} ORDER BY turn, replace(text, chr(10), ' ')) AS l FROM conversations WHERE text IS NOT NULL GROUP BY 1),
+  n AS (SELECT conv_id, list_transform(l, lambda x, i: {{'i': i, 't': x.t}}) AS l FROM c),
+  b AS (SELECT *, {_TOLD_SQL.format(_REST.format('l'))} AS score FROM n WHERE {_TOLD_OK.format(_REST.format('l'))}),
+  s AS (SELECT conv_id, len(l) AS i, l, score AS base, score FROM b WHERE score >= 20
+    UNION ALL SELECT conv_id, i - 1, CASE WHEN better THEN rest ELSE l END, base, CASE WHEN better THEN told ELSE score END
+      FROM (SELECT *, len(rest) > 0 AND {_TOLD_OK.format('flat')} AND told >= 20 AND told >= score AS better
+        FROM (SELECT *, {_TOLD_SQL.format('flat')} AS told FROM (SELECT *, {_REST.format('rest')} AS flat FROM (SELECT *, list_filter(l, lambda x: x.i <> s.i) AS rest FROM s WHERE i > 0)))))
+  SELECT conv_id, CAST(len(l) AS INTEGER) AS n_kept, md5({_REST.format('l')}) AS kept, round(base, 6) AS base_score, round(score, 6) AS kept_score FROM s WHERE i = 0""")
+def needed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of each conversation that a KPI's description needs, found by leaving out one after the other."""
+    from .operators.clusters import fewest_texts, flat_text
+    from .operators.rules import DescriptionRule, KpiRule
+    from .schemas import MAY_INCLUDE, MUST_INCLUDE
+
+    rule = KpiRule(1.0, "told", tuple(DescriptionRule(p, s, MAY_INCLUDE if k else MUST_INCLUDE, half_life=h, free_letters=n) for k, (p, s, h, n) in enumerate(_TOLD)), minimum_description=20.0)
+    turns = read(spark, sf_dir, "conversations").where("text is not null").select("conv_id", F.struct("turn", F.translate("text", "\n", " ").alias("txt")).alias("item"))
+    lists = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    found = fewest_texts(lists, [rule])
+    return found.select("conv_id", F.size("kept").alias("n_kept"), F.md5(flat_text(F.col("kept"))).alias("kept"), F.round("base_score", 6).alias("base_score"), F.round("kept_score", 6).alias("kept_score"))
+
+
+_BALANCE_SQL = """c AS (SELECT DISTINCT c_custkey AS k, c_nationkey AS n, lower(c_mktsegment) AS s FROM customer),
+  g AS (SELECT k, 0 AS part, 'account balance of ' || s AS label, 2010 + k % 5 AS year, 20 + k % 5 * 3 AS up, 20 + n % 4 * 3 AS down FROM c
+    UNION ALL SELECT k, 1, 'account balance told by nation ' || repeat('x', n), 2010 + n % 5, 20 + n % 3 * 3, 20 + k % 7 * 2 FROM c),
+  m AS (SELECT *, 1000 * pow(0.5, (len(regexp_replace(label, '[^a-z ]', '', 'g')) + 3 - 14) / 40.0) AS score, CASE WHEN up <= down THEN 3000 ELSE 5000 END + part * 1000 + k % 1000 AS value FROM g),
+  y AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, year ORDER BY score DESC, part) AS r, max(score) OVER (PARTITION BY k) AS best FROM m WHERE score >= 500) WHERE r = 1)"""
+
+
+@query(f"WITH {_BALANCE_SQL} SELECT 'customer' || k AS src_file, CAST(year AS INTEGER) AS year, CAST(value AS VARCHAR) AS value, 'EUR' AS unit, round(score, 6) AS score, 'AC.default' AS match_type FROM y WHERE score >= 0.75 * best")
+def cluster_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of pages without tables: two texts of each customer's page compete, each with two numbers, a unit and a year."""
+    from .operators.rules import DescriptionRule, KpiRule
+    from .plans.rule_based import report_measures
+    from .queries import _as_words, _placed
+    from .schemas import MUST_INCLUDE
+
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    words = []
+
+    def part(number: int, top: int, label, tail, year, up, down) -> None:
+        at = lambda item, txt, x, y: words.append(_placed(10 * number + item, txt, F.lit(float(x)), y.cast("double")))
+        for w in label.split(" "):
+            at(0, F.lit(w), 50 + 6 * label.index(w), F.lit(top))
+        at(0, tail, 56 + 6 * len(label), F.lit(top))
+        at(1, F.lit("EUR"), 420, F.lit(top))
+        at(1, year.cast("string"), 442, F.lit(top))
+        for item, (value, y) in enumerate(((3000, top - up), (5000, top + down))):
+            at(2 + item, (value + 1000 * number + k % 1000).cast("string"), 120, y)
+
+    part(0, 150, "account balance of", F.lower("c_mktsegment"), 2010 + k % 5, 20 + k % 5 * 3, 20 + n % 4 * 3)
+    part(1, 600, "account balance told by nation", F.repeat(F.lit("x"), n), 2010 + n % 5, 20 + n % 3 * 3, 20 + k % 7 * 2)
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment").distinct()
+    pages = customers.select(F.concat(F.lit("customer"), k.cast("string")).alias("doc"), F.lit(0).alias("page"), F.array(*words).alias("words"))
+    rule = KpiRule(1.0, "account balance", (DescriptionRule(".*account balance.*", 1000.0, MUST_INCLUDE, half_life=40.0, free_letters=14),), units=(".*eur.*",))
+    found = report_measures(_as_words(pages, 841.0), [rule], 2019, clusters=True)
+    return found.select("src_file", "year", "value", "unit", F.round("score", 6).alias("score"), "match_type")

@@ -260,48 +260,3 @@ def _year_in(text: str, dates: bool) -> int | None:
             if found:
                 return int(found[1])
     return shapes.to_year(text) if shapes.year(text) else None
-
-
-class ClusterReader:
-    """Values near texts, without a table: for pages whose numbers stand free. Off unless asked for."""
-
-    def __init__(self, page: Page, y_only: bool = False) -> None:
-        import numpy as np
-
-        from .clusters import Tree, linkage
-
-        self.page = page
-        self.items = [i for i in page.items if i.category not in ("running", TABLE)]
-        points = np.array([i.rect.center for i in self.items]) if self.items else np.zeros((0, 2))
-        self.tree = Tree([i.txt for i in self.items], linkage(points, y_only))
-
-    def nearest(self, rect: Rect, fits) -> Item | None:
-        """The item that fits and is nearest to a rectangle, the first of equals; a fitting word of one counts as the item."""
-        best: tuple[float, Item] | None = None
-        for i in self.items:
-            if fits(i.txt) or any(fits(w.txt) for w in i.words):
-                dx, dy = i.rect.gap(rect)
-                far = (dx * dx + dy * dy) ** 0.5
-                if best is None or far < best[0]:
-                    best = (far, i)
-        return best[1] if best else None
-
-    def candidates(self, default_year: int) -> Iterator[Candidate]:
-        """The smallest clusters that have both a text and a number: each number with the texts around it."""
-        for node in range(len(self.tree.leaves)):
-            own = [self.items[k] for k in self.tree.leaves[node]]
-            numbers = [i for i in own if shapes.numeric(i.txt) and not shapes.year(i.txt)]
-            texts = [i for i in own if shapes.weak_words(i.txt)]
-            if not numbers or not texts or any(self._has_both(k) for k in self.tree.children[node] or ()):
-                continue
-            rect = around(i.rect for i in texts)
-            value = min(numbers, key=lambda i: (sum(g * g for g in i.rect.gap(rect)), i.ident))
-            year = self.nearest(value.rect, shapes.year)
-            found = next((y for w in year.words if (y := _year_in(w.txt, True))), None) if year else None
-            nodes = [i.txt for i in sorted(texts, key=lambda i: sum(g * g for g in i.rect.gap(value.rect)))]
-            units = [i.txt for i in sorted(self.items, key=lambda i: sum(g * g for g in i.rect.gap(value.rect))) if i is not value]
-            yield Candidate("cluster", node, 0, value, found or default_year, nodes, [], [], units, [value.txt])
-
-    def _has_both(self, node: int) -> bool:
-        own = [self.items[k] for k in self.tree.leaves[node]]
-        return any(shapes.numeric(i.txt) and not shapes.year(i.txt) for i in own) and any(shapes.weak_words(i.txt) for i in own)

@@ -12,6 +12,8 @@ from ..operators import layout
 from ..operators.filters import ignore_years, prefer_dated, score_thresholds
 from ..operators.ranking import best_of_year, year_multiplier
 from ..operators.rules import KpiRule, anywhere_matches, describe_lists, describe_nodes
+from ..staging import staged
+from .clusters import cluster_measures
 
 BONUS = 100.0
 
@@ -77,7 +79,7 @@ def directory_measures(measures: DataFrame, minimum: float | None = 500.0, withi
 
 
 #: What a table's headline counts for, by kind of candidate.
-HEADLINE_SHARE = {"direct": 0.5, "indirect": 0.1, "cluster": 0.0}
+HEADLINE_SHARE = {"direct": 0.5, "indirect": 0.1}
 
 
 def page_measures(candidates: DataFrame, texts: DataFrame, rules: list[KpiRule]) -> DataFrame:
@@ -115,21 +117,23 @@ def page_measures(candidates: DataFrame, texts: DataFrame, rules: list[KpiRule])
     rows = best.withColumn("_years", F.size(F.collect_set("year").over(Window.partitionBy(*table, "row"))))
     more = F.when(F.col("kind") == "direct", F.size("values")).otherwise(F.col("_years")) - 1
     pos_x, pos_y = page_relative(F.col("x"), F.col("y"), F.col("page_width"), F.col("page_height"))
-    match = F.concat(F.when(F.col("kind") == "cluster", "AC.default").otherwise(F.concat(F.lit("AT."), F.col("kind"))))
     return rows.select(
         "kpi_id", "kpi_name", F.col("doc").alias("src_file"), F.col("page").alias("page_num"), F.array("item_id").alias("item_ids"), pos_x.alias("pos_x"), pos_y.alias("pos_y"), F.col("txt").alias("raw_txt"),
-        "year", F.trim("txt").alias("value"), (F.col("score") * F.pow(F.lit(1.2), F.greatest(more, F.lit(0)))).alias("score"), "unit", match.alias("match_type"), "pos",
+        "year", F.trim("txt").alias("value"), (F.col("score") * F.pow(F.lit(1.2), F.greatest(more, F.lit(0)))).alias("score"), "unit", F.concat(F.lit("AT."), F.col("kind")).alias("match_type"), "pos",
     )
 
 
 def report_measures(words: DataFrame, rules: list[KpiRule], default_year: int = layout.DEFAULT_YEAR, clusters: bool = False, without_years: bool = False, two_pages: bool = False) -> DataFrame:
     """kpi_measure of all reports: from positioned words (see readers.WORDS) to each report's best measures.
 
-    clusters: also numbers outside tables; without_years: all years unknown; two_pages: tables may go on on the next page.
+    clusters: also values among texts that stand together outside tables, for which pages are laid out again; without_years: all years unknown; two_pages: tables may go on on the next page.
     What pages give is kept by the executors as well, since candidates and texts are read apart.
     """
     pages = layout.stacked(words) if two_pages else words
-    laid_out = layout.candidates(pages, default_year, clusters, texts=True).persist(StorageLevel.MEMORY_AND_DISK)
-    found = page_measures(laid_out.where("kind <> 'text'"), laid_out.where("kind = 'text'"), rules)
+    laid_out = layout.candidates(pages, default_year, texts=True).persist(StorageLevel.MEMORY_AND_DISK)
+    texts = laid_out.where("kind = 'text'")
+    found = page_measures(laid_out.where("kind <> 'text'"), texts, rules)
+    if clusters:
+        found = found.unionByName(cluster_measures(staged(layout.clusters(pages), "clusters"), texts, rules))
     found = ignore_years(found) if without_years else found
     return directory_measures(found, None, ("src_file",)).drop("pos")

@@ -12,10 +12,13 @@ from kpiforge.layout.clusters import linkage
 from kpiforge.layout.grid import Grid
 from kpiforge.layout.items import CENTER, LEFT, RIGHT, Item, Rect, Word, items_of
 from kpiforge.layout.page import Page
-from kpiforge.layout.reader import ClusterReader, Reader
+from kpiforge.layout.reader import Reader
 from kpiforge.operators import layout
+from kpiforge.operators.clusters import fewest_texts, flat_text, nearest_text
+from kpiforge.operators.rules import AnywhereRule, DescriptionRule, KpiRule
 from kpiforge.plans import rule_based
 from kpiforge.rules.catalogue import ACTIVE
+from kpiforge.schemas import EUCLID, MAY_INCLUDE, MUST_EXCLUDE, MUST_INCLUDE
 from kpiforge.sources import readers
 
 WIDTH, HEIGHT = 609.0, 841.0
@@ -187,11 +190,6 @@ def test_linkage_joins_the_closest_first():
     assert linkage(points[:1]) == [] and linkage(np.array([[0.0, 0.0], [9.0, 1.0], [0.0, 3.0]]), y_only=True)[0][:2] == (0, 1)
 
 
-def test_clusters_give_values_outside_tables():
-    p = page([("Scope 1 emissions", 50.0, 100.0), ("4,200", 150.0, 100.0), ("2018", 190.0, 100.0), ("nothing", 400.0, 700.0)])
-    assert [(c.item.txt, c.year, c.nodes[0]) for c in ClusterReader(p).candidates(2020)] == [("4,200", 2018, "Scope 1 emissions")]
-
-
 def _frame(spark, pages):
     rows = [(doc, number, *w[:10], 0.0, WIDTH, HEIGHT) for doc, number, rows in pages for w in words(rows)]
     return spark.createDataFrame(rows, readers.WORDS)
@@ -289,3 +287,68 @@ def test_ancestors_of_odd_cells(spark):
     got = sorted(((r["doc"] or "", *tuple(r)[1:]) for r in cell_ancestors(cells, ["doc"]).collect()))
     assert got == [("", 4, 0, "up", 1, 0, 0), ("a", 1, 0, "up", 1, 0, 0), ("a", 3, 0, "up", 1, 1, 0), ("a", 3, 0, "up", 2, 0, 0), ("a", 3, 2, "left", 1, 3, 0)]
     assert cell_ancestors(cells.limit(0), ["doc"]).collect() == []
+
+
+SCOPE = KpiRule(6.0, "scope 1", (DescriptionRule(".*scope 1.*", 1000.0, MUST_INCLUDE, half_life=40.0, free_letters=17),), units=(".*tonnes.*",), anywhere=(AnywhereRule(".*water.*", 1.0, MUST_EXCLUDE, EUCLID), AnywhereRule(".*climate.*", 100.0, MAY_INCLUDE, EUCLID)))
+FREE = [("Our climate", 50.0, 60.0), ("Scope 1 emissions", 50.0, 100.0), ("4,200", 60.0, 120.0), ("9,100", 60.0, 160.0), ("tonnes in 2018", 50.0, 140.0), ("Long before that scope 1 was told apart from others", 50.0, 600.0), ("7", 50.0, 700.0)]
+
+
+def test_clusters_give_values_outside_tables(spark):
+    found = rule_based.report_measures(_frame(spark, [("a", 0, FREE), ("b", 0, [*FREE, ("Water use", 400.0, 60.0)]), ("c", 0, FREE[:4])]), [SCOPE], 2019, clusters=True).collect()
+    # the page that speaks of water is ruled out, the one without a unit has nothing; of the competing texts the short one scores
+    assert [(m["src_file"], m["raw_txt"], m["unit"].split()[0], m["year"], m["match_type"]) for m in found] == [("a", "4,200", "tonnes", 2018, "AC.default")]
+    assert 700 < found[0]["score"] < 1100 and 1 in found[0]["item_ids"] and 5 not in found[0]["item_ids"]
+    empty = _frame(spark, [("a", 0, FREE)]).limit(0)
+    assert rule_based.report_measures(empty, [SCOPE], 2019, clusters=True).count() == 0 and layout.clusters(empty).count() == 0
+
+
+def test_nodes_hold_each_item_once_and_the_last_all(spark):
+    rows = layout.clusters(_frame(spark, [("a", 0, FREE)])).collect()
+    nodes, items = [r for r in rows if r["node"] is not None], [r for r in rows if r["node"] is None]
+    assert len(nodes) == 2 * len(items) - 1 and sorted(nodes[-1]["item_ids"]) == sorted(i["item_id"] for i in items)
+    text = {i["item_id"]: i["txt"] for i in items}
+    assert all(n["flat_text"] == " ".join(text[k] for k in n["item_ids"]) for n in nodes)
+
+
+def test_texts_that_a_rule_needs_match_leaving_out_one_by_one(spark):
+    """Against plain Python: the same texts in another order of patterns, repeated texts, nulls, lists without texts."""
+    patterns = [("scope", 900.0, 30.0, 5), ("direct", 500.0, 20.0, 6), ("total", 300.0, 10.0, 0)]
+    rule = KpiRule(1.0, "x", tuple(DescriptionRule(f".*{p}.*", s, MAY_INCLUDE if k else MUST_INCLUDE, half_life=h, free_letters=n) for k, (p, s, h, n) in enumerate(patterns)), minimum_description=10.0)
+
+    def told(texts):
+        flat = " ".join(texts)
+        letters = sum(c == " " or "a" <= c <= "z" for c in flat)
+        if "scope" not in flat.lower():
+            return 0.0
+        return sum(s * 0.5 ** (max(letters - n, 0) / h) for p, s, h, n in patterns if p in flat.lower())
+
+    rng = np.random.default_rng(3)
+    vocabulary = ["scope", "Direct scope", "total", "water", "direct", "a much longer text about nothing", "SCOPE", "12"]
+    lists = [[str(t) for t in rng.choice(vocabulary, rng.integers(1, 7))] for _ in range(60)]
+    rows = [(k, [(t,) for t in texts]) for k, texts in enumerate(lists)] + [(100, []), (101, None), (102, [(None,), ("scope",)])]
+    got = {r["k"]: ([i["txt"] for i in r["kept"]], r["kept_score"]) for r in fewest_texts(spark.createDataFrame(rows, "k int, items array<struct<txt:string>>"), [rule]).collect()}
+    for k, texts in enumerate(lists):
+        kept, score = list(range(len(texts))), told(texts)
+        if score < 10:
+            assert k not in got
+            continue
+        for i in reversed(range(len(texts))):
+            rest = [j for j in kept if j != i]
+            if rest and told([texts[j] for j in rest]) >= max(score, 10) - 1e-9:
+                kept, score = rest, told([texts[j] for j in rest])
+        assert got[k][0] == [texts[j] for j in kept] and got[k][1] == pytest.approx(score)
+    assert 100 not in got and 101 not in got and got[102][0] == ["scope"]
+
+
+def test_nearest_text_takes_words_of_items_and_the_first_of_equals(spark):
+    from pyspark.sql import functions as F
+
+    from kpiforge.functions.shape import looks_numeric
+
+    it = lambda k, t, x: (k, t, x, 0.0, x + 10, 10.0, [(j, w, x + 20 * j, 0.0, x + 20 * j + 10, 10.0) for j, w in enumerate(t.split(" "))])
+    schema = "items array<struct<item_id:int,txt:string,x0:double,y0:double,x1:double,y1:double,words:array<struct<word_idx:int,txt:string,x0:double,y0:double,x1:double,y1:double>>>>, box struct<x0:double,y0:double,x1:double,y1:double>"
+    rows = [([it(1, "5", 0.0), it(2, "6", 80.0)], (40.0, 0.0, 50.0, 10.0)), ([it(1, "2018", 0.0), it(2, "used 7 t", 100.0)], (0.0, 0.0, 10.0, 10.0)), ([it(1, "none", 0.0)], (0.0, 0.0, 1.0, 1.0)), ([], (0.0, 0.0, 1.0, 1.0))]
+    df = spark.createDataFrame(rows, schema)
+    got = df.select(nearest_text(F.col("items"), F.col("box"), looks_numeric).alias("n")).collect()
+    assert [(r["n"]["txt"], r["n"]["item_id"], r["n"]["word_idx"]) if r["n"] else None for r in got] == [("5", 1, -1), ("7", 2, 1), None, None]
+    assert df.select(flat_text(F.col("items")).alias("t")).collect()[1]["t"] == "2018 used 7 t"

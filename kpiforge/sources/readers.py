@@ -29,21 +29,26 @@ def pdf_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("pdf_name"), "path", "content")
 
 
-def pdf_pages(files: DataFrame, decode: Decoder) -> DataFrame:
-    """(pdf_name, page0, text): decode gives a file's pages; a file that it cannot read gives none."""
+def decoded(files: DataFrame, decode: Decoder) -> DataFrame:
+    """(pdf_name, page0, text, error): decode gives a file's pages; of a file that it cannot read one row says
+    why, without a page. A file without pages has no row."""
 
     def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for name, content in zip(batch["pdf_name"], batch["content"]):
                 try:
-                    found = decode(bytes(content))
-                except Exception:  # noqa: BLE001  a broken file is skipped, as any reader of a folder must
-                    found = []
-                rows += [(name, k, t) for k, t in enumerate(found)]
-            yield pd.DataFrame(rows, columns=["pdf_name", "page0", "text"])
+                    rows += [(name, k, t, None) for k, t in enumerate(decode(bytes(content)))]
+                except Exception as problem:  # noqa: BLE001  whatever a decoder raises, the other files go on
+                    rows.append((name, None, None, f"{type(problem).__name__}: {problem}"))
+            yield pd.DataFrame(rows, columns=["pdf_name", "page0", "text", "error"]).astype({"page0": "Int32"})
+
+    return files.select("pdf_name", "content").mapInPandas(pages, "pdf_name string, page0 int, text string, error string")
 
-    return files.select("pdf_name", "content").mapInPandas(pages, "pdf_name string, page0 int, text string")
+
+def pdf_pages(files: DataFrame, decode: Decoder) -> DataFrame:
+    """(pdf_name, page0, text): decode gives a file's pages; a file that it cannot read gives none."""
+    return decoded(files, decode).where("error is null").drop("error")
 
 
 def paragraphs_of(files: DataFrame, decode: Decoder, min_letters: int = 30) -> DataFrame:

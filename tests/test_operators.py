@@ -358,3 +358,38 @@ def test_partial_ratios_match_brute_force():
         assert (least := fuzzy.Pattern(short).least_changes(long)) <= changes(short, long)
         skipped += least > 0
     assert skipped > 100
+
+
+def test_new_pdfs_are_read_once_and_broken_ones_are_told(spark, tmp_path):
+    from kpiforge.streaming.incremental import run_on_new_pdfs
+
+    def decode(content: bytes) -> list[str]:
+        if not content.startswith(b"%PDF"):
+            raise ValueError("no report")
+        return content.decode()[4:].split("\f")
+
+    folder, out, lost = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "lost")
+    folder.mkdir()
+    calls = spark.sparkContext.accumulator(0)
+    line = "Direct emissions of the whole group fell by a tenth in the year"
+
+    def counted(content: bytes) -> list[str]:
+        calls.add(1)
+        return decode(content)
+
+    def run(at_once=None):
+        run_on_new_pdfs(spark, str(folder), counted, lambda p: p.select("pdf_name", "page0", "para_idx", "text"), out, lost, str(tmp_path / "check"), at_once).awaitTermination()
+
+    (folder / "a.pdf").write_bytes(f"%PDF{line} one.\f{line} two.".encode())
+    (folder / "b.pdf").write_bytes(b"broken")
+    (folder / "empty.pdf").write_bytes(b"")
+    (folder / "notes.txt").write_bytes(b"%PDFnot a report")
+    run(1)
+    assert [(r["pdf_name"], r["page0"]) for r in spark.read.parquet(out).orderBy("page0").collect()] == [("a.pdf", 0), ("a.pdf", 1)]
+    told = {r["pdf_name"]: (r["error"], r["path"].rsplit("/", 1)[1]) for r in spark.read.parquet(lost).collect()}
+    assert told == {"b.pdf": ("ValueError: no report", "b.pdf")} and calls.value == 2  # Spark passes over files of no bytes
+    (folder / "c.pdf").write_bytes(f"%PDF{line} three.".encode())
+    run()
+    assert calls.value == 3 and {r["pdf_name"] for r in spark.read.parquet(out).collect()} == {"a.pdf", "c.pdf"} and spark.read.parquet(lost).count() == 1
+    run()
+    assert calls.value == 3

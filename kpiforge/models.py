@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .schemas import NO_ANSWER
@@ -41,6 +42,39 @@ def chunks(question: pd.Series, paragraph: pd.Series, size: int = CHUNK) -> Iter
         yield question.iloc[at : at + size].tolist(), paragraph.iloc[at : at + size].tolist()
 
 
+def by_length(question: pd.Series, paragraph: pd.Series, ask: Callable[[list[str], list[str]], list], size: int = CHUNK) -> list:
+    """What ask() says of each pair, in the pairs' order; pairs of like length are asked together, so that little is padded."""
+    order = paragraph.str.len().fillna(0).to_numpy().argsort(kind="stable")
+    told: list = [None] * len(order)
+    said = (x for q, p in chunks(question.iloc[order], paragraph.iloc[order], size) for x in ask(q, p))
+    for k, x in zip(order, said):
+        told[k] = x
+    return told
+
+
+_LOADED: dict[tuple[str, str], object] = {}
+
+
+def shipped(spark: SparkSession, path: str, build: Callable[[str], object]) -> Callable[[], object]:
+    """A load for relevance_udf() and answer_udf(): the model that build makes of a file or folder, which Spark brings to all
+    workers. A worker builds it once however many partitions it gets; a new worker fetches and builds it anew.
+
+    The name of the file or folder tells models apart: another model of that name in the same session is an error of Spark's.
+    """
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    spark.sparkContext.addFile(path, recursive=True)
+    made = f"{build.__module__}.{build.__qualname__}"
+
+    def load() -> object:
+        from kpiforge.models import _LOADED  # the worker's own, not a copy that came with this function
+
+        if (name, made) not in _LOADED:
+            _LOADED[name, made] = build(SparkFiles.get(name))
+        return _LOADED[name, made]
+
+    return load
+
+
 def relevance_udf(load: Callable[[], RelevanceModel]):
     """A column function (question, paragraph) -> probability; load runs once for each worker's partition."""
 
@@ -48,7 +82,7 @@ def relevance_udf(load: Callable[[], RelevanceModel]):
     def score(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         model = load()
         for question, paragraph in batches:
-            yield pd.Series([x for q, p in chunks(question, paragraph) for x in model(q, p)], dtype=float)
+            yield pd.Series(by_length(question, paragraph, model), dtype=float)
 
     return score
 
@@ -60,7 +94,7 @@ def answer_udf(load: Callable[[], AnswerModel]):
     def answer(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         model = load()
         for question, paragraph in batches:
-            out = [x for q, p in chunks(question, paragraph) for x in model(q, p)]
+            out = by_length(question, paragraph, model)
             yield pd.DataFrame({"answers": [[{"answer": a, "score": s} for a, s in spans] for spans, _ in out], "no_ans_gap": [g for _, g in out]})
 
     return answer
@@ -138,6 +172,56 @@ class LongestWords(Answers):
         return F.struct(F.col("_answers").alias("answers"), F.lit(0.0).alias("no_ans_gap"))
 
 
+def spoken(text: Column) -> Column:
+    """Lower-cased words of letters and digits, in order and as often as they occur."""
+    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+@dataclass(frozen=True)
+class NearWords(Answers):
+    """A double of an answer model that reads the question: words that stand near the question's own words in the paragraph.
+
+    A word's score is the share of the 2 * window places around it that hold words of the question; words of the question and
+    words near none of them are no answers, and a word that occurs again counts where it scores most. 'no answer' has
+    threshold for a score and comes first unless the best word has as much. n_best answers at most, equal ones by alphabet.
+    A null paragraph or question has 'no answer' alone.
+    """
+
+    answer: Callable[[Column, Column], Column] = lambda q, p: F.lit(None)
+    n_best: int = 2
+    window: int = 5
+    threshold: float = 0.2
+
+    def prepared(self, paragraphs: DataFrame, paragraph: str) -> DataFrame:
+        return paragraphs.withColumn("_spoken", F.coalesce(spoken(F.col(paragraph)), F.array().cast("array<string>")))
+
+    def found(self, paragraph: str, question: str) -> Column:
+        words, wide = F.col("_spoken"), self.window
+        own = F.coalesce(tokens(F.col(question)), F.array().cast("array<string>"))
+
+        def near(hit: Column) -> Column:
+            def place(w: Column, i: Column) -> Column:
+                least = F.greatest(i - wide, F.lit(0))
+                return F.struct((-F.size(F.filter(F.slice(hit, least + 1, i + wide - least + 1), lambda h: h))).alias("n"), w.alias("answer"), F.get(hit, i).alias("asked"))
+
+            return F.sort_array(F.filter(F.transform(words, place), lambda s: ~s["asked"] & (s["n"] < 0)))
+
+        def best(ranked: Column) -> Column:
+            take = lambda told, s: F.when((F.size(told) >= self.n_best) | F.exists(told, lambda t: t["answer"] == s["answer"]), told).otherwise(F.concat(told, F.array(F.struct(s["answer"].alias("answer"), (-s["n"] / (2.0 * wide)).alias("score")))))
+            return F.aggregate(ranked, F.array().cast(ANSWERS), take)
+
+        def with_none(told: Column) -> Column:
+            none = F.array(F.struct(F.lit(NO_ANSWER).alias("answer"), F.lit(self.threshold).alias("score")))
+            first = F.coalesce(F.get(told, F.lit(0))["score"], F.lit(0.0))
+            return F.slice(F.when(first >= self.threshold, F.concat(told, none)).otherwise(F.concat(none, told)), 1, self.n_best)
+
+        # each step's list is made once: an element of a list of one is taken through the next
+        told = F.transform(F.array(own), lambda q: F.transform(words, lambda w: F.array_contains(q, w)))
+        for step in (near, best, with_none):
+            told = F.transform(told, step)
+        return F.struct(told[0].alias("answers"), F.lit(0.0).alias("no_ans_gap"))
+
+
 def longest_words(paragraph: Column, n_best: int = 2, threshold: int = 8) -> Column:
     """array<struct<answer, score>> of LongestWords."""
     ranked = F.transform(F.sort_array(F.transform(tokens(paragraph), lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), lambda s: F.struct(s["w"].alias("answer"), (F.length(s["w"]) / 100.0).alias("score")))

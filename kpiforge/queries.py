@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import geometry, positions, shape, text
-from .models import LongestWords, OverlapRelevance, question_pairs
+from .models import LongestWords, NearWords, OverlapRelevance, question_pairs
 from .operators import filters, joins, layout, metrics, paragraphs, ranking, reshape, sampling
 from .operators.rules import DescriptionRule, KpiRule
 from .plans import curation, inference, rule_based
@@ -179,6 +179,28 @@ def answer_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("pdf_name", "kpi", "kpi_id", "answer", F.round("score", 6).alias("score")).agg(F.count("*").alias("n"))
 
 
+_NEAR_SQL = f"""WITH {KPI_SQL}, {PARA_SQL}, asked AS MATERIALIZED (SELECT question, kpi_id, {TOKENS('question')} AS q FROM kpis),
+told AS MATERIALIZED (SELECT *, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS t FROM paras),
+rel AS MATERIALIZED (SELECT row_number() OVER () AS id, pdf_name, page0, para_idx, question AS kpi, kpi_id, t, q, list_transform(t, lambda w: list_contains(q, w)) AS hit FROM told, asked WHERE len(list_intersect(q, list_distinct(t))) / greatest(len(q), 1) >= 0.5),
+place AS (SELECT id, unnest(range(1, len(t) + 1)) AS i, unnest(t) AS w, unnest(hit) AS h FROM rel),
+near AS (SELECT a.id, a.w, a.i, count(*) AS n FROM place a JOIN place b ON a.id = b.id AND b.i BETWEEN a.i - 5 AND a.i + 5 AND b.h WHERE NOT a.h GROUP BY ALL),
+word AS (SELECT id, w, max(n) AS n, row_number() OVER (PARTITION BY id ORDER BY max(n) DESC, w) AS k FROM near GROUP BY id, w),
+peak AS (SELECT id, max(n) / 10 AS most FROM word GROUP BY id),
+entry AS (SELECT id, w AS answer, n / 10 AS score, k + CASE WHEN most >= 0.2 THEN 0 ELSE 1 END AS rank FROM word JOIN peak USING (id)
+  UNION ALL SELECT rel.id, 'no_answer', 0.2, CASE WHEN coalesce(most, 0) >= 0.2 THEN least((SELECT count(*) FROM word x WHERE x.id = rel.id AND k <= 2), 2) + 1 ELSE 1 END FROM rel LEFT JOIN peak USING (id)),
+melted AS MATERIALIZED (SELECT pdf_name, kpi, kpi_id, answer, CAST(score AS DOUBLE) AS score, rank FROM entry JOIN rel USING (id) WHERE rank <= 2),
+rows AS (SELECT pdf_name, kpi, kpi_id, answer, score FROM melted WHERE answer <> 'no_answer'
+  UNION ALL SELECT pdf_name, kpi, kpi_id, 'no_answer', max(score) FROM melted WHERE rank = 1 GROUP BY ALL HAVING bool_and(answer = 'no_answer')),
+top AS (SELECT *, row_number() OVER (PARTITION BY pdf_name, kpi ORDER BY score DESC, answer) AS n FROM rows)"""
+
+
+@query(_NEAR_SQL + " SELECT pdf_name, kpi, kpi_id, answer, round(score, 6) AS score, count(*) AS n FROM top WHERE n <= 4 GROUP BY ALL")
+def question_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four best answers of a model that reads the question: words near the question's own words."""
+    out = inference.extract_answers(paragraph_table(spark, sf_dir), kpis(spark), answers=NearWords())
+    return out.groupBy("pdf_name", "kpi", "kpi_id", "answer", F.round("score", 6).alias("score")).agg(F.count("*").alias("n"))
+
+
 @query(_ANSWERS_SQL + " SELECT pdf_name, kpi, round(score, 6) AS score FROM none")
 def no_answer_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Questions that no paragraph of a report answers."""

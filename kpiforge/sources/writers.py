@@ -97,6 +97,14 @@ def squad_files(nested: DataFrame, folder: str, day: str) -> list[str]:
     return done
 
 
+def predictions_json(predictions: DataFrame, path: str) -> None:
+    """A JSON line for each title of inference.squad_predictions(): title and paragraphs, each with its context and qas (id, question,
+    prediction, score), by context and id. A title's paragraphs are in one line, as in the file that asked."""
+    qas = F.sort_array(F.collect_list(F.struct("id", "question", "prediction", "score"))).alias("qas")
+    told = predictions.groupBy("title", "context").agg(qas).groupBy("title").agg(F.sort_array(F.collect_list(F.struct("context", "qas"))).alias("paragraphs"))
+    told.write.mode("overwrite").json(path)
+
+
 def page_cache(words: DataFrame, folder: str) -> None:
     """Keeps pages' words with their texts and cells, by document, so that later runs need not lay them out again."""
     from ..operators import layout

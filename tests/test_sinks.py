@@ -253,3 +253,72 @@ def test_command_line_modes_and_service(spark, folder):
     assert cli.infer(spark, None, None, f"{folder}/none", [], mode="none") is None
     again = cli.infer(spark, f"{folder}/ex", f"{folder}/kpis.csv", f"{folder}/out", ["OG"])
     assert again.count() == 0  # the report is done
+
+
+def test_words_near_the_question_answer_it(spark):
+    """Against plain Python, over texts with repeated words, without words, and nulls."""
+    import random
+    import re
+
+    from kpiforge.models import NearWords
+
+    def plain(question, text, wide=5, least=0.2, many=2):
+        split = lambda t: [w for w in re.split(r"[^\w]+|_", (t or "").lower()) if w]
+        words, asked = split(text), set(split(question))
+        best = {}
+        for i, w in enumerate(words):
+            n = sum(words[j] in asked for j in range(max(i - wide, 0), min(i + wide + 1, len(words))))
+            if w not in asked and n:
+                best[w] = max(best.get(w, 0), n)
+        told = [(w, n / (2 * wide)) for w, n in sorted(best.items(), key=lambda x: (-x[1], x[0]))[:many]]
+        none = [("no_answer", least)]
+        return (told + none if told and told[0][1] >= least else none + told)[:many]
+
+    rng = random.Random(5)
+    words = ["scope", "one", "emissions", "were", "4200", "tonnes", "in", "2019", "and", "Water", "use", "fell,"]
+    rows = [(k, " ".join(rng.choices(words, k=rng.randint(0, 30))), " ".join(rng.choices(words, k=rng.randint(0, 5)))) for k in range(80)]
+    rows += [(100, None, "scope"), (101, "scope one", None), (102, "", "")]
+    model = NearWords()
+    ready = model.prepared(spark.createDataFrame(rows, "k int, text string, question string"), "text")
+    got = {r["k"]: [(a["answer"], pytest.approx(a["score"])) for a in r["f"]["answers"]] for r in ready.withColumn("f", model.found("text", "question")).collect()}
+    assert {k: plain(q, t) for k, t, q in rows} == got
+    assert sum(v[0][0] != "no_answer" for v in got.values()) > 20 and got[100] == got[101] == got[102] == [("no_answer", 0.2)]
+
+
+def test_models_come_with_spark_and_are_built_once_in_a_worker(spark, tmp_path):
+    import pandas as pd
+
+    from kpiforge.models import by_length, shipped
+
+    (tmp_path / "weights").mkdir()
+    (tmp_path / "weights" / "word.txt").write_text("alpha")
+    (tmp_path / "built").mkdir()
+    log = str(tmp_path / "built")
+
+    def build(folder):
+        import os
+        import uuid
+        from pathlib import Path
+
+        Path(log, f"{os.getpid()}-{uuid.uuid4().hex}").write_text("")
+        word = Path(folder, "word.txt").read_text()
+        return lambda questions, paragraphs: [float(word in p) + len(p) / 1000 for p in paragraphs]
+
+    score = relevance_udf(shipped(spark, str(tmp_path / "weights"), build))
+    df = spark.createDataFrame([("q", "alpha beta"), ("q", "b"), ("q", "no such word here"), ("q", "alpha")], "q string, p string").repartition(4)
+    for _ in range(2):
+        assert {r["p"]: r["s"] for r in df.select("p", score("q", "p").alias("s")).collect()} == {"alpha beta": 1.01, "b": 0.001, "no such word here": 0.017, "alpha": 1.005}
+    made = [n.split("-")[0] for n in __import__("os").listdir(log)]
+    assert made and len(made) == len(set(made))
+    seen = []
+    ask = lambda q, p: seen.append([len(x) for x in p]) or [x.upper() for x in p]
+    assert by_length(pd.Series(["q"] * 4, index=[7, 3, 5, 9]), pd.Series(["ccc", "a", "dddd", "bb"], index=[7, 3, 5, 9]), ask, 2) == ["CCC", "A", "DDDD", "BB"] and seen == [[1, 2], [3, 4]]
+
+
+def test_predictions_are_written_as_they_were_asked(spark, tmp_path):
+    from kpiforge.models import NearWords
+
+    squad = spark.createDataFrame([("t", "scope one emissions were 4200", 2, "scope one emissions?"), ("t", "scope one emissions were 4200", 1, "water"), ("u", "so", 3, "q")], "title string, context string, id int, question string")
+    writers.predictions_json(inference.squad_predictions(squad, NearWords()), str(tmp_path / "p"))
+    told = {r["title"]: [(q["id"], q["prediction"]) for p in r["paragraphs"] for q in p["qas"]] for r in spark.read.json(str(tmp_path / "p")).collect()}
+    assert told == {"t": [(1, "no_answer"), (2, "4200")], "u": [(3, "no_answer")]}

@@ -278,3 +278,48 @@ def cluster_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = KpiRule(1.0, "account balance", (DescriptionRule(".*account balance.*", 1000.0, MUST_INCLUDE, half_life=40.0, free_letters=14),), units=(".*eur.*",))
     found = report_measures(_as_words(pages, 841.0), [rule], 2019, clusters=True)
     return found.select("src_file", "year", "value", "unit", F.round("score", 6).alias("score"), "match_type")
+
+
+_HEAD = "greenhouse gas emission told in tonnes"
+_SCORED = "({0} * pow(0.5, greatest(len(regexp_replace({1}, '[^a-z ]', '', 'g')) - {2}, 0) / {3}))"
+_DESC_SQL = lambda c: f"{_SCORED.format(1000, c, 10, 40.0)} + CASE WHEN {c} LIKE '%of%' THEN {_SCORED.format(300, c, 12, 20.0)} ELSE 0 END"
+
+
+@query(f"""WITH c AS (SELECT DISTINCT c_custkey AS k, c_nationkey AS n, 'emission of ' || lower(c_mktsegment) AS label FROM customer), v AS (SELECT *, unnest([0, 1, 2]) AS j FROM c),
+  s AS (SELECT *, sqrt(pow(320 + 100 * j - (50 + 10 * n), 2) + pow(400 + k % 50 - 120, 2)) / (0.1 * sqrt(609 * 609 + 841 * 841)) AS d FROM v)
+  SELECT 'customer' || k AS src_file, CAST(2017 + j AS INTEGER) AS year, CAST(3000 + k * 7 % 1500 + j AS VARCHAR) AS value, '{_HEAD}' AS unit, 'AT.direct' AS match_type,
+    round(({_DESC_SQL('label')} + 0.5 * ({_DESC_SQL(f"'{_HEAD}'")}) + 200 * pow(0.9, d) + 100) * 1.44, 6) AS score FROM s""")
+def scored_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a measure's score is made of: the row's label with its letters, the table's headline, a text elsewhere on the page with
+    its distance, the years in the row; and its unit."""
+    from .operators.rules import AnywhereRule, DescriptionRule, KpiRule
+    from .plans.rule_based import report_measures
+    from .queries import _as_words, _placed
+    from .schemas import EUCLID, MAY_INCLUDE, MUST_INCLUDE
+
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    words = []
+
+    def line(item: int, text: str, x, y, *more) -> None:
+        for j, w in enumerate(text.split(" ")):
+            words.append(_placed(item, F.lit(w), x + 6 * len(" ".join([*text.split(" ")[:j], ""])), y))
+        for w in more:
+            words.append(_placed(item, w, x + 6 * (len(text) + 1), y))
+
+    at = lambda v: F.lit(float(v))
+    line(0, _HEAD, at(50), at(60))
+    for j in range(3):
+        line(1 + j, str(2017 + j), at(320 + 100 * j), at(100))
+    for row, (label, more) in enumerate((("emission of", (F.lower("c_mktsegment"),)), ("water use", ()), ("staff", ()))):
+        line(10 + 10 * row, label, at(50), at(120 + 20 * row), *more)
+        for j in range(3):
+            words.append(_placed(11 + 10 * row + j, (3000 + k * (7 + row) % 1500 + j).cast("string"), at(320 + 100 * j), at(120 + 20 * row)))
+    line(50, "climate", 50 + 10 * n, (400 + k % 50).cast("double"))
+    customers = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment").distinct()
+    pages = customers.select(F.concat(F.lit("customer"), k.cast("string")).alias("doc"), F.lit(0).alias("page"), F.array(*words).alias("words"))
+    rule = KpiRule(
+        1.0, "emission", (DescriptionRule(".*emission.*", 1000.0, MUST_INCLUDE, decay=0.8, half_life=40.0, free_letters=10), DescriptionRule(".*of.*", 300.0, MAY_INCLUDE, decay=0.5, half_life=20.0, free_letters=12)),
+        units=(".*tonnes.*",), anywhere=(AnywhereRule(".*climate.*", 200.0, MAY_INCLUDE, EUCLID, decay=0.9),),
+    )
+    found = report_measures(_as_words(pages, 841.0), [rule], 2019)
+    return found.select("src_file", "year", "value", "unit", "match_type", F.round("score", 6).alias("score"))

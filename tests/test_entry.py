@@ -23,7 +23,7 @@ def test_every_query_with_sql_has_the_same_columns(spark):
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries)
     for name in (
-        "paragraph_extract", "word_numbers", "top_k_answers", "items_in_rect", "split_and_folds", "exact_split", "extraction_lookup", "unanswerable_pairs", "overlapping_cells", "cell_ancestors", "misspelt_paragraphs", "contained_parts", "needed_texts", "cluster_measures",
+        "paragraph_extract", "word_numbers", "top_k_answers", "items_in_rect", "split_and_folds", "exact_split", "extraction_lookup", "unanswerable_pairs", "overlapping_cells", "cell_ancestors", "misspelt_paragraphs", "contained_parts", "needed_texts", "cluster_measures", "question_answers", "scored_measures",
     ):
         df = queries[name](spark, SF)
         cur = con.execute(sql[name])

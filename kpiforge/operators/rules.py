@@ -16,6 +16,7 @@ from ..functions.geometry import weighted_distance
 from ..functions.text import lower_letters
 from ..schemas import EUCLID, MAY_INCLUDE, MUST_EXCLUDE, MUST_INCLUDE, MUST_INCLUDE_EACH, WEIGHTED_UP_ONLY
 from .filters import value_matches
+from .joins import by_keys
 
 
 @dataclass(frozen=True)
@@ -202,7 +203,7 @@ def anywhere_matches(values: DataFrame, texts: DataFrame, rules: list[KpiRule],
         for kpi, n, r in listed
     ]
     hits = texts.select(*keys, "txt", F.col("x").alias("tx"), F.col("y").alias("ty"), F.explode(F.array_compact(F.array(*met))).alias("r")).select(*keys, "txt", "tx", "ty", "r.*")
-    pairs = values.select(*own, "x", "y", "page_diag").join(hits, [*keys, "kpi_id"])
+    pairs = values.select(*own, "x", "y", "page_diag").join(by_keys(hits), [*keys, "kpi_id"])
     straight = F.sqrt((F.col("tx") - F.col("x")) ** 2 + (F.col("ty") - F.col("y")) ** 2)
     weighted = lambda up: weighted_distance(F.col("x"), F.col("y"), F.col("tx"), F.col("ty"), F.col("page_diag") * 0.0007, up)
     dist = F.when(F.col("kind") == EUCLID, straight).when(F.col("kind") == WEIGHTED_UP_ONLY, weighted(True)).otherwise(weighted(False))
@@ -228,7 +229,7 @@ def anywhere_matches(values: DataFrame, texts: DataFrame, rules: list[KpiRule],
     total = F.coalesce("_total", F.lit(0.0))
     ok = ~bad & ((zero("_some") > 0) | ~counted) & (total > 0)
     score = F.when(none, 0.0).when(bad, F.when(excluded, -1.0).otherwise(0.0)).when(ok, total).otherwise(0.0)
-    out = values.join(by, own, "left").withColumn("anywhere_ok", none | ok).withColumn("anywhere_score", score)
+    out = values.join(by_keys(by), own, "left").withColumn("anywhere_ok", none | ok).withColumn("anywhere_score", score)
     return out.drop("_excluded", "_musts", "_some", "_total")
 
 

@@ -10,6 +10,7 @@ from ..functions.geometry import page_relative
 from ..functions.shape import looks_numeric, looks_year, to_year
 from ..operators import layout
 from ..operators.filters import ignore_years, prefer_dated, score_thresholds
+from ..operators.joins import by_keys, few_or_by_keys
 from ..operators.ranking import best_of_year, year_multiplier
 from ..operators.rules import KpiRule, anywhere_matches, describe_lists, describe_nodes
 from ..staging import staged
@@ -71,8 +72,8 @@ def indirect_year_measures(cells: DataFrame, rules: list[KpiRule], keys: list[st
 def directory_measures(measures: DataFrame, minimum: float | None = 500.0, within: tuple[str, ...] = ()) -> DataFrame:
     """The measures of a report's pages made one list: the best of each KPI and year, near its KPI's best, dated ones
     before undated. within: the report's keys, if there are several. measures must have pos, by which the later of equals
-    stays; minimum None: scores were looked at before."""
-    best = best_of_year(measures, within=within)
+    stays; minimum None: scores were looked at before. What each step reads twice is written once before."""
+    best = staged(best_of_year(measures, within=within), "best_measures")
     keys = (*within, "kpi_name")
     near = score_thresholds(best, F.lit(float("-inf") if minimum is None else minimum), keys=keys)
     return best_of_year(prefer_dated(near, keys), within=within)
@@ -88,27 +89,27 @@ def page_measures(candidates: DataFrame, texts: DataFrame, rules: list[KpiRule])
     texts: (doc, page, txt, x, y) of the same pages. A candidate's row and column texts are described, its values must have
     the rule's shape, the first fitting text is its unit, its table's headline and all texts of its page add to its score;
     a table whose headline or page excludes a rule has no measure of it. The best of a table's year stays. Candidates that
-    fit are kept by the executors (and computed again where one is lost) until the session's cache is cleared.
+    fit are kept by the executors (and computed again where one is lost) until the measures are written, see staging.
     """
     by = lambda f: F.coalesce(*[F.when(F.col("kpi_id") == F.lit(float(r.kpi_id)), f(r)) for r in rules])
     keyed = candidates.withColumn("_all", F.concat("nodes", "above")).withColumns({"_list": F.xxhash64("_all"), "_over": F.xxhash64("headline")})
     lists = keyed.select(F.explode(F.array(F.struct(F.col("_list").alias("list_id"), F.col("_all").alias("nodes")), F.struct(F.col("_over").alias("list_id"), F.col("headline").alias("nodes")))).alias("x")).select("x.*")
-    told = describe_lists(lists.dropDuplicates(["list_id"]), rules)
-    named = keyed.join(told.where("ok").select(F.col("list_id").alias("_list"), "kpi_id", "kpi_name", F.col("score").alias("desc_score")), "_list")
+    told = staged(describe_lists(lists.dropDuplicates(["list_id"]), rules), "lists")
+    named = keyed.join(few_or_by_keys(told.where("ok").select(F.col("list_id").alias("_list"), "kpi_id", "kpi_name", F.col("score").alias("desc_score"))), "_list")
     heads = told.select(F.col("list_id").alias("_over"), "kpi_id", F.col("score").alias("_head"))
-    named = named.join(heads, ["_over", "kpi_id"], "left").withColumn("_head", F.coalesce("_head", F.lit(0.0)))
+    named = named.join(few_or_by_keys(heads), ["_over", "kpi_id"], "left").withColumn("_head", F.coalesce("_head", F.lit(0.0)))
     share = F.coalesce(*[F.when(F.col("kind") == k, F.lit(x)) for k, x in HEADLINE_SHARE.items()])
     known = named.withColumns({
         "_fits": by(lambda r: F.forall("values", r.value_ok)), "unit": by(lambda r: F.get(F.filter("units", r.unit_ok), F.lit(0))),
         "_least": by(lambda r: F.lit(float(r.minimum_score))), "page_diag": F.sqrt(F.col("page_width") ** 2 + F.col("page_height") ** 2),
     })
-    # few candidates fit any rule; they are read several times from here on
+    # few candidates fit any rule; they are read three times from here on
     judged = known.where("_head >= 0 and _fits and unit is not null").persist(StorageLevel.MEMORY_AND_DISK)
     page = ["doc", "page"]
     asked = judged.select(*page, "kpi_id", "item_id", "x", "y", "page_diag").distinct()
     found = anywhere_matches(asked, texts.select(*page, "txt", "x", "y"), rules, page).select(*page, "kpi_id", "item_id", "anywhere_ok", "anywhere_score")
     table = [*page, "table_id", "kind", "kpi_id"]
-    met = judged.join(found, [*page, "kpi_id", "item_id"]).withColumn("_page_ok", F.min("anywhere_ok").over(Window.partitionBy(*table))).where("_page_ok")
+    met = judged.join(by_keys(found), [*page, "kpi_id", "item_id"]).withColumn("_page_ok", F.min("anywhere_ok").over(Window.partitionBy(*table))).where("_page_ok")
     total = F.col("desc_score") + share * F.col("_head") + F.col("anywhere_score") + F.when(F.col("kind") == "direct", BONUS).otherwise(0.0)
     scored = met.withColumn("score", total).where(F.col("score") >= F.col("_least"))
     ranked = scored.withColumn("pos", F.struct("page", "table_id", "kind", "row", "col"))
@@ -117,17 +118,20 @@ def page_measures(candidates: DataFrame, texts: DataFrame, rules: list[KpiRule])
     rows = best.withColumn("_years", F.size(F.collect_set("year").over(Window.partitionBy(*table, "row"))))
     more = F.when(F.col("kind") == "direct", F.size("values")).otherwise(F.col("_years")) - 1
     pos_x, pos_y = page_relative(F.col("x"), F.col("y"), F.col("page_width"), F.col("page_height"))
-    return rows.select(
+    measures = rows.select(
         "kpi_id", "kpi_name", F.col("doc").alias("src_file"), F.col("page").alias("page_num"), F.array("item_id").alias("item_ids"), pos_x.alias("pos_x"), pos_y.alias("pos_y"), F.col("txt").alias("raw_txt"),
         "year", F.trim("txt").alias("value"), (F.col("score") * F.pow(F.lit(1.2), F.greatest(more, F.lit(0)))).alias("score"), "unit", F.concat(F.lit("AT."), F.col("kind")).alias("match_type"), "pos",
     )
+    written = staged(measures, "measures")
+    judged.unpersist()
+    return written
 
 
 def report_measures(words: DataFrame, rules: list[KpiRule], default_year: int = layout.DEFAULT_YEAR, clusters: bool = False, without_years: bool = False, two_pages: bool = False) -> DataFrame:
     """kpi_measure of all reports: from positioned words (see readers.WORDS) to each report's best measures.
 
     clusters: also values among texts that stand together outside tables, for which pages are laid out again; without_years: all years unknown; two_pages: tables may go on on the next page.
-    What pages give is kept by the executors as well, since candidates and texts are read apart.
+    What pages give is kept by the executors as well, since candidates and texts are read apart, until the best are written.
     """
     pages = layout.stacked(words) if two_pages else words
     laid_out = layout.candidates(pages, default_year, texts=True).persist(StorageLevel.MEMORY_AND_DISK)
@@ -136,4 +140,6 @@ def report_measures(words: DataFrame, rules: list[KpiRule], default_year: int =
     if clusters:
         found = found.unionByName(cluster_measures(staged(layout.clusters(pages), "clusters"), texts, rules))
     found = ignore_years(found) if without_years else found
-    return directory_measures(found, None, ("src_file",)).drop("pos")
+    best = directory_measures(found, None, ("src_file",)).drop("pos")
+    laid_out.unpersist()
+    return best

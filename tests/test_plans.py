@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from kpiforge.operators.rules import anywhere_matches
 from kpiforge.queries import QUERIES
+from kpiforge.rules.catalogue import ACTIVE
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,3 +17,9 @@ def _plan(df) -> str:
 
 def test_items_and_words_of_pages_are_not_broadcast(spark):
     assert "BroadcastHashJoin" not in _plan(QUERIES["answer_coordinates"](spark, SF))
+
+
+def test_what_texts_of_pages_say_is_not_broadcast(spark):
+    page = spark.range(3).select(F.lit("a").alias("doc"), F.col("id").cast("int").alias("page"), F.lit(1).alias("item_id"), F.lit("emissions").alias("txt"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    values = page.drop("txt").withColumns({"kpi_id": F.lit(float(ACTIVE[0].kpi_id)), "page_diag": F.lit(1.0)})
+    assert "BroadcastHashJoin" not in _plan(anywhere_matches(values, page, list(ACTIVE), ["doc", "page"]))

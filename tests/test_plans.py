@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
+from kpiforge.functions import positions
 from kpiforge.layout.items import Item, Word
 from kpiforge.layout.page import Page
 from kpiforge.operators.rules import anywhere_matches
@@ -35,3 +38,10 @@ def test_rows_of_a_page_are_not_found_by_comparing_all_items(monkeypatch):
     words = [word(10 * r + c, "label" if c == 0 else f"{r}.{c}", 50.0 + 100 * c, 20.0 * r) for r in range(64) for c in range(4)]
     found = Page(words, 609.0, 2600.0).tables
     assert [t.shape() for t in found] == [(64, 4, 256)] and len(asked) < 100 * len(words)
+
+
+def test_offsets_of_a_long_text_do_not_copy_all_before_each(spark):
+    text = spark.range(1).select(F.repeat(F.lit("an a "), 200_000).alias("t"))
+    began = time.perf_counter()
+    found = text.select(positions.find_all(F.col("t"), F.lit("a")).alias("o")).select(F.size("o").alias("n"), F.get("o", F.lit(399_999)).alias("last"), F.get("o", F.lit(2)).alias("third")).first()
+    assert tuple(found) == (400_000, 999_998, 5) and time.perf_counter() - began < 60

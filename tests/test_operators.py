@@ -393,3 +393,24 @@ def test_new_pdfs_are_read_once_and_broken_ones_are_told(spark, tmp_path):
     assert calls.value == 3 and {r["pdf_name"] for r in spark.read.parquet(out).collect()} == {"a.pdf", "c.pdf"} and spark.read.parquet(lost).count() == 1
     run()
     assert calls.value == 3
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_paragraphs_are_cleaned_once_and_firsts_alone(spark):
+    """What a line holds is told before it is cleaned, so that the cleaning stands in the plan once."""
+    from kpiforge.functions.text import clean_for_answers, clean_for_curation, letters, letters_when_clean
+    from kpiforge.operators.paragraphs import first_paragraphs, split_pages
+
+    odd = ["[“one”] “two” three", "a\tb\n\nc  d  e\x1cf\x00g", "ééÿāЖ中\U00010400 7", "", "\x85x   y", "[“”]..a..b(c)"]
+    rows = spark.createDataFrame([(t,) for t in odd], "t string").select("t", clean_for_curation(F.col("t")).alias("c"), clean_for_answers(F.col("t")).alias("a"), letters_when_clean(F.col("t")).alias("n"))
+    for r in rows.withColumn("m", letters(F.col("c"))).collect():
+        plain = re.sub(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xff]", "", re.sub("[“”]", "", r["t"].replace("[“", '["').replace("”]", '"]')).replace("\n", " "))
+        assert r["c"] == re.sub(r"\s{2,}", " ", plain.replace("\t", " ")) and r["n"] == r["m"] == sum(c.isalpha() for c in r["c"])
+        assert r["a"] == re.sub(r"\.{2,}", "", re.sub(r"[()^+*$|\\?\[\]{}]", "", re.sub(r"\s{2,}", " ", plain)).lower())
+    pages = spark.createDataFrame([("a", "short\n" + "é" * 40 + "\nthe first “long” one\nthe second long one"), ("b", "short"), ("c", None), ("d", "")], "pdf_name string, text string")
+    every = split_pages(pages, "\n", 8, ("pdf_name",))
+    assert [tuple(r) for r in first_paragraphs(pages, "\n", 8, ("pdf_name",)).collect()] == [("a", 2, "the first long one")] == sorted(tuple(r) for r in every.collect())[:1]
+    assert _plan(every).count(r"(?U)\s{2,}") == 1

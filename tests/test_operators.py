@@ -414,3 +414,21 @@ def test_paragraphs_are_cleaned_once_and_firsts_alone(spark):
     every = split_pages(pages, "\n", 8, ("pdf_name",))
     assert [tuple(r) for r in first_paragraphs(pages, "\n", 8, ("pdf_name",)).collect()] == [("a", 2, "the first long one")] == sorted(tuple(r) for r in every.collect())[:1]
     assert _plan(every).count(r"(?U)\s{2,}") == 1
+
+
+def test_answers_are_found_once_and_pairs_without_any_count_for_nothing(spark):
+    from kpiforge.models import Answers, NearWords
+    from kpiforge.plans.inference import extract_answers, melted
+
+    made = Answers(lambda q, p: F.struct(F.array(F.struct(F.concat(p, F.lit("<found>")).alias("answer"), F.lit(0.5).alias("score"))).alias("answers"), F.lit(0.0).alias("no_ans_gap")))
+    paras = spark.createDataFrame([("a", 0, 0, "the people of it was here for all")], "pdf_name string, page0 int, para_idx int, text string")
+    asked = spark.createDataFrame([(5.0, "Was it for the people?")], "kpi_id double, question string")
+    found = extract_answers(paras, asked, answers=made)
+    assert [r["answer"] for r in found.collect()] == ["the people of it was here for all<found>"] and _plan(found).count("<found>") == 1
+    none = [("no_answer", 0.1)]
+    pairs = [("a", 0, 0, []), ("a", 0, 1, none), ("a", 1, 0, [("no_answer", 0.3), ("x", 0.1)]), ("b", 0, 0, []), ("b", 0, 1, None)]
+    rows = spark.createDataFrame([(d, "q", p, k, a, 0.0) for d, p, k, a in pairs], "pdf_name string, kpi string, page0 int, para_idx int, answers array<struct<answer:string,score:double>>, no_ans_gap double")
+    assert sorted((r["pdf_name"], r["answer"], r["score"]) for r in melted(rows).collect()) == [("a", "no_answer", 0.3), ("a", "x", 0.1)]
+    near = spark.createDataFrame([("far far away was a hill; it was for a hill",), (None,), ("",)], "p string").withColumn("q", F.lit("Was it for the people?"))
+    got = NearWords().prepared(near, "p").select(NearWords().found("p", "q").alias("f")).collect()
+    assert [[tuple(a) for a in r["f"]["answers"]] for r in got] == [[("a", 0.4), ("hill", 0.4)], [("no_answer", 0.2)], [("no_answer", 0.2)]]

@@ -432,3 +432,31 @@ def test_answers_are_found_once_and_pairs_without_any_count_for_nothing(spark):
     near = spark.createDataFrame([("far far away was a hill; it was for a hill",), (None,), ("",)], "p string").withColumn("q", F.lit("Was it for the people?"))
     got = NearWords().prepared(near, "p").select(NearWords().found("p", "q").alias("f")).collect()
     assert [[tuple(a) for a in r["f"]["answers"]] for r in got] == [[("a", 0.4), ("hill", 0.4)], [("no_answer", 0.2)], [("no_answer", 0.2)]]
+
+
+def _random_spans(rng, columns: int) -> list:
+    from kpiforge.layout.overlaps import Span
+
+    return [[Span(float(x), float(x + rng.randint(5, 60)), rng.random() < 0.15) for x in (60 * c + rng.randint(0, 50) for _ in range(rng.randint(1, 4)))] for c in range(columns)]
+
+
+def test_overlaps_of_many_tables_are_those_of_each(spark):
+    """Whole tables are looked at together, across batches; each has what it has alone."""
+    from kpiforge.layout.overlaps import fewest_removed
+
+    rng = random.Random(5)
+    tables = {(None if t == 7 else t): _random_spans(rng, 1 + t % 4) for t in range(150)}
+    rows = [(t, k, 2 * c, s.x0, s.x1, "", s.fixed) for t, columns in tables.items() for c, column in enumerate(columns) for k, s in enumerate(column)]
+    want = {}
+    for t, columns in tables.items():
+        gone = fewest_removed(columns)
+        want |= {(t, k, 2 * c): None if gone is None else (c, k) in gone for c, column in enumerate(columns) for k in range(len(column))}
+    cells = spark.createDataFrame(rows, "t int, row int, col int, x0 double, x1 double, txt string, fixed boolean")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("3", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            assert {(r["t"], r["row"], r["col"]): r["removed"] for r in layout.overlapping_cells(cells, ["t"]).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert None in want.values() and True in want.values() and layout.overlapping_cells(cells.limit(0), ["t"]).collect() == []

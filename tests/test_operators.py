@@ -460,3 +460,25 @@ def test_overlaps_of_many_tables_are_those_of_each(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert None in want.values() and True in want.values() and layout.overlapping_cells(cells.limit(0), ["t"]).collect() == []
+
+
+def test_chains_of_many_lines_are_those_of_each():
+    from kpiforge.layout.hierarchy import chains, chains_of_many
+
+    rng = random.Random(3)
+    lines = [[(k, float(rng.choice((1, 2, 3, 4, float("nan"))))) for k in range(rng.randint(1, 30))] for _ in range(60)] + [[(k, float(-k)) for k in range(500)], [(k, float(k % 97)) for k in range(500)]]
+    want, start = {}, 0
+    for line in lines:
+        for k, above in enumerate(chains(line)):
+            want |= {(start + k, step): start + a for step, a in enumerate(above)}
+        start += len(line)
+    first, rank = np.array([not k for line in lines for k, _ in line]), np.array([r for line in lines for _, r in line])
+    assert {(c, step): a for step, (cells, above) in enumerate(chains_of_many(first, rank)) for c, a in zip(cells.tolist(), above.tolist())} == want
+
+
+def test_ancestors_of_repeated_and_unranked_cells(spark):
+    from kpiforge.operators.hierarchy import cell_ancestors
+
+    cells = [(1, 0, 0, 1.0, 1.0), (1, 1, 0, 5.0, None), (1, 1, 0, None, None), (1, 1, 0, 2.0, None), (1, 2, 0, None, 3.0), (1, 3, 0, 4.0, 1.0), (1, 3, 1, None, 2.0), (1, None, 1, 1.0, 1.0), (None, 3, 0, 9.0, 1.0), (None, 4, 0, 9.5, 1.0)]
+    got = cell_ancestors(spark.createDataFrame(cells, "t long, row long, col long, up_rank double, left_rank double"), ["t"]).collect()
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, [(1, 1, 0, "up", 1, 0, 0), (1, 3, 0, "up", 1, 1, 0), (1, 3, 0, "up", 2, 0, 0), (1, 3, 1, "left", 1, 3, 0), (None, 4, 0, "up", 1, 3, 0)]))

@@ -29,6 +29,11 @@ summed up and sent back.
   out by longer contexts, those of three words by document. All shards know
   their counts and their most frequent followers from a table of bounded size;
   other followers fall to the shorter context.
+
+Where the whole model is asked for, neither leaves anything out, so a score
+does not depend on how many tokens there are: a shard asks for the counts of
+those rare words and rare followers of dealt contexts that its own tokens have,
+and they come by a join.
 """
 
 from __future__ import annotations
@@ -37,7 +42,7 @@ import heapq
 import mmap
 import struct
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +82,11 @@ def _longer(key: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(key * _MULT + word.astype(U64))
 
 
+def _word_key(word: np.ndarray) -> np.ndarray:
+    """Keys that counts of words, given by 32 bits, are asked for by."""
+    return mix(word.astype(U64) + U64(0xA5_0BD0_0000_0001))
+
+
 def _place(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Where each key is among ascending ones, -1 for those that aren't there."""
     if not len(known):
@@ -103,6 +113,7 @@ class Shared:
     left: np.ndarray
     pairs: np.ndarray
     chance: np.ndarray
+    sizes: np.ndarray
     shards: int = 1
     heavy: np.ndarray = None
     heavy_shard: np.ndarray = None
@@ -117,7 +128,7 @@ class Shared:
         by_rank = np.r_[START, words[most]]
         by_word = np.argsort(by_rank)
         none = np.empty(0, dtype=U64), np.empty(0)
-        return cls(total, words, counts, halves, (counts[first] + 1) / total, by_rank[by_word], by_word.astype(np.uint16), by_rank, np.r_[-1, counts[most]], *none, *none)
+        return cls(total, words, counts, halves, (counts[first] + 1) / total, by_rank[by_word], by_word.astype(np.uint16), by_rank, np.r_[-1, counts[most]], *none, *none, np.empty(0, dtype=np.int64))
 
     def codes(self, token: np.ndarray) -> np.ndarray:
         """The two bytes that words travel as."""
@@ -268,16 +279,83 @@ def unigrams(docs: DataFrame, train: Column) -> DataFrame:
     return _source(docs, train).where("train").select("text").mapInArrow(count, "token bigint, c bigint").groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def _dealt_contexts(docs: DataFrame, train: Column, shared: Shared, least: int, pair_least: int, starts: int) -> Shared:
+def _places(context: list[np.ndarray], spread: np.ndarray, shared: Shared) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """The key by which each token goes to a shard, and for each level which tokens have dealt contexts there, and these.
+
+    spread: numbers by which the tokens of dealt contexts of three words are told apart.
+    """
+    place, found = _first_context(context[0]), []
+    live = np.flatnonzero(_place(shared.hot, place) >= 0)
+    for level in range(3):
+        found.append((live, place[live]))
+        if level < 2:
+            place[live] = _longer(place[live], context[level + 1][live])
+            live = live[_place(shared.hot, place[live]) >= 0]
+    place[live] = mix(place[live] + mix(spread[live]))
+    return place, found
+
+
+def _spread(ids: pa.Array, size: np.ndarray) -> np.ndarray:
+    """A number for each token, from its document and its place there, so that it is the same however documents come."""
+    doc_id = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U64)
+    at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    return mix(np.repeat(doc_id, size)) + at.astype(U64)
+
+
+def followers(docs: DataFrame, train: Column, shared: Shared) -> DataFrame:
+    """(key, hot, c): how often each word follows each dealt context in training; hot: the context's place."""
+    everywhere = docs.sparkSession.sparkContext.broadcast(shared)
+
+    @lean
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared, held = everywhere.value, None
+        for batch in batches:
+            for part in slices(batch, 0):
+                token, size = _tokens(part.column(0).to_pylist())
+                word = (token >> _HALF).astype(np.uint32)
+                _, dealt = _places([(x >> _HALF).astype(np.uint32) for x in _before(token, size)], np.zeros(len(token), dtype=U64), shared)
+                found = [held] if held else []
+                for live, key in dealt:
+                    found.append((_longer(key, word[live]), _place(shared.hot, key).astype(np.int32), np.ones(len(live), dtype=np.int64)))
+                key, hot, c = (np.concatenate(x) for x in zip(*found))
+                key, at, of = np.unique(key, return_index=True, return_inverse=True)
+                held = key, hot[at], np.bincount(of, weights=c, minlength=len(at)).astype(np.int64)
+                if len(at) > HELD:
+                    yield rows(held)
+                    held = None
+        if held:
+            yield rows(held)
+
+    def rows(held: tuple) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(held[0].view(np.int64)), pa.array(held[1]), pa.array(held[2])], names=["key", "hot", "c"])
+
+    counted = _source(docs, train).where("train").select("text").mapInArrow(count, "key bigint, hot int, c bigint")
+    return counted.groupBy("key", "hot").agg(F.sum("c").alias("c"))
+
+
+def _rare_words(counts: DataFrame, known: int) -> DataFrame:
+    """(key, hot, c): the training tokens of words that are not known everywhere; hot is -1."""
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = _word_key(batch.column(0).to_numpy().astype(np.uint32))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(np.full(len(key), -1, dtype=np.int32)), batch.column(1)], names=["key", "hot", "c"])
+
+    half = F.shiftrightunsigned("token", 32)
+    return counts.where(F.col("c") < known).groupBy(half.alias("half")).agg(F.min_by("c", "token").alias("c")).mapInArrow(keyed, "key bigint, hot int, c bigint")
+
+
+def _dealt_contexts(docs: DataFrame, train: Column, shared: Shared, least: int, pair_least: int, starts: int, whole: bool) -> tuple[Shared, DataFrame | None]:
     """shared with the contexts of least or more training tokens, and of those the followers of pair_least or more.
 
     Only contexts all of whose words are that frequent, and only followers that are, can be, so few keys are counted.
+    whole: what contexts leave to shorter ones follows from all their followers, which are the table, see followers().
     """
     many = np.concatenate([shared.words[(shared.counts >= least) & (shared.words != END)], np.array([START] if starts >= least else [], dtype=U64)])
     if not len(many):
-        return shared
+        return shared, None
     often = np.sort((many >> _HALF).astype(np.uint32))
-    followers = np.unique((shared.words[shared.counts >= pair_least] >> _HALF).astype(np.uint32))
+    behind_any = np.unique((shared.words[shared.counts >= pair_least] >> _HALF).astype(np.uint32))
 
     @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,7 +374,7 @@ def _dealt_contexts(docs: DataFrame, train: Column, shared: Shared, least: int,
                         live, parent = live[keep], key[keep]
                         key = _longer(parent, context[level][live])
                         found.append((np.full(len(key), level, dtype=np.int8), key, key, parent, np.full(len(key), -1, dtype=np.int64), np.ones(len(key), dtype=np.int64)))
-                    some = np.flatnonzero(_place(followers, word[live]) >= 0)
+                    some = np.flatnonzero(_place(behind_any, word[live]) >= 0)
                     follower = word[live[some]]
                     found.append((np.full(len(some), level, dtype=np.int8), ~_longer(key[some], follower), key[some], parent[some], follower.astype(np.int64), np.ones(len(some), dtype=np.int64)))
                 columns = [np.concatenate(x) for x in zip(*found)]
@@ -318,20 +396,27 @@ def _dealt_contexts(docs: DataFrame, train: Column, shared: Shared, least: int,
     context, parent = context.view(U64), parent.view(U64)
     at = _place(shared.words, many)
     keys, sizes = _first_context((many >> _HALF).astype(np.uint32)), np.where(at >= 0, shared.counts[at], starts)
-    parents: dict[int, int] = {}
-    for k in range(3):  # from short to long, as chances build on the shorter ones
+    dealt, parents, behind = [], {}, None
+    for k in range(3):
         if k:
             some = (level == k) & (word < 0)
             keys, sizes = context[some], c[some]
             parents |= dict(zip(keys.tolist(), parent[some].tolist()))
         order = np.argsort(keys)
-        keys, sizes = keys[order], sizes[order]
+        dealt.append((keys[order], sizes[order]))
+    if whole:
+        hot = np.sort(np.concatenate([keys for keys, _ in dealt]))
+        behind = table(followers(docs, train, replace(shared, hot=hot)), "followers")
+        kinds = np.zeros(len(hot), dtype=np.int64)
+        found = behind.groupBy("hot").agg(F.count("*").alias("n")).toArrow()
+        kinds[found.column("hot").to_numpy()] = found.column("n").to_numpy()
+    for k, (keys, sizes) in enumerate(dealt):  # from short to long, as chances build on the shorter ones
         some = np.flatnonzero((level == k) & (word >= 0))
         of = _place(keys, context[some])
         some, of = some[of >= 0], of[of >= 0]
         follower, pair = word[some].astype(np.uint32), _longer(context[some], word[some])
         certain = (c[some] - DISCOUNTS[k]) / sizes[of]
-        left = 1 - np.bincount(of, weights=certain, minlength=len(keys))
+        left = DISCOUNTS[k] * kinds[_place(hot, keys)] / sizes if whole else 1 - np.bincount(of, weights=certain, minlength=len(keys))
         if not ((left > 0) & (left <= 1)).all():
             raise ArithmeticError("a context's followers are more than its tokens")
         lower, _ = shared.p1(follower)
@@ -341,10 +426,10 @@ def _dealt_contexts(docs: DataFrame, train: Column, shared: Shared, least: int,
             lower = shared.chances(parent[some], follower, lower)
         chance = certain + left[of] * lower
         shared.hot, by = np.unique(np.r_[shared.hot, keys], return_index=True)
-        shared.left = np.r_[shared.left, left][by]
+        shared.left, shared.sizes = np.r_[shared.left, left][by], np.r_[shared.sizes, sizes][by]
         shared.pairs, by = np.unique(np.r_[shared.pairs, pair], return_index=True)
         shared.chance = np.r_[shared.chance, chance][by]
-    return shared
+    return shared, behind
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -410,18 +495,11 @@ def _unpack(blob: bytes, by_rank: np.ndarray) -> tuple:
     return row, train, last, sizes, doc, words
 
 
-def _deal(token: np.ndarray, size: np.ndarray, code: np.ndarray, train: np.ndarray, row: int, shared: Shared) -> Iterator[tuple[int, bytes]]:
+def _deal(token: np.ndarray, size: np.ndarray, code: np.ndarray, train: np.ndarray, spread: np.ndarray, row: int, shared: Shared) -> Iterator[tuple[int, bytes]]:
     """The tokens of a batch, with their codes, for each shard that gets any."""
     words = [*_before(token, size)]
     context = [(x >> _HALF).astype(np.uint32) for x in words]
-    place = _first_context(context[0])
-    if len(shared.hot):
-        live = np.flatnonzero(_place(shared.hot, place) >= 0)
-        for level in (1, 2):
-            place[live] = _longer(place[live], context[level][live])
-            live = live[_place(shared.hot, place[live]) >= 0]
-        place[live] = mix(place[live] + mix(live.astype(U64) + U64(row)))
-    shard = shared.shard(place)
+    shard = shared.shard(_places(context, spread, shared)[0])
     order = np.lexsort((words[0], shard))
     start = shared.codes(np.array([START]))[0]
     place_in = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
@@ -454,10 +532,39 @@ def _log10(x: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(x, 1e-300))
 
 
-def _score_shard(blobs: list[bytes], shared: Shared, kept: bytes | None = None, build_only: bool = False) -> tuple[list[int], list[bytes]] | bytes:
+def _told(shared: Shared, key: np.ndarray, c: np.ndarray, word: np.ndarray, dealt: list[np.ndarray]) -> Shared:
+    """shared with all that a shard's tokens need: the chances of their words, and of these behind dealt contexts.
+
+    key, c: what the shard was answered; word, dealt: its tokens, and the places of their contexts of each level.
+    """
+    key, at = np.unique(key, return_index=True)
+    c = np.r_[c[at], 0]  # the last for keys that training does not hold
+    words = np.unique(word)
+    words = words[~shared.p1(words)[1]]
+    halves = np.r_[shared.halves, words]
+    order = np.argsort(halves, kind="stable")
+    out = replace(shared, halves=halves[order], unigram=np.r_[shared.unigram, (c[_place(key, _word_key(words))] + 1) / shared.total][order])
+    chance, _ = out.p1(word)
+    pairs, chances = [shared.pairs], [shared.chance]
+    for k, hot in enumerate(dealt):
+        some = np.flatnonzero(hot >= 0)
+        pair, context = _longer(shared.hot[hot[some]], word[some]), hot[some]
+        known, n = _place(shared.pairs, pair), c[_place(key, pair)]
+        p = np.where(n > 0, (n - DISCOUNTS[k]) / shared.sizes[context], 0.0) + shared.left[context] * chance[some]
+        p[known >= 0] = shared.chance[known[known >= 0]]
+        chance[some] = p
+        new, at = np.unique(pair[(n > 0) & (known < 0)], return_index=True)
+        pairs.append(new)
+        chances.append(p[(n > 0) & (known < 0)][at])
+    pairs, chances = np.concatenate(pairs), np.concatenate(chances)
+    order = np.argsort(pairs, kind="stable")
+    return replace(out, pairs=pairs[order], chance=chances[order])
+
+
+def _score_shard(blobs: list[bytes], shared: Shared, kept: bytes | None = None, build_only: bool = False, told: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[list[int], list[bytes]] | bytes:
     """Builds the shard's trie from its training tokens, unless it was kept, and sums up what it knows of each document.
 
-    For each blob its batch's number and, of the batch's documents with tokens here, the sums; or the trie itself.
+    told: keys and counts that the shard asked for, in the whole model. For each blob its batch's number and, of the batch's documents with tokens here, the sums; or the trie itself.
     """
     parts = [_unpack(b, shared.by_rank) for b in blobs]
     batches = [p[0] for p in parts]
@@ -496,6 +603,8 @@ def _score_shard(blobs: list[bytes], shared: Shared, kept: bytes | None = None,
     del learn, starts
     half = (last >> _HALF).astype(np.uint32)
     dealt = _dealt(shared, half, [one_of, two_of], [front2, front3])
+    if told is not None:
+        shared = _told(shared, *told, word, [dealt[0][one_of[two_of[three_of]]], dealt[1][two_of[three_of]], dealt[2][three_of]])
 
     raw = _built(shared, last, [one_of, two_of, three_of], [front2, front3], word, seen, dealt).mapped() if kept is None else kept
     if build_only:
@@ -527,10 +636,10 @@ def _score_shard(blobs: list[bytes], shared: Shared, kept: bytes | None = None,
     p1, known = shared.p1(word[open_])
     score[open_[known]] += _log10(p1[known])
 
-    # words that are not known everywhere: their own probability, where the token before this one, which they were, was not found
+    # words that are not known everywhere, if they were not asked for: their own probability, where the token before this one, which they were, was not found
     count = trie.count(at[0])
     rare_word = (shared.count(last) < 0) & (last != START)
-    rare = np.flatnonzero((rare_word & ~shared.p1(half)[1])[one_of][two_of])
+    rare = np.flatnonzero((rare_word & ~shared.p1(half)[1])[one_of][two_of]) if told is None else np.empty(0, dtype=np.int64)
     matched = at[1][two_of[rare]] >= 0
     if len(shared.hot):
         before = _first_context(front2[two_of[rare]])
@@ -651,21 +760,72 @@ class Model:
     tries: DataFrame
     shared: Shared
     tokens: int
+    asked: DataFrame | None = None
 
 
-def _learnt(docs: DataFrame, train: Column) -> tuple[Shared, int]:
-    """What all shards know of the texts for training, and the number of their tokens."""
+def _learnt(docs: DataFrame, train: Column, whole: bool = False) -> tuple[Shared, int, DataFrame | None]:
+    """What all shards know of the texts for training, the number of their tokens, and in the whole model the table (key, hot, c)
+    of all else that shards may ask for, if there is anything."""
     counts = table(unigrams(docs, train), "unigrams")
     v, n = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     known = max(n // KNOWN, 1)
     rows = counts.where((F.col("c") >= known) | (F.col("token") == int(END.view(np.int64)))).toArrow()
     token, c = rows.column("token").to_numpy().view(U64), rows.column("c").to_numpy()
     ends = int(c[token == END].sum())
-    release(counts)
     least = max(SHARD_TOKENS, known)
-    shared = _dealt_contexts(docs, train, Shared.of(token, c, float(n + v + 1)), least, max(n // PAIRS, known, 2), ends)
+    shared, asked = _dealt_contexts(docs, train, Shared.of(token, c, float(n + v + 1)), least, max(n // PAIRS, known, 2), ends, whole)
+    if whole and known > 1:
+        rare = table(_rare_words(counts, known), "rare_words")
+        asked = rare if asked is None else asked.unionByName(rare)
+    release(counts)
     shared.spread(max(-(-n // SHARD_TOKENS), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    return shared, int(n)
+    return shared, int(n), asked
+
+
+def _answers(docs: DataFrame, everywhere, asked: DataFrame) -> DataFrame:
+    """(shard, key, c): of the counts in asked those that shards need for the tokens of docs that go there."""
+
+    @lean
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared, held = everywhere.value, None
+        for batch in batches:
+            for part in slices(batch, 1):
+                token, size = _tokens(part.column(1).to_pylist())
+                word = (token >> _HALF).astype(np.uint32)
+                place, dealt = _places([(x >> _HALF).astype(np.uint32) for x in _before(token, size)], _spread(part.column(0), size), shared)
+                shard = shared.shard(place)
+                rare = np.flatnonzero(~shared.p1(word)[1])
+                found = [held] if held else []
+                found.append((_word_key(word[rare]), shard[rare]))
+                for live, key in dealt:
+                    pair = _longer(key, word[live])
+                    some = np.flatnonzero(_place(shared.pairs, pair) < 0)
+                    found.append((pair[some], shard[live[some]]))
+                key, shard = (np.concatenate(x) for x in zip(*found))
+                _, at = np.unique(_longer(key, shard), return_index=True)
+                held = key[at], shard[at]
+                if len(at) > HELD:
+                    yield rows(held)
+                    held = None
+        if held:
+            yield rows(held)
+
+    def rows(held: tuple) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(held[0].view(np.int64)), pa.array(held[1].astype(np.int32))], names=["key", "shard"])
+
+    wanted = _source(docs, F.lit(False)).mapInArrow(ask, "key bigint, shard int").repartition("key").dropDuplicates(["key", "shard"])
+    return wanted.join(asked.select("key", "c"), "key").select("shard", "key", "c")
+
+
+def _by_shard(dealt: DataFrame, docs: DataFrame, everywhere, asked: DataFrame | None, work, schema: str) -> DataFrame:
+    """work(shard, rows, told) of each shard's rows, with the counts that it asked for; None where nothing is asked."""
+    if asked is None:
+        return dealt.groupBy("shard").applyInArrow(lambda key, held: work(key[0].as_py(), held, None), schema)
+
+    def met(key: tuple, held: pa.Table, told: pa.Table) -> pa.Table:
+        return work(key[0].as_py(), held, (told.column("key").to_numpy().view(U64), told.column("c").to_numpy()))
+
+    return dealt.groupBy("shard").cogroup(_answers(docs, everywhere, asked).groupBy("shard")).applyInArrow(met, schema)
 
 
 def _dealt_tokens(docs: DataFrame, train: Column, everywhere) -> DataFrame:
@@ -683,18 +843,18 @@ def _dealt_tokens(docs: DataFrame, train: Column, everywhere) -> DataFrame:
                 code = shared.codes(token)
                 at = int(shared.shard(mix(np.array([row], dtype=U64)))[0])
                 yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([True]), pa.array([_ids(row, part.column(0), train, _known_sums(token, size, code, shared))], pa.binary())], names=["shard", "ids", "blob"])
-                for s, blob in _deal(token, size, code, train, row, shared):
+                for s, blob in _deal(token, size, code, train, _spread(part.column(0), size), row, shared):
                     yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([False]), pa.array([blob], pa.binary())], names=["shard", "ids", "blob"])
                 row += part.num_rows
 
     return _source(docs, train).mapInArrow(deal, "shard int, ids boolean, blob binary")
 
 
-def _shard_rows(held: pa.Table, shared: Shared, kept: bytes | None = None) -> pa.Table:
+def _shard_rows(held: pa.Table, shared: Shared, told: tuple | None = None, kept: bytes | None = None) -> pa.Table:
     """What a shard returns of its batches, and their documents as they came."""
     ids = held.filter(held.column("ids")).column("blob").to_pylist()
     blobs = held.filter(pa.compute.invert(held.column("ids"))).column("blob").to_pylist()
-    batches, sums = _score_shard(blobs, shared, kept) if blobs else ([], [])
+    batches, sums = _score_shard(blobs, shared, kept, told=told) if blobs else ([], [])
     batches = [struct.unpack_from("<q", _decompress(b))[0] for b in ids] + batches
     return pa.table({"batch": pa.array(batches, pa.int64()), "ids": pa.array([True] * len(ids) + [False] * len(sums), pa.bool_()), "sums": pa.array(ids + sums, pa.binary())})
 
@@ -716,7 +876,7 @@ def _summed(partial: DataFrame, shared: Shared, n: int) -> DataFrame:
 _SUMS = "batch bigint, ids boolean, sums binary"
 
 
-def score(docs: DataFrame, train: Column) -> DataFrame:
+def score(docs: DataFrame, train: Column, whole: bool = False) -> DataFrame:
     """(doc_id, trained, n_tokens, n_known, train_tokens, base_score, score) of each row of docs (doc_id, text).
 
     train: a condition on the rows of docs whose texts the model learns from. base_score is the sum of the tokens'
@@ -724,24 +884,29 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
     and repeated rows stay; other columns are not looked at. Without training rows N and V are 0 and every token is
     unknown. No rows give none. Tokens move once: a shard builds its trie and asks it in one task; fit() and score_with()
     do the same in two steps, with tries that remain.
+
+    whole: the model leaves out nothing, however many tokens there are; otherwise rare followers of dealt contexts fall to
+    the shorter context, and rare words add nothing to a longer context's chance.
     """
-    shared, n = _learnt(docs, train)
+    shared, n, asked = _learnt(docs, train, whole)
     everywhere = docs.sparkSession.sparkContext.broadcast(shared)
     dealt = _dealt_tokens(docs, train, everywhere)
-    return _summed(dealt.groupBy("shard").applyInArrow(lambda held: _shard_rows(held, everywhere.value), _SUMS), shared, n)
+    return _summed(_by_shard(dealt, docs, everywhere, asked, lambda _, held, told: _shard_rows(held, everywhere.value, told), _SUMS), shared, n)
 
 
-def fit(docs: DataFrame, train: Column) -> Model:
-    """The model of the texts that train holds for, its tries written to the shared folder."""
-    shared, n = _learnt(docs, train)
+def fit(docs: DataFrame, train: Column, whole: bool = False) -> Model:
+    """The model of the texts that train holds for, its tries written to the shared folder; whole: see score()."""
+    shared, n, asked = _learnt(docs, train, whole)
     everywhere = docs.sparkSession.sparkContext.broadcast(shared)
-    learnt = _dealt_tokens(docs.where(F.coalesce(train, F.lit(False))), F.lit(True), everywhere).where("not ids")
+    trained = docs.where(F.coalesce(train, F.lit(False)))
+    learnt = _dealt_tokens(trained, F.lit(True), everywhere).where("not ids")
 
-    def build(key: tuple, held: pa.Table) -> pa.Table:
-        trie = _score_shard(held.column("blob").to_pylist(), everywhere.value, build_only=True)
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "trie": pa.array([trie], pa.binary())})
+    def build(shard: int, held: pa.Table, told: tuple | None) -> pa.Table:
+        blobs = held.column("blob").to_pylist()
+        tries = [_score_shard(blobs, everywhere.value, build_only=True, told=told)] if blobs else []
+        return pa.table({"shard": pa.array([shard] * len(tries), pa.int32()), "trie": pa.array(tries, pa.binary())})
 
-    return Model(table(learnt.groupBy("shard").applyInArrow(build, "shard int, trie binary"), "tries"), shared, n)
+    return Model(table(_by_shard(learnt, trained, everywhere, asked, build, "shard int, trie binary"), "tries"), shared, n, asked)
 
 
 def score_with(model: Model, docs: DataFrame) -> DataFrame:
@@ -750,8 +915,12 @@ def score_with(model: Model, docs: DataFrame) -> DataFrame:
     dealt = _dealt_tokens(docs, F.lit(False), everywhere)
 
     def ask(held: pa.Table, tries: pa.Table) -> pa.Table:
-        kept = tries.column("trie")[0].as_buffer().to_pybytes() if tries.num_rows else None
-        return _shard_rows(held, everywhere.value, kept)
-
-    partial = dealt.groupBy("shard").cogroup(model.tries.groupBy("shard")).applyInArrow(ask, _SUMS)
+        kept = tries.column("trie").drop_null()
+        told = None if not whole else (tries.column("key").drop_null().to_numpy().view(U64), tries.column("c").drop_null().to_numpy())
+        return _shard_rows(held, everywhere.value, told, kept[0].as_buffer().to_pybytes() if len(kept) else None)
+
+    tries, whole = model.tries, model.asked is not None
+    if whole:
+        tries = tries.unionByName(_answers(docs, everywhere, model.asked), allowMissingColumns=True)
+    partial = dealt.groupBy("shard").cogroup(tries.groupBy("shard")).applyInArrow(ask, _SUMS)
     return _summed(partial, model.shared, model.tokens)

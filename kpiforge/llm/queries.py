@@ -70,7 +70,7 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and model score of every document, and the latter for a token, learnt from those whose checksum modulo 7 is not 2."""
-    out = lm.score(_read(spark, sf_dir, "documents"), _remainder(7) != 2)
+    out = lm.score(_read(spark, sf_dir, "documents"), _remainder(7) != 2, whole=True)
     return out.select("doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", (F.col("score") / F.col("n_tokens")).alias("token_score"))
 
 

@@ -564,6 +564,26 @@ def test_words_that_are_not_known_everywhere(spark, monkeypatch):
         assert r["score"] == pytest.approx(want["score"], abs=0.12 * r["n_tokens"])
 
 
+@pytest.mark.parametrize(("tokens", "known"), [(10, 1 << 20), (100, 256), (10**6, 64)])
+def test_the_whole_model_is_the_same_at_any_size(spark, monkeypatch, tokens, known):
+    """Dealt contexts keep all followers, and rare words their own chances: scores are the definition's, which knows neither."""
+    docs = [(i, " ".join(w for x in t.split() for w in ("the", x)) if i % 2 else t) for i, t in _documents(70, 15)] + [(900, "the quite new words the the"), (901, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    plain, _ = _plain_scores(docs, lambda i: i % 3 > 0 and i < 900)
+    monkeypatch.setattr(lm, "SHARD_TOKENS", tokens)
+    monkeypatch.setattr(lm, "KNOWN", known)
+    train = (F.col("doc_id") % 3 > 0) & (F.col("doc_id") < 900)
+    rows = lm.score(df, train, whole=True).collect()
+    assert len(rows) == 72
+    for r in rows:
+        n_tokens, n_known, base, model = plain[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"]) == (n_tokens, n_known) and r["base_score"] == pytest.approx(base, abs=1e-9)
+        assert r["score"] == pytest.approx(model, abs=3e-4 * n_tokens)
+    if tokens == 100:
+        kept = lm.score_with(lm.fit(df, train, whole=True), df).collect()
+        assert {r["doc_id"]: tuple(r)[2:] for r in kept} == {r["doc_id"]: tuple(r)[2:] for r in rows}
+
+
 # ---- 7 n-gram join --------------------------------------------------------------------------------------------------
 
 

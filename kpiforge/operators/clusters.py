@@ -43,14 +43,14 @@ def fewest_texts(lists: DataFrame, rules: list[KpiRule], column: str = "items")
     always stays. Of texts that do each other's work the first one stays. Lists that are null or empty have no row, equal
     lists a row each.
     """
-    ready = lists.where(F.size(column) > 0).withColumn("_flat", F.array(flat_text(F.col(column))))
+    ready = lists.where(F.size(column) > 0).withColumn("_flat", flat_text(F.col(column)))
     met = describe_nodes(ready, rules, "_flat").drop("_flat").withColumnRenamed("desc_score", "base_score").withColumn("kpi_id", F.col("kpi_id").cast("double"))
     item = lambda i: F.get(F.col(column), i)
 
     def search(rule: KpiRule) -> Column:
         def step(state: Column, i: Column) -> Column:
             def tried(rest: Column) -> Column:
-                told = once(F.array(F.array_join(F.transform(rest, lambda k: item(k)["txt"]), " ")), rule.describe)
+                told = once(F.array_join(F.transform(rest, lambda k: item(k)["txt"]), " "), rule.describe_text)
                 better = lambda m: F.when(m["ok"] & (F.size(rest) > 0) & (m["score"] >= state["score"]), F.struct(rest.alias("kept"), m["score"].alias("score"))).otherwise(state)
                 return once(told, better)
 

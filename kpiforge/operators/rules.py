@@ -71,6 +71,13 @@ class DescriptionRule:
 
         return F.aggregate(nodes, start, step, verdict)
 
+    def match_text(self, text: Column) -> Column:
+        """match() of one text alone, which is looked at once."""
+        told = lambda ok, score: F.struct(F.lit(ok).alias("ok"), score.alias("score"))
+        missed = told(self.mode not in (MUST_INCLUDE, MUST_INCLUDE_EACH), F.lit(0.0))
+        worth = self.worth(text) if self.joined else F.greatest(F.lit(0.0), self.worth(text))
+        return F.when(self.hits(text), told(False, F.lit(-1.0)) if self.mode == MUST_EXCLUDE else told(True, worth)).otherwise(missed)
+
 
 @dataclass(frozen=True)
 class AnywhereRule:
@@ -105,8 +112,15 @@ class KpiRule:
 
     def describe(self, nodes: Column) -> Column:
         """struct(ok, score): the sum of the description rules; not ok if one fails, none counts, or the sum is too small."""
+        return self._summed([r.match(nodes) for r in self.descriptions])
+
+    def describe_text(self, text: Column) -> Column:
+        """describe() of one text alone."""
+        return self._summed([r.match_text(text) for r in self.descriptions])
+
+    def _summed(self, matches: list[Column]) -> Column:
         counted = [r.mode in (MAY_INCLUDE, MUST_INCLUDE, MUST_INCLUDE_EACH) and r.counts for r in self.descriptions]
-        found = F.array(*[F.struct(r.match(nodes).alias("m"), F.lit(c).alias("counts")) for r, c in zip(self.descriptions, counted)])
+        found = F.array(*[F.struct(m.alias("m"), F.lit(c).alias("counts")) for m, c in zip(matches, counted)])
         start = F.struct(F.lit(False).alias("bad"), F.lit(0.0).alias("least"), F.lit(False).alias("some"), F.lit(0.0).alias("total"))
 
         def add(acc: Column, f: Column) -> Column:
@@ -133,8 +147,9 @@ class KpiRule:
 
 
 def describe_nodes(nodes: DataFrame, rules: list[KpiRule], column: str = "nodes") -> DataFrame:
-    """nodes with a row for each rule that its texts satisfy: kpi_id, kpi_name, desc_score."""
-    found = F.array(*[F.struct(F.lit(r.kpi_id).alias("kpi_id"), F.lit(r.name).alias("kpi_name"), r.describe(F.col(column)).alias("m")) for r in rules])
+    """nodes with a row for each rule that its texts satisfy, an array or one text: kpi_id, kpi_name, desc_score."""
+    one = nodes.schema[column].dataType.simpleString() == "string"
+    found = F.array(*[F.struct(F.lit(r.kpi_id).alias("kpi_id"), F.lit(r.name).alias("kpi_name"), (r.describe_text if one else r.describe)(F.col(column)).alias("m")) for r in rules])
     rows = nodes.select("*", F.explode(found).alias("r")).where("r.m.ok")
     return rows.select(*nodes.columns, "r.kpi_id", "r.kpi_name", F.col("r.m.score").alias("desc_score"))
 

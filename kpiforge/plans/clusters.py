@@ -25,7 +25,7 @@ def node_items(nodes: DataFrame, items: DataFrame, rules: list[KpiRule]) -> Data
 
     The items of all other nodes are not looked up: a page's nodes have its items many times over.
     """
-    some = describe_nodes(nodes.withColumn("_flat", F.array("flat_text")), rules, "_flat")
+    some = describe_nodes(nodes, rules, "flat_text")
     wanted = some.select(*PAGE, "node", "item_ids").dropDuplicates([*PAGE, "node"])
     item = F.struct("item_id", "txt", "x0", "y0", "x1", "y1", "words")
     met = wanted.select(*PAGE, "node", F.explode("item_ids").alias("item_id")).join(items, [*PAGE, "item_id"])
@@ -57,7 +57,7 @@ def cluster_measures(laid_out: DataFrame, texts: DataFrame, rules: list[KpiRule]
     places = F.array_compact(F.array("_value.at", "_unit.at", "_year.at"))
     between = settled(found, _box=around(F.concat("kept", F.transform(places, lambda k: F.get(all_items, k)))))
     within = settled(between, _in=inside(all_items, box))
-    told = settled(within, _m=by_kpi(rules, lambda r: once(F.array(flat_text(F.col("_in"))), r.describe))).where("_m.ok")
+    told = settled(within, _m=by_kpi(rules, lambda r: once(flat_text(F.col("_in")), r.describe_text))).where("_m.ok")
     told = staged(told.drop("items", "kept"), "cluster_texts")  # few, and read twice by each step of choosing a report's best
     told = told.withColumn("page_diag", F.sqrt(F.col("page_width") ** 2 + F.col("page_height") ** 2))
     each = told.select(*PAGE, "node", "kpi_id", "page_diag", F.explode("_in").alias("i")).select(*PAGE, "node", "kpi_id", "page_diag", "i.item_id", F.col("i.x0").alias("x"), F.col("i.y0").alias("y"))

@@ -130,15 +130,19 @@ def page_measures(candidates: DataFrame, texts: DataFrame, rules: list[KpiRule])
 def report_measures(words: DataFrame, rules: list[KpiRule], default_year: int = layout.DEFAULT_YEAR, clusters: bool = False, without_years: bool = False, two_pages: bool = False) -> DataFrame:
     """kpi_measure of all reports: from positioned words (see readers.WORDS) to each report's best measures.
 
-    clusters: also values among texts that stand together outside tables, for which pages are laid out again; without_years: all years unknown; two_pages: tables may go on on the next page.
-    What pages give is kept by the executors as well, since candidates and texts are read apart, until the best are written.
+    clusters: also values among texts that stand together outside tables; without_years: all years unknown; two_pages: tables may go on on the next page.
+    What pages give is kept by the executors as well, since candidates and texts are read apart, until the best are written; with
+    clusters, which are larger, it is written, so that pages are laid out once for all.
     """
     pages = layout.stacked(words) if two_pages else words
-    laid_out = layout.candidates(pages, default_year, texts=True).persist(StorageLevel.MEMORY_AND_DISK)
+    if clusters:
+        laid_out = staged(layout.candidates_and_clusters(pages, default_year), "pages")
+    else:
+        laid_out = layout.candidates(pages, default_year, texts=True).persist(StorageLevel.MEMORY_AND_DISK)
     texts = laid_out.where("kind = 'text'")
-    found = page_measures(laid_out.where("kind <> 'text'"), texts, rules)
+    found = page_measures(laid_out.where("kind not in ('text', 'cluster')"), texts, rules)
     if clusters:
-        found = found.unionByName(cluster_measures(staged(layout.clusters(pages), "clusters"), texts, rules))
+        found = found.unionByName(cluster_measures(laid_out.where("kind = 'cluster'").select(*layout.CLUSTER_COLUMNS), texts, rules))
     found = ignore_years(found) if without_years else found
     best = directory_measures(found, None, ("src_file",)).drop("pos")
     laid_out.unpersist()

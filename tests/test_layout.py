@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kpiforge.layout import shapes
 from kpiforge.layout.clusters import linkage
@@ -352,3 +353,35 @@ def test_nearest_text_takes_words_of_items_and_the_first_of_equals(spark):
     got = df.select(nearest_text(F.col("items"), F.col("box"), looks_numeric).alias("n")).collect()
     assert [(r["n"]["txt"], r["n"]["item_id"], r["n"]["word_idx"]) if r["n"] else None for r in got] == [("5", 1, -1), ("7", 2, 1), None, None]
     assert df.select(flat_text(F.col("items")).alias("t")).collect()[1]["t"] == "2018 used 7 t"
+
+
+def test_pages_with_clusters_are_laid_out_once(spark, monkeypatch):
+    passes = []
+    by_page = layout._by_page
+    monkeypatch.setattr(layout, "_by_page", lambda words, schema, rows: passes.append(schema) or by_page(words, schema, rows))
+    words = _frame(spark, [("a", 0, FREE), ("b", 3, table_rows())])
+    assert rule_based.report_measures(words, [SCOPE], 2019, clusters=True).count() > 0 and len(passes) == 1
+    both = layout.candidates_and_clusters(words, 2019)
+    plain = lambda df: sorted(map(str, df.collect()))
+    assert plain(both.where("kind = 'cluster'").select(*layout.CLUSTER_COLUMNS)) == plain(layout.clusters(words))
+    apart = layout.candidates(words, 2019, texts=True)
+    assert plain(both.where("kind <> 'cluster'").select(*apart.columns)) == plain(apart)
+
+
+def test_one_text_is_described_as_a_list_of_it(spark):
+    from kpiforge.schemas import MUST_INCLUDE_EACH
+
+    made = [DescriptionRule(".*of.*", s, m, decay=0.5, hit_decay=0.5, half_life=20.0, free_letters=3, joined=j) for m in (MAY_INCLUDE, MUST_INCLUDE, MUST_INCLUDE_EACH, MUST_EXCLUDE) for s in (300.0, -5.0) for j in (False, True)]
+    rules = [KpiRule(1.0, "k", (r,), minimum_description=1.0) for r in made] + [KpiRule(2.0, "k", (made[0], made[2], made[5], r), minimum_description=1.0) for r in made]
+    texts = spark.createDataFrame([("one of these",), ("none",), ("",), ("OF",)], "t string")
+    for row in texts.select(*[F.array(r.describe_text(F.col("t")), r.describe(F.array("t"))) for r in rules]).collect():
+        assert all(one == many for one, many in row)
+
+
+def test_a_rows_units_are_looked_up_once(monkeypatch):
+    laid_out, asked = page(table_rows()), []
+    within = Page.within
+    monkeypatch.setattr(Page, "within", lambda self, *a, **k: asked.append(a) or within(self, *a, **k))
+    reader = Reader(laid_out.tables[0], laid_out, 2019)
+    found = list(reader.direct())
+    assert len(found) == 9 and len(asked) == 3 and all(c.units == reader.units(c.row) for c in found)

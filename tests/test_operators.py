@@ -482,3 +482,15 @@ def test_ancestors_of_repeated_and_unranked_cells(spark):
     cells = [(1, 0, 0, 1.0, 1.0), (1, 1, 0, 5.0, None), (1, 1, 0, None, None), (1, 1, 0, 2.0, None), (1, 2, 0, None, 3.0), (1, 3, 0, 4.0, 1.0), (1, 3, 1, None, 2.0), (1, None, 1, 1.0, 1.0), (None, 3, 0, 9.0, 1.0), (None, 4, 0, 9.5, 1.0)]
     got = cell_ancestors(spark.createDataFrame(cells, "t long, row long, col long, up_rank double, left_rank double"), ["t"]).collect()
     assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, [(1, 1, 0, "up", 1, 0, 0), (1, 3, 0, "up", 1, 1, 0), (1, 3, 0, "up", 2, 0, 0), (1, 3, 1, "left", 1, 3, 0), (None, 4, 0, "up", 1, 3, 0)]))
+
+
+def test_tables_are_judged_after_one_shuffle(spark):
+    from kpiforge.operators.ranking import good_tables
+
+    rng = random.Random(3)
+    rows = [(t, rng.choice([None, 0, 1, 2]), rng.choice([None, 0, 1, 5]), rng.choice(["7", "2019", "a1", "word", "3,5", None]), rng.choice(["cell", "cell", "special"])) for t in [None, *range(40)] for _ in range(rng.randint(1, 14))]
+    cells = spark.createDataFrame(rows, "t int, row int, col int, txt string, role string")
+    assert good_tables(cells, ["t"])._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    got = {r["t"]: (r["n_rows"], r["n_cols"], r["n_cells"]) for r in good_tables(cells, ["t"]).collect()}
+    own = lambda t, k: {r[k] for r in rows if r[0] == t and r[4] == "cell"} - {None}
+    assert got == {t: (len(own(t, 1)), len(own(t, 2)), sum(r[0] == t and r[4] == "cell" for r in rows)) for t in [None, *range(40)]}

@@ -299,7 +299,7 @@ def _spread(ids: pa.Array, size: np.ndarray) -> np.ndarray:
     """A number for each token, from its document and its place there, so that it is the same however documents come."""
     doc_id = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U64)
     at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    return mix(np.repeat(doc_id, size)) + at.astype(U64)
+    return np.repeat(mix(doc_id), size) + at.astype(U64)
 
 
 def followers(docs: DataFrame, train: Column, shared: Shared) -> DataFrame:
@@ -532,33 +532,28 @@ def _log10(x: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(x, 1e-300))
 
 
-def _told(shared: Shared, key: np.ndarray, c: np.ndarray, word: np.ndarray, dealt: list[np.ndarray]) -> Shared:
-    """shared with all that a shard's tokens need: the chances of their words, and of these behind dealt contexts.
+def _told(shared: Shared, key: np.ndarray, c: np.ndarray, word: np.ndarray, dealt: list[np.ndarray]) -> list[np.ndarray]:
+    """Chances of a shard's tokens: of their words, and for each level behind their context there, where that is dealt out.
 
-    key, c: what the shard was answered; word, dealt: its tokens, and the places of their contexts of each level.
+    key, c: what the shard was answered; word, dealt: its tokens, and the places of their contexts of each level, -1 for others.
     """
     key, at = np.unique(key, return_index=True)
     c = np.r_[c[at], 0]  # the last for keys that training does not hold
-    words = np.unique(word)
-    words = words[~shared.p1(words)[1]]
-    halves = np.r_[shared.halves, words]
-    order = np.argsort(halves, kind="stable")
-    out = replace(shared, halves=halves[order], unigram=np.r_[shared.unigram, (c[_place(key, _word_key(words))] + 1) / shared.total][order])
-    chance, _ = out.p1(word)
-    pairs, chances = [shared.pairs], [shared.chance]
+    words, of = np.unique(word, return_inverse=True)
+    chance, known = shared.p1(words)
+    chance[~known] = (c[_place(key, _word_key(words[~known]))] + 1) / shared.total
+    out = [chance[of]]
     for k, hot in enumerate(dealt):
+        chance = out[-1].copy()
         some = np.flatnonzero(hot >= 0)
-        pair, context = _longer(shared.hot[hot[some]], word[some]), hot[some]
-        known, n = _place(shared.pairs, pair), c[_place(key, pair)]
+        context = hot[some]
+        pair, at = np.unique(_longer(shared.hot[context], word[some]), return_inverse=True)
+        known, n = _place(shared.pairs, pair), c[_place(key, pair)][at]
+        told = np.where(known >= 0, np.r_[shared.chance, 0.0][known], -1.0)[at]
         p = np.where(n > 0, (n - DISCOUNTS[k]) / shared.sizes[context], 0.0) + shared.left[context] * chance[some]
-        p[known >= 0] = shared.chance[known[known >= 0]]
-        chance[some] = p
-        new, at = np.unique(pair[(n > 0) & (known < 0)], return_index=True)
-        pairs.append(new)
-        chances.append(p[(n > 0) & (known < 0)][at])
-    pairs, chances = np.concatenate(pairs), np.concatenate(chances)
-    order = np.argsort(pairs, kind="stable")
-    return replace(out, pairs=pairs[order], chance=chances[order])
+        chance[some] = np.where(told >= 0, told, p)
+        out.append(chance)
+    return out
 
 
 def _score_shard(blobs: list[bytes], shared: Shared, kept: bytes | None = None, build_only: bool = False, told: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[list[int], list[bytes]] | bytes:
@@ -603,10 +598,9 @@ def _score_shard(blobs: list[bytes], shared: Shared, kept: bytes | None = None,
     del learn, starts
     half = (last >> _HALF).astype(np.uint32)
     dealt = _dealt(shared, half, [one_of, two_of], [front2, front3])
-    if told is not None:
-        shared = _told(shared, *told, word, [dealt[0][one_of[two_of[three_of]]], dealt[1][two_of[three_of]], dealt[2][three_of]])
+    chances = None if told is None else _told(shared, *told, word, [dealt[0][one_of[two_of[three_of]]], dealt[1][two_of[three_of]], dealt[2][three_of]])
 
-    raw = _built(shared, last, [one_of, two_of, three_of], [front2, front3], word, seen, dealt).mapped() if kept is None else kept
+    raw = _built(shared, last, [one_of, two_of, three_of], [front2, front3], word, seen, dealt, chances).mapped() if kept is None else kept
     if build_only:
         return raw[:]
     del seen
@@ -625,7 +619,10 @@ def _score_shard(blobs: list[bytes], shared: Shared, kept: bytes | None = None,
         away = ~hit & (node >= 0)
         score[open_[away]] += trie.left[level](node[away])
         some = np.flatnonzero(hot >= 0)
-        if len(some):
+        if chances is not None:
+            score[open_[some]] += _log10(chances[level + 1][open_[some]])
+            hit[some] = True
+        elif len(some):
             pair = _place(shared.pairs, _longer(shared.hot[hot[some]], word[open_[some]]))
             there = pair >= 0
             score[open_[some[there]]] += _log10(shared.chance[pair[there]])
@@ -633,7 +630,7 @@ def _score_shard(blobs: list[bytes], shared: Shared, kept: bytes | None = None,
             hit[some[there]] = True
         open_, context = open_[~hit], context[~hit]
         context = parent[context] if parent is not None else context
-    p1, known = shared.p1(word[open_])
+    p1, known = shared.p1(word[open_]) if chances is None else (chances[0][open_], np.ones(len(open_), dtype=bool))
     score[open_[known]] += _log10(p1[known])
 
     # words that are not known everywhere, if they were not asked for: their own probability, where the token before this one, which they were, was not found
@@ -678,8 +675,8 @@ def _dealt(shared: Shared, half: np.ndarray, parents: list[np.ndarray], fronts:
     return out
 
 
-def _built(shared: Shared, last: np.ndarray, parents: list[np.ndarray], fronts: list[np.ndarray], word: np.ndarray, seen: list[np.ndarray], dealt: list[np.ndarray]) -> Trie:
-    """The trie of a shard's contexts and words; only what training holds goes into it."""
+def _built(shared: Shared, last: np.ndarray, parents: list[np.ndarray], fronts: list[np.ndarray], word: np.ndarray, seen: list[np.ndarray], dealt: list[np.ndarray], chances: list[np.ndarray] | None) -> Trie:
+    """The trie of a shard's contexts and words; only what training holds goes into it. chances: of all its tokens, see _told()."""
     low = U64(0xFFFFFFFF)
     keep = [s > 0 for s in seen[:3]]
     number = [np.cumsum(k, dtype=np.int32) - np.int32(1) for k in keep]
@@ -689,6 +686,7 @@ def _built(shared: Shared, last: np.ndarray, parents: list[np.ndarray], fronts:
     some = seen[3] > 0
     # (context, word) of each level, ascending, with counts; to: the place of each longer one's shorter
     words, counts, to = [(number[2][parents[2][some]].astype(U64) << _HALF) | word[some]], [seen[3][some]], []
+    own = [np.flatnonzero(some)]  # a token of each
     for k in (1, 0):
         pair = (longer[k] >> _HALF)[(words[0] >> _HALF).astype(np.int32)] << _HALF
         pair |= words[0] & low
@@ -700,9 +698,10 @@ def _built(shared: Shared, last: np.ndarray, parents: list[np.ndarray], fronts:
         to.insert(0, at)
         counts.insert(0, np.add.reduceat(counts[0][order], np.flatnonzero(new)) if len(pair) else counts[0])
         words.insert(0, pair[new])
+        own.insert(0, own[0][order[new]])
         del order, pair, new
     logs, lefts, held = [], [], []
-    lower, known = shared.p1((words[0] & low).astype(np.uint32))
+    lower, known = shared.p1((words[0] & low).astype(np.uint32)) if chances is None else (chances[0][own[0]], np.ones(len(own[0]), dtype=bool))
     for k in range(3):
         context = (words[k] >> _HALF).astype(np.int32)
         if k:
@@ -710,7 +709,9 @@ def _built(shared: Shared, last: np.ndarray, parents: list[np.ndarray], fronts:
         left = DISCOUNTS[k] * np.bincount(context, minlength=len(size[k])) / np.maximum(size[k], 1)
         chance = (counts[k] - DISCOUNTS[k]) / np.maximum(size[k][context], 1) + left[context] * lower
         of_hot = np.flatnonzero(hot[k][context] >= 0)
-        if len(of_hot):
+        if chances is not None:
+            chance[of_hot] = chances[k + 1][own[k][of_hot]]
+        elif len(of_hot):
             chance[of_hot] = shared.chances(shared.hot[hot[k][context[of_hot]]], (words[k][of_hot] & low).astype(np.uint32), lower[of_hot])
         lefts.append(_log10(np.where(hot[k] >= 0, 1.0, left)))
         stays = hot[k][context] < 0
@@ -794,7 +795,8 @@ def _answers(docs: DataFrame, everywhere, asked: DataFrame) -> DataFrame:
                 word = (token >> _HALF).astype(np.uint32)
                 place, dealt = _places([(x >> _HALF).astype(np.uint32) for x in _before(token, size)], _spread(part.column(0), size), shared)
                 shard = shared.shard(place)
-                rare = np.flatnonzero(~shared.p1(word)[1])
+                rare = np.flatnonzero(_place(shared.common, token) < 0)
+                rare = rare[~shared.p1(word[rare])[1]]
                 found = [held] if held else []
                 found.append((_word_key(word[rare]), shard[rare]))
                 for live, key in dealt:
@@ -814,7 +816,7 @@ def _answers(docs: DataFrame, everywhere, asked: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(held[0].view(np.int64)), pa.array(held[1].astype(np.int32))], names=["key", "shard"])
 
     wanted = _source(docs, F.lit(False)).mapInArrow(ask, "key bigint, shard int").repartition("key").dropDuplicates(["key", "shard"])
-    return wanted.join(asked.select("key", "c"), "key").select("shard", "key", "c")
+    return wanted.join(asked.select("key", "c").hint("shuffle_hash"), "key").select("shard", "key", "c")
 
 
 def _by_shard(dealt: DataFrame, docs: DataFrame, everywhere, asked: DataFrame | None, work, schema: str) -> DataFrame:

@@ -148,8 +148,12 @@ class KpiRule:
 
 def describe_nodes(nodes: DataFrame, rules: list[KpiRule], column: str = "nodes") -> DataFrame:
     """nodes with a row for each rule that its texts satisfy, an array or one text: kpi_id, kpi_name, desc_score."""
-    one = nodes.schema[column].dataType.simpleString() == "string"
-    found = F.array(*[F.struct(F.lit(r.kpi_id).alias("kpi_id"), F.lit(r.name).alias("kpi_name"), (r.describe_text if one else r.describe)(F.col(column)).alias("m")) for r in rules])
+    text = F.col(column)
+    if nodes.schema[column].dataType.simpleString() == "string":
+        told = lambda r: r.describe_text(text)
+    else:  # a list of one is looked at as a text
+        told = lambda r: F.when(F.size(text) == 1, r.describe_text(F.get(text, F.lit(0)))).otherwise(r.describe(text))
+    found = F.array(*[F.struct(F.lit(r.kpi_id).alias("kpi_id"), F.lit(r.name).alias("kpi_name"), told(r).alias("m")) for r in rules])
     rows = nodes.select("*", F.explode(found).alias("r")).where("r.m.ok")
     return rows.select(*nodes.columns, "r.kpi_id", "r.kpi_name", F.col("r.m.score").alias("desc_score"))
 

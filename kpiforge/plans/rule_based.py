@@ -9,74 +9,88 @@ from pyspark.sql import functions as F
 from ..functions.geometry import page_relative
 from ..functions.shape import looks_numeric, looks_year, to_year
 from ..operators import layout
-from ..operators.filters import ignore_years, prefer_dated, score_thresholds
+from ..operators.filters import ignore_years
 from ..operators.joins import by_keys, few_or_by_keys
-from ..operators.ranking import best_of_year, year_multiplier
+from ..operators.ranking import best_of_year
 from ..operators.rules import KpiRule, anywhere_matches, describe_lists, describe_nodes
 from ..staging import staged
 from .clusters import cluster_measures
 
 BONUS = 100.0
+#: The share of its KPI's best score that a measure needs.
+NEAR = 0.75
 
 
-def label_rows(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """(*keys, row, nodes): the texts of each row's label cells, nearest first, then those of the rows above that have
-    labels but no numbers (the row's ancestors)."""
-    label = ~looks_numeric(F.col("txt")) & ~looks_year(F.col("txt"))
-    rows = cells.groupBy(*keys, "row").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(label, F.struct("col", "txt")))), lambda x: x["txt"]), " ").alias("label"),
-        F.max((looks_numeric(F.col("txt")) & ~looks_year(F.col("txt"))).cast("int")).alias("has_value"),
+def labelled_cells(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """cells with what the rows of their tables say: _value and _year, a number or a year that a cell is; has_value and years, of the
+    cell's row; and nodes, the texts of the row's label cells, nearest first, then, if it has values, those of the last row above
+    that has labels but no numbers (its ancestors)."""
+    text, year = F.col("txt"), looks_year(F.col("txt"))
+    marked = cells.select(
+        *keys, "row", "col", "txt", (looks_numeric(text) & ~year).alias("_value"), (~looks_numeric(text) & ~year).alias("_label"), F.when(year, to_year(text)).alias("_year")
     )
-    above = F.last(F.when((F.col("has_value") == 0) & (F.col("label") != ""), F.col("label")), ignorenulls=True).over(
-        Window.partitionBy(*keys).orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return rows.withColumn("above", above).where("has_value = 1 and label <> ''").select(*keys, "row", F.array_compact(F.array("label", "above")).alias("nodes"))
+    row = Window.partitionBy(*keys, "row").orderBy("col", "txt").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = marked.withColumns({
+        "has_value": F.max("_value").over(row), "label": F.array_join(F.collect_list(F.when(F.col("_label"), F.col("txt"))).over(row), " "),
+        "years": F.collect_list(F.when(F.col("_year").isNotNull(), F.struct("col", F.col("_year").alias("year")))).over(row),
+    })
+    # a row with values has none of its own to add, so the frame may end with it
+    above = F.last(F.when(~F.col("has_value") & (F.col("label") != ""), F.col("label")), ignorenulls=True).over(Window.partitionBy(*keys).orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return rows.withColumn("_above", above).withColumn("nodes", F.array_compact(F.array("label", "_above"))).drop("_above", "_label")
 
 
-def direct_year_measures(cells: DataFrame, rules: list[KpiRule], keys: list[str]) -> DataFrame:
-    """Measures of tables whose columns are headed by years: a row's label is scored, its values are those below the years.
+def year_measures(cells: DataFrame, rules: list[KpiRule], keys: list[str], default_year: int) -> DataFrame:
+    """Measures of tables: a row's label is scored, its values are dated in two ways, each of which gives a measure.
 
-    The year row of a value is the last one at or above it. kpi_measure's columns but for the place: (*keys, kpi_id,
-    kpi_name, row, col, raw_txt, year, value, score, match_type).
+    AT.direct: by the years that head columns; the year row of a value is the last one at or above it. AT.indirect: by the
+    nearest year in the row, else the default. kpi_measure's columns but for the place: (*keys, kpi_id, kpi_name, row, col,
+    raw_txt, year, value, score, match_type). Of repeated cells the smallest has a direct year. A table's cells meet in windows
+    and aren't joined; where they come partitioned by keys, nothing is shuffled.
     """
-    other = F.max((looks_numeric(F.col("txt")) & ~looks_year(F.col("txt"))).cast("int")).over(Window.partitionBy(*keys, "row"))
-    years = cells.withColumn("_o", other).where((F.col("_o") == 0) & looks_year(F.col("txt")))
-    heads = years.select(*keys, "col", F.col("row").alias("head"), to_year(F.col("txt")).alias("year")).groupBy(*keys, "col", "head").agg(F.min("year").alias("year"))
-    values = cells.where(looks_numeric(F.col("txt")) & ~looks_year(F.col("txt"))).join(heads, [*keys, "col"]).where("head <= row")
-    last = F.row_number().over(Window.partitionBy(*keys, "row", "col").orderBy(F.desc("head"), "txt"))
-    dated = values.withColumn("_k", last).where("_k = 1").select(*keys, "row", "col", "year", F.col("txt").alias("value"))
-    named = describe_nodes(label_rows(cells, keys), rules)
-    met = named.join(dated, [*keys, "row"])
-    valued = [F.when(F.col("kpi_id") == r.kpi_id, r.value_ok(F.col("value"))) for r in rules]
-    rows = met.where(F.coalesce(*valued, F.lit(False))).select(
-        *keys, "kpi_id", "kpi_name", "row", "col", F.array_join("nodes", " < ").alias("raw_txt"), "year", "value", (F.col("desc_score") + BONUS).alias("score"), F.lit("AT.direct").alias("match_type")
+    known = " and ".join(f"{k} is not null" for k in (*keys, "row"))
+    met = labelled_cells(cells, keys).where(known).where((F.col("_value") & (F.col("label") != "")) | (F.col("_year").isNotNull() & ~F.col("has_value")))
+    # a row of years has no values, so what a value finds in its column at or above its row is above it
+    column = Window.partitionBy(*keys, "col").orderBy("row", F.desc("_year"), "txt")
+    before = lambda c: F.lag(c).over(column)
+    placed = met.withColumns({
+        "_over": F.last("_year", ignorenulls=True).over(column.rowsBetween(Window.unboundedPreceding, Window.currentRow)), "_again": F.coalesce(before("row") == F.col("row"), F.lit(False)),
+        "_same": F.coalesce(before("txt") == F.col("txt"), F.lit(False)),
+    })
+    near = F.when(F.size("years") > 0, F.array_min(F.transform("years", lambda y: F.struct(F.abs(y["col"] - F.col("col")), y["col"], y["year"])))["year"])
+    dated = placed.where("_value and not (_again and _same)").select(
+        *keys, "row", "col", "nodes", F.col("txt").alias("value"), F.when(~F.col("_again") & F.col("col").isNotNull(), F.col("_over")).alias("_direct"), F.coalesce(near, F.lit(default_year)).alias("_indirect")
     )
-    return year_multiplier(rows, [*keys, "row", "kpi_id"])
+    valued = F.coalesce(*[F.when(F.col("kpi_id") == r.kpi_id, r.value_ok(F.col("value"))) for r in rules], F.lit(False))
+    # several years in a row speak for it
+    more = F.greatest(F.size(F.collect_set("_direct").over(Window.partitionBy(*keys, "row", "kpi_id"))) - 1, F.lit(0))
+    told = describe_nodes(dated, rules).where(valued).withColumn("_more", more)
+    measure = lambda year, score, kind: F.struct(F.col(year).alias("year"), score.alias("score"), F.lit(kind).alias("match_type"))
+    direct = measure("_direct", (F.col("desc_score") + BONUS) * F.pow(F.lit(1.2), F.col("_more")), "AT.direct")
+    ways = F.array(measure("_indirect", F.col("desc_score"), "AT.indirect"), F.when(F.col("_direct").isNotNull(), direct))
+    both = told.select(*keys, "kpi_id", "kpi_name", "row", "col", F.array_join("nodes", " < ").alias("raw_txt"), "value", F.explode(ways).alias("m")).where("m is not null")
+    return both.select(*keys, "kpi_id", "kpi_name", "row", "col", "raw_txt", "m.year", "value", "m.score", "m.match_type")
+
+
+def direct_year_measures(cells: DataFrame, rules: list[KpiRule], keys: list[str]) -> DataFrame:
+    """The measures of tables whose columns are headed by years, see year_measures()."""
+    return year_measures(cells, rules, keys, layout.DEFAULT_YEAR).where("match_type = 'AT.direct'")
 
 
 def indirect_year_measures(cells: DataFrame, rules: list[KpiRule], keys: list[str], default_year: int) -> DataFrame:
-    """Measures of tables without year columns: the nearest year in the row, else the default, dates each value."""
-    named = describe_nodes(label_rows(cells, keys), rules)
-    values = cells.where(looks_numeric(F.col("txt")) & ~looks_year(F.col("txt"))).select(*keys, "row", "col", F.col("txt").alias("value"))
-    years = cells.where(looks_year(F.col("txt"))).select(*keys, "row", F.col("col").alias("_c"), to_year(F.col("txt")).alias("_y"))
-    near = values.join(years, [*keys, "row"], "left")
-    nearest = near.groupBy(*keys, "row", "col", "value").agg(F.min_by("_y", F.struct(F.abs(F.col("_c") - F.col("col")), "_c")).alias("year"))
-    met = named.join(nearest, [*keys, "row"])
-    valued = [F.when(F.col("kpi_id") == r.kpi_id, r.value_ok(F.col("value"))) for r in rules]
-    return met.where(F.coalesce(*valued, F.lit(False))).select(
-        *keys, "kpi_id", "kpi_name", "row", "col", F.array_join("nodes", " < ").alias("raw_txt"), F.coalesce("year", F.lit(default_year)).alias("year"), "value",
-        F.col("desc_score").alias("score"), F.lit("AT.indirect").alias("match_type"),
-    )
+    """The measures of tables without year columns, see year_measures()."""
+    return year_measures(cells, rules, keys, default_year).where("match_type = 'AT.indirect'")
 
 
 def directory_measures(measures: DataFrame, minimum: float | None = 500.0, within: tuple[str, ...] = ()) -> DataFrame:
     """The measures of a report's pages made one list: the best of each KPI and year, near its KPI's best, dated ones
     before undated. within: the report's keys, if there are several. measures must have pos, by which the later of equals
-    stays; minimum None: scores were looked at before. What each step reads twice is written once before."""
-    best = staged(best_of_year(measures, within=within), "best_measures")
-    keys = (*within, "kpi_name")
-    near = score_thresholds(best, F.lit(float("-inf") if minimum is None else minimum), keys=keys)
-    return best_of_year(prefer_dated(near, keys), within=within)
+    stays; minimum None: scores were looked at before. Only one measure of a KPI and year is left when a KPI's years are
+    compared, so these are few."""
+    of_kpi = Window.partitionBy(*within, "kpi_name")
+    best = best_of_year(measures, within=within).withColumn("_best", F.max("score").over(of_kpi))
+    near = best.where((F.col("score") >= (float("-inf") if minimum is None else minimum)) & (F.col("score") >= NEAR * F.col("_best")))
+    dated = near.withColumn("_dated", F.max(F.col("year").isNotNull()).over(of_kpi))
+    return dated.where(F.col("year").isNotNull() | ~F.col("_dated")).drop("_best", "_dated")
 
 
 #: What a table's headline counts for, by kind of candidate.

@@ -96,6 +96,32 @@ def _place(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(known[at] == keys, at, -1)
 
 
+def _together(key: np.ndarray) -> np.ndarray:
+    """An order that brings equal keys together, equal ones as they came. Keys are ordered by their first bits, the place takes the
+    last ones, so that numbers are sorted, which is much faster than places; of keys alike in the first bits equal ones may be apart."""
+    low = U64((1 << len(key).bit_length()) - 1)
+    packed = (key & ~low) | np.arange(len(key), dtype=U64)
+    packed.sort()
+    return (packed & low).astype(np.int64)
+
+
+def _once(key: np.ndarray) -> np.ndarray:
+    """A place of each different key; of a few keys there may be more."""
+    at = _together(key)
+    found = key[at]
+    return at[np.diff(found, prepend=~found[:1]) != 0]
+
+
+def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different key, and for each key the number of that place. Of a few keys there may be more, as of _together()."""
+    at = _together(key)
+    found = key[at]
+    new = np.diff(found, prepend=~found[:1]) != 0
+    of = np.empty(len(key), dtype=np.int64)
+    of[at] = np.cumsum(new) - 1
+    return at[new], of
+
+
 @dataclass
 class Shared:
     """What every shard knows, of bounded size. Each first array is ascending; the others go with it."""
@@ -132,8 +158,9 @@ class Shared:
 
     def codes(self, token: np.ndarray) -> np.ndarray:
         """The two bytes that words travel as."""
-        at = _place(self.common, token)
-        return np.where(at >= 0, self.ranks[at], ESCAPE).astype(np.uint16)
+        one, of = _distinct(token)
+        at = _place(self.common, token[one])
+        return np.where(at >= 0, self.ranks[at], ESCAPE).astype(np.uint16)[of]
 
     def count(self, token: np.ndarray) -> np.ndarray:
         """Training tokens of words that are known everywhere, -1 for others."""
@@ -318,8 +345,8 @@ def followers(docs: DataFrame, train: Column, shared: Shared) -> DataFrame:
                 for live, key in dealt:
                     found.append((_longer(key, word[live]), _place(shared.hot, key).astype(np.int32), np.ones(len(live), dtype=np.int64)))
                 key, hot, c = (np.concatenate(x) for x in zip(*found))
-                key, at, of = np.unique(key, return_index=True, return_inverse=True)
-                held = key, hot[at], np.bincount(of, weights=c, minlength=len(at)).astype(np.int64)
+                at, of = _distinct(key)
+                held = key[at], hot[at], np.bincount(of, weights=c, minlength=len(at)).astype(np.int64)
                 if len(at) > HELD:
                     yield rows(held)
                     held = None
@@ -378,7 +405,7 @@ def _dealt_contexts(docs: DataFrame, train: Column, shared: Shared, least: int,
                     follower = word[live[some]]
                     found.append((np.full(len(some), level, dtype=np.int8), ~_longer(key[some], follower), key[some], parent[some], follower.astype(np.int64), np.ones(len(some), dtype=np.int64)))
                 columns = [np.concatenate(x) for x in zip(*found)]
-                _, at, of = np.unique(columns[1], return_index=True, return_inverse=True)
+                at, of = _distinct(columns[1])
                 held = (*[x[at] for x in columns[:5]], np.bincount(of, weights=columns[5], minlength=len(at)).astype(np.int64))
                 if len(at) > HELD:
                     yield rows(held)
@@ -500,7 +527,8 @@ def _deal(token: np.ndarray, size: np.ndarray, code: np.ndarray, train: np.ndarr
     words = [*_before(token, size)]
     context = [(x >> _HALF).astype(np.uint32) for x in words]
     shard = shared.shard(_places(context, spread, shared)[0])
-    order = np.lexsort((words[0], shard))
+    bits = U64(shared.shards.bit_length())
+    order = _together((shard.astype(U64) << (U64(64) - bits)) | (words[0] >> bits))
     start = shared.codes(np.array([START]))[0]
     place_in = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
     codes = [code]
@@ -539,7 +567,8 @@ def _told(shared: Shared, key: np.ndarray, c: np.ndarray, word: np.ndarray, deal
     """
     key, at = np.unique(key, return_index=True)
     c = np.r_[c[at], 0]  # the last for keys that training does not hold
-    words, of = np.unique(word, return_inverse=True)
+    at, of = _distinct(_word_key(word))
+    words = word[at]
     chance, known = shared.p1(words)
     chance[~known] = (c[_place(key, _word_key(words[~known]))] + 1) / shared.total
     out = [chance[of]]
@@ -547,7 +576,9 @@ def _told(shared: Shared, key: np.ndarray, c: np.ndarray, word: np.ndarray, deal
         chance = out[-1].copy()
         some = np.flatnonzero(hot >= 0)
         context = hot[some]
-        pair, at = np.unique(_longer(shared.hot[context], word[some]), return_inverse=True)
+        pair = _longer(shared.hot[context], word[some])
+        one, at = _distinct(pair)
+        pair = pair[one]
         known, n = _place(shared.pairs, pair), c[_place(key, pair)][at]
         told = np.where(known >= 0, np.r_[shared.chance, 0.0][known], -1.0)[at]
         p = np.where(n > 0, (n - DISCOUNTS[k]) / shared.sizes[context], 0.0) + shared.left[context] * chance[some]
@@ -788,29 +819,32 @@ def _answers(docs: DataFrame, everywhere, asked: DataFrame) -> DataFrame:
 
     @lean
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared, held = everywhere.value, None
+        shared, held = everywhere.value, []
         for batch in batches:
             for part in slices(batch, 1):
                 token, size = _tokens(part.column(1).to_pylist())
                 word = (token >> _HALF).astype(np.uint32)
                 place, dealt = _places([(x >> _HALF).astype(np.uint32) for x in _before(token, size)], _spread(part.column(0), size), shared)
                 shard = shared.shard(place)
-                rare = np.flatnonzero(_place(shared.common, token) < 0)
+                rare = np.flatnonzero(shared.codes(token) == ESCAPE)
                 rare = rare[~shared.p1(word[rare])[1]]
-                found = [held] if held else []
-                found.append((_word_key(word[rare]), shard[rare]))
+                held.append((_word_key(word[rare]), shard[rare]))
                 for live, key in dealt:
                     pair = _longer(key, word[live])
                     some = np.flatnonzero(_place(shared.pairs, pair) < 0)
-                    found.append((pair[some], shard[live[some]]))
-                key, shard = (np.concatenate(x) for x in zip(*found))
-                _, at = np.unique(_longer(key, shard), return_index=True)
-                held = key[at], shard[at]
-                if len(at) > HELD:
-                    yield rows(held)
-                    held = None
+                    held.append((pair[some], shard[live[some]]))
+                if sum(len(key) for key, _ in held) > 2 * HELD:  # looked through when there are many
+                    held = [once(held)]
+                    if len(held[0][0]) > HELD:
+                        yield rows(held[0])
+                        held = []
         if held:
-            yield rows(held)
+            yield rows(once(held))
+
+    def once(held: list[tuple]) -> tuple:
+        key, shard = (np.concatenate(x) for x in zip(*held))
+        at = _once(_longer(key, shard))
+        return key[at], shard[at]
 
     def rows(held: tuple) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(held[0].view(np.int64)), pa.array(held[1].astype(np.int32))], names=["key", "shard"])

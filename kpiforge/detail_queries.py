@@ -206,7 +206,21 @@ def cell_ancestors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ancestors(cells, ["t"])
 
 
-@query(f"WITH {ANN_SQL} SELECT ann_id, md5(first_text) AS context FROM anns WHERE answer IS NOT NULL AND answer <> ''")
+#: The annotated paragraph is the page's first and is as alike as a change for each character left out, so another one must be more
+#: alike. Pieces that stand beside each other and aren't in the longer text take a change each, and a change spoils three
+#: grams; where these are too many, no table of distances is made.
+@query(rf"""WITH RECURSIVE {ANN_SQL}, asked AS MATERIALIZED (SELECT *, regexp_replace(first_text, '([^\n]{{9}})[^\n]', '\1', 'g') AS part FROM anns WHERE answer IS NOT NULL AND answer <> ''),
+  near AS MATERIALIZED (SELECT DISTINCT a.ann_id, a.part, a.first_text, (len(a.part) - 1) // 9 AS most, p.para_idx, p.text FROM asked a JOIN paras p USING (pdf_name, page0)),
+  whole AS (SELECT ann_id, arg_min(text, para_idx) AS text FROM near WHERE contains(text, part) GROUP BY ann_id),
+  sides AS (SELECT *, CASE WHEN len(part) <= len(text) THEN part ELSE text END AS s, CASE WHEN len(part) <= len(text) THEN text ELSE part END AS l FROM near ANTI JOIN whole USING (ann_id)),
+  cut AS (SELECT *, CASE WHEN len(part) <= len(text) THEN list_transform(range(1, most + 2), lambda k: substr(s, 9 * k - 3, 9)) ELSE list_transform(range(len(s) // 6), lambda k: substr(s, 6 * k + 1, 6)) END AS pieces FROM sides),
+  able AS MATERIALIZED (SELECT * FROM cut WHERE text = first_text OR (len(s) - greatest(len(list_filter(pieces, lambda x: NOT contains(l, x))), ceil(len(list_filter(range(1, len(s) - 1), lambda k: NOT contains(l, substr(s, k, 3)))) / 3))) * len(part) > (len(part) - most) * len(s)),
+  several AS (SELECT ann_id FROM able GROUP BY ann_id HAVING count(DISTINCT text) > 1), pair AS MATERIALIZED (SELECT *, row_number() OVER () AS id FROM (SELECT DISTINCT s, l FROM able SEMI JOIN several USING (ann_id))),
+  cell AS (SELECT id, 0 AS i, unnest(range(len(l) + 1)) AS j, unnest(list_transform(range(len(l) + 1), lambda j: substr(l, j, 1))) AS c, 0 AS d FROM pair UNION ALL SELECT id, i + 1, j, c, CAST(j + min(w - j) OVER (PARTITION BY id ORDER BY j) AS INTEGER) FROM (
+    SELECT id, i, j, c, least(d + 1, coalesce(lag(d) OVER (PARTITION BY id ORDER BY j) + CASE WHEN substr(s, i + 1, 1) = c THEN 0 ELSE 1 END, d + 1)) AS w FROM cell JOIN pair USING (id) WHERE i < len(s))),
+  ratio AS (SELECT s, l, 1 - min(d) / len(s) AS r FROM cell JOIN pair USING (id) WHERE i = len(s) GROUP BY s, l),
+  best AS (SELECT ann_id, text FROM (SELECT ann_id, text, row_number() OVER (PARTITION BY ann_id ORDER BY r DESC, para_idx) AS k FROM able JOIN ratio USING (s, l)) WHERE k = 1)
+  SELECT ann_id, md5(coalesce(w.text, CASE WHEN b.ann_id IS NULL THEN first_text WHEN contains(b.text, answer) THEN b.text END, part)) AS context FROM asked LEFT JOIN whole w USING (ann_id) LEFT JOIN best b USING (ann_id)""")
 def misspelt_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The paragraph that is meant where the annotated text lacks every tenth character, so that no paragraph contains it."""
     asked = annotations(spark, sf_dir).where("answer <> ''")

@@ -494,3 +494,22 @@ def test_tables_are_judged_after_one_shuffle(spark):
     got = {r["t"]: (r["n_rows"], r["n_cols"], r["n_cells"]) for r in good_tables(cells, ["t"]).collect()}
     own = lambda t, k: {r[k] for r in rows if r[0] == t and r[4] == "cell"} - {None}
     assert got == {t: (len(own(t, 1)), len(own(t, 2)), sum(r[0] == t and r[4] == "cell" for r in rows)) for t in [None, *range(40)]}
+
+
+def test_a_misspelt_paragraph_is_another_one_that_is_more_alike_in_the_query_and_its_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    import __spark_entry__ as entry
+
+    first = "Emissions of ammonia of the new plant were lower than those of the older one in the south-west."
+    part, late, other = first[:-30], first[22:], "Nothing of this concerns the water that the company takes from the river."
+    texts = [f"{first}\n{part}", f"{first}\n{late}", f"{first}\n{other}\n{part}", f"{first}\nAll {first}", f"{part}\n{first}", f"{first}\n{first}\n{other}", "ab " * 30 + f"cd\n{first}", f"{other}\n{other[:-9]}\n{other[:-20]}", first]
+    rows = [(k, t, "en", "s", len(t)) for k, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    theirs = sorted(con.execute(f"select ann_id, context from ({entry.oracle_sql()['misspelt_paragraphs']})").fetchall())
+    ours = sorted(map(tuple, entry.queries()["misspelt_paragraphs"](spark, str(tmp_path)).select("ann_id", "context").collect()))
+    assert ours == theirs
+    meant = dict(ours)
+    assert meant[0] == meant[2] == hashlib.md5(part.encode()).hexdigest() and meant[8] == hashlib.md5(first.encode()).hexdigest()
+    assert meant[1] not in [hashlib.md5(t.encode()).hexdigest() for t in (first, late)]  # what is most alike lacks the answer

@@ -385,3 +385,28 @@ def test_a_rows_units_are_looked_up_once(monkeypatch):
     reader = Reader(laid_out.tables[0], laid_out, 2019)
     found = list(reader.direct())
     assert len(found) == 9 and len(asked) == 3 and all(c.units == reader.units(c.row) for c in found)
+
+
+def test_items_level_with_one_are_found_without_looking_at_all():
+    import random
+
+    from kpiforge.layout import items
+
+    rng = random.Random(3)
+    box = lambda flat: (lambda y: Item(0, [Word(0, 0, "w", 0.0, y, 9.0, y + (0.0 if flat and rng.random() < 0.2 else rng.choice([2.0, 9.5, 12.0, 80.0])), "f", 10, False, 0.0)]))(rng.randint(0, 300) / 2)
+    for flat in (False, True):
+        held = [box(flat) for _ in range(120)]
+        levels = items.Levels(held)
+        for one in held[:40] + [box(flat) for _ in range(40)]:
+            assert [k for k, i in enumerate(held) if i.level_with(one)] == levels.places(one)
+    looked = []
+    rows = [Item(k, [Word(k, 0, "w", 0.0, 20.0 * k, 9.0, 20.0 * k + 12, "f", 10, False, 0.0)]) for k in range(400)]
+    many = items.Levels(rows)
+
+    class Counted(list):
+        def __getitem__(self, k):
+            looked.append(k)
+            return super().__getitem__(k)
+
+    many._y1 = Counted(many._y1)
+    assert all(many.with_(i) == [i] for i in rows) and len(looked) < 5 * len(rows)
